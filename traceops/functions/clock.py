@@ -29,8 +29,9 @@ def event_time(ts, unit="s") -> Column:
 def hms(c) -> Column:
     """Seconds as `HH:MM:SS` within a day, fractions cut."""
     t = F.pmod(F.floor(as_column(c)), F.lit(86_400))
-    return F.format_string("%02d:%02d:%02d", floor_div(t, 3600),
+    text = F.format_string("%02d:%02d:%02d", floor_div(t, 3600),
                            floor_div(F.pmod(t, F.lit(3600)), 60), F.pmod(t, F.lit(60)))
+    return F.when(t.isNotNull(), text)
 
 
 def hms_seconds(c) -> Column:
@@ -43,4 +44,4 @@ def hms_seconds(c) -> Column:
 def minutes_label(c) -> Column:
     """Seconds as `m:ss`."""
     t = F.floor(as_column(c))
-    return F.format_string("%d:%02d", floor_div(t, 60), F.pmod(t, F.lit(60)))
+    return F.when(t.isNotNull(), F.format_string("%d:%02d", floor_div(t, 60), F.pmod(t, F.lit(60))))

@@ -2,26 +2,23 @@
 
 from pyspark.sql import Column, functions as F
 
-from traceops.functions import as_column, floor_div
+from traceops.functions import as_column
 
 
 def _one_decimal(n: Column, unit: int) -> Column:
-    """`n / unit` with one decimal, rounded like C's `%.1f` on the double quotient.
+    """`n / unit` with one decimal, rounded as C's `%.1f` does it on the double quotient.
 
-    Only an exact half is delicate: there the double nearest to the quotient decides, and
-    an even last digit if the double is the half itself. `format_string` always goes up.
+    `format_string` rounds every half up. C rounds what the double holds: less than the half
+    goes down, the half itself to an even digit. `error` is the exact difference between the
+    double times `unit` and `n`, by splitting the double into two short halves.
     """
-    tenths, rest = floor_div(n * 10, unit), F.pmod(n * 10, F.lit(unit))
-    quotient = n.cast("double") / unit
-    power = F.pow(F.lit(2.0), F.lit(52) - F.floor(F.log2(quotient)))
-    exact = "decimal(38,0)"
-    stored = (quotient * power).cast("bigint").cast("decimal(20,0)") * F.lit(unit).cast("decimal(10,0)")
-    true = n.cast("decimal(20,0)") * power.cast("bigint").cast("decimal(17,0)")
-    half = F.when(stored.cast(exact) > true.cast(exact), 1) \
-        .when(stored.cast(exact) < true.cast(exact), 0).otherwise(F.pmod(tenths, F.lit(2)))
-    up = F.when(rest * 2 > unit, 1).when(rest * 2 < unit, 0).otherwise(half)
-    rounded = tenths + up
-    return F.format_string("%d.%d", floor_div(rounded, 10), F.pmod(rounded, F.lit(10)))
+    q = n.cast("double") / unit
+    wide = q * float(2 ** 27 + 1)
+    high = wide - (wide - q)
+    error = (high * float(unit) - n) + (q - high) * float(unit)
+    at_half = F.pmod(n * 20, F.lit(2 * unit)) == unit
+    down = (error < 0) | (F.pmod(n * 4, F.lit(4 * unit)) == unit)
+    return F.format_string("%.1f", F.when(at_half & down, q - 0.01).otherwise(q))
 
 
 def human_count(c) -> Column:

@@ -1,6 +1,6 @@
 """Histogram of a value over given ranges."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from traceops.fixed_values import CAPACITY_RANGES
 from traceops.functions import as_column
@@ -17,16 +17,15 @@ def capacity_distribution(df: DataFrame, value, ranges=None, mode="half_open") -
     if mode not in ("half_open", "total"):
         raise ValueError(f"mode is half_open or total, not {mode}")
     ranges = ranges or CAPACITY_RANGES
-    x, last = as_column(value), len(ranges) - 1
+    last = len(ranges) - 1
 
     def inside(i):
         low, high = ranges[i]
-        above = F.lit(True) if mode == "total" and i == 0 else x > low
-        below = x.isNotNull() if mode == "total" and i == last else x <= high
-        return above & below
+        above = "true" if mode == "total" and i == 0 else f"x > {low!r}D"
+        below = "x IS NOT NULL" if mode == "total" and i == last else f"x <= {high!r}D"
+        return f"count_if({above} AND {below}) AS r{i}"
 
-    counts = df.agg(*(F.count_if(inside(i)).alias(f"r{i}") for i in range(len(ranges))))
-    rows = F.array(*(F.struct(F.lit(range_label(*r)).alias("range"), F.col(f"r{i}").alias("count"))
-                     for i, r in enumerate(ranges)))
-    result = counts.select(F.inline(rows))
+    rows = ", ".join(f"struct('{range_label(*r)}' AS range, r{i} AS count)" for i, r in enumerate(ranges))
+    result = (df.select(as_column(value).alias("x"))
+              .selectExpr(*(inside(i) for i in range(len(ranges)))).selectExpr(f"inline(array({rows}))"))
     return result.filter("count > 0") if mode == "total" else result

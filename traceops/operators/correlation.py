@@ -15,16 +15,15 @@ def _per_key(df: DataFrame, keys: list[str], cols: list[str], side: str, center:
         # any shift gives the same correlation; one near the data keeps digits
         means = rows.agg(*(F.avg(c).alias(c) for c in cols))
         rows = rows.select(*keys, *((F.col(c) - means.select(c).scalar()).alias(c) for c in cols))
-    aggregates = [F.count("*").cast("double").alias(f"{side}n")]
+    moments = [f"double(count(*)) AS {side}n"]
     for c in cols:
-        aggregates += [F.avg(c).alias(f"{side}mean_{c}"), F.var_pop(c).alias(f"{side}var_{c}"),
-                       F.min(c).alias(f"{side}min_{c}"), F.max(c).alias(f"{side}max_{c}")]
-    return rows.groupBy(*keys).agg(*aggregates)
+        moments += [f"{f}(`{c}`) AS `{side}{f}_{c}`" for f in ("avg", "var_pop", "min", "max")]
+    return rows.groupBy(*keys).agg(*(F.expr(m) for m in moments))
 
 
 def join_correlation(left: DataFrame, right: DataFrame, keys: list[str],
                      pairs: dict[str, tuple[str, str]], center=True) -> DataFrame:
-    """One row: `pairs` joined rows as `pair_count`, and per label the correlation.
+    """One row: the number of joined rows as `pair_count`, and per label the correlation.
 
     `pairs` maps a label to (left column, right column). Rows with a null in a key or in one
     of the columns are left out, as a plain join after dropping them would. A constant side
@@ -32,29 +31,19 @@ def join_correlation(left: DataFrame, right: DataFrame, keys: list[str],
     """
     xs, ys = (list(dict.fromkeys(p[side] for p in pairs.values())) for side in (0, 1))
     joined = (_per_key(left, keys, xs, "l", center).join(_per_key(right, keys, ys, "r", center), keys)
-              .withColumn("w", F.col("ln") * F.col("rn")))
-    w = F.col("w")
-    sums = [F.sum("w").alias("w"),
-            F.sum(F.col("ln").cast("decimal(19,0)") * F.col("rn").cast("decimal(19,0)"))
-            .cast("decimal(38,0)").alias("pair_count")]
-    for i, (a, b) in enumerate(pairs.values()):
-        x, y = F.col(f"lmean_{a}"), F.col(f"rmean_{b}")
-        sums += [F.sum(w * x).alias(f"x{i}"), F.sum(w * y).alias(f"y{i}"),
-                 F.sum(w * x * y).alias(f"xy{i}"),
-                 F.sum(w * (F.col(f"lvar_{a}") + x * x)).alias(f"xx{i}"),
-                 F.sum(w * (F.col(f"rvar_{b}") + y * y)).alias(f"yy{i}"),
-                 ((F.min(f"lmin_{a}") < F.max(f"lmax_{a}"))
-                  & (F.min(f"rmin_{b}") < F.max(f"rmax_{b}"))).alias(f"varies{i}")]
-    total = joined.agg(*sums)
-
-    def correlation(i):
-        mean_x, mean_y = F.col(f"x{i}") / w, F.col(f"y{i}") / w
-        cov = F.col(f"xy{i}") / w - mean_x * mean_y
-        spread = F.sqrt(F.col(f"xx{i}") / w - mean_x * mean_x) * F.sqrt(F.col(f"yy{i}") / w - mean_y * mean_y)
-        return F.when(F.col(f"varies{i}"), cov / F.nullif(spread, F.lit(0.0)))
-
-    return total.select(F.coalesce(F.col("pair_count").try_cast("bigint"), F.lit(0)).alias("pair_count"),
-                        *(correlation(i).alias(label) for i, label in enumerate(pairs)))
+              .withColumn("w", F.expr("ln * rn")))
+    # whole numbers, as the product of two row counts may be beyond a long
+    sums = ["sum(w) AS w", "sum(CAST(ln AS DECIMAL(19, 0)) * CAST(rn AS DECIMAL(19, 0))) AS n"]
+    result = ["coalesce(try_cast(n AS BIGINT), 0L) AS pair_count"]
+    for i, (label, (a, b)) in enumerate(pairs.items()):
+        x, y = f"`lavg_{a}`", f"`ravg_{b}`"
+        sums += [f"sum(w * {x}) AS x{i}", f"sum(w * {y}) AS y{i}", f"sum(w * {x} * {y}) AS xy{i}",
+                 f"sum(w * (`lvar_pop_{a}` + {x} * {x})) AS xx{i}",
+                 f"sum(w * (`rvar_pop_{b}` + {y} * {y})) AS yy{i}",
+                 f"min(`lmin_{a}`) < max(`lmax_{a}`) AND min(`rmin_{b}`) < max(`rmax_{b}`) AS varies{i}"]
+        spread = " * ".join(f"sqrt(greatest({v}{v}{i} / w - pow({v}{i} / w, 2), 0D))" for v in "xy")
+        result.append(f"IF(varies{i}, (xy{i} / w - x{i} / w * y{i} / w) / nullif({spread}, 0D), NULL) AS `{label}`")
+    return joined.agg(*(F.expr(s) for s in sums)).selectExpr(*result)
 
 
 def sample_join(left: DataFrame, right: DataFrame, keys: list[str], fraction=0.01, seed=42,

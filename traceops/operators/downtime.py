@@ -17,10 +17,9 @@ def downtime_periods(df: DataFrame, entity: str, ts: str, event: str, capacity:
     rows = df.select(entity, ts, *tiebreak, event, F.coalesce(capacity, F.lit(0.0)).alias("_capacity"))
     pairs = followed_by(rows, entity, [ts, *tiebreak], F.col(event) == down, F.col(event) == up,
                         ["_capacity"], slice_rows)
-    offline = F.col(ts) - F.col(f"before.{ts}")
-    return pairs.select(entity, F.col(f"before.{ts}").alias("start"), F.col(ts).alias("end"),
-                        offline.alias("offline_time"),
-                        (offline * F.col("before._capacity")).alias("lost_power"))
+    offline = f"`{ts}` - before.`{ts}`"
+    return pairs.selectExpr(f"`{entity}`", f"before.`{ts}` AS start", f"`{ts}` AS end",
+                            f"{offline} AS offline_time", f"({offline}) * before._capacity AS lost_power")
 
 
 def downtime_loss(df: DataFrame, entity: str, ts: str, event: str, capacity: str,

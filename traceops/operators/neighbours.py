@@ -6,9 +6,7 @@ second one, over nothing but the two end rows of every slice, looks back across
 The result is the same for every slice width.
 """
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
-
-from traceops.functions import as_column
+from pyspark.sql import Column, DataFrame, functions as F
 
 # rows of a key that one task sorts without trouble
 SLICE_ROWS = 1_000_000
@@ -19,14 +17,12 @@ MAX_SLICED_KEYS = 100_000
 def _with_slices(rows: DataFrame, key: str, ts: str, slice_rows: int, max_keys: int) -> DataFrame:
     """Adds `_cuts` (null for a key in one piece) and `_slice`, rising with the time."""
     big = (rows.groupBy(F.col(key).alias("_key"))
-           .agg(F.count("*").alias("_n"), F.min(ts).alias("_low"), F.max(ts).alias("_high"))
-           .filter(F.col("_n") > slice_rows)
-           .orderBy(F.desc("_n")).limit(max_keys)
-           .select("_key", "_low", "_high", F.ceil(F.col("_n") / slice_rows).alias("_cuts")))
-    position = (F.col(ts) - F.col("_low")) / (F.col("_high") - F.col("_low") + 1).cast("double")
-    cut = F.coalesce(F.floor(position * F.col("_cuts")), F.lit(0))
+           .agg(F.expr("count(*) AS _n"), F.min(ts).alias("_low"), F.max(ts).alias("_high"))
+           .filter(f"_n > {slice_rows}").orderBy(F.desc("_n")).limit(max_keys)
+           .selectExpr("_key", "_low", "_high", f"ceil(_n / {slice_rows}) AS _cuts"))
+    cut = f"coalesce(floor((`{ts}` - _low) / double(_high - _low + 1) * _cuts), 0) AS _slice"
     return (rows.join(F.broadcast(big), rows[key].eqNullSafe(big["_key"]), "left")
-            .withColumn("_slice", cut).drop("_key", "_low", "_high"))
+            .selectExpr(*(f"`{c}`" for c in rows.columns), "_cuts", cut))
 
 
 def followed_by(df: DataFrame, key: str, order: list[str], opens: Column, closes: Column,
@@ -37,27 +33,27 @@ def followed_by(df: DataFrame, key: str, order: list[str], opens: Column, closes
     `carry` come out for the closing row, and as struct `before` for the opening one.
     `slice_rows=None` trusts all keys to be small and saves the pass that counts them.
     """
-    kept = list(dict.fromkeys([*order, *carry]))
+    kept = [f"`{c}`" for c in dict.fromkeys([*order, *carry])]
+    by = ", ".join(f"`{c}`" for c in order)
+    before = f"lag(struct(_opens, {', '.join(kept)})) OVER"
+    hit = "_closes AND before._opens"
+    result = [f"`{key}`", *kept, f"struct({', '.join('before.' + c for c in kept)}) AS before"]
     rows = df.select(key, *kept, opens.alias("_opens"), closes.alias("_closes"))
-    seen = F.struct("_opens", *kept)
-    hit = F.col("_closes") & F.col("before._opens")
-    result = [key, *kept, F.struct(*(f"before.{c}" for c in kept)).alias("before")]
 
     if slice_rows is None:
-        whole = Window.partitionBy(key).orderBy(*order)
-        return rows.withColumn("before", F.lag(seen).over(whole)).filter(hit).select(*result)
+        return (rows.selectExpr("*", f"{before} (PARTITION BY `{key}` ORDER BY {by}) AS before")
+                .filter(hit).selectExpr(*result))
 
-    in_slice = Window.partitionBy(key, "_slice").orderBy(*order)
-    looked = (_with_slices(rows, key, order[0], slice_rows, max_sliced_keys)
-              .withColumn("before", F.lag(seen).over(in_slice))
-              .withColumn("_after", F.lead(F.lit(True)).over(in_slice)))
+    in_slice = f"(PARTITION BY `{key}`, _slice ORDER BY {by})"
     # an end row of a slice in a key that was cut
-    end = F.col("_cuts").isNotNull() & (F.col("before").isNull() | F.col("_after").isNull())
-    left = looked.withColumn("_end", end).filter(F.col("_end") | hit)
+    end = "_cuts IS NOT NULL AND (before IS NULL OR _after IS NULL) AS _end"
+    left = (_with_slices(rows, key, order[0], slice_rows, max_sliced_keys)
+            .selectExpr("*", f"{before} {in_slice} AS before", f"lead(true) OVER {in_slice} AS _after")
+            .selectExpr("*", end).filter(f"_end OR ({hit})"))
     # ends of a key meet in one small group, finished rows stay spread over their slices
-    across = Window.partitionBy(key, F.when(F.col("_end"), -1).otherwise(F.col("_slice"))).orderBy(*order)
-    return (left.withColumn("before", F.coalesce("before", F.lag(seen).over(across)))
-            .filter(hit).select(*result))
+    across = f"(PARTITION BY `{key}`, CASE WHEN _end THEN -1 ELSE _slice END ORDER BY {by})"
+    return (left.withColumn("before", F.expr(f"coalesce(before, {before} {across})"))
+            .filter(hit).selectExpr(*result))
 
 
 def trailing_rate(df: DataFrame, metric: str, ts: str, value: str, span: int,
@@ -69,14 +65,13 @@ def trailing_rate(df: DataFrame, metric: str, ts: str, value: str, span: int,
     span of a slice is also handed to the next one, so few metrics still use many tasks.
     """
     width = span * slice_spans
-    t = F.col(ts)
-    own = F.call_function("div", t - F.pmod(t, F.lit(width)), F.lit(width))
-    late = F.pmod(t, F.lit(width)) >= width - span
-    spread = (df.select(metric, ts, value, own.alias("_own"))
-              .withColumn("_slice", F.explode(F.when(late, F.array(F.col("_own"), F.col("_own") + 1))
-                                              .otherwise(F.array("_own")))))
-    trailing = Window.partitionBy(metric, "_slice").orderBy(ts).rangeBetween(-span, 0)
-    change = F.col(value) - F.first(value).over(trailing)
-    elapsed = t - F.first(ts).over(trailing)
-    return (spread.withColumn("rate", change / F.nullif(elapsed, F.lit(0)))
-            .filter("_slice = _own").select(metric, ts, value, "rate"))
+    own = f"(`{ts}` - pmod(`{ts}`, {width})) div {width}"
+    late = f"pmod(`{ts}`, {width}) >= {width - span}"
+    trailing = f"(PARTITION BY `{metric}`, _slice ORDER BY `{ts}` RANGE BETWEEN {span} PRECEDING AND CURRENT ROW)"
+    change = f"(`{value}` - first(`{value}`) OVER {trailing})"
+    elapsed = f"nullif(`{ts}` - first(`{ts}`) OVER {trailing}, 0)"
+    columns = [f"`{c}`" for c in (metric, ts, value)]
+    return (df.selectExpr(*columns, f"{own} AS _own")
+            .selectExpr("*", f"explode(IF({late}, array(_own, _own + 1), array(_own))) AS _slice")
+            .selectExpr("*", f"{change} / {elapsed} AS rate")
+            .filter("_slice = _own").selectExpr(*columns, "rate"))

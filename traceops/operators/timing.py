@@ -18,13 +18,17 @@ def timing_report(timings: DataFrame, id_regex=JOB_NUMBER, id_name="question",
     missing metrics `-`; record counts of single tables are left out.
     """
     metrics = metrics or REPORT_METRICS
-    rows = timings.filter(~F.col("metric").rlike(SPLIT_RECORD_METRICS))
-    value = (F.when(F.col("metric").isin(*TIME_METRICS), hms(number("value")))
-             .when(F.col("metric").endswith("_records"), human_count(whole("value")))
-             .otherwise(F.col("value").cast("string")))
-    wide = (rows.select("filename", "metric", value.alias("value"))
+    wide = (timings.filter(~F.col("metric").rlike(SPLIT_RECORD_METRICS))
+            .select("filename", "metric", number("value").alias("value"))
             .groupBy("filename").pivot("metric", metrics).agg(F.max("value")))
-    return (wide.na.fill("-", metrics).withColumn(id_name, number_in("filename", id_regex))
+
+    def readable(metric):
+        if metric in TIME_METRICS:
+            return hms(metric)
+        return human_count(whole(metric)) if metric.endswith("_records") else F.col(metric).cast("string")
+
+    return (wide.select("filename", *(F.coalesce(readable(m), F.lit("-")).alias(m) for m in metrics),
+                        number_in("filename", id_regex).alias(id_name))
             .orderBy(F.asc_nulls_last(id_name), "filename"))
 
 

@@ -240,7 +240,7 @@ def _streamed_counts(spark, d, kind, dim, hourly_times=False):
     """Runs the events through a stream: encoded, parsed, counted, written, read back."""
     files = spark.readStream.schema(_table(spark, d, "events").schema).option("maxFilesPerTrigger", 1000)
     # a glob, as a stream source may be a folder or a pattern but not one file
-    parsed = parse_events(_as_messages(files.parquet(f"{d}/events.parquet*"), kind), kind)
+    parsed = parse_events(_as_messages(files.parquet(f"{d}/events.parquet*"), kind))
     if hourly_times:
         parsed = parsed.withColumn("event_timestamp", F.date_trunc("hour", "event_timestamp"))
     work = scratch_dir(spark, f"{kind}-{dim}")
@@ -278,7 +278,7 @@ def st7_latest_count(spark, d):
 
 def a14_encode(spark, d):
     """Encoded and parsed again, then counted."""
-    parsed = parse_events(_as_messages(_table(spark, d, "events"), "task"), "task")
+    parsed = parse_events(_as_messages(_table(spark, d, "events"), "task"))
     return classes.rows_per_class(parsed, "event_type")
 
 

@@ -22,6 +22,7 @@ def session(app="traceops", master=None, shuffle_partitions=None, **conf) -> Spa
         # stream state larger than the heap of an executor
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
     if shuffle_partitions:
         options["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

@@ -41,12 +41,13 @@ def to_exposition(gauges: DataFrame) -> DataFrame:
     """Lines of the text format in column `line`: per metric its type, then its samples."""
     label = F.when(F.col("label_key").isNull(), F.lit("")).otherwise(
         F.format_string('{%s="%s"}', "label_key", "label_value"))
-    samples = gauges.select("metric", F.lit(1).alias("part"), F.concat(
-        F.col("metric"), label, F.lit(" "), F.col("value").cast("string")).alias("line"))
-    types = (gauges.select("metric").distinct()
-             .select("metric", F.lit(0).alias("part"),
-                     F.format_string("# TYPE %s gauge", "metric").alias("line")))
-    return types.unionByName(samples).orderBy("metric", "part", "line").select("line")
+    sample = F.concat(F.col("metric"), label, F.lit(" "), F.col("value").cast("string"))
+    kind = F.format_string("# TYPE %s gauge", "metric")
+    # each sample brings the type line of its metric, of which one stays
+    lines = F.array(F.struct(F.lit(0).alias("part"), kind.alias("line")),
+                    F.struct(F.lit(1).alias("part"), sample.alias("line")))
+    return (gauges.select("metric", F.inline(lines)).distinct()
+            .orderBy("metric", "part", "line").select("line"))
 
 
 class GaugeFiles:
