@@ -1,0 +1,269 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from traceops.functions.stats import pearson
+from traceops.operators import capacity, classes, correlation, downtime, hourly, keyed, neighbours, placement
+
+
+def rows(df, *cols):
+    return sorted((tuple(r) for r in df.select(*(cols or ["*"])).collect()), key=repr)
+
+
+# --- capacity ------------------------------------------------------------------
+
+MACHINES = ["0", "0.2", "0.2000001", "0.5", "0.8", "1.0", "1.1", "-0.1", None, "abc"]
+
+
+def machines(spark):
+    return spark.createDataFrame([(v,) for v in MACHINES], "v STRING").select(F.col("v").try_cast("double").alias("v"))
+
+
+def test_half_open_ranges_keep_empty_ones(spark):
+    result = capacity.capacity_distribution(machines(spark), "v").collect()
+    assert [tuple(r) for r in result] == [("0-20%", 1), ("20-40%", 1), ("40-60%", 1), ("60-80%", 1), ("80-100%", 1)]
+    result = capacity.capacity_distribution(machines(spark).filter("v > 0.9 or v is null"), "v").collect()
+    assert [r["count"] for r in result] == [0, 0, 0, 0, 1]
+
+
+def test_total_ranges_take_every_value(spark):
+    result = capacity.capacity_distribution(machines(spark).filter("v <> 0.5"), "v", mode="total").collect()
+    assert [tuple(r) for r in result] == [("0-20%", 3), ("20-40%", 1), ("60-80%", 1), ("80-100%", 2)]
+
+
+def test_unknown_mode(spark):
+    with pytest.raises(ValueError):
+        capacity.capacity_distribution(machines(spark), "v", mode="other")
+
+
+# --- downtime ------------------------------------------------------------------
+
+GAPS = [  # machine, time, event, capacity, tie
+    (1, 0, 0, 0.5, 0), (1, 10, 1, 0.5, 0), (1, 25, 0, 0.5, 0),         # a gap of 15
+    (2, 0, 0, 1.0, 0), (2, 5, 1, 1.0, 0), (2, 6, 2, 1.0, 0), (2, 9, 0, 1.0, 0),  # an update lies between
+    (3, 4, 1, 1.0, 0),                                                   # never back
+    (4, 7, 0, 1.0, 1), (4, 7, 1, 0.25, 0),                               # same time: the tie-breaker decides
+    (5, 1, 1, None, 0), (5, 3, 0, 0.5, 0),                               # no capacity on removal
+]
+SCHEMA = "m BIGINT, t BIGINT, e INT, c DOUBLE, tie INT"
+
+
+@pytest.mark.parametrize("slice_rows", [None, 1, 2, 1000])
+def test_downtime_periods(spark, slice_rows):
+    df = spark.createDataFrame(GAPS, SCHEMA)
+    got = rows(downtime.downtime_periods(df, "m", "t", "e", "c", tiebreak=["tie"], slice_rows=slice_rows))
+    assert got == [(1, 10, 25, 15, 7.5), (4, 7, 7, 0, 0.0), (5, 1, 3, 2, 0.0)]
+
+
+def test_downtime_loss(spark):
+    df = spark.createDataFrame(GAPS, SCHEMA)
+    got = downtime.downtime_loss(df, "m", "t", "e", "c", tiebreak=["tie"]).first()
+    added = 0.5 + 0.5 + 1.0 + 1.0 + 1.0 + 0.5
+    assert tuple(got) == pytest.approx((7.5, 25 * added, 100 * 7.5 / (25 * added)))
+
+
+def test_downtime_of_nothing(spark):
+    assert tuple(downtime.downtime_loss(spark.createDataFrame([], SCHEMA), "m", "t", "e", "c").first()) == (0, 0, 0)
+    only_down = spark.createDataFrame(GAPS[7:8], SCHEMA)
+    assert tuple(downtime.downtime_loss(only_down, "m", "t", "e", "c").first()) == (0, 0, 0)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_slices_change_nothing(spark, seed):
+    """One key with most rows, bursts at one time, null keys; every width gives the same pairs."""
+    rnd = random.Random(seed)
+    data = [(rnd.choice([1, 1, 1, 2, 3, None]), rnd.choice([5, rnd.randrange(300)]), rnd.randrange(3),
+             rnd.random(), i) for i in range(600)]
+    df = spark.createDataFrame(data, SCHEMA)
+
+    def pairs(**kw):
+        return rows(downtime.downtime_periods(df, "m", "t", "e", "c", tiebreak=["tie"], **kw))
+
+    # by hand
+    want = []
+    for key in (1, 2, 3, None):
+        own = sorted((r[1], r[4], r[2], r[3]) for r in data if r[0] == key)
+        want += [(key, a[0], b[0], b[0] - a[0], (b[0] - a[0]) * a[3])
+                 for a, b in zip(own, own[1:]) if a[2] == 1 and b[2] == 0]
+    want = sorted(want, key=repr)
+    assert pairs(slice_rows=None) == want
+    for width in (1, 7, 50, 10_000):
+        assert pairs(slice_rows=width) == want
+
+
+def test_only_some_keys_are_cut_when_the_list_is_full(spark):
+    data = [(m, t, t % 2, 1.0, 0) for m in range(5) for t in range(40)]
+    df = spark.createDataFrame(data, SCHEMA)
+
+    def pairs(**kw):
+        return rows(neighbours.followed_by(df, "m", ["t", "tie"], F.expr("e = 1"), F.expr("e = 0"), ["c"], **kw)
+                    .select("m", "t", "before.t"))
+
+    assert pairs(slice_rows=8, max_sliced_keys=2) == pairs(slice_rows=None)
+
+
+def test_trailing_rate_over_slices(spark):
+    data = [("a", t, float(t * t)) for t in range(0, 400, 7)] + [("b", 3, 1.0)]
+    df = spark.createDataFrame(data, "m STRING, t BIGINT, v DOUBLE")
+    for spans in (1, 2, 24):
+        got = {(r.m, r.t): r.rate for r in neighbours.trailing_rate(df, "m", "t", "v", 20, spans).collect()}
+        assert len(got) == len(data)
+        assert got["b", 3] is None and got["a", 0] is None
+        for t in range(7, 400, 7):
+            first = min(u for u in range(0, 400, 7) if t - 20 <= u)
+            assert got["a", t] == pytest.approx((t * t - first * first) / (t - first))
+
+
+# --- classes -------------------------------------------------------------------
+
+TASKS = [  # class, job, index, event
+    (0, "j1", 0, 2), (0, "j1", 0, 4), (0, "j1", 1, 2), (1, "j1", 2, 0), (1, "j2", 0, None), (None, "j3", 0, 2),
+]
+
+
+def tasks(spark):
+    return spark.createDataFrame(TASKS, "cls INT, job STRING, idx INT, event INT")
+
+
+def test_per_class_variants(spark):
+    assert rows(classes.distinct_per_class(tasks(spark), "cls", "job")) == [(0, 1), (1, 2)]
+    assert rows(classes.distinct_per_class(tasks(spark), "cls", ["job", "idx"])) == [(0, 2), (1, 2)]
+    assert rows(classes.rows_per_class(tasks(spark), "cls")) == [(0, 3), (1, 2)]
+
+
+def test_event_rate(spark):
+    got = rows(classes.event_rate_by_class(tasks(spark), "cls", F.col("event") == 2))
+    assert got == [(0, 3, 2, 0.6667), (1, 2, 0, 0.0)]
+
+
+# --- per key -------------------------------------------------------------------
+
+def test_latest_row_is_by_time_and_not_by_place(spark):
+    log = spark.createDataFrame([("m1", 3, 0.3, None), ("m1", 9, 0.9, 0.1), ("m1", 5, 0.5, 0.2), ("m2", 1, None, 0.4)],
+                                "m STRING, t BIGINT, cpu DOUBLE, mem DOUBLE")
+    latest = keyed.latest_per_key(log, "m", ["t"], ["cpu", "mem"])
+    assert rows(latest) == [("m1", 0.9, 0.1), ("m2", 0.0, 0.4)]
+    assert rows(keyed.last_value_per_key(log.filter("cpu is not null"), "m", "t", ["cpu"])) == [("m1", 0.9)]
+
+
+def test_capacity_against_hits(spark):
+    capacities = spark.createDataFrame([("m1", 0.1, 0.9), ("m2", 0.3, 0.9), ("m3", 0.5, 0.9), ("idle", 1.0, 1.0)],
+                                       "m STRING, cpu DOUBLE, mem DOUBLE")
+    events = spark.createDataFrame([("m1", 2), ("m2", 2), ("m2", 2), ("m3", 2), ("m3", 2), ("m3", 2), ("m1", 0),
+                                    ("unknown", 2), ("", 2), (None, 2)], "m STRING, e INT")
+    hits = keyed.hits_per_key(events, "m", F.col("e") == 2)
+    assert rows(hits) == [("m1", 2, 1), ("m2", 2, 2), ("m3", 3, 3), ("unknown", 1, 1)]
+    got = keyed.capacity_vs_hits(capacities, hits, "m", {"CPU": "cpu", "Memory": "mem"})
+    assert rows(got["detail"], "m", "cpu", "hit_count") == [("m1", 0.1, 1), ("m2", 0.3, 2), ("m3", 0.5, 3)]
+    correlation_rows = {r.metric: r.value for r in got["correlations"].collect()}
+    assert correlation_rows["CPU"] == pytest.approx(1.0)
+    assert correlation_rows["Memory"] is None  # one capacity for all
+    assert rows(got["cpu_ranges"]) == [(0, 1.0), (1, 2.0), (2, 3.0)]
+    assert rows(got["mem_ranges"]) == [(3, 2.0)]
+
+
+def test_peaks_beside_both_counts(spark):
+    usage = spark.createDataFrame([("m1", 0.1, 0.5), ("m1", 0.4, None), ("m1", 0.2, 0.3), ("m2", 0.9, 0.9), ("m9", 1.0, 1.0)],
+                                  "m STRING, cpu DOUBLE, mem DOUBLE")
+    events = spark.createDataFrame([("m1", 2), ("m1", 0), ("m2", 0), ("m3", 2)], "m STRING, e INT")
+    cols = {"peak_cpu": "cpu", "peak_mem": "mem"}
+    assert rows(keyed.peaks_vs_counts(usage, events, "m", cols, F.col("e") == 2)) == [
+        ("m1", 0.2, 0.5, 2, 1), ("m2", 0.9, 0.9, 1, 0)]
+    assert rows(keyed.peaks_vs_counts(usage, events, "m", cols, F.col("e") == 2, hit_only=True)) == [
+        ("m1", 0.2, 0.5, 1, 1)]
+
+
+def test_first_rows(spark):
+    assert [r.id for r in keyed.first_rows(spark.range(100), F.desc("id"), n=3).collect()] == [99, 98, 97]
+
+
+# --- placement -------------------------------------------------------------------
+
+PLACED = [("one", "m1"), ("one", "m1"), ("two", "m1"), ("two", "m2"), ("blank", ""), ("blank", None),
+          ("mixed", "m1"), ("mixed", "")]
+
+
+@pytest.mark.parametrize("drop, same, several", [(True, 2, 1), (False, 2, 2)])
+def test_placement(spark, drop, same, several):
+    df = spark.createDataFrame(PLACED, "job STRING, machine STRING")
+    total = same + several
+    got = placement.placement_spread(df, "job", "machine", drop).collect()
+    assert [tuple(r) for r in got] == [("Same Machine", same, pytest.approx(100 * same / total)),
+                                       ("Different Machines", several, pytest.approx(100 * several / total))]
+    numeric = df.select("job", F.regexp_extract("machine", r"(\d+)", 1).try_cast("bigint").alias("machine"))
+    assert [r["count"] for r in placement.placement_spread(numeric, "job", "machine", drop).collect()] == [same, several]
+
+
+def test_placement_of_nothing(spark):
+    got = placement.placement_spread(spark.createDataFrame([], "job STRING, machine STRING"), "job", "machine")
+    assert [tuple(r) for r in got.collect()] == [("Same Machine", 0, 0.0), ("Different Machines", 0, 0.0)]
+
+
+# --- correlation -------------------------------------------------------------------
+
+KEYED = "k1 STRING, k2 INT, x DOUBLE, u DOUBLE"
+
+
+def plain(left, right):
+    joined = left.dropna().join(right.dropna().toDF("k1", "k2", "y", "v"), ["k1", "k2"])
+    return joined.agg(F.count("*").alias("n"), pearson("x", "y").alias("cpu"), pearson("u", "v").alias("memory")).first()
+
+
+def by_statistics(left, right, **kw):
+    right = right.toDF("k1", "k2", "y", "v")
+    return correlation.join_correlation(left, right, ["k1", "k2"], {"cpu": ("x", "y"), "memory": ("u", "v")}, **kw).first()
+
+
+@pytest.mark.parametrize("seed, offset, center", [(1, 0.0, True), (2, 0.0, False), (3, 1e9, True), (4, 5.0, False)])
+def test_statistics_equal_the_plain_join(spark, seed, offset, center):
+    rnd = random.Random(seed)
+
+    def side():
+        return spark.createDataFrame(
+            [(rnd.choice(["a", "a", "b", "c", None]), rnd.randrange(3), offset + rnd.random(),
+              None if rnd.random() < 0.1 else offset + rnd.gauss(0, 1)) for _ in range(120)], KEYED)
+
+    left, right = side(), side()
+    want, got = plain(left, right), by_statistics(left, right, center=center)
+    assert got.pair_count == want.n > 100
+    assert (got.cpu, got.memory) == pytest.approx((want.cpu, want.memory), abs=1e-6 if offset > 10 else 1e-9)
+
+
+def test_flat_or_empty_sides_give_null(spark):
+    flat = spark.createDataFrame([("a", 1, 0.1, float(i)) for i in range(7)] + [("b", 1, 0.1, 9.0)] * 3, KEYED)
+    other = spark.createDataFrame([("a", 1, float(i), float(i)) for i in range(5)] + [("b", 1, 3.0, 7.0)], KEYED)
+    for center in (True, False):
+        got = by_statistics(flat, other, center=center)
+        assert got.pair_count == 38 and got.cpu is None and got.memory is not None
+    nobody = other.withColumn("k2", F.lit(99))
+    assert tuple(by_statistics(flat, nobody)) == (0, None, None)
+    assert tuple(by_statistics(flat.limit(0), other)) == (0, None, None)
+
+
+def test_pair_count_has_room_for_more_than_a_long(spark):
+    one = spark.createDataFrame([("a", 1, 1.0, 1.0)], KEYED)
+    result = correlation.join_correlation(one, one.toDF("k1", "k2", "y", "v"), ["k1", "k2"], {"cpu": ("x", "y")})
+    assert dict(result.dtypes)["pair_count"] == "decimal(38,0)"
+
+
+def test_sample_join_takes_the_stated_share_of_pairs(spark):
+    left = spark.range(4000).select((F.col("id") % 7).alias("k"), F.col("id").alias("a"))
+    right = spark.range(2000).select((F.col("id") % 7).alias("k"), F.col("id").alias("b"))
+    pairs = left.join(right, "k")
+    total = pairs.count()
+    got = correlation.sample_join(left, right, ["k"], fraction=0.01, n=10**9)
+    assert got.columns == ["k", "a", "b"]
+    assert got.count() == pytest.approx(total * 0.01, rel=0.25)
+    assert got.join(pairs, ["k", "a", "b"], "left_anti").count() == 0
+    assert correlation.sample_join(left, right, ["k"], fraction=0.01, n=50).count() == 50
+
+
+# --- hours -------------------------------------------------------------------------
+
+def test_hourly_profile(spark):
+    usage = spark.createDataFrame([(0, 1.0, 2.0), (3599, 3.0, 4.0), (3600, 5.0, 6.0), (86400, 5.0, 9.0),
+                                   (3600, None, 1.0), (None, 1.0, 1.0)], "t BIGINT, cpu DOUBLE, mem DOUBLE")
+    cols = {"avg_cpu": "cpu", "avg_memory": "mem"}
+    assert rows(hourly.hourly_profile(usage, "t", cols)) == [(0, 3.0, 5.0), (1, 5.0, 6.0)]
+    assert rows(hourly.hourly_profile(usage, "t", cols, "us")) == [(0, 3.5, 5.25)]

@@ -2,7 +2,6 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from traceops.functions import as_column
 from traceops.functions.casts import flag
 
 
@@ -30,5 +29,5 @@ def event_rate_by_class(df: DataFrame, cls: str, is_hit: Column, digits=4) -> Da
     """Events, hits and hits per event of each class."""
     return (_classed(df, cls).groupBy(cls)
             .agg(F.count("*").alias("total"), F.sum(flag(is_hit)).alias("hits"))
-            .withColumn("probability", F.round(as_column("hits") / F.col("total"), digits))
+            .withColumn("probability", F.round(F.col("hits") / F.col("total"), digits))
             .orderBy(cls))

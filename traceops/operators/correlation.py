@@ -23,7 +23,7 @@ def _per_key(df: DataFrame, keys: list[str], cols: list[str], side: str, center:
 
 def join_correlation(left: DataFrame, right: DataFrame, keys: list[str],
                      pairs: dict[str, tuple[str, str]], center=True) -> DataFrame:
-    """One row: the number of joined rows as `pair_count`, and per label the correlation.
+    """One row: the number of joined rows as `pair_count` (decimal), and per label the correlation.
 
     `pairs` maps a label to (left column, right column). Rows with a null in a key or in one
     of the columns are left out, as a plain join after dropping them would. A constant side
@@ -34,7 +34,7 @@ def join_correlation(left: DataFrame, right: DataFrame, keys: list[str],
               .withColumn("w", F.expr("ln * rn")))
     # whole numbers, as the product of two row counts may be beyond a long
     sums = ["sum(w) AS w", "sum(CAST(ln AS DECIMAL(19, 0)) * CAST(rn AS DECIMAL(19, 0))) AS n"]
-    result = ["coalesce(try_cast(n AS BIGINT), 0L) AS pair_count"]
+    result = ["coalesce(n, CAST(0 AS DECIMAL(38, 0))) AS pair_count"]
     for i, (label, (a, b)) in enumerate(pairs.items()):
         x, y = f"`lavg_{a}`", f"`ravg_{b}`"
         sums += [f"sum(w * {x}) AS x{i}", f"sum(w * {y}) AS y{i}", f"sum(w * {x} * {y}) AS xy{i}",

@@ -2,7 +2,6 @@
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from traceops.functions import as_column
 from traceops.functions.buckets import quarter
 from traceops.functions.casts import flag
 from traceops.functions.stats import pearson
@@ -88,6 +87,6 @@ def peaks_vs_counts(usage: DataFrame, events: DataFrame, key: str, cols: dict[st
     return peaks_per_key(usage, key, cols).join(hits_per_key(events, key, is_hit, hit_only), key)
 
 
-def first_rows(df: DataFrame, order, n=20) -> DataFrame:
+def first_rows(df: DataFrame, *order, n=20) -> DataFrame:
     """A fixed sample for reports: the first `n` rows in a stated order."""
-    return df.orderBy(*[as_column(c) for c in ([order] if isinstance(order, str) else order)]).limit(n)
+    return df.orderBy(*order).limit(n)

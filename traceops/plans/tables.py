@@ -152,7 +152,8 @@ def _orders_and_events(spark, d):
 
 
 def _rounded(df, *cols):
-    return df.select("pair_count", *(F.round(c, 5).alias(c) for c in cols))
+    return df.select(F.col("pair_count").cast("bigint").alias("pair_count"),
+                     *(F.round(c, 5).alias(c) for c in cols))
 
 
 def a7_join_correlation(spark, d):
@@ -398,7 +399,7 @@ def w4_trailing_rate(spark, d):
 
 def o4_topk(spark, d):
     rows = _table(spark, d, "orders").select("o_orderkey", "o_totalprice")
-    return keyed.first_rows(rows, [F.desc("o_totalprice"), "o_orderkey"])
+    return keyed.first_rows(rows, F.desc("o_totalprice"), "o_orderkey")
 
 
 def u1_metric_union(spark, d):

@@ -5,9 +5,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from traceops.fixed_values import TABLES
 from traceops.functions.casts import whole
 
-# stands for a field that is not there at all, as opposed to an empty one
-_ABSENT = "\u0001"
-
 
 def table_schema(table: str, text=False) -> T.StructType:
     schema = T.StructType.fromDDL(TABLES[table])
@@ -44,18 +41,26 @@ def read_trace(spark: SparkSession, path: str, table: str, start_file=0, num_fil
 
 
 def read_text_rows(spark: SparkSession, path, table: str) -> DataFrame:
-    """The same files with every field as text: empty fields stay empty, absent ones are null."""
-    return (spark.read.schema(table_schema(table, text=True))
-            .option("ignoreCorruptFiles", "true").option("nullValue", _ABSENT)
-            .option("emptyValue", "").csv(path, mode="PERMISSIVE"))
+    """The same files with every field as text: `""` for an empty field.
+
+    In rows with too few fields the absent ones stay null.
+    """
+    fields = table_schema(table, text=True)
+    # the raw line is there when the number of fields is not the expected one
+    rows = (spark.read.schema(T.StructType([*fields, T.StructField("_line", T.StringType())]))
+            .option("columnNameOfCorruptRecord", "_line").option("ignoreCorruptFiles", "true")
+            .csv(path, mode="PERMISSIVE"))
+    commas = F.length(F.regexp_replace("_line", r'"[^"]*"|[^,]', ""))
+    whole_row = F.col("_line").isNull() | (commas >= len(fields) - 1)
+    return rows.select(*(F.when(whole_row, F.coalesce(c, F.lit(""))).otherwise(F.col(c)).alias(c)
+                         for c in fields.names))
 
 
 def split_rejects(rows: DataFrame, ts="timestamp") -> tuple[DataFrame, DataFrame]:
     """Text rows that can become events, and those that cannot: bad time or absent field."""
-    absent = F.lit(False)
+    bad = whole(ts).isNull()
     for c in rows.columns:
-        absent = absent | F.col(c).isNull()
-    bad = absent | whole(ts).isNull()
+        bad = bad | F.col(c).isNull()
     return rows.filter(~bad), rows.filter(bad)
 
 
