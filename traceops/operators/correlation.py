@@ -48,19 +48,25 @@ def join_correlation(left: DataFrame, right: DataFrame, keys: list[str],
 
 def sample_join(left: DataFrame, right: DataFrame, keys: list[str], fraction=0.01, seed=42,
                 n=10_000) -> DataFrame:
-    """Up to `n` rows of the inner join, each joined row taken with probability `fraction`.
+    """Up to `n` rows of the inner join, each joined row taken with the same probability.
 
-    Rows are thinned on both sides before the shuffle, and a left row only meets the right
-    rows in the same random salt, so neither the whole join nor all rows of one key ever
-    come together: thinning * thinning / salts = fraction.
+    That is `fraction`, or less where a smaller share already gives more than `n` rows: the
+    number of joined rows is known from the row counts of the keys. Both sides are thinned
+    before the shuffle and a left row only meets right rows of the same random salt (thinning
+    * thinning / salts = share), so neither the join nor all rows of one key come together.
     """
-    salts = max(1, round(fraction ** -0.5))
-    thin = min(1.0, (fraction * salts) ** 0.5)
+    sizes = (left.groupBy(*keys).agg(F.count("*").cast("double").alias("_l"))
+             .join(right.groupBy(*keys).agg(F.count("*").cast("double").alias("_r")), keys))
+    plan = (sizes.agg(F.expr(f"least({fraction}D, 1.5D * {n} / sum(_l * _r))").alias("share"))
+            .selectExpr("share", "greatest(1D, round(1 / sqrt(share))) AS salts")
+            .selectExpr("least(1D, sqrt(share * salts)) AS thin", "salts"))
+    thin, salts = plan.select("thin").scalar(), plan.select("salts").scalar()
 
     def thinned(df, seed):
-        return df.sample(False, thin, seed).withColumn("_salt", F.floor(F.rand(seed + 1) * salts))
+        return (df.withColumn("_u", F.rand(seed) / thin).filter("_u < 1")
+                .withColumn("_salt", F.floor(F.col("_u") * salts)).drop("_u"))
 
-    return (thinned(left, seed).join(thinned(right, seed + 2), [*keys, "_salt"])
+    return (thinned(left, seed).join(thinned(right, seed + 1), [*keys, "_salt"])
             .drop("_salt").limit(n))
 
 

@@ -1,8 +1,11 @@
 """History as a time-compressed stream."""
 
+import math
+
 from pyspark.sql import DataFrame, functions as F
 
 from traceops.functions import as_column
+from traceops.functions.casts import whole
 from traceops.functions.clock import UNITS
 from traceops.sources.events import encode_events, write_events
 
@@ -26,16 +29,21 @@ def replay_schedule(df: DataFrame, ts: str, speed=60, slot_ms=1000, unit="s",
 
 def write_replay(df: DataFrame, kind: str, target: str, speed=60, slot_ms=1000, unit="s",
                  waves=1, **options) -> None:
-    """Sends events in `waves` steps along the slots, so a stream sees older steps first.
+    """Sends events in `waves` steps of whole slots, so a stream sees older steps first.
 
-    Within a step all tasks send at once. A broker or file stream keeps the order of steps.
+    Within a step all tasks send at once; a broker or file stream keeps the order of steps.
+    Each step reads the rows between two times, which parquet can skip to.
     """
-    timed = df.withColumn("_ts", as_column("timestamp").try_cast("double").try_cast("bigint"))
-    slots = replay_schedule(timed.filter("_ts is not null"), "_ts", speed, slot_ms, unit)
+    ts = F.col("timestamp") if dict(df.dtypes)["timestamp"] == "bigint" else whole("timestamp")
     if waves == 1:
-        write_events(encode_events(slots, kind), target, kind, **options)
+        write_events(encode_events(df, kind), target, kind, **options)
+        return
+    first, last = df.agg(F.min(ts), F.max(ts)).first()
+    if first is None:
         return
-    last = slots.agg(F.max("slot")).scalar()
-    wave = F.floor(F.col("slot") * waves / (last + 1))
-    for step in range(waves):
-        write_events(encode_events(slots.filter(wave == step), kind), target, kind, **options)
+    slot = UNITS[unit] * speed * slot_ms / 1000
+    slots = (last - first) // slot + 1
+    starts = [first + math.ceil(slots * step / waves) * slot for step in range(waves)] + [math.inf]
+    for low, high in zip(starts, starts[1:]):
+        step = df.filter((ts >= math.ceil(low)) & (ts < math.ceil(high) if high < math.inf else F.lit(True)))
+        write_events(encode_events(step, kind), target, kind, **options)
