@@ -1,6 +1,6 @@
 """One row per key: newest record, counts of hits, peaks; and how two of them relate."""
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from traceops.functions.buckets import quarter
 from traceops.functions.casts import flag
@@ -11,13 +11,12 @@ def latest_per_key(df: DataFrame, key: str, order: list[str], cols: list[str],
                    fill_zero=True) -> DataFrame:
     """The row of each key that is last in `order` (time first, then tie-breakers).
 
-    Spark keeps one row per key and task before the shuffle (window group limit), so a key
-    with very many records sends only a few of them. `fill_zero` sets null numbers to 0.
+    As an aggregate it leaves one row per key and task before the shuffle, so a key with very
+    many records sends only a few. Rows alike in `order` are told apart by their values, so
+    the result never depends on where rows lie. `fill_zero` sets null numbers to 0.
     """
-    newest_first = Window.partitionBy(key).orderBy(*(F.desc_nulls_last(c) for c in order))
-    rows = (df.select(key, *order, *(c for c in cols if c not in order))
-            .withColumn("_rank", F.row_number().over(newest_first))
-            .filter("_rank = 1").select(key, *cols))
+    newest = F.max(F.struct(*order, *(c for c in cols if c not in order)))
+    rows = df.groupBy(key).agg(newest.alias("_newest")).select(key, *(f"_newest.{c}" for c in cols))
     return rows.na.fill(0.0, cols) if fill_zero else rows
 
 

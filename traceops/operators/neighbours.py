@@ -1,8 +1,8 @@
 """The row before each row of a key, without one task per key.
 
 A window partitioned by key puts a whole key into one task. Keys that hold very many rows
-are therefore cut into time slices: a first window looks back inside each slice, and a
-second one, over nothing but the two end rows of every slice, looks back across the cuts.
+are therefore cut into time slices: the window looks back inside each slice, and the end rows
+of the slices of a cut key, found by an aggregate, are compared with those of the next slice.
 The result is the same for every slice width.
 """
 
@@ -14,15 +14,19 @@ SLICE_ROWS = 1_000_000
 MAX_SLICED_KEYS = 100_000
 
 
-def _with_slices(rows: DataFrame, key: str, ts: str, slice_rows: int, max_keys: int) -> DataFrame:
-    """Adds `_cuts` (null for a key in one piece) and `_slice`, rising with the time."""
-    big = (rows.groupBy(F.col(key).alias("_key"))
-           .agg(F.expr("count(*) AS _n"), F.min(ts).alias("_low"), F.max(ts).alias("_high"))
-           .filter(f"_n > {slice_rows}").orderBy(F.desc("_n")).limit(max_keys)
-           .selectExpr("_key", "_low", "_high", f"ceil(_n / {slice_rows}) AS _cuts"))
+def _cut_keys(rows: DataFrame, key: str, ts: str, slice_rows: int, max_keys: int) -> DataFrame:
+    """Keys with more than `slice_rows` rows, their times and number of slices."""
+    return (rows.groupBy(F.col(key).alias("_key"))
+            .agg(F.expr("count(*) AS _n"), F.min(ts).alias("_low"), F.max(ts).alias("_high"))
+            .filter(f"_n > {slice_rows}").orderBy(F.desc("_n")).limit(max_keys)
+            .selectExpr("_key", "_low", "_high", f"ceil(_n / {slice_rows}) AS _cuts"))
+
+
+def _sliced(rows: DataFrame, key: str, ts: str, cut_keys: DataFrame, how: str) -> DataFrame:
+    """Adds `_slice`, rising with the time: 0 for a key in one piece (left out by an inner join)."""
     cut = f"coalesce(floor((`{ts}` - _low) / double(_high - _low + 1) * _cuts), 0) AS _slice"
-    return (rows.join(F.broadcast(big), rows[key].eqNullSafe(big["_key"]), "left")
-            .selectExpr(*(f"`{c}`" for c in rows.columns), "_cuts", cut))
+    return (rows.join(F.broadcast(cut_keys), rows[key].eqNullSafe(cut_keys["_key"]), how)
+            .selectExpr(*(f"`{c}`" for c in rows.columns), cut))
 
 
 def followed_by(df: DataFrame, key: str, order: list[str], opens: Column, closes: Column,
@@ -33,27 +37,34 @@ def followed_by(df: DataFrame, key: str, order: list[str], opens: Column, closes
     `carry` come out for the closing row, and as struct `before` for the opening one.
     `slice_rows=None` trusts all keys to be small and saves the pass that counts them.
     """
-    kept = [f"`{c}`" for c in dict.fromkeys([*order, *carry])]
+    names = list(dict.fromkeys([*order, *carry]))
+    quoted = [f"`{c}`" for c in names]
     by = ", ".join(f"`{c}`" for c in order)
-    before = f"lag(struct(_opens, {', '.join(kept)})) OVER"
-    hit = "_closes AND before._opens"
-    result = [f"`{key}`", *kept, f"struct({', '.join('before.' + c for c in kept)}) AS before"]
-    rows = df.select(key, *kept, opens.alias("_opens"), closes.alias("_closes"))
+    rows = df.select(key, *names, opens.alias("_opens"), closes.alias("_closes"))
+
+    def inside(frame, group):
+        # the row before as plain columns: cheaper in a window than a struct
+        window = f"(PARTITION BY {group} ORDER BY {by})"
+        look_back = [f"lag(`{c}`) OVER {window} AS `_before_{c}`" for c in ["_opens", *names]]
+        before = ", ".join(f"`_before_{c}` AS `{c}`" for c in names)
+        return (frame.selectExpr("*", *look_back).filter("_closes AND _before__opens")
+                .selectExpr(f"`{key}`", *quoted, f"struct({before}) AS before"))
 
     if slice_rows is None:
-        return (rows.selectExpr("*", f"{before} (PARTITION BY `{key}` ORDER BY {by}) AS before")
-                .filter(hit).selectExpr(*result))
-
-    in_slice = f"(PARTITION BY `{key}`, _slice ORDER BY {by})"
-    # an end row of a slice in a key that was cut
-    end = "_cuts IS NOT NULL AND (before IS NULL OR _after IS NULL) AS _end"
-    left = (_with_slices(rows, key, order[0], slice_rows, max_sliced_keys)
-            .selectExpr("*", f"{before} {in_slice} AS before", f"lead(true) OVER {in_slice} AS _after")
-            .selectExpr("*", end).filter(f"_end OR ({hit})"))
-    # ends of a key meet in one small group, finished rows stay spread over their slices
-    across = f"(PARTITION BY `{key}`, CASE WHEN _end THEN -1 ELSE _slice END ORDER BY {by})"
-    return (left.withColumn("before", F.expr(f"coalesce(before, {before} {across})"))
-            .filter(hit).selectExpr(*result))
+        return inside(rows, f"`{key}`")
+
+    cut_keys = _cut_keys(rows, key, order[0], slice_rows, max_sliced_keys)
+    whole = inside(_sliced(rows, key, order[0], cut_keys, "left"), f"`{key}`, _slice")
+    # across the cuts: the first row of a slice against the last one of the slice before;
+    # one row per slice and task is shuffled, and without cut keys nothing is read
+    end = f"struct({', '.join([*quoted, '_opens', '_closes'])})"
+    ends = (_sliced(rows, key, order[0], cut_keys, "inner").groupBy(key, "_slice")
+            .agg(F.expr(f"min({end}) AS first"), F.expr(f"max({end}) AS last")))
+    before = ", ".join(f"last.{c}" for c in quoted)
+    across = (ends.selectExpr(f"`{key}`", "first", f"lag(last) OVER (PARTITION BY `{key}` ORDER BY _slice) AS last")
+              .filter("first._closes AND last._opens")
+              .selectExpr(f"`{key}`", *(f"first.{c}" for c in quoted), f"struct({before}) AS before"))
+    return whole.unionByName(across)
 
 
 def trailing_rate(df: DataFrame, metric: str, ts: str, value: str, span: int,
