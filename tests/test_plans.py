@@ -45,7 +45,7 @@ def test_newest_rows_are_found_before_the_shuffle(spark):
 def test_one_shuffle_per_side_of_the_correlation(spark, no_small_tables):
     text = plan(QUERIES["a7_join_correlation_stats"](spark, SF))
     assert len(re.findall("Exchange hashpartitioning", text)) == 2
-    assert "partial_var_pop" in text and "SortMergeJoin" in text
+    assert "partial_sum" in text and "SortMergeJoin" in text
 
 
 @pytest.mark.parametrize("name, columns", [

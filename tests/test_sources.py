@@ -55,9 +55,22 @@ def test_file_slice(spark, task_files):
     assert trace.read_trace(spark, f"{task_files}/*.gz", "task_events", start_file=9, num_files=1).count() == 0
 
 
-def test_a_broken_file_does_not_stop_the_others(spark, task_files, tmp_path):
+def test_a_broken_file_can_be_passed_over(spark, task_files, tmp_path):
     (tmp_path / "task_events" / "part-00003.csv.gz").write_bytes(gzip.compress(b"x" * 4000)[:20])
-    assert trace.read_trace(spark, task_files, "task_events").filter("job_id = 'j4'").count() == 1
+    passed = trace.read_trace(spark, task_files, "task_events", skip_broken_files=True)
+    assert passed.filter("job_id = 'j4'").count() == 1
+    assert trace.read_text_rows(spark, task_files, "task_events").filter("job_id = 'j4'").count() == 1
+    with pytest.raises(Exception, match="CORRUPT|EOF|FAILED_READ_FILE"):
+        trace.read_trace(spark, task_files, "task_events").collect()
+
+
+def test_operators_take_views(spark, task_files):
+    from traceops.operators.classes import event_rate_by_class
+
+    trace.read_trace(spark, task_files, "task_events").createOrReplaceTempView("task_events")
+    view = spark.sql("SELECT scheduling_class, event_type FROM task_events WHERE timestamp > 0")
+    assert [tuple(r) for r in event_rate_by_class(view, "scheduling_class", F.expr("event_type = 2")).collect()] == [
+        (0, 1, 1, 1.0), (1, 1, 0, 0.0), (3, 1, 1, 1.0)]
 
 
 def test_converted_trace_is_the_same(spark, task_files, tmp_path):

@@ -26,12 +26,15 @@ def event_time(ts, unit="s") -> Column:
     return F.when(ts.between(-limit, limit), convert(ts))
 
 
+def _two(n: Column) -> Column:
+    return F.lpad(n.cast("string"), 2, "0")
+
+
 def hms(c) -> Column:
     """Seconds as `HH:MM:SS` within a day, fractions cut."""
     t = F.pmod(F.floor(as_column(c)), F.lit(86_400))
-    text = F.format_string("%02d:%02d:%02d", floor_div(t, 3600),
-                           floor_div(F.pmod(t, F.lit(3600)), 60), F.pmod(t, F.lit(60)))
-    return F.when(t.isNotNull(), text)
+    return F.concat(_two(floor_div(t, 3600)), F.lit(":"), _two(F.pmod(floor_div(t, 60), F.lit(60))),
+                    F.lit(":"), _two(F.pmod(t, F.lit(60))))
 
 
 def hms_seconds(c) -> Column:
@@ -44,4 +47,4 @@ def hms_seconds(c) -> Column:
 def minutes_label(c) -> Column:
     """Seconds as `m:ss`."""
     t = F.floor(as_column(c))
-    return F.when(t.isNotNull(), F.format_string("%d:%02d", floor_div(t, 60), F.pmod(t, F.lit(60))))
+    return F.concat(floor_div(t, 60).cast("string"), F.lit(":"), _two(F.pmod(t, F.lit(60))))

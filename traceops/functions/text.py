@@ -2,15 +2,15 @@
 
 from pyspark.sql import Column, functions as F
 
-from traceops.functions import as_column
+from traceops.functions import as_column, floor_div
 
 
 def _one_decimal(n: Column, unit: int) -> Column:
     """`n / unit` with one decimal, rounded as C's `%.1f` does it on the double quotient.
 
-    `format_string` rounds every half up. C rounds what the double holds: less than the half
-    goes down, the half itself to an even digit. `error` is the exact difference between the
-    double times `unit` and `n`, by splitting the double into two short halves.
+    Away from a half that is plain rounding. At a half C rounds what the double holds: less
+    than the half goes down, the half itself to an even digit. `error` is the exact difference
+    between the double times `unit` and `n`, by splitting the double into two short parts.
     """
     q = n.cast("double") / unit
     wide = q * float(2 ** 27 + 1)
@@ -18,7 +18,9 @@ def _one_decimal(n: Column, unit: int) -> Column:
     error = (high * float(unit) - n) + (q - high) * float(unit)
     at_half = F.pmod(n * 20, F.lit(2 * unit)) == unit
     down = (error < 0) | (F.pmod(n * 4, F.lit(4 * unit)) == unit)
-    return F.format_string("%.1f", F.when(at_half & down, q - 0.01).otherwise(q))
+    tenths = floor_div(n * 20 + unit, 2 * unit) - F.when(at_half & down, 1).otherwise(0)
+    # a dot before the last digit
+    return F.regexp_replace(tenths.cast("string"), "(.)$", ".$1")
 
 
 def human_count(c) -> Column:

@@ -1,8 +1,8 @@
 """Correlation over the rows of a many-to-many join, without making those rows.
 
 A key with n rows left and m rows right stands for n*m joined rows. Over those, every left
-value meets every right value, so count, means and spreads of each side per key say all
-that Pearson needs. Both sides shrink to one row per key before anything is joined, which
+value meets every right value, so the count, sum and sum of squares of each side per key say
+all that Pearson needs. Both sides shrink to one row per key before anything is joined, which
 also takes care of keys with very many rows.
 """
 
@@ -15,10 +15,11 @@ def _per_key(df: DataFrame, keys: list[str], cols: list[str], side: str, center:
         # any shift gives the same correlation; one near the data keeps digits
         means = rows.agg(*(F.avg(c).alias(c) for c in cols))
         rows = rows.select(*keys, *((F.col(c) - means.select(c).scalar()).alias(c) for c in cols))
-    moments = [f"double(count(*)) AS {side}n"]
+    sums = [f"double(count(*)) AS {side}n"]
     for c in cols:
-        moments += [f"{f}(`{c}`) AS `{side}{f}_{c}`" for f in ("avg", "var_pop", "min", "max")]
-    return rows.groupBy(*keys).agg(*(F.expr(m) for m in moments))
+        sums += [f"sum(`{c}`) AS `{side}sum_{c}`", f"sum(`{c}` * `{c}`) AS `{side}squares_{c}`",
+                 f"min(`{c}`) AS `{side}min_{c}`", f"max(`{c}`) AS `{side}max_{c}`"]
+    return rows.groupBy(*keys).agg(*(F.expr(s) for s in sums))
 
 
 def join_correlation(left: DataFrame, right: DataFrame, keys: list[str],
@@ -30,16 +31,15 @@ def join_correlation(left: DataFrame, right: DataFrame, keys: list[str],
     or an empty join gives null. `center=False` saves a pass where values are near 0 anyway.
     """
     xs, ys = (list(dict.fromkeys(p[side] for p in pairs.values())) for side in (0, 1))
-    joined = (_per_key(left, keys, xs, "l", center).join(_per_key(right, keys, ys, "r", center), keys)
-              .withColumn("w", F.expr("ln * rn")))
-    # whole numbers, as the product of two row counts may be beyond a long
-    sums = ["sum(w) AS w", "sum(CAST(ln AS DECIMAL(19, 0)) * CAST(rn AS DECIMAL(19, 0))) AS n"]
+    joined = _per_key(left, keys, xs, "l", center).join(_per_key(right, keys, ys, "r", center), keys)
+    # the number of pairs as whole number: the product of two row counts may be beyond a long
+    sums = ["sum(ln * rn) AS w", "sum(CAST(ln AS DECIMAL(19, 0)) * CAST(rn AS DECIMAL(19, 0))) AS n"]
     result = ["coalesce(n, CAST(0 AS DECIMAL(38, 0))) AS pair_count"]
     for i, (label, (a, b)) in enumerate(pairs.items()):
-        x, y = f"`lavg_{a}`", f"`ravg_{b}`"
-        sums += [f"sum(w * {x}) AS x{i}", f"sum(w * {y}) AS y{i}", f"sum(w * {x} * {y}) AS xy{i}",
-                 f"sum(w * (`lvar_pop_{a}` + {x} * {x})) AS xx{i}",
-                 f"sum(w * (`rvar_pop_{b}` + {y} * {y})) AS yy{i}",
+        sums += [f"sum(rn * `lsum_{a}`) AS x{i}", f"sum(rn * `lsquares_{a}`) AS xx{i}",
+                 f"sum(ln * `rsum_{b}`) AS y{i}", f"sum(ln * `rsquares_{b}`) AS yy{i}",
+                 f"sum(`lsum_{a}` * `rsum_{b}`) AS xy{i}",
+                 # exact, as rounding can leave a trace of spread on a constant side
                  f"min(`lmin_{a}`) < max(`lmax_{a}`) AND min(`rmin_{b}`) < max(`rmax_{b}`) AS varies{i}"]
         spread = " * ".join(f"sqrt(greatest({v}{v}{i} / w - pow({v}{i} / w, 2), 0D))" for v in "xy")
         result.append(f"IF(varies{i}, (xy{i} / w - x{i} / w * y{i} / w) / nullif({spread}, 0D), NULL) AS `{label}`")

@@ -23,12 +23,12 @@ def file_slice(spark: SparkSession, path: str, start_file=0, num_files=None) ->
 
 
 def read_trace(spark: SparkSession, path: str, table: str, start_file=0, num_files=None,
-               fmt="csv") -> DataFrame:
+               fmt="csv", skip_broken_files=False) -> DataFrame:
     """A trace table under its declared schema; a field that does not parse is null.
 
     `path` may be a folder or a glob. gzip cannot be split, so a file is one task: convert
-    big traces once with `convert_trace` and read them with `fmt="parquet"`. Broken files
-    are skipped, the rest is read.
+    big traces once with `convert_trace` and read them with `fmt="parquet"`. A broken file
+    fails the job unless `skip_broken_files` is set.
     """
     paths = [path]
     if start_file or num_files is not None:
@@ -36,19 +36,20 @@ def read_trace(spark: SparkSession, path: str, table: str, start_file=0, num_fil
     schema = table_schema(table)
     if not paths:
         return spark.createDataFrame([], schema)
-    reader = spark.read.schema(schema).option("ignoreCorruptFiles", "true")
+    reader = spark.read.schema(schema).option("ignoreCorruptFiles", skip_broken_files)
     return reader.parquet(*paths) if fmt == "parquet" else reader.csv(paths, mode="PERMISSIVE")
 
 
-def read_text_rows(spark: SparkSession, path, table: str) -> DataFrame:
-    """The same files with every field as text: `""` for an empty field.
+def read_text_rows(spark: SparkSession, path, table: str, skip_broken_files=True) -> DataFrame:
+    """The same files with every field as text, for replay: `""` for an empty field.
 
-    In rows with too few fields the absent ones stay null.
+    In rows with too few fields the absent ones stay null. A broken file is passed over, as a
+    replay goes on with the next one.
     """
     fields = table_schema(table, text=True)
     # the raw line is there when the number of fields is not the expected one
     rows = (spark.read.schema(T.StructType([*fields, T.StructField("_line", T.StringType())]))
-            .option("columnNameOfCorruptRecord", "_line").option("ignoreCorruptFiles", "true")
+            .option("columnNameOfCorruptRecord", "_line").option("ignoreCorruptFiles", skip_broken_files)
             .csv(path, mode="PERMISSIVE"))
     commas = F.length(F.regexp_replace("_line", r'"[^"]*"|[^,]', ""))
     whole_row = F.col("_line").isNull() | (commas >= len(fields) - 1)
