@@ -1,23 +1,102 @@
-"""spark-submit run.py <analysis> --input <trace folder> --output-dir <results folder>"""
+"""Command line.
+
+    spark-submit run.py a5 --input <trace> --output-dir <results>
+    spark-submit run.py report --input <results>/performance [--by-workers]
+    spark-submit run.py convert --input <trace>/task_usage --table task_usage --target <folder>
+    spark-submit run.py replay --input <trace> --target <folder or kafka> [--start-file 0 --num-files 1]
+    spark-submit run.py stream --source <folder or kafka> --output-dir <folder>
+
+Options of a broker are given as `--option kafka.bootstrap.servers=host:port`.
+"""
 
 import argparse
 
+from traceops.operators.timing import timing_report, worker_report
 from traceops.plans.jobs import JOBS, run_job
+from traceops.plans.streams import current_gauges, replay_files, start_all
 from traceops.session import session
+from traceops.sources.trace import convert_trace, read_timings
+from traceops.streaming.counts import await_any
+from traceops.streaming.gauges import to_exposition
+
+
+def arguments(argv=None):
+    parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
+    commands = parser.add_subparsers(dest="command", required=True)
+
+    for name in JOBS:
+        job = commands.add_parser(name, help=JOBS[name].run.__name__.replace("_", " "))
+        job.add_argument("--input", required=True, help="folder with one folder per trace table")
+        job.add_argument("--output-dir", required=True)
+        job.add_argument("--format", choices=["csv", "parquet"], default="csv")
+
+    report = commands.add_parser("report", help="timing files as a table")
+    report.add_argument("--input", required=True)
+    report.add_argument("--by-workers", action="store_true")
+
+    convert = commands.add_parser("convert", help="a trace table as parquet")
+    convert.add_argument("--input", required=True)
+    convert.add_argument("--table", required=True)
+    convert.add_argument("--target", required=True)
+    convert.add_argument("--files", type=int)
+
+    replay = commands.add_parser("replay", help="trace files as events")
+    replay.add_argument("--input", required=True)
+    replay.add_argument("--target", required=True, help="folder, or kafka")
+    replay.add_argument("--kinds", nargs="+", choices=["job", "task"], default=["job", "task"])
+    replay.add_argument("--start-file", type=int, default=0)
+    replay.add_argument("--num-files", type=int, default=1)
+    replay.add_argument("--speed-factor", type=int, default=60)
+    replay.add_argument("--waves", type=int, default=1, help="steps along the time")
+
+    stream = commands.add_parser("stream", help="the four running counts")
+    stream.add_argument("--source", required=True, help="folder with job-events and task-events, or kafka")
+    stream.add_argument("--output-dir", required=True)
+    stream.add_argument("--mode", choices=["complete", "update"], default="update")
+    stream.add_argument("--available-now", action="store_true", help="stop when all events are counted")
+
+    for command in (replay, stream):
+        command.add_argument("--unit", choices=["s", "ms", "us"], default="s", help="unit of event times")
+        command.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
+    return parser.parse_args(argv)
+
+
+def place(base, kind):
+    return base if base == "kafka" else f"{base.rstrip('/')}/{kind}-events"
+
+
+def run(spark, args):
+    options = dict(o.split("=", 1) for o in getattr(args, "option", []))
+    if args.command == "report":
+        timings = read_timings(spark, args.input)
+        (worker_report if args.by_workers else timing_report)(timings).show(100, truncate=False)
+    elif args.command == "convert":
+        convert_trace(spark, args.input, args.table, args.target, args.files)
+    elif args.command == "replay":
+        for kind in args.kinds:
+            rows = replay_files(spark, args.input, kind, place(args.target, kind), args.start_file, args.num_files,
+                                args.speed_factor, args.unit, args.waves, **options)
+            print(f"{kind}: rejected rows {rows['rejected'].count()}")
+    elif args.command == "stream":
+        sources = {kind: place(args.source, kind) for kind in ("job", "task")}
+        trigger = {"availableNow": True} if args.available_now else None
+        queries = start_all(spark, sources, args.output_dir, args.unit, args.mode, trigger, **options)
+        if not args.available_now:
+            await_any(spark)
+        for query in queries.values():
+            if args.available_now:
+                query.awaitTermination()
+        to_exposition(current_gauges(spark, queries, args.output_dir, args.mode)).show(100, truncate=False)
+    else:
+        for result, path in run_job(spark, args.command, args.input, args.output_dir, args.format).items():
+            print(f"{result}: {path}")
 
 
 def main():
-    parser = argparse.ArgumentParser(description="Run one analysis over trace tables")
-    parser.add_argument("analysis", choices=list(JOBS))
-    parser.add_argument("--input", required=True, help="folder with one folder per trace table")
-    parser.add_argument("--output-dir", required=True)
-    parser.add_argument("--format", choices=["csv", "parquet"], default="csv")
-    args = parser.parse_args()
-
-    spark = session(f"traceops-{args.analysis}")
+    args = arguments()
+    spark = session(f"traceops-{args.command}")
     try:
-        for result, path in run_job(spark, args.analysis, args.input, args.output_dir, args.format).items():
-            print(f"{result}: {path}")
+        run(spark, args)
     finally:
         spark.stop()
 

@@ -158,3 +158,37 @@ def test_command_line(source, tmp_path):
 
 def test_every_analysis_has_a_job():
     assert list(JOBS) == [*(f"a{i}" for i in range(1, 10)), "a18"]
+
+
+def test_replay_and_stream_from_the_command_line(spark, source, tmp_path, capsys):
+    from run import arguments, run
+    from traceops.streaming.counts import read_counts
+
+    bad = Path(source) / "job_events" / "part-00001.csv.gz"
+    with gzip.open(bad, "wt") as f:
+        f.write("late,,z,0,u,0,n,l\n9,,z,0\n9,,z,7,u,2,n,l\n")
+    run(spark, arguments(["replay", "--input", source, "--target", f"{tmp_path}/topics", "--num-files", "2",
+                          "--waves", "2", "--speed-factor", "1"]))
+    assert "job: rejected rows 2" in capsys.readouterr().out
+    run(spark, arguments(["stream", "--source", f"{tmp_path}/topics", "--output-dir", f"{tmp_path}/live",
+                          "--available-now"]))
+    out = capsys.readouterr().out
+    assert "spark_streaming_job_events_num_input_rows" in out
+    assert 'spark_streaming_job_count{event_type="7"} 1' in out
+    assert out.count("# TYPE") == 2 + 8
+    by_class = read_counts(spark, f"{tmp_path}/live/counts/task_by_scheduling_class", "scheduling_class", mode="update")
+    assert {(r.event_timestamp.timestamp(), r.scheduling_class): r["count"] for r in by_class.collect()} == {
+        (1.0, "0"): 1, (2.0, "0"): 1, (3.0, "3"): 1, (4.0, "3"): 1, (5.0, "1"): 1, (6.0, "0"): 1}
+    with pytest.raises(ValueError):
+        run(spark, arguments(["replay", "--input", source, "--target", f"{tmp_path}/none", "--start-file", "9"]))
+
+
+def test_convert_and_report_from_the_command_line(spark, source, tmp_path, capsys):
+    from run import arguments, run
+
+    run(spark, arguments(["convert", "--input", f"{source}/task_events", "--table", "task_events",
+                          "--target", f"{tmp_path}/parquet/task_events", "--files", "2"]))
+    run(spark, arguments(["a4", "--input", f"{tmp_path}/parquet", "--output-dir", str(tmp_path), "--format", "parquet"]))
+    run(spark, arguments(["report", "--input", f"{tmp_path}/performance"]))
+    out = capsys.readouterr().out
+    assert "eviction_probability: " in out and "q4_perform" in out
