@@ -3,6 +3,7 @@
 import gzip
 import subprocess
 import sys
+import time
 from pathlib import Path
 
 import pytest
@@ -176,6 +177,12 @@ def test_replay_and_stream_from_the_command_line(spark, source, tmp_path, capsys
     assert "spark_streaming_job_events_num_input_rows" in out
     assert 'spark_streaming_job_count{event_type="7"} 1' in out
     assert out.count("# TYPE") == 2 + 8
+    done = tmp_path / "live/gauges/progress/task_events/batch_id=0/_SUCCESS"
+    deadline = time.time() + 30
+    while not done.exists() and time.time() < deadline:
+        time.sleep(0.2)
+    lines = [r.value for r in spark.read.text(str(done.parent)).collect()]
+    assert "# TYPE spark_streaming_task_events_batch_duration gauge" in lines and len(lines) == 8
     by_class = read_counts(spark, f"{tmp_path}/live/counts/task_by_scheduling_class", "scheduling_class", mode="update")
     assert {(r.event_timestamp.timestamp(), r.scheduling_class): r["count"] for r in by_class.collect()} == {
         (1.0, "0"): 1, (2.0, "0"): 1, (3.0, "3"): 1, (4.0, "3"): 1, (5.0, "1"): 1, (6.0, "0"): 1}

@@ -68,6 +68,20 @@ CAPACITY_LABELS = ("CPU Correlation", "Memory Correlation")
 REQUEST_LABELS = ("CPU", "Memory")
 PEAK_LABELS = ("CPU peaks", "Memory peaks")
 
+# --- first part of the names of result files, by analysis --------------------------
+RESULT_PREFIXES = {
+    "a1": "q1",
+    "a2": "q2",
+    "a3": "q3",
+    "a4": "q4",
+    "a5": "q5_bonus1",
+    "a6": "q6",
+    "a7": "q7",
+    "a8": "q8",
+    "a9": "q9_bonus2",
+    "a18": "smoke",
+}
+
 # --- gauges ----------------------------------------------------------------------
 GAUGE_PREFIX = "spark_streaming_"
 PROGRESS_GAUGES = ("input_rate", "processing_rate", "batch_duration", "num_input_rows")

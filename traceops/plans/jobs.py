@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from traceops.fixed_values import CAPACITY_LABELS, PEAK_LABELS, REQUEST_LABELS, TASK_EVICT
+from traceops.fixed_values import CAPACITY_LABELS, PEAK_LABELS, REQUEST_LABELS, RESULT_PREFIXES, TASK_EVICT
 from traceops.operators import capacity, classes, correlation, downtime, hourly, keyed, placement
 from traceops.sources.sinks import ResultSink
 from traceops.sources.trace import read_trace, row_count
@@ -123,20 +123,19 @@ def count_rows(t: Tables, keep: Keep) -> dict[str, Result]:
 class Job:
     tables: tuple[str, ...]
     run: Callable[[Tables, Keep], dict[str, Result]]
-    prefix: str
 
 
 JOBS = {
-    "a1": Job(("machine_events",), machine_capacity, "q1"),
-    "a2": Job(("machine_events",), lost_power, "q2"),
-    "a3": Job(("job_events", "task_events"), scheduling_classes, "q3"),
-    "a4": Job(("task_events",), eviction_probability, "q4"),
-    "a5": Job(("machine_events", "task_events"), capacity_evictions, "q5_bonus1"),
-    "a6": Job(("task_events",), job_machines, "q6"),
-    "a7": Job(("task_events", "task_usage"), request_correlation, "q7"),
-    "a8": Job(("task_usage", "task_events"), peak_evictions, "q8"),
-    "a9": Job(("task_usage",), hourly_resources, "q9_bonus2"),
-    "a18": Job(("machine_events",), count_rows, "smoke"),
+    "a1": Job(("machine_events",), machine_capacity),
+    "a2": Job(("machine_events",), lost_power),
+    "a3": Job(("job_events", "task_events"), scheduling_classes),
+    "a4": Job(("task_events",), eviction_probability),
+    "a5": Job(("machine_events", "task_events"), capacity_evictions),
+    "a6": Job(("task_events",), job_machines),
+    "a7": Job(("task_events", "task_usage"), request_correlation),
+    "a8": Job(("task_usage", "task_events"), peak_evictions),
+    "a9": Job(("task_usage",), hourly_resources),
+    "a18": Job(("machine_events",), count_rows),
 }
 
 
@@ -146,7 +145,7 @@ def run_job(spark: SparkSession, name: str, source: str, output: str, fmt="csv",
 
     Counting the records is outside both timed spans.
     """
-    job, sink = JOBS[name], ResultSink(spark, output, epoch)
+    job, prefix, sink = JOBS[name], RESULT_PREFIXES[name], ResultSink(spark, output, epoch)
     start = time.perf_counter()
     tables = {t: read_trace(spark, f"{source.rstrip('/')}/{t}", t, fmt=fmt) for t in job.tables}
     reading = time.perf_counter() - start
@@ -162,12 +161,12 @@ def run_job(spark: SparkSession, name: str, source: str, output: str, fmt="csv",
     start = time.perf_counter()
     written = {}
     for result, (df, bounded) in job.run(tables, keep).items():
-        written[result] = sink.save(df, f"{job.prefix}_{result}", one_file=bounded)
+        written[result] = sink.save(df, f"{prefix}_{result}", one_file=bounded)
     metrics = {"reading_time": reading, "processing_time": time.perf_counter() - start}
     for df in kept:
         df.unpersist()
     if name == "a3":
         metrics.update(jobs_records=records["job_events"], tasks_records=records["task_events"])
     metrics["total_records"] = sum(records.values())
-    written["performance"] = sink.save_metrics(job.prefix, metrics)
+    written["performance"] = sink.save_metrics(prefix, metrics)
     return written

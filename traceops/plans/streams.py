@@ -21,8 +21,11 @@ def start_all(spark: SparkSession, sources: dict[str, str], output: str, unit="s
     """Starts jobs and tasks by event type and class; `sources` maps job and task to a source.
 
     Each query has its own name, checkpoint, count table and gauge files below `output`, so a
-    restart with the same `output` goes on where it stopped.
+    restart with the same `output` goes on where it stopped. The progress of the first query
+    of jobs and of tasks is written as gauges too.
     """
+    spark.streams.addListener(gauges.ProgressFiles(
+        spark, f"{output}/gauges/progress", {_name(kind, "event_type"): f"{kind}_events" for kind in sources}))
     queries = {}
     for kind, dim in COUNTS:
         name = _name(kind, dim)
@@ -36,7 +39,7 @@ def start_all(spark: SparkSession, sources: dict[str, str], output: str, unit="s
 def current_gauges(spark: SparkSession, queries: dict[str, StreamingQuery], output: str,
                    mode="update") -> DataFrame:
     """All gauges as they stand: newest counts of the four queries, progress of the first of each kind."""
-    parts = []
+    parts = [spark.createDataFrame([], gauges.GAUGES)]
     for kind, dim in COUNTS:
         query = queries[_name(kind, dim)]
         if query.lastProgress is None:

@@ -102,13 +102,13 @@ _CAPACITIES = {"CPU Correlation": "cpu_capacity", "Memory Correlation": "memory_
 
 
 def _capacity_vs_hits(spark, d):
-    log = _table(spark, d, "events").select(
-        F.col("user_id").alias("machine_id"), "ts", "event_id", (F.col("value") / 500).alias("cpu_capacity"),
-        (number(F.get_json_object("props", "$.k")) / 100).alias("memory_capacity"))
-    latest = keyed.latest_per_key(log, "machine_id", ["ts", "event_id"], list(_CAPACITIES.values()))
+    log = _table(spark, d, "events").withColumnRenamed("user_id", "machine_id")
+    newest = keyed.latest_per_key(log, "machine_id", ["ts", "event_id"], ["value", "props"], fill_zero=False)
+    latest = newest.select("machine_id", (F.col("value") / 500).alias("cpu_capacity"),
+                           (number(F.get_json_object("props", "$.k")) / 100).alias("memory_capacity"))
     orders = _table(spark, d, "orders").withColumnRenamed("o_custkey", "machine_id")
     hits = keyed.hits_per_key(orders, "machine_id", F.col("o_orderstatus") == "F").drop("event_count")
-    return keyed.capacity_vs_hits(latest, hits, "machine_id", _CAPACITIES)
+    return keyed.capacity_vs_hits(latest.na.fill(0.0), hits, "machine_id", _CAPACITIES)
 
 
 def a5_detail(spark, d):

@@ -1,11 +1,15 @@
 """Metric tables `(metric, label_key, label_value, value)` and their text form."""
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from traceops.fixed_values import GAUGE_PREFIX, PROGRESS_GAUGES
 from traceops.streaming.counts import latest_counts
 
 
+GAUGES = "metric STRING, label_key STRING, label_value STRING, value STRING"
+
+
 def count_gauges(counts: DataFrame, kind: str, dim: str) -> DataFrame:
     """Newest count of each label value; `kind` is job or task, `dim` the label."""
     return latest_counts(counts, dim).select(
@@ -20,8 +24,7 @@ def progress_gauges(spark: SparkSession, progress, name: str) -> DataFrame:
                progress["durationMs"]["triggerExecution"], progress["numInputRows"])
     rows = [(f"{GAUGE_PREFIX}{name}_{gauge}", None, None, str(number))
             for gauge, number in zip(PROGRESS_GAUGES, numbers)]
-    return spark.createDataFrame(
-        rows, "metric STRING, label_key STRING, label_value STRING, value STRING")
+    return spark.createDataFrame(rows, GAUGES)
 
 
 def all_gauges(*parts: DataFrame) -> DataFrame:
@@ -59,3 +62,29 @@ class GaugeFiles:
     def __call__(self, counts: DataFrame, batch_id: int) -> None:
         (to_exposition(count_gauges(counts, self.kind, self.dim)).coalesce(1)
          .write.mode("overwrite").text(f"{self.folder}/batch_id={batch_id}"))
+
+
+class ProgressFiles(StreamingQueryListener):
+    """Writes the gauges of each progress report of the named queries as text, a folder a batch.
+
+    `names` maps query names to gauge names. Register it with `spark.streams.addListener`.
+    Spark reports progress a little after the batch.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, names: dict[str, str]):
+        self.spark, self.folder, self.names = spark, folder, names
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        name = self.names.get(event.progress.name)
+        if name:
+            (to_exposition(progress_gauges(self.spark, event.progress, name)).coalesce(1)
+             .write.mode("overwrite").text(f"{self.folder}/{name}/batch_id={event.progress.batchId}"))
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
