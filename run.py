@@ -22,6 +22,7 @@ from traceops.streaming.gauges import to_exposition
 
 def arguments(argv=None):
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
+    parser.add_argument("--shuffle-partitions", type=int, help="for shuffles beyond 2 TB: size / 256 MB")
     commands = parser.add_subparsers(dest="command", required=True)
 
     for name in JOBS:
@@ -94,7 +95,7 @@ def run(spark, args):
 
 def main():
     args = arguments()
-    spark = session(f"traceops-{args.command}")
+    spark = session(f"traceops-{args.command}", shuffle_partitions=args.shuffle_partitions)
     try:
         run(spark, args)
     finally:

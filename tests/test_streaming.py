@@ -186,6 +186,20 @@ def test_scratch_folder_is_the_shared_one(spark):
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
 
 
+def test_a_cluster_has_to_name_its_shared_folder():
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master = "yarn"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Cluster, "x")
+    Cluster.sparkContext.master = "local[2]"
+    assert "/x-" in scratch_dir(Cluster, "x")
+
+
 def test_streamed_query_runs_twice(spark):
     sizes = [QUERIES["st7_latest_count"](spark, "/root/testdata/sf0.001").count() for _ in range(2)]
     assert sizes[0] == sizes[1] > 0

@@ -11,8 +11,10 @@ from pyspark.sql import SparkSession
 def session(app="traceops", master=None, shuffle_partitions=None, **conf) -> SparkSession:
     """A UTC session with adaptive execution; ANSI mode stays on.
 
-    On a cluster adaptive execution starts from many small shuffle partitions and merges
-    them to about 128 MB each, so the width follows the data and not a fixed number.
+    On a cluster adaptive execution starts from many shuffle partitions and merges them to
+    about 128 MB each, so the width follows the data. It merges but does not split: for a
+    shuffle beyond 2 TB give `shuffle_partitions`, its size divided by 256 MB. Scans use
+    splits of 512 MB, as a few columns of that are little to hold.
     """
     options = {
         "spark.sql.session.timeZone": "UTC",
@@ -26,8 +28,10 @@ def session(app="traceops", master=None, shuffle_partitions=None, **conf) -> Spa
     }
     if shuffle_partitions:
         options["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    elif master is None or not master.startswith("local"):
-        options["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = "8192"
+    if master is None or not master.startswith("local"):
+        options["spark.sql.files.maxPartitionBytes"] = "512m"
+        if not shuffle_partitions:
+            options["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = "8192"
     options.update(conf)
     builder = SparkSession.builder.appName(app)
     if master:
