@@ -73,8 +73,8 @@ def test_downtime_of_nothing(spark):
 def test_slices_change_nothing(spark, seed):
     """One key with most rows, bursts at one time, null keys; every width gives the same pairs."""
     rnd = random.Random(seed)
-    data = [(rnd.choice([1, 1, 1, 2, 3, None]), rnd.choice([5, rnd.randrange(300)]), rnd.randrange(3),
-             rnd.random(), i) for i in range(600)]
+    times = (lambda: rnd.choice([5, rnd.randrange(300)])) if seed % 2 else (lambda: rnd.randrange(5, 7))
+    data = [(rnd.choice([1, 1, 1, 2, 3, None]), times(), rnd.randrange(3), rnd.random(), i) for i in range(600)]
     df = spark.createDataFrame(data, SCHEMA)
 
     def pairs(**kw):
@@ -92,6 +92,20 @@ def test_slices_change_nothing(spark, seed):
         assert pairs(slice_rows=width) == want
 
 
+@pytest.mark.parametrize("base", [0, 1_700_000_000_000_000_000, 2**63 - 40, -(2**62)])
+def test_slices_of_large_times(spark, base):
+    rnd = random.Random(base)
+    data = [(1, base + rnd.randrange(30), rnd.randrange(2), 1.0, i) for i in range(300)]
+    data.append((1, 0 if base >= 0 else 2**62 + 5, 1, 1.0, 999))  # far away, beyond a long for the last base
+    df = spark.createDataFrame(data, SCHEMA)
+
+    def pairs(**kw):
+        return rows(neighbours.followed_by(df, "m", ["t", "tie"], F.expr("e = 1"), F.expr("e = 0"), ["c"], **kw)
+                    .select("m", "t", "tie", "before.t", "before.tie"))
+
+    assert pairs(slice_rows=10) == pairs(slice_rows=None)
+
+
 def test_only_some_keys_are_cut_when_the_list_is_full(spark):
     data = [(m, t, t % 2, 1.0, 0) for m in range(5) for t in range(40)]
     df = spark.createDataFrame(data, SCHEMA)

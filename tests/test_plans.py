@@ -64,12 +64,20 @@ def test_filters_reach_the_scan(spark):
 def test_slices_of_a_hot_key_are_small(spark):
     """A third of all rows in one key: no group of the window gets more than its slice."""
     log = spark.range(90_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("m"), F.col("id").alias("t"))
-    keys = neighbours._cut_keys(log, "m", "t", 1000, 100)
+    keys = neighbours._cut_keys(log, "m", ["t"], 1000, 100)
     assert [r["_key"] for r in keys.collect()] == [0]
-    sizes = neighbours._sliced(log, "m", "t", keys, "left").groupBy("m", "_slice").count()
+    sizes = neighbours._sliced(log, "m", ["t"], keys, "left").groupBy("m", "_slice").count()
     assert sizes.agg(F.max("count")).first()[0] <= 1100
 
 
+def test_a_hot_key_at_one_time_is_cut_by_its_tie_breaker(spark):
+    log = spark.range(30_000).selectExpr("0 AS m", "5L AS t", "id AS tie")
+    order = ["t", "tie"]
+    keys = neighbours._cut_keys(log, "m", order, 1000, 100)
+    sizes = neighbours._sliced(log, "m", order, keys, "left").groupBy("m", "_slice").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 1100 and sizes.count() == 30
+
+
 def test_each_query_has_sql_but_the_random_ones():
     assert set(QUERIES) - set(ORACLES) == {"a7_sample", "p15_plot_sample"}
     assert set(ORACLES) <= set(QUERIES)

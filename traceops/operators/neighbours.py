@@ -10,21 +10,41 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 # rows of a key that one task sorts without trouble
 SLICE_ROWS = 1_000_000
-# the only broadcast: at most so many keys with three numbers each (some MB)
+# the only broadcast: at most so many keys with a few numbers each (some MB)
 MAX_SLICED_KEYS = 100_000
 
 
-def _cut_keys(rows: DataFrame, key: str, ts: str, slice_rows: int, max_keys: int) -> DataFrame:
-    """Keys with more than `slice_rows` rows, their times and number of slices."""
-    return (rows.groupBy(F.col(key).alias("_key"))
-            .agg(F.expr("count(*) AS _n"), F.min(ts).alias("_low"), F.max(ts).alias("_high"))
-            .filter(f"_n > {slice_rows}").orderBy(F.desc("_n")).limit(max_keys)
-            .selectExpr("_key", "_low", "_high", f"ceil(_n / {slice_rows}) AS _cuts"))
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
 
 
-def _sliced(rows: DataFrame, key: str, ts: str, cut_keys: DataFrame, how: str) -> DataFrame:
-    """Adds `_slice`, rising with the time: 0 for a key in one piece (left out by an inner join)."""
-    cut = f"coalesce(floor((`{ts}` - _low) / double(_high - _low + 1) * _cuts), 0) AS _slice"
+def _tie_breaker(rows: DataFrame, order: list[str]) -> str | None:
+    """The second column of `order` if time and it are whole numbers."""
+    types = dict(rows.dtypes)
+    return order[1] if len(order) > 1 and all(types[c] in _WHOLE for c in order[:2]) else None
+
+
+def _cut_keys(rows: DataFrame, key: str, order: list[str], slice_rows: int, max_keys: int) -> DataFrame:
+    """Keys with more than `slice_rows` rows: number of slices, bounds of time and tie-breaker."""
+    bounds = [F.expr(f"{f}(`{c}`) AS _{f}_{n}") for f in ("min", "max")
+              for n, c in (("t", order[0]), ("tie", _tie_breaker(rows, order))) if c]
+    return (rows.groupBy(F.col(key).alias("_key")).agg(F.expr("count(*) AS _n"), *bounds)
+            .filter(f"_n > {slice_rows} AND try_subtract(_max_t, _min_t) IS NOT NULL")
+            .orderBy(F.desc("_n")).limit(max_keys)
+            .withColumn("_cuts", F.expr(f"ceil(_n / {slice_rows})")).drop("_n"))
+
+
+def _sliced(rows: DataFrame, key: str, order: list[str], cut_keys: DataFrame, how: str) -> DataFrame:
+    """Adds `_slice`: 0 for a key in one piece (left out by an inner join), else rising with `order`.
+
+    Slices are equal parts of the key's time. The tie-breaker adds at most one step of time, so
+    it cuts where there are few different times and never changes the order. It is left away
+    where a double cannot hold such steps.
+    """
+    tie, second = "0D", _tie_breaker(rows, order)
+    if second:
+        part = f"(double(`{second}`) - _min_tie) / (double(_max_tie) - _min_tie + 1)"
+        tie = f"IF(_max_t - _min_t < {2 ** 52}, coalesce({part}, 0D), 0D)"
+    cut = f"coalesce(floor((`{order[0]}` - _min_t + {tie}) / (double(_max_t - _min_t) + 1) * _cuts), 0) AS _slice"
     return (rows.join(F.broadcast(cut_keys), rows[key].eqNullSafe(cut_keys["_key"]), how)
             .selectExpr(*(f"`{c}`" for c in rows.columns), cut))
 
@@ -53,12 +73,12 @@ def followed_by(df: DataFrame, key: str, order: list[str], opens: Column, closes
     if slice_rows is None:
         return inside(rows, f"`{key}`")
 
-    cut_keys = _cut_keys(rows, key, order[0], slice_rows, max_sliced_keys)
-    whole = inside(_sliced(rows, key, order[0], cut_keys, "left"), f"`{key}`, _slice")
+    cut_keys = _cut_keys(rows, key, order, slice_rows, max_sliced_keys)
+    whole = inside(_sliced(rows, key, order, cut_keys, "left"), f"`{key}`, _slice")
     # across the cuts: the first row of a slice against the last one of the slice before;
     # one row per slice and task is shuffled, and without cut keys nothing is read
     end = f"struct({', '.join([*quoted, '_opens', '_closes'])})"
-    ends = (_sliced(rows, key, order[0], cut_keys, "inner").groupBy(key, "_slice")
+    ends = (_sliced(rows, key, order, cut_keys, "inner").groupBy(key, "_slice")
             .agg(F.expr(f"min({end}) AS first"), F.expr(f"max({end}) AS last")))
     before = ", ".join(f"last.{c}" for c in quoted)
     across = (ends.selectExpr(f"`{key}`", "first", f"lag(last) OVER (PARTITION BY `{key}` ORDER BY _slice) AS last")
