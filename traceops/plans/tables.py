@@ -22,9 +22,22 @@ from traceops.streaming import counts, gauges, replay
 
 JOB_TYPES = ("purchase", "signup")
 
+# declared, so that reading starts no job that looks into the files
+SCHEMAS = {
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "events": ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, "
+               "props STRING"),
+    "lineitem": ("l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+                 "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, "
+                 "l_linestatus STRING, l_shipdate TIMESTAMP_NTZ"),
+    "orders": ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+               "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"),
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+}
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _micros() -> Column:
@@ -239,7 +252,7 @@ def _as_messages(events: DataFrame, kind: str) -> DataFrame:
 
 def _streamed_counts(spark, d, kind, dim, hourly_times=False):
     """Runs the events through a stream: encoded, parsed, counted, written, read back."""
-    files = spark.readStream.schema(_table(spark, d, "events").schema).option("maxFilesPerTrigger", 1000)
+    files = spark.readStream.schema(SCHEMAS["events"]).option("maxFilesPerTrigger", 1000)
     # a glob, as a stream source may be a folder or a pattern but not one file
     parsed = parse_events(_as_messages(files.parquet(f"{d}/events.parquet*"), kind))
     if hourly_times:
