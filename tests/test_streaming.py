@@ -94,18 +94,34 @@ def test_watermark_closes_old_times(spark, topic, tmp_path):
     assert got == {k: v for k, v in want.items() if k[0] < 9_000}
 
 
-def test_latest_counts_and_gauges_per_batch(spark, topic, tmp_path):
-    start(spark, topic, tmp_path, also=gauges.GaugeFiles(f"{tmp_path}/gauges", "job", "event_type"))
-    table = counts.read_counts(spark, f"{tmp_path}/c/table", "event_type")
+@pytest.mark.parametrize("mode", ["complete", "update"])
+def test_latest_counts_and_gauges_per_batch(spark, topic, tmp_path, mode):
+    """The last file has a late event of type 2: its gauge stays with the newer time."""
+    start(spark, topic, tmp_path, mode=mode, also=gauges.GaugeFiles(f"{tmp_path}/gauges", "job", "event_type"))
+    table = counts.read_counts(spark, f"{tmp_path}/c/table", "event_type", mode=mode)
     latest = {r.event_type: r["count"] for r in counts.latest_counts(table, "event_type").collect()}
     assert latest == {"0": 1, "1": 1, "2": 2}
-    lines = [r.value for r in spark.read.text(f"{tmp_path}/gauges/batch_id=2").collect()]
+    lines = [r.value for r in spark.read.text(f"{tmp_path}/gauges/text/batch_id=2").collect()]
     assert lines == ["# TYPE spark_streaming_job_count gauge", 'spark_streaming_job_count{event_type="0"} 1',
                      'spark_streaming_job_count{event_type="1"} 1', 'spark_streaming_job_count{event_type="2"} 2']
-    first = [r.value for r in spark.read.text(f"{tmp_path}/gauges/batch_id=0").collect()]
+    first = [r.value for r in spark.read.text(f"{tmp_path}/gauges/text/batch_id=0").collect()]
     assert first[1:] == ['spark_streaming_job_count{event_type="0"} 2', 'spark_streaming_job_count{event_type="2"} 1']
 
 
+def test_gauges_go_on_after_a_restart(spark, topic, tmp_path):
+    files = gauges.GaugeFiles(f"{tmp_path}/gauges", "job", "event_type")
+    start(spark, topic, tmp_path, mode="update", also=files)
+    put(topic, "4.json", [message(200, "0"), message(20, "1")])
+    start(spark, topic, tmp_path, mode="update", also=files)
+    lines = [r.value for r in spark.read.text(f"{tmp_path}/gauges/text/batch_id=3").collect()]
+    assert lines[1:] == ['spark_streaming_job_count{event_type="0"} 2', 'spark_streaming_job_count{event_type="1"} 1',
+                         'spark_streaming_job_count{event_type="2"} 2']
+    # the same batch once more, as after a failure
+    batch = spark.read.parquet(f"{tmp_path}/c/table/batch_id=3")
+    files(batch, 3)
+    assert [r.value for r in spark.read.text(f"{tmp_path}/gauges/text/batch_id=3").collect()] == lines
+
+
 def test_gauges_of_several_queries(spark, topic, tmp_path):
     queries = [start(spark, topic, tmp_path, dim, "update", kind, f"{kind}_{dim}")
                for kind in ("job", "task") for dim in ("event_type", "scheduling_class")]

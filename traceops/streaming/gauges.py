@@ -1,5 +1,6 @@
 """Metric tables `(metric, label_key, label_value, value)` and their text form."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
@@ -10,9 +11,9 @@ from traceops.streaming.counts import latest_counts
 GAUGES = "metric STRING, label_key STRING, label_value STRING, value STRING"
 
 
-def count_gauges(counts: DataFrame, kind: str, dim: str) -> DataFrame:
+def count_gauges(counts: DataFrame, kind: str, dim: str, time_col="event_timestamp") -> DataFrame:
     """Newest count of each label value; `kind` is job or task, `dim` the label."""
-    return latest_counts(counts, dim).select(
+    return latest_counts(counts, dim, time_col).select(
         F.lit(f"{GAUGE_PREFIX}{kind}_count").alias("metric"), F.lit(dim).alias("label_key"),
         F.coalesce(F.col(dim).cast("string"), F.lit("None")).alias("label_value"),
         F.col("count").cast("string").alias("value"))
@@ -54,14 +55,30 @@ def to_exposition(gauges: DataFrame) -> DataFrame:
 
 
 class GaugeFiles:
-    """Writes gauges of each batch as text; a batch that is run again replaces its own files."""
+    """Writes the gauges after each batch as text, for `start_counts(also=...)`.
 
-    def __init__(self, folder: str, kind: str, dim: str):
-        self.folder, self.kind, self.dim = folder, kind, dim
+    A batch in update mode has only the counts that changed, so the newest time and count of
+    each label are carried from batch to batch in a table with one row per label. Counts of
+    one time only grow, hence the greatest (time, count) is the newest. A batch that is run
+    again starts from the same table and replaces its own files.
+    """
+
+    def __init__(self, folder: str, kind: str, dim: str, time_col="event_timestamp"):
+        self.folder, self.kind, self.dim, self.time_col = folder, kind, dim, time_col
 
     def __call__(self, counts: DataFrame, batch_id: int) -> None:
-        (to_exposition(count_gauges(counts, self.kind, self.dim)).coalesce(1)
-         .write.mode("overwrite").text(f"{self.folder}/batch_id={batch_id}"))
+        spark, newest = counts.sparkSession, f"{self.folder}/newest/batch_id={batch_id}"
+        rows = counts.select(self.dim, self.time_col, "count")
+        try:
+            rows = rows.unionByName(spark.read.schema(rows.schema)
+                                    .parquet(f"{self.folder}/newest/batch_id={batch_id - 1}"))
+        except AnalysisException as e:  # the first batch of these files
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+        (rows.groupBy(self.dim).agg(F.max(F.struct(self.time_col, "count")).alias("newest"))
+         .select(self.dim, "newest.*").coalesce(1).write.mode("overwrite").parquet(newest))
+        (to_exposition(count_gauges(spark.read.parquet(newest), self.kind, self.dim, self.time_col)).coalesce(1)
+         .write.mode("overwrite").text(f"{self.folder}/text/batch_id={batch_id}"))
 
 
 class ProgressFiles(StreamingQueryListener):
