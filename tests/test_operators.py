@@ -209,6 +209,15 @@ def test_placement(spark, drop, same, several):
     assert [r["count"] for r in placement.placement_spread(numeric, "job", "machine", drop).collect()] == [same, several]
 
 
+def test_machines_per_job(spark):
+    df = spark.createDataFrame(PLACED, "job STRING, machine STRING")
+    numeric = df.select("job", F.regexp_extract("machine", r"(\d+)", 1).try_cast("bigint").alias("machine"))
+    for frame in (df, numeric):
+        assert rows(placement.machines_per_job(frame, "job", "machine")) == [("mixed", 1), ("one", 1), ("two", 2)]
+        assert rows(placement.machines_per_job(frame, "job", "machine", False)) == [
+            ("blank", 1), ("mixed", 2), ("one", 1), ("two", 2)]
+
+
 def test_placement_of_nothing(spark):
     got = placement.placement_spread(spark.createDataFrame([], "job STRING, machine STRING"), "job", "machine")
     assert [tuple(r) for r in got.collect()] == [("Same Machine", 0, 0.0), ("Different Machines", 0, 0.0)]

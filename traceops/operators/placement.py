@@ -16,8 +16,12 @@ def _placed(df: DataFrame, job: str, machine: str, drop_unplaced: bool) -> DataF
 
 def machines_per_job(df: DataFrame, job: str, machine: str, drop_unplaced=True) -> DataFrame:
     """Distinct machines of each job as `(job, machine_count)`."""
-    return (_placed(df, job, machine, drop_unplaced).groupBy(job)
-            .agg(F.count_distinct(machine).alias("machine_count")))
+    rows = _placed(df, job, machine, drop_unplaced)
+    machines = F.count_distinct(machine)
+    if not drop_unplaced and dict(rows.dtypes)[machine] != "string":
+        # count distinct passes over the null that stands for a blank
+        machines = machines + F.max(F.col(machine).isNull().cast("bigint"))
+    return rows.groupBy(job).agg(machines.alias("machine_count"))
 
 
 def placement_spread(df: DataFrame, job: str, machine: str, drop_unplaced=True) -> DataFrame:
