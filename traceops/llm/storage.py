@@ -1,15 +1,31 @@
-"""Shared folders and cut lineage."""
+"""Tables in the shared folder, which every executor reads and which outlive any of them."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from traceops.session import scratch_dir
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one of the cluster; it goes when the session ends."""
+    path = scratch_dir(spark, name)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows, written to the shared checkpoint folder; only where none is set, tests get one of their own."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(scratch_dir(df.sparkSession, "checkpoints"))
-    return df.checkpoint()
+    """The rows from a table in the shared folder: lineage is cut, and plans see the table's real size."""
+    path = shared_folder(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Tables of so many rows of a few numbers are broadcast, some ten megabytes; longer ones are shuffled.
+BROADCAST_ROWS = 300_000
+
+
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The table with a broadcast hint if it has few rows. It is counted, so give a checkpointed one."""
+    return F.broadcast(df) if df.count() <= rows else df.hint("merge")
