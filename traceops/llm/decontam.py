@@ -191,17 +191,44 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_column="doc_id"
                        item_text_column="text", least=LEAST_SCORE, n=NGRAM, block_items=BLOCK_ITEMS) -> DataFrame:
     """doc_id, item_id, score, start, end of every document and item whose alignment scores `least` or more."""
     docs = picked(docs, key=id_column, text=text_column).withColumn("key", F.col("key").cast("bigint"))
-    asked = picked(benchmark, item=item_column, text=item_text_column).filter("item IS NOT NULL AND text IS NOT NULL")
-    blocks = max(1, -(-asked.count() // block_items))
-    number = F.pmod(F.xxhash64("item"), F.lit(blocks))
     found = None
-    for block in range(blocks):
-        rows = [(r.item, r.text) for r in asked.filter(number == block).select(F.col("item").cast("bigint").alias("item"), "text").collect()]
-        part = _block(docs, numbered(rows, n), least, n)
+    for items in item_blocks(benchmark, item_column, item_text_column, n, block_items):
+        part = _block(docs, items, least, n)
         found = part if found is None else found.union(part)
     return found
 
 
+def clean_documents(docs: DataFrame, benchmark: DataFrame, text_column="text", item_column="item_id", item_text_column="text",
+                    least=LEAST_SCORE, n=NGRAM, block_items=BLOCK_ITEMS) -> DataFrame:
+    """The rows of `docs`, with all their columns, that match no item."""
+    texts = picked(docs, text=text_column)
+    kept = docs
+    for items in item_blocks(benchmark, item_column, item_text_column, n, block_items):
+        kept = _without(kept, text_column, items.chosen(seeds_of(items, gram_frequencies(texts, items, n))), least, n)
+    return kept
+
+
+def _without(docs: DataFrame, text_column: str, seeds: Items, least: float, n: int) -> DataFrame:
+    def run(batches):
+        for batch in batches:
+            for piece in parts(batch, text_column):
+                keep = np.ones(piece.num_rows, dtype=bool)
+                keep[np.array([d for d, *_ in matches(strings(piece.column(text_column)), seeds, least, n)], dtype=np.int64)] = False
+                yield piece.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def item_blocks(benchmark: DataFrame, item_column: str, text_column: str, n: int, block_items: int):
+    """The benchmark in blocks of about `block_items` items each."""
+    asked = picked(benchmark, item=item_column, text=text_column).filter("item IS NOT NULL AND text IS NOT NULL")
+    blocks = max(1, -(-asked.count() // block_items))
+    number = F.pmod(F.xxhash64("item"), F.lit(blocks))
+    for block in range(blocks):
+        rows = asked.filter(number == block).select(F.col("item").cast("bigint").alias("item"), "text").collect()
+        yield numbered([(r.item, r.text) for r in rows], n)
+
+
 def gram_frequencies(docs: DataFrame, items: Items, n: int) -> np.ndarray:
     """In how many documents each n-gram of the items stands; as many numbers as the items have n-grams."""
 

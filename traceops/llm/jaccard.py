@@ -24,7 +24,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from traceops.llm.components import components
 from traceops.llm.storage import checkpointed, small
@@ -262,7 +263,7 @@ def _verified(pairs: DataFrame, sizes: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, id_column="doc_id", text_column="text") -> DataFrame:
-    """doc_id, n_shingles, component_id of every document."""
+    """doc_id, n_shingles, component_id, uid (a number of its set of shingles) of every document."""
     docs = picked(docs, key=id_column, text=text_column).withColumn("key", F.col("key").cast("bigint"))
     chars = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     ranges = int(chars // 10 // TASK_SHINGLES) + 32
@@ -284,5 +285,40 @@ def jaccard_components(docs: DataFrame, id_column="doc_id", text_column="text")
     # a set may belong to a third of the documents; such a join is split at run time
     out = every.join(named, "uid", "left").select(
         F.col("key").alias("doc_id"), F.col("n").alias("n_shingles"),
-        F.when(F.col("key").isNull(), F.lit(None)).when(F.col("n") == 0, F.col("key")).otherwise(F.col("component_id")).alias("component_id"))
+        F.when(F.col("key").isNull(), F.lit(None)).when(F.col("n") == 0, F.col("key")).otherwise(F.col("component_id")).alias("component_id"), "uid")
     return out
+
+
+def one_of_each(docs: DataFrame, id_column="doc_id", text_column="text") -> DataFrame:
+    """The rows of `docs` with one of each component: the smallest id; of rows with that id, the smallest text hash.
+
+    Rows with a null id and rows without words stay.
+    """
+    own = docs.withColumns({"_version": F.xxhash64(F.col(f"`{text_column}`")), "_key": F.col(f"`{id_column}`").cast("bigint")})
+    found = checkpointed(jaccard_components(docs, id_column, text_column))
+    gone = checkpointed(found.filter("doc_id != component_id").select(F.col("doc_id").alias("_key")).distinct())
+    # an id that stands in several rows is settled row by row
+    twice = checkpointed(found.groupBy("doc_id").agg(F.count("*").alias("n"), F.max("n_shingles").alias("words"))
+                         .filter("doc_id IS NOT NULL AND n > 1").select(F.col("doc_id").alias("_key")))
+    if not twice.limit(1).count():
+        return own.join(small(gone), "_key", "left_anti").select(*docs.columns)
+    once = own.join(small(gone.union(twice).distinct()), "_key", "left_anti")
+    several = checkpointed(own.join(small(twice), "_key", "left_semi"))
+    sets = hashed_keys(several, text_column)
+    named = found.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("_key"), F.col("uid").alias("_uid"), "component_id", "n_shingles").distinct()
+    rows = sets.join(named, ["_key", "_uid"]).filter("_key = component_id")
+    best = Window.partitionBy("component_id", F.when(F.col("n_shingles") == 0, F.col("_version"))).orderBy("_version", "_uid")
+    rows = rows.withColumn("_place", F.row_number().over(best)).filter("_place = 1")
+    return once.select(*docs.columns).union(rows.select(*docs.columns))
+
+
+def hashed_keys(docs: DataFrame, text_column: str) -> DataFrame:
+    """All columns and `_uid`."""
+
+    def run(batches):
+        for batch in batches:
+            for piece in parts(batch, text_column):
+                uid = pa.array([set_key(s) for s in shingle_sets(strings(piece.column(text_column)))], pa.int64())
+                yield pa.RecordBatch.from_arrays([*piece.columns, uid], names=[*piece.schema.names, "_uid"])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("_uid", LongType())]))

@@ -26,13 +26,13 @@ from pyspark.sql import DataFrame, Window, functions as F
 from traceops.llm.storage import checkpointed
 from traceops.llm.text import picked
 
-DEGREE = 20
+DEGREE = 24
 HEAR = 20
 TELL = 6
-BEAM = 160
-OPEN = 32
-ROUNDS = 8
-SEARCH_ROUNDS = 10
+BEAM = 600
+OPEN = 96
+ROUNDS = 6
+SEARCH_ROUNDS = 12
 RUN = 128
 STARTS = 4
 SCALE = 8191

@@ -23,6 +23,7 @@ from traceops.llm.text import folds, parts, picked, strings, words
 #: The ranking is fitted on at most so many labelled documents, chosen by the hash of their ids, and on so many pairs.
 SAMPLE = 20_000
 PAIRS = 200_000
+LEAST_SCORE = 0.5
 FEATURES = ("log_words", "log_word_length", "capital_words", "title_words", "symbol_ends", "symbol_words", "digit_words",
             "distinct_words", "repeated_next", "repeated_pairs", "top_word", "letters", "symbols", "blanks",
             "sentence_ends", "long_words", "log_line_words", "vowels", "empty")
@@ -150,7 +151,20 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_column="doc_id", text_c
     """doc_id, held_out, score, predicted of every document."""
     docs = picked(docs, key=id_column, text=text_column)
     ranking = train(docs, labels, sample)
-    return scored(docs, lambda texts: ranking.score(features(texts)), 0.5)
+    return scored(docs, lambda texts: ranking.score(features(texts)), LEAST_SCORE)
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, id_column="doc_id", text_column="text", sample=SAMPLE) -> DataFrame:
+    """The rows of `docs`, with all their columns, whose text the ranking does not reject."""
+    ranking = train(picked(docs, key=id_column, text=text_column), labels, sample)
+
+    def run(batches):
+        for batch in batches:
+            for piece in parts(batch, text_column):
+                good = ranking.score(features(strings(piece.column(text_column)))) >= LEAST_SCORE
+                yield piece.filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def scored(docs: DataFrame, score, least: float) -> DataFrame:
