@@ -48,23 +48,22 @@ def shingle_sets(texts: pa.Array, size: int = WORDS) -> list[np.ndarray]:
     offsets, codes, values = words(texts, lower=True)
     of_word = np.array([xxhash.xxh3_64_intdigest(w) for w in values.to_pylist()], dtype=np.uint64)[codes]
     total = len(of_word)
-    running = np.zeros(total, np.uint64)
     with np.errstate(over="ignore"):
-        partial = []
+        full = np.zeros(total, np.uint64)
         for k in range(size):
-            step = np.uint64(2 * k + 1)
-            running = running * _ODD[2]
-            running[:max(total - k, 0)] += _mixed(of_word[k:] + step)
-            partial.append(running)
-        full = _mixed(running + np.uint64(size))
-        # running hashes of fewer words, for short texts
+            full *= _ODD[2]
+            full[:max(total - k, 0)] += _mixed(of_word[k:] + np.uint64(2 * k + 1))
+        full = _mixed(full + np.uint64(size))
         out = []
         ends = offsets.tolist()
         for a, b in zip(ends, ends[1:]):
             if b - a >= size:
                 out.append(np.unique(full[a:b - size + 1]))
             elif b > a:
-                out.append(_mixed(partial[b - a - 1][a:a + 1] + np.uint64(b - a)))
+                one = np.zeros(1, np.uint64)
+                for k in range(b - a):
+                    one = one * _ODD[2] + _mixed(of_word[a + k:a + k + 1] + np.uint64(2 * k + 1))
+                out.append(_mixed(one + np.uint64(b - a)))
             else:
                 out.append(np.zeros(0, np.uint64))
     return out

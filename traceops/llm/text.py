@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 6 << 20
 
 
 def parts(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):
@@ -22,6 +22,7 @@ def parts(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):
     for a, b in zip(cuts, cuts[1:]):
         if b > a:
             yield batch.slice(a, b - a)
+            pa.default_memory_pool().release_unused()  # workers live on between tasks
 
 
 def strings(array: pa.Array) -> pa.Array:
