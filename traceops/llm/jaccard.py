@@ -7,12 +7,13 @@ Filters by prefixes under several global orders of the shingles, each safe, so n
    compact blocks of hashes; documents with equal sets count once. Few documents are left.
 2. Order of rarity, among these. Shingles of a plain prefix that two documents share make candidates.
 3. Orders of rising and falling hashes: candidates also share a shingle of both prefixes, else they are dropped
-   before their sets are compared.
+   before their sets are compared. Before that, candidates are dropped whose parity bitmaps (a bit for each
+   remainder of the hashes, turned by each shingle) differ in more places than the sets of a link may.
 
-Large groups are not expanded into pairs. Every document is first compared with one or two pivots of its
-candidates; components of these links are formed; then pairs are only made across different components, after as
-many pivot rounds as it takes to make them few. So each pair of documents that shares a prefix shingle is either
-compared or already connected.
+Large groups are not expanded into pairs. Every document is first compared with two pivots of each of its prefix
+shingles; components of these links are formed; then pairs are only made across different components, after a
+few more pivot rounds. So each pair of documents that shares a prefix shingle is either compared, ruled
+out by its bitmaps or already connected.
 
 Null, empty and blank texts have no shingles and are linked with nothing; so are rows with a null id, which have a
 null component. Rows that repeat an id are documents of their own. An empty table gives no row. Sets are compared
@@ -32,6 +33,10 @@ from traceops.llm.storage import checkpointed, small
 from traceops.llm.text import parts, picked, strings, words
 
 WORDS = 5
+#: Rounds of pivots that may follow the first; they save comparisons and change no result.
+PIVOT_ROUNDS = 2
+#: Longs of a parity bitmap.
+BITMAP = 16
 #: Shingles that one task of the first filter holds.
 TASK_SHINGLES = 2_000_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
@@ -172,8 +177,9 @@ def _sums(uid, n, shared, schema) -> pa.Table:
 
 
 def hashed_sets(docs: DataFrame) -> DataFrame:
-    """uid, n, hashes of the documents; hashes as signed numbers in unsigned order."""
-    schema = pa.schema([("uid", pa.int64()), ("n", pa.int64()), ("hashes", pa.list_(pa.int64()))])
+    """uid, n, hashes, bits of the documents; hashes as signed numbers in unsigned order."""
+    longs = pa.list_(pa.int64())
+    schema = pa.schema([("uid", pa.int64()), ("n", pa.int64()), ("hashes", longs), ("bits", longs)])
 
     def run(batches):
         for batch in batches:
@@ -181,30 +187,47 @@ def hashed_sets(docs: DataFrame) -> DataFrame:
                 sets = shingle_sets(strings(piece.column("text")))
                 ends = np.append(0, np.cumsum([len(s) for s in sets])).astype(np.int32)
                 flat = np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)
+                bits = [parity(s) for s in sets]
                 yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.int64()), pa.array(np.diff(ends).astype(np.int64)),
-                                                  pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], schema=schema)
+                                                  pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(bits, longs)], schema=schema)
 
-    return docs.select("text").mapInArrow(run, "uid BIGINT, n BIGINT, hashes ARRAY<BIGINT>")
+    return docs.select("text").mapInArrow(run, "uid BIGINT, n BIGINT, hashes ARRAY<BIGINT>, bits ARRAY<BIGINT>")
+
+
+def parity(hashes: np.ndarray) -> np.ndarray:
+    """A bit for each remainder of the hashes: whether an odd number of them has it."""
+    odd = np.bincount((hashes % np.uint64(64 * BITMAP)).astype(np.int64), minlength=64 * BITMAP) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def near(one: str = "bits", two: str = "bits_b", n_one: str = "n", n_two: str = "nb"):
+    """Whether sizes and bitmaps allow a link: at 0.8, sets differ in a ninth of the sum of their sizes at most."""
+    differ = sum((F.bit_count(F.get(one, F.lit(i)).bitwiseXOR(F.get(two, F.lit(i)))) for i in range(BITMAP)), F.lit(0))
+    return (9 * differ <= F.col(n_one) + F.col(n_two)) & F.expr(f"5 * least({n_one}, {n_two}) >= 4 * greatest({n_one}, {n_two})")
 
 
 def postings(sets: DataFrame) -> DataFrame:
-    """hash, uid, n: the shared shingles in each set's prefix, rarest first."""
+    """hash, uid, n, bits, early: the shared shingles in each set's prefix, rarest first.
+
+    `early` ones are in the shorter prefix that is enough for the smaller set of a pair.
+    """
     rows = sets.select("uid", "n", F.explode("hashes").alias("hash"))
     often = rows.groupBy("hash").agg(F.count("*").alias("often")).filter("often > 1")
     shared = rows.join(often, "hash").groupBy("uid").agg(
         F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("often", "hash"))).alias("shared"))  # one set's own
     # shingles of one set alone come first in the order and take places of the prefix
     left = F.expr("n - ((4 * n + 4) DIV 5) + 1 - (n - size(shared))")
-    return shared.filter(left > 0).select("uid", "n", F.explode(F.slice("shared", F.lit(1), left.cast("int"))).alias("s")).select(
-        F.col("s.hash").alias("hash"), "uid", "n")
+    prefix = shared.filter(left > 0).select("uid", "n", F.expr("n - size(shared)").alias("alone"),
+                                             F.slice("shared", F.lit(1), left.cast("int")).alias("shared"))
+    each = prefix.join(sets.select("uid", "bits"), "uid").select("uid", "n", "bits", "alone", F.posexplode("shared").alias("at", "s"))
+    return each.select(F.col("s.hash").alias("hash"), "uid", "n", "bits", F.expr("alone + at < n - ((8 * n + 8) DIV 9) + 1").alias("early"))
 
 
 def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that pass the prefixes of both hash orders and whose similarity is 0.8 or more."""
     one = sets.select(F.col("uid").alias("a"), F.col("n").alias("na"), F.col("hashes").alias("ha"))
     two = sets.select(F.col("uid").alias("b"), F.col("n").alias("nb"), F.col("hashes").alias("hb"))
-    sized = pairs.filter("5 * least(na, nb) >= 4 * greatest(na, nb)").select("a", "b").distinct()
-    both = sized.join(one, "a").join(two, "b")
+    both = pairs.select("a", "b").distinct().join(one, "a").join(two, "b")
 
     def size(n):
         return F.expr(f"cast({n} - ((4 * {n} + 4) DIV 5) + 1 as int)")
@@ -218,47 +241,46 @@ def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def linked_sets(sets: DataFrame) -> DataFrame:
     """uid, component of the sets that are linked with another."""
     posted = checkpointed(postings(sets))
-    # pivots: smallest and largest candidate over all shingles of a set
-    ends = posted.groupBy("hash").agg(F.min("uid").alias("low"), F.max("uid").alias("high"))
-    pivots = posted.join(ends, "hash").groupBy("uid").agg(F.first("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
-    sizes = posted.groupBy(F.col("uid").alias("b")).agg(F.first("n").alias("nb"))
-    found = _verified(pivots.select("uid", "n", F.explode(F.array("low", "high")).alias("b")), sizes, sets)
+    known = sets.select(F.col("uid").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b"))
+    ends = posted.groupBy("hash").agg(F.min("uid").alias("low"), F.max("uid").alias("high")).filter("low != high")
+    ends = ends.select("hash", "low", "high", F.col("low").alias("least"), F.col("high").alias("most"))
+    found = _pivoted(posted.withColumn("c", F.col("uid")), ends, known, sets)
     labels = components(found)
     n_posted = posted.count()
-    while True:
-        owned = posted.join(labels.withColumnRenamed("node", "uid"), "uid", "left").select(
-            "hash", "uid", "n", F.coalesce("component", "uid").alias("c"))
+    for turn in range(PIVOT_ROUNDS + 1):
+        owned = posted.join(labels.withColumnRenamed("node", "uid"), "uid", "left").withColumn("c", F.coalesce("component", "uid")).drop("component")
         mixed = owned.groupBy("hash").agg(F.min("c").alias("least"), F.max("c").alias("most")).filter("least != most")
         owned = checkpointed(owned.join(mixed, "hash"))
         # pairs across components, counted without making them
         counts = owned.groupBy("hash", "c").agg(F.count("*").alias("k")).groupBy("hash").agg(
             F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"))
         across = counts.agg(F.coalesce(F.sum((F.col("k") * F.col("k") - F.col("kk")) / 2), F.lit(0))).first()[0]
-        if across <= n_posted:
+        if across <= n_posted or turn == PIVOT_ROUNDS:
             break
-        # else one more round of pivots: for each set, candidates in other components
-        tops = owned.groupBy("hash").agg(F.min(F.when(F.col("c") == F.col("least"), F.col("uid"))).alias("low"),
-                                         F.max(F.when(F.col("c") == F.col("most"), F.col("uid"))).alias("high"))
-        other = owned.join(tops, "hash").groupBy("uid").agg(
-            F.first("n").alias("n"), F.min(F.when(F.col("c") != F.col("least"), F.col("low"))).alias("low"),
-            F.max(F.when(F.col("c") != F.col("most"), F.col("high"))).alias("high"))
-        more = _verified(other.select("uid", "n", F.explode(F.array("low", "high")).alias("b")), sizes, sets)
+        # else another round of pivots, from two different components of each shingle
+        ends = owned.groupBy("hash").agg(F.max(F.when(F.col("c") == F.col("least"), F.col("uid"))).alias("low"),
+                                         F.min(F.when(F.col("c") == F.col("most"), F.col("uid"))).alias("high"),
+                                         F.min("c").alias("least"), F.max("c").alias("most"))
+        more = _pivoted(owned, ends, known, sets)
         if not more.limit(1).count():
             break
         found = found.union(more)
         labels = components(found)
-    one = owned.select("hash", F.col("uid").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
-    two = owned.select("hash", F.col("uid").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-    pairs = one.join(two, "hash").filter("ca < cb AND 5 * least(na, nb) >= 4 * greatest(na, nb)")
-    last = checkpointed(links(pairs.select("a", "na", "b", "nb"), sets))
+    one = owned.select("hash", F.col("uid").alias("a"), "n", "bits", F.col("c").alias("ca"))
+    two = owned.filter("early").select("hash", F.col("uid").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b"), F.col("c").alias("cb"))
+    pairs = one.join(two, (one.hash == two.hash) & F.expr("ca != cb AND (nb < n OR nb = n AND b < a)") & near())
+    last = checkpointed(links(pairs, sets))
     if last.limit(1).count():
         labels = components(found.union(last))
     return labels.select(F.col("node").alias("uid"), "component")
 
 
-def _verified(pairs: DataFrame, sizes: DataFrame, sets: DataFrame) -> DataFrame:
-    pairs = pairs.filter("b IS NOT NULL AND uid != b").join(sizes, "b").select(F.col("uid").alias("a"), F.col("n").alias("na"), "b", "nb")
-    return checkpointed(links(pairs, sets))
+def _pivoted(posted: DataFrame, ends: DataFrame, known: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links of sets with the pivots `low` and `high` of their shingles, of components `least` and `most`, if in another."""
+    both = F.array(F.struct(F.col("low").alias("b"), F.col("least").alias("cb")), F.struct(F.col("high").alias("b"), F.col("most").alias("cb")))
+    pivots = ends.select(F.col("hash").alias("pivot_hash"), F.explode(both).alias("p")).select("pivot_hash", "p.b", "p.cb").join(known, "b")
+    pairs = posted.join(pivots, (posted.hash == F.col("pivot_hash")) & (F.col("c") != F.col("cb")) & near())
+    return checkpointed(links(pairs.select(F.col("uid").alias("a"), "b"), sets))
 
 
 def jaccard_components(docs: DataFrame, id_column="doc_id", text_column="text") -> DataFrame:
