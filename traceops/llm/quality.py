@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from traceops.llm.text import folds, parts, picked, strings, words
+from traceops.llm.text import few, folds, parts, picked, strings, words
 
 #: The ranking is fitted on at most so many labelled documents, chosen by the hash of their ids, and on so many pairs.
 SAMPLE = 20_000
@@ -126,8 +126,8 @@ def fit(x: np.ndarray, good: np.ndarray, pairs: int = PAIRS, penalty: float = 1e
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sample: int) -> DataFrame:
     """key, text, label of at most `sample` labelled documents outside the held-out fold."""
     rows = (picked(labels, key="doc_id", label=label).filter("key IS NOT NULL AND label IS NOT NULL").filter(folds(F.col("key")) != 1)
-            .groupBy("key").agg(F.min("label").alias("label")).orderBy(F.xxhash64("key"), "key").limit(sample))
-    return docs.join(F.broadcast(rows), "key")  # `sample` rows of two numbers
+            .groupBy("key").agg(F.min("label").alias("label")))
+    return docs.join(F.broadcast(few(rows, F.col("key"), sample)), "key")  # `sample` rows of two numbers
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ranking:

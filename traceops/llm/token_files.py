@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from traceops.llm.encoder import encoder
-from traceops.llm.text import parts, picked, strings
+from traceops.llm.text import few, parts, picked, strings
 
 BLOCK_BYTES = 1 << 20
 BLOCK_DOCS = 4096
@@ -58,8 +58,10 @@ def train_dictionary(docs: DataFrame, vocabulary: str, end_id: int, width: int)
     """A dictionary from a bounded sample, chosen by hash; empty where there is too little to learn from."""
     import zstandard
 
-    rows = (docs.filter(F.length("text").between(1, SAMPLE_CHARS)).orderBy(F.xxhash64("key"), F.xxhash64("text"))
-            .select("text").limit(SAMPLE_DOCS).collect())
+    chosen = few(docs.filter(F.length("text").between(1, SAMPLE_CHARS)).select(F.xxhash64("key", "text").alias("row")), F.col("row"), SAMPLE_DOCS)
+    texts = docs.filter(F.length("text").between(1, SAMPLE_CHARS)).withColumn("row", F.xxhash64("key", "text"))
+    # equal rows count once
+    rows = texts.join(F.broadcast(chosen.distinct()), "row").groupBy("row").agg(F.first("text").alias("text")).orderBy("row").collect()
     if not rows:
         return b""
     offsets, ids = with_end(*encoder(vocabulary).encode(pa.array([r.text for r in rows])), end_id)
