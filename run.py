@@ -66,11 +66,15 @@ def place(base, kind):
     return base if base == "kafka" else f"{base.rstrip('/')}/{kind}-events"
 
 
+def show_all(df):
+    df.show(max(df.count(), 1), truncate=False)
+
+
 def run(spark, args):
     options = dict(o.split("=", 1) for o in getattr(args, "option", []))
     if args.command == "report":
         timings = read_timings(spark, args.input)
-        (worker_report if args.by_workers else timing_report)(timings).show(100, truncate=False)
+        show_all((worker_report if args.by_workers else timing_report)(timings))
     elif args.command == "convert":
         convert_trace(spark, args.input, args.table, args.target, args.files)
     elif args.command == "replay":
@@ -87,7 +91,7 @@ def run(spark, args):
         for query in queries.values():
             if args.available_now:
                 query.awaitTermination()
-        to_exposition(current_gauges(spark, queries, args.output_dir, args.mode)).show(100, truncate=False)
+        show_all(to_exposition(current_gauges(spark, queries, args.output_dir, args.mode)))
     else:
         for result, path in run_job(spark, args.command, args.input, args.output_dir, args.format).items():
             print(f"{result}: {path}")

@@ -199,3 +199,19 @@ def test_convert_and_report_from_the_command_line(spark, source, tmp_path, capsy
     run(spark, arguments(["report", "--input", f"{tmp_path}/performance"]))
     out = capsys.readouterr().out
     assert "eviction_probability: " in out and "q4_perform" in out
+
+
+def test_runs_with_the_same_short_name_stay_apart(spark):
+    rows = [(f"d/q5_bonus1_performance_metrics_{i}.csv", "q5_bonus1_", m, v)
+            for i, (read, process) in enumerate([("10", "500"), ("90", "20")])
+            for m, v in (("reading_time", read), ("processing_time", process))]
+    timings = spark.createDataFrame(rows, "file STRING, filename STRING, metric STRING, value STRING")
+    got = [(r.reading_time, r.processing_time) for r in timing_report(timings).collect()]
+    assert got == [("00:00:10", "00:08:20"), ("00:01:30", "00:00:20")]
+
+
+def test_worker_numbers_and_seconds_are_whole(spark):
+    rows = [("d/rdd_q5_1234.csv", "rdd_q5_123", "processing_time", "90061.5")]
+    timings = spark.createDataFrame(rows, "file STRING, filename STRING, metric STRING, value STRING")
+    row = worker_report(timings).first()
+    assert (row.cores, row.processing_seconds, row.label) == (1234, 90061, "1501:01")

@@ -48,7 +48,6 @@ TOPICS = {"job": "job-events", "task": "task-events"}
 # --- broker options ------------------------------------------------------------
 KAFKA_READ = {
     "startingOffsets": "earliest",
-    "maxOffsetsPerTrigger": "1000",
     "failOnDataLoss": "false",
 }
 KAFKA_WRITE = {

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from traceops.fixed_values import JOB_NUMBER, SPLIT_RECORD_METRICS, TIME_METRICS, WORKER_NUMBER
 from traceops.functions.casts import number, whole
-from traceops.functions.clock import hms, hms_seconds, minutes_label
+from traceops.functions.clock import hms, minutes_label
 from traceops.functions.text import human_count, number_in
 
 REPORT_METRICS = [*TIME_METRICS, "total_records"]
@@ -14,27 +14,35 @@ def timing_report(timings: DataFrame, id_regex=JOB_NUMBER, id_name="question",
                   metrics=None) -> DataFrame:
     """One readable row per file, ordered by the number in its name.
 
-    `timings` has `(filename, metric, value)`. Times become `HH:MM:SS`, record counts `1.2M`,
+    `timings` has `(filename, metric, value)`, and `file` where names are cut. Times become `HH:MM:SS`, record counts `1.2M`,
     missing metrics `-`; record counts of single tables are left out.
     """
-    metrics = metrics or REPORT_METRICS
+    return _report(timings, id_regex, id_name, metrics or REPORT_METRICS).drop("_seconds")
+
+
+def _report(timings, id_regex, id_name, metrics):
+    # a run is a whole file; the shown name is cut and may be the same for several runs
+    key = "file" if "file" in timings.columns else "filename"
     wide = (timings.filter(~F.col("metric").rlike(SPLIT_RECORD_METRICS))
-            .select("filename", "metric", number("value").alias("value"))
-            .groupBy("filename").pivot("metric", metrics).agg(F.max("value")))
+            .select(F.col(key).alias("_file"), "filename", "metric", number("value").alias("value"))
+            .groupBy("_file", "filename").pivot("metric", metrics).agg(F.max("value")))
 
     def readable(metric):
         if metric in TIME_METRICS:
             return hms(metric)
         return human_count(whole(metric)) if metric.endswith("_records") else F.col(metric).cast("string")
 
-    return (wide.select("filename", *(F.coalesce(readable(m), F.lit("-")).alias(m) for m in metrics),
-                        number_in("filename", id_regex).alias(id_name))
-            .orderBy(F.asc_nulls_last(id_name), "filename"))
+    seconds = F.floor("processing_time") if "processing_time" in metrics else F.lit(None).cast("bigint")
+    number_of = number_in(F.element_at(F.split("_file", "/"), -1), id_regex)
+    return (wide.select("_file", "filename", *(F.coalesce(readable(m), F.lit("-")).alias(m) for m in metrics),
+                        number_of.alias(id_name), seconds.alias("_seconds"))
+            .orderBy(F.asc_nulls_last(id_name), "filename", "_file").drop("_file"))
 
 
 def worker_report(timings: DataFrame, id_regex=WORKER_NUMBER) -> DataFrame:
-    """Timing report per number of workers, with the points and labels of its curve."""
-    report = timing_report(timings, id_regex, "cores")
-    seconds = hms_seconds("processing_time")
-    return (report.withColumn("processing_seconds", seconds)
+    """Timing report per number of workers, with the points and labels of its curve.
+
+    Seconds are those of the file, also beyond a day, where the shown time starts anew.
+    """
+    return (_report(timings, id_regex, "cores", REPORT_METRICS).withColumnRenamed("_seconds", "processing_seconds")
             .withColumn("label", minutes_label("processing_seconds")))

@@ -59,6 +59,7 @@ def capacity_evictions(t: Tables, keep: Keep) -> dict[str, Result]:
     results = keyed.from_detail(detail, values, "eviction_count")
     return {
         "detailed_results": (keyed.first_rows(detail, "machine_id"), True),
+        "all_detailed_results": (detail, False),
         "correlations": (results["correlations"], True),
         "cpu_range_averages": (results["cpu_capacity_ranges"], True),
         "memory_range_averages": (results["memory_capacity_ranges"], True),
@@ -104,6 +105,7 @@ def peak_evictions(t: Tables, keep: Keep) -> dict[str, Result]:
         "peaks_evictions": (keyed.correlations(detail, pairs, names), True),
         "peaks_evictions_only": (keyed.correlations(detail, hits, names), True),
         "peaks_evictions_sample": (sample, True),
+        "peaks_evictions_all": (detail, False),
     }
 
 

@@ -76,11 +76,11 @@ def row_count(df: DataFrame) -> DataFrame:
 
 
 def read_timings(spark: SparkSession, path: str) -> DataFrame:
-    """All timing files below `path` as `(filename, metric, value)`."""
+    """All timing files below `path` as `(file, filename, metric, value)`; `filename` is cut for display."""
     from traceops.functions.text import file_stem
 
     # a result written by Spark is a folder `<name>.csv` with part files in it
     named = F.regexp_replace(F.col("_metadata.file_path"), r"/part-[^/]*$", "")
     return (spark.read.schema("metric STRING, value STRING").option("header", "true")
             .option("recursiveFileLookup", "true").csv(path)
-            .select(file_stem(named).alias("filename"), "metric", "value"))
+            .select(named.alias("file"), file_stem(named).alias("filename"), "metric", "value"))
