@@ -1,0 +1,323 @@
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from traceops.llm import decontam, html_text, jaccard, line_dedup, neighbour_graph, packing, quality, token_files, toxicity, url_filter
+from traceops.llm.components import components
+from traceops.llm.encoder import encoder
+from traceops.llm.storage import shared_folder
+
+VOCABULARY = "byte_bpe_50k.json"
+
+
+def plain_ids(text):
+    return encoder(VOCABULARY).tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def empty(docs):
+    return docs.filter("doc_id < -1")
+
+
+# --- 1, 3: ids ----------------------------------------------------------------
+
+def test_chunks_encode_like_whole_texts():
+    rng = random.Random(1)
+    parts = ["a", "b", " ", "\n", ".", ",", "!", "'", "s", "1", "é", "中", "\t", "A", "$", "<|", "word", " "]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(5000)]
+    offsets, ids = encoder(VOCABULARY).encode(pa.array(texts))
+    for i, text in enumerate(texts):
+        assert ids[offsets[i]:offsets[i + 1]].tolist() == plain_ids(text), text
+
+
+def test_token_files_round_trip(spark, docs):
+    path = shared_folder(spark, "test-tokens")
+    token_files.write_tokens(docs, path)
+    got = sorted(map(tuple, token_files.token_digests(spark, path).collect()), key=lambda r: r[1])
+    rows = docs.collect()
+    assert Counter((r[0], r[2], r[3]) for r in got) == Counter(
+        (r.doc_id, len(plain_ids(r.text)) + 1, crc([*plain_ids(r.text), 2])) for r in rows)
+    assert [r[1] for r in got] == np.cumsum([0] + [r[2] for r in got])[:-1].tolist()
+    known = [r[0] for r in got if r[0] is not None]
+    assert known == sorted(known)
+    one = token_files.read_tokens(spark, path, [7]).collect()
+    assert [np.frombuffer(r.ids, "<u2").tolist() for r in one] == [[*plain_ids(next(r.text for r in rows if r.doc_id == 7)), 2]]
+
+
+def test_token_files_of_an_empty_table(spark, docs):
+    path = shared_folder(spark, "test-tokens")
+    token_files.write_tokens(empty(docs), path)
+    assert token_files.token_digests(spark, path).count() == 0
+
+
+def test_packs_hold_each_length_once():
+    rng = random.Random(2)
+    histogram = {rng.randint(1, 63): rng.randint(1, 500) for _ in range(40)}
+    packs = packing.pack_histogram(histogram, 64)
+    held = Counter()
+    for lengths, count in packs:
+        assert sum(lengths) <= 64
+        for length in lengths:
+            held[length] += count
+    assert held == histogram
+    used = sum(k * n for k, n in histogram.items())
+    # longest first into the emptiest pack needs at most a quarter more packs than the best way
+    assert sum(n for _, n in packs) <= 1.25 * max(-(-used // 64), sum(n for k, n in histogram.items() if k > 32)) + 1
+
+
+def test_packing_of_odd_rows(spark, docs):
+    rows = packing.pack_documents(docs).collect()
+    pieces = Counter()
+    for r in docs.collect():
+        ids = [*plain_ids(r.text), 0]
+        for a in range(0, len(ids), 1024):
+            pieces[r.doc_id, a, len(ids[a:a + 1024]), crc(ids[a:a + 1024]), len(ids)] += 1
+    assert Counter((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in rows) == pieces
+    sequences = defaultdict(list)
+    for r in rows:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for held in sequences.values():
+        at = 0
+        for offset, length in sorted(held):
+            assert offset == at
+            at += length
+        assert at <= 1024
+    assert packing.pack_documents(empty(docs)).count() == 0
+
+
+# --- 2: pages -----------------------------------------------------------------
+
+PAGE = ('<html><head><title>T</title><script>var t="</p>";</script></head><body><nav><a href=x>menu</a></nav><div class="ad">buy</div>'
+        '<article><h1>Head &amp; tail</h1><p><b>One  two<br>three<p>four &eacute;</p><div class="share">share</div><form>f</form></article>'
+        '<section id="comments"><p>reader</p></section><footer>foot</footer></body></html>')
+
+
+def test_pages(spark):
+    rows = [(1, "http://A.org/x", PAGE), (2, "http://a.org/y", None), (3, None, ""), (4, "no host", "<p>plain"), (1, "http://A.org/x", PAGE),
+            (None, "http://a.org/z", "<article>cut <b>off <i")]
+    pages = spark.createDataFrame([(*r, "t") for r in rows], "page_id BIGINT, url STRING, html STRING, text STRING")
+    want = Counter({(1, "Head & tail\nOne two three\nfour é"): 2, (2, ""): 1, (3, ""): 1, (4, "plain"): 1, (None, "cut off"): 1})
+    for hosts in (html_text.BROADCAST_HOSTS, 0):
+        got = html_text.extract_pages(pages, broadcast_hosts=hosts).collect()
+        assert Counter((r.page_id, r.text) for r in got) == want
+        assert all(r.n_chars == len(r.text) for r in got)
+    assert html_text.extract_pages(pages.filter("page_id < 0")).count() == 0
+
+
+# --- 4, 6: classifiers ----------------------------------------------------------
+
+def labelled(spark, d="/root/testdata/sf0.1"):
+    return spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+
+
+@pytest.mark.parametrize("score, label, least", [(quality.score_quality, "quality", 0.99), (toxicity.score_toxicity, "toxic", 0.95)])
+def test_held_out_accuracy(spark, score, label, least):
+    docs, labels = labelled(spark)
+    rows = score(docs, labels).join(labels, "doc_id").filter("held_out").select("predicted", label).collect()
+    assert sum(a == b for a, b in rows) / len(rows) >= least
+
+
+@pytest.mark.parametrize("score", [quality.score_quality, toxicity.score_toxicity])
+def test_scores_of_odd_rows(spark, docs, score):
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1), (3, None, None), (99, 1, 1), (None, 1, 0)], "doc_id BIGINT, quality INT, toxic INT")
+    for known in (labels, labels.filter("doc_id < 0")):
+        rows = score(docs, known).collect()
+        assert Counter(r.doc_id for r in rows) == Counter(r.doc_id for r in docs.collect())
+        assert all(0 <= r.score <= 1 and r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
+    assert score(empty(docs), labels).count() == 0
+
+
+def test_obfuscated_words_are_restored():
+    words = ["stupid", "loser", "moron", "trash", "plain", "words", "trust", "stones", "lost", "paste", "idiot"]
+    texts = pa.array([" ".join(words)] * 20)
+    model = toxicity.log_probabilities(toxicity.trigram_counts(texts)).tolist()
+    for written, meant in (("5tupid", "stupid"), ("l0$er", "loser"), ("m.o.r.o.n", "moron"), ("trrrrash", "trash"), ("1d10t", "idiot")):
+        assert toxicity.decode(written, model) == meant
+    _, sign, names = toxicity.signs(pa.array(["so s t u p i d here", "l0$er!!"]), model)
+    found = {names[i] for i in sign}
+    assert {"stupid", "loser"} <= found
+
+
+# --- 5: lines -------------------------------------------------------------------
+
+def test_lines_are_cut_with_their_places(spark, docs):
+    rows = line_dedup.dedup_lines(docs).collect()
+    source = defaultdict(list)
+    for r in docs.collect():
+        source[r.doc_id].append(r.text)
+    first = {}
+    for key, texts in source.items():
+        for text in texts:
+            for line in (text or "").split("\n"):
+                unit = " ".join(line.lower().split())
+                if len(unit.split()) >= 5 and key is not None:
+                    first[unit] = min(first.get(unit, key), key)
+
+    def kept(key, text):
+        out, seen = [], set()
+        for line in text.split("\n"):
+            unit = " ".join(line.lower().split())
+            if len(unit.split()) < 5 or (unit not in seen and first.get(unit) in (None, key)):
+                out.append(line)
+            seen.add(unit)
+        return "\n".join(out)
+
+    assert Counter((r.doc_id, r.text) for r in rows) == Counter(
+        (r.doc_id, None if r.text is None else kept(r.doc_id, r.text)) for r in docs.collect())
+    for r in rows:
+        for p in r.removed:
+            assert any(t and len(t) >= p.start + p.length for t in source[r.doc_id])
+    assert line_dedup.dedup_lines(empty(docs)).count() == 0
+
+
+# --- 7: urls --------------------------------------------------------------------
+
+def test_rules_against_brute_force(spark):
+    rng = random.Random(3)
+    hosts = ["a.org", "b.a.org", "org", "x.com", "y.x.com", "", "c.net", "A.ORG", "aorg"]
+    urls = [None, "", "nothing", "http://", "://x.com/en/1"] + [
+        f"http://{rng.choice(hosts)}{rng.choice(['', '/', '/en/', '/en/1', '/en/12?q', '/fr#x', '//', '?x'])}" for _ in range(400)]
+    allow, block = [("org", "/"), ("x.com", "/en/1")], [("a.org", "/en/"), ("com", "/"), ("net", "/fr")]
+    pages = spark.createDataFrame([(i, u, "r", 1) for i, u in enumerate(urls)], "page_id BIGINT, url STRING, rule STRING, host INT")
+    for r in url_filter.filter_urls(pages, allow, block).collect():
+        m = re.match(r"(?s)^.*?://([^/?#]*)([^?#]*)", urls[r.page_id] or "")
+        host, path = (m[1].translate({c: c + 32 for c in range(65, 91)}), m[2]) if m else ("", "")
+        fits = [(len(h + p), h + p, v) for v, rules in (("allow", allow), ("block", block)) for h, p in rules
+                if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        best = max(fits, default=(0, None, "allow"))
+        assert (r.host, r.path, r.rule, r.verdict) == (host, path, best[1], best[2])
+    assert url_filter.filter_urls(pages.filter("page_id < 0"), allow, block).count() == 0
+    assert {r.verdict for r in url_filter.filter_urls(pages, [], []).collect()} == {"allow"}
+
+
+def test_cascade_is_exact_with_many_keys(spark):
+    listed = [f"k{i}" for i in range(0, 4000, 4)]
+    universe = spark.createDataFrame([(f"k{i}",) for i in range(4000)], "key STRING")
+    cascade = url_filter.build_cascade(universe, listed, 4000)
+    assert len(cascade.levels) > 1
+    got = {r.key for r in universe.filter(cascade.holds(F.col("key"))).collect()}
+    assert got == set(listed)
+
+
+# --- 8: benchmark ---------------------------------------------------------------
+
+def slow_align(item, text):
+    table = np.zeros((len(item) + 1, len(text) + 1), int)
+    for i, a in enumerate(item):
+        for j, b in enumerate(text):
+            table[i + 1, j + 1] = max(0, table[i, j] + (2 if a == b else -1), table[i, j + 1] - 1, table[i + 1, j] - 1)
+    return table.max()
+
+
+def test_alignment_against_the_full_table():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        item, text = rng.integers(0, 4, rng.integers(1, 12)), rng.integers(-1, 4, rng.integers(0, 25))
+        score, a, b = decontam.align(item, text)
+        assert score == slow_align(item, text)
+        assert slow_align(item, text[a:b]) == score
+
+
+def test_edited_passages_are_found(spark, docs):
+    words = [f"word{i}" for i in range(30)]
+    edited = [w for i, w in enumerate(words) if i != 9]
+    edited[3], edited[17:17] = "Other", ["more"]
+    own = "something else. " + ", ".join(edited).upper() + " and then the end"
+    more = spark.createDataFrame([(50, own, "s", 0, "k"), (51, "word1 word2 word3 alone", "s", 0, "k")], docs.schema)
+    bench = spark.createDataFrame([(1, " ".join(words)), (2, "two words"), (3, None), (4, "")], "item_id BIGINT, text STRING")
+    for block in (20_000, 1):
+        rows = decontam.find_contamination(docs.union(more), bench, block_items=block).collect()
+        assert [(r.doc_id, r.item_id) for r in rows] == [(50, 1)]
+        assert rows[0].score == pytest.approx((2 * 28 - 3) / 60, abs=0.04)
+        assert own[rows[0].start:rows[0].end].startswith("WORD0") and own[rows[0].start:rows[0].end].endswith("WORD29")
+    left = decontam.clean_documents(docs.union(more), bench).collect()
+    assert len(left) == docs.count() + 1
+    assert decontam.find_contamination(docs, bench.filter("item_id < 0")).count() == 0
+    assert decontam.find_contamination(empty(docs), bench).count() == 0
+
+
+# --- 9: neighbours --------------------------------------------------------------
+
+def test_neighbours_against_brute_force(spark):
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(600, 16))
+    vectors[100:300] = vectors[100]  # a third are copies
+    rows = [(i, [float(x) for x in v], "s", 1) for i, v in enumerate(vectors)]
+    odd = [(1000, None, "s", 1), (1050, [], "s", 1), (1100, [0.0] * 16, "s", 1), (1150, [float("nan")] * 16, "s", 1), (None, [1.0] * 16, "s", 1),
+           (1200, [1.0] * 3, "s", 1), (0, rows[0][1], "s", 1)]
+    table = spark.createDataFrame(rows + odd, "vec_id BIGINT, embedding ARRAY<DOUBLE>, score STRING, node INT")
+    got = defaultdict(list)
+    for r in neighbour_graph.nearest(table, lambda i: i % 50 == 0).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    assert set(got) == set(range(0, 600, 50))
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    hits = 0
+    for q in got:
+        score = np.round(unit @ unit[q], 12)
+        want = sorted((i for i in range(600) if i != q), key=lambda i: (-score[i], i))[:5]
+        hits += len(set(want) & {i for i, _ in got[q]})
+        assert [s for _, s in got[q]] == sorted((s for _, s in got[q]), reverse=True)
+    assert hits >= 0.95 * 5 * len(got)
+    assert neighbour_graph.nearest(table.filter("vec_id < 0"), lambda i: i % 50 == 0).count() == 0
+
+
+# --- 10: near copies ------------------------------------------------------------
+
+def brute_components(rows):
+    sets = {}
+    for key, text in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
+        sets.setdefault(key, frozenset(tuple(words[k:k + 5]) for k in range(len(words) - 4)) if len(words) >= 5 else frozenset([tuple(words)] if words else []))
+    label = {k: k for k in sets}
+    changed = True
+    while changed:
+        changed = False
+        for a in sets:
+            for b in sets:
+                if sets[a] and label[b] < label[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    label[a], changed = label[b], True
+    return {k: (len(s), label[k]) for k, s in sets.items()}
+
+
+def test_near_copies_against_brute_force(spark):
+    rng = random.Random(6)
+    base = [[f"v{rng.randint(0, 400)}" for _ in range(rng.randint(3, 80))] for _ in range(6)]
+    rows = [(0, None), (1, ""), (2, "A b"), (3, "a  B")]
+    for i in range(4, 160):
+        words = list(rng.choice(base))
+        for _ in range(rng.randint(0, 3)):
+            words[rng.randrange(len(words))] = f"v{rng.randint(0, 400)}"
+        rows.append((i, " ".join(words + ["common line that all share here"] * rng.randint(0, 1))))
+    table = spark.createDataFrame([(*r, 1) for r in rows], "doc_id BIGINT, text STRING, n BIGINT")
+    want = brute_components(rows)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(table).collect()}
+    assert got == want
+    kept = {r.doc_id for r in jaccard.one_of_each(table).collect()}
+    assert kept == {c for _, c in want.values()}
+
+
+def test_near_copies_of_odd_rows(spark, docs):
+    rows = jaccard.jaccard_components(docs).collect()
+    assert Counter(r.doc_id for r in rows) == Counter(r.doc_id for r in docs.collect())
+    assert {(r.doc_id, r.component_id) for r in rows if r.n_shingles == 0} == {(3, 3), (4, 4), (5, 5)}
+    assert {r.component_id for r in rows if r.doc_id in (8, 9)} == {8}
+    assert {r.component_id for r in rows if r.doc_id is None} == {None}
+    kept = jaccard.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert Counter(r.doc_id for r in kept.collect()) == Counter([1, 2, 2, 3, 4, 5, None, 6, 7, 8])
+    assert jaccard.jaccard_components(empty(docs)).count() == 0
+
+
+def test_components(spark):
+    pairs = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(pairs, "a BIGINT, b BIGINT")).collect()}
+    assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}

@@ -284,7 +284,11 @@ def _pivoted(posted: DataFrame, ends: DataFrame, known: DataFrame, sets: DataFra
 
 
 def jaccard_components(docs: DataFrame, id_column="doc_id", text_column="text") -> DataFrame:
-    """doc_id, n_shingles, component_id, uid (a number of its set of shingles) of every document."""
+    """doc_id, n_shingles, component_id, uid, component of every document.
+
+    `uid` is a number of its set of shingles, `component` one of its component: where rows repeat an id, two components
+    may have the same smallest id.
+    """
     docs = picked(docs, key=id_column, text=text_column).withColumn("key", F.col("key").cast("bigint"))
     chars = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     ranges = int(chars // 10 // TASK_SHINGLES) + 32
@@ -301,12 +305,13 @@ def jaccard_components(docs: DataFrame, id_column="doc_id", text_column="text")
     # the smallest id of each component, then of each set in one
     groups = own.join(labels, "uid")
     tops = groups.groupBy("component").agg(F.min("first_key").alias("component_id"))
-    named = groups.join(tops, "component").select("uid", "component_id")
-    named = checkpointed(own.join(named, "uid", "left").select("uid", F.coalesce("component_id", "first_key").alias("component_id")))
+    named = groups.join(tops, "component").select("uid", "component_id", "component")
+    named = checkpointed(own.join(named, "uid", "left").select(
+        "uid", F.coalesce("component_id", "first_key").alias("component_id"), F.coalesce("component", "uid").alias("component")))
     # a set may belong to a third of the documents; such a join is split at run time
     out = every.join(named, "uid", "left").select(
         F.col("key").alias("doc_id"), F.col("n").alias("n_shingles"),
-        F.when(F.col("key").isNull(), F.lit(None)).when(F.col("n") == 0, F.col("key")).otherwise(F.col("component_id")).alias("component_id"), "uid")
+        F.when(F.col("key").isNull(), F.lit(None)).when(F.col("n") == 0, F.col("key")).otherwise(F.col("component_id")).alias("component_id"), "uid", "component")
     return out
 
 
@@ -326,9 +331,10 @@ def one_of_each(docs: DataFrame, id_column="doc_id", text_column="text") -> Data
     once = own.join(small(gone.union(twice).distinct()), "_key", "left_anti")
     several = checkpointed(own.join(small(twice), "_key", "left_semi"))
     sets = hashed_keys(several, text_column)
-    named = found.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("_key"), F.col("uid").alias("_uid"), "component_id", "n_shingles").distinct()
+    named = found.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("_key"), F.col("uid").alias("_uid"), "component_id", "component", "n_shingles").distinct()
     rows = sets.join(named, ["_key", "_uid"]).filter("_key = component_id")
-    best = Window.partitionBy("component_id", F.when(F.col("n_shingles") == 0, F.col("_version"))).orderBy("_version", "_uid")
+    wordless = F.when(F.col("n_shingles") == 0, F.struct("_key", "_version"))  # components of their own
+    best = Window.partitionBy("component", wordless).orderBy("_version", "_uid")
     rows = rows.withColumn("_place", F.row_number().over(best)).filter("_place = 1")
     return once.select(*docs.columns).union(rows.select(*docs.columns))
 
