@@ -12,7 +12,9 @@ import pyarrow.compute as pc
 
 from traceops.llm.text import coded, spread
 
-CACHE_WORDS = 500_000
+CACHE_WORDS = 100_000
+#: Bytes of text that are encoded at once.
+ENCODE_BYTES = 3 << 20
 # white space other than single blanks and line ends inside a text: such texts are encoded whole
 _UNUSUAL = (r"^[ \n]|[ \n]$|[ \n][ \n]|[\x00-\x09\x0b-\x1f\x7f\x{80}-\x{a0}\x{1680}\x{180e}\x{2000}-\x{200f}"
             r"\x{2028}-\x{202f}\x{205f}\x{2060}\x{3000}\x{feff}]|<\|")

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from traceops.llm.encoder import encoder
+from traceops.llm.encoder import ENCODE_BYTES, encoder
 from traceops.llm.storage import checkpointed
 from traceops.llm.text import parts, picked, spread, strings
 from traceops.llm.token_files import with_end
@@ -88,7 +88,7 @@ def encoded(docs: DataFrame, id_column: str, text_column: str, vocabulary: str,
 
     def run(batches):
         for batch in batches:
-            for piece in parts(batch, "text"):
+            for piece in parts(batch, "text", ENCODE_BYTES):
                 offsets, ids = with_end(*encoder(vocabulary).encode(strings(piece.column("text"))), end_id)
                 raw, ends = ids.astype("<u4").tobytes(), offsets.tolist()
                 crcs = [[zlib.crc32(raw[4 * i:4 * min(i + capacity, b)]) for i in range(a, b, capacity)]

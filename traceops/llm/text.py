@@ -6,12 +6,22 @@ dictionary-encoded, and results of the distinct pieces are spread by their codes
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 SLICE_BYTES = 6 << 20
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back():
+    """Hands free memory back to the system: workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
 
 
 def parts(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):
@@ -22,7 +32,7 @@ def parts(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):
     for a, b in zip(cuts, cuts[1:]):
         if b > a:
             yield batch.slice(a, b - a)
-            pa.default_memory_pool().release_unused()  # workers live on between tasks
+            give_back()
 
 
 def strings(array: pa.Array) -> pa.Array:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from traceops.llm.encoder import encoder
+from traceops.llm.encoder import ENCODE_BYTES, encoder
 from traceops.llm.text import few, parts, picked, strings
 
 BLOCK_BYTES = 1 << 20
@@ -107,7 +107,7 @@ def write_tokens(docs: DataFrame, path: str, id_column="doc_id", text_column="te
                 (b"".join(frames), pa.binary()))], schema=_SCHEMA)
 
         for batch in batches:
-            for piece in parts(batch, "text"):
+            for piece in parts(batch, "text", ENCODE_BYTES):
                 offsets, ids = with_end(*encoder(vocabulary).encode(strings(piece.column("text"))), end_id)
                 ids = ids.astype(_type(width))
                 for key, a, b in zip(piece.column("key").to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist()):
