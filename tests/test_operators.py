@@ -285,6 +285,15 @@ def test_sample_join_takes_the_stated_share_of_pairs(spark):
     assert correlation.sample_join(left.limit(0), right, ["k"]).count() == 0
 
 
+def test_plot_sample_spreads_over_the_table(spark):
+    df = spark.range(100_000).repartition(4)
+    got = [r.id for r in correlation.plot_sample(df, ["id"], fraction=0.1, n=1000).collect()]
+    assert len(set(got)) == 1000 and sum(x >= 50_000 for x in got) == pytest.approx(500, abs=100)
+    again = correlation.plot_sample(df.coalesce(1), ["id"], fraction=0.1, n=1000)
+    assert [r.id for r in again.collect()] == got
+    assert correlation.plot_sample(df, ["id"], fraction=1, n=10**6).count() == 100_000
+
+
 # --- hours -------------------------------------------------------------------------
 
 def test_hourly_profile(spark):

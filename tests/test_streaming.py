@@ -219,3 +219,13 @@ def test_a_cluster_has_to_name_its_shared_folder():
 def test_streamed_query_runs_twice(spark):
     sizes = [QUERIES["st7_latest_count"](spark, "/root/testdata/sf0.001").count() for _ in range(2)]
     assert sizes[0] == sizes[1] > 0
+
+
+def test_registered_streams_run_in_several_batches(spark, monkeypatch):
+    from traceops.plans import tables
+
+    started = []
+    start_counts = counts.start_counts
+    monkeypatch.setattr(counts, "start_counts", lambda *a, **kw: started.append(start_counts(*a, **kw)) or started[-1])
+    tables.a11_stream_task_event_type(spark, "/root/testdata/sf0.001").count()
+    assert len([p for p in started[0].recentProgress if p["numInputRows"]]) == tables.STREAM_PARTS

@@ -70,6 +70,16 @@ def sample_join(left: DataFrame, right: DataFrame, keys: list[str], fraction=0.0
             .drop("_salt").limit(n))
 
 
-def plot_sample(df: DataFrame, fraction=0.01, seed=42, n=10_000) -> DataFrame:
-    """Random sample of a table for a plot."""
-    return df.sample(False, fraction, seed).limit(n)
+def plot_sample(df: DataFrame, key: list[str], fraction=0.01, n=10_000) -> DataFrame:
+    """Up to `n` rows for a plot: those whose `key` has an md5 below `fraction`, least first.
+
+    The hash spreads over the whole table whatever its order, and the same table always gives
+    the same rows. `key` should tell rows apart, as rows alike in it come and go together.
+    """
+    # a null is a value of its own, and no value runs into the next one
+    parts = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in key]
+    digest = F.md5(F.concat_ws("|", *parts).cast("binary"))
+    rows = df.withColumn("_digest", digest)
+    if fraction < 1:
+        rows = rows.filter(F.col("_digest") < f"{int(fraction * 16 ** 12):012x}")
+    return rows.orderBy("_digest", *key).limit(n).drop("_digest")

@@ -135,6 +135,13 @@ ORACLES = {
              round(corr(a.l_extendedprice, b.l_extendedprice), 5) AS memory
       FROM lineitem a JOIN lineitem b USING (l_orderkey, l_linenumber)
       WHERE a.l_returnflag = 'N' AND b.l_returnflag <> 'N'""",
+    "p15_plot_sample": """
+      WITH hashed AS (
+        SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice,
+               md5('=' || CAST(l_orderkey AS VARCHAR) || '|=' || CAST(l_linenumber AS VARCHAR)) AS digest
+        FROM lineitem)
+      SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM hashed
+      WHERE digest < '028f5c28f5c2' ORDER BY digest, l_orderkey, l_linenumber LIMIT 10000""",
     "a8_peaks_vs_counts": _peaks("l_returnflag = 'R'") + """
       SELECT round(corr(peak_cpu, hit_count), 6) AS peak_cpu_hit_count,
              round(corr(peak_cpu, event_count), 6) AS peak_cpu_event_count,

@@ -21,6 +21,8 @@ from traceops.sources.trace import row_count
 from traceops.streaming import counts, gauges, replay
 
 JOB_TYPES = ("purchase", "signup")
+# files, and so batches, that the events are streamed in
+STREAM_PARTS = 3
 
 # declared, so that reading starts no job that looks into the files
 SCHEMAS = {
@@ -196,7 +198,8 @@ def a7_sample(spark, d):
 
 
 def p15_plot_sample(spark, d):
-    return correlation.plot_sample(_table(spark, d, "lineitem").select("l_quantity", "l_extendedprice"))
+    rows = _table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    return correlation.plot_sample(rows, ["l_orderkey", "l_linenumber"])
 
 
 # --- A8 ------------------------------------------------------------------------
@@ -251,13 +254,14 @@ def _as_messages(events: DataFrame, kind: str) -> DataFrame:
 
 
 def _streamed_counts(spark, d, kind, dim, hourly_times=False):
-    """Runs the events through a stream: encoded, parsed, counted, written, read back."""
-    files = spark.readStream.schema(SCHEMAS["events"]).option("maxFilesPerTrigger", 1000)
-    # a glob, as a stream source may be a folder or a pattern but not one file
-    parsed = parse_events(_as_messages(files.parquet(f"{d}/events.parquet*"), kind))
+    """Runs the events through a stream of several batches: encoded, parsed, counted, written, read back."""
+    work = scratch_dir(spark, f"{kind}-{dim}")
+    # one table file would be one batch: parts by id, so times come back in later batches
+    _table(spark, d, "events").repartitionByRange(STREAM_PARTS, "event_id").write.parquet(f"{work}/events")
+    files = spark.readStream.schema(SCHEMAS["events"]).option("maxFilesPerTrigger", 1)
+    parsed = parse_events(_as_messages(files.parquet(f"{work}/events"), kind))
     if hourly_times:
         parsed = parsed.withColumn("event_timestamp", F.date_trunc("hour", "event_timestamp"))
-    work = scratch_dir(spark, f"{kind}-{dim}")
     query = counts.start_counts(counts.stream_counts(parsed, dim), f"{work}/counts", f"{work}/state",
                                 name=work.rsplit("/", 1)[1], mode="update", trigger={"availableNow": True})
     query.awaitTermination()
