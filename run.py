@@ -54,6 +54,7 @@ def arguments(argv=None):
     stream.add_argument("--source", required=True, help="folder with job-events and task-events, or kafka")
     stream.add_argument("--output-dir", required=True)
     stream.add_argument("--mode", choices=["complete", "update"], default="update")
+    stream.add_argument("--watermark", help='how late events may be, say "1 hour"; bounds the state in update mode')
     stream.add_argument("--available-now", action="store_true", help="stop when all events are counted")
 
     for command in (replay, stream):
@@ -85,7 +86,7 @@ def run(spark, args):
     elif args.command == "stream":
         sources = {kind: place(args.source, kind) for kind in ("job", "task")}
         trigger = {"availableNow": True} if args.available_now else None
-        queries = start_all(spark, sources, args.output_dir, args.unit, args.mode, trigger, **options)
+        queries = start_all(spark, sources, args.output_dir, args.unit, args.mode, trigger, args.watermark, **options)
         if not args.available_now:
             await_any(spark)
         for query in queries.values():

@@ -229,3 +229,20 @@ def test_registered_streams_run_in_several_batches(spark, monkeypatch):
     monkeypatch.setattr(counts, "start_counts", lambda *a, **kw: started.append(start_counts(*a, **kw)) or started[-1])
     tables.a11_stream_task_event_type(spark, "/root/testdata/sf0.001").count()
     assert len([p for p in started[0].recentProgress if p["numInputRows"]]) == tables.STREAM_PARTS
+
+
+def test_runner_forgets_times_behind_the_watermark(spark, topic, tmp_path):
+    from run import arguments
+    from traceops.plans.streams import start_all
+
+    args = arguments(["stream", "--source", "s", "--output-dir", "o", "--watermark", "10 minutes"])
+    put(topic, "4.json", [message(10_000, "0")])
+    for late in (None, "5.json"):
+        if late:  # behind the watermark, and just inside it
+            put(topic, late, [message(100, "0"), message(9_900, "0")])
+        queries = start_all(spark, {kind: str(topic) for kind in ("job", "task")}, f"{tmp_path}/live",
+                            trigger=ONCE, watermark=args.watermark)
+        for query in queries.values():
+            query.awaitTermination()
+    got = as_dict(counts.read_counts(spark, f"{tmp_path}/live/counts/job_by_event_type", "event_type", mode="update"), "event_type")
+    assert got[100.0, "0"] == 4 and got[9_900.0, "0"] == 1 and got[10_000.0, "0"] == 1

@@ -17,19 +17,21 @@ def _name(kind: str, dim: str) -> str:
 
 
 def start_all(spark: SparkSession, sources: dict[str, str], output: str, unit="s", mode="update",
-              trigger=None, **options) -> dict[str, StreamingQuery]:
+              trigger=None, watermark=None, **options) -> dict[str, StreamingQuery]:
     """Starts jobs and tasks by event type and class; `sources` maps job and task to a source.
 
     Each query has its own name, checkpoint, count table and gauge files below `output`, so a
     restart with the same `output` goes on where it stopped. The progress of the first query
-    of jobs and of tasks is written as gauges too.
+    of jobs and of tasks is written as gauges too. With a `watermark`, say "1 hour", update mode
+    forgets older event times and events that come later than that are left out; without one, and
+    in complete mode, the state holds every event time.
     """
     spark.streams.addListener(gauges.ProgressFiles(
         spark, f"{output}/gauges/progress", {_name(kind, "event_type"): f"{kind}_events" for kind in sources}))
     queries = {}
     for kind, dim in COUNTS:
         name = _name(kind, dim)
-        grouped = counts.stream_counts(read_events(spark, sources[kind], kind, unit, **options), dim)
+        grouped = counts.stream_counts(read_events(spark, sources[kind], kind, unit, **options), dim, watermark=watermark)
         queries[name] = counts.start_counts(
             grouped, f"{output}/counts/{name}", f"{output}/state/{name}", name, mode, trigger,
             also=gauges.GaugeFiles(f"{output}/gauges/{name}", kind, dim))
