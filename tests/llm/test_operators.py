@@ -245,6 +245,26 @@ def test_edited_passages_are_found(spark, docs):
     assert decontam.find_contamination(empty(docs), bench).count() == 0
 
 
+def test_much_edited_passages_are_found_like_by_alignment_of_all_pairs(spark):
+    items = {i: [f"i{i}w{k}" for k in range(size)] for i, size in enumerate((14, 16, 24, 36, 59))}
+    docs = {}
+    for item in items.values():
+        for every in (5, 4):  # one word in five or four is another one
+            docs[len(docs)] = [f"d{len(docs)}n{k}" if k % every == every - 2 else w for k, w in enumerate(["before", *item, "after"])]
+    rng = random.Random(3)
+    for i, item in items.items():
+        docs[len(docs)] = [f"r{i}n{k}" if rng.random() < 0.3 else w for k, w in enumerate(item)]
+    docs[len(docs)] = items[2]  # an exact copy beside the edited ones
+    want = {(d, i) for d, text in docs.items() for i, item in items.items()
+            if slow_align(item, text) >= decontam.LEAST_SCORE * decontam.MATCH * len(item)}
+    assert len(want) >= 11
+    table = spark.createDataFrame([(d, " ".join(x)) for d, x in docs.items()], "doc_id BIGINT, text STRING")
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in items.items()], "item_id BIGINT, text STRING")
+    assert {(r.doc_id, r.item_id) for r in decontam.find_contamination(table, bench).collect()} == want
+    left = {r.doc_id for r in decontam.clean_documents(table, bench).collect()}
+    assert left == set(docs) - {d for d, _ in want}
+
+
 # --- 9: neighbours --------------------------------------------------------------
 
 def test_neighbours_against_brute_force(spark):

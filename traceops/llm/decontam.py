@@ -1,14 +1,14 @@
-"""Passages of a benchmark in training documents, also edited ones: rare n-gram seeds, then Smith-Waterman.
+"""Passages of a benchmark in training documents, also edited ones: n-gram seeds, then Smith-Waterman.
 
-Words are lower-cased and lose the punctuation around them. Document frequencies of all the benchmark's n-grams
-are counted over all documents; the rarer half of each item's n-grams are its seeds, however frequent they are, so
-that a passage that many documents hold still has seeds. A seed in a document joins it with the item; the words
-around it are aligned with the item, and the score is the best local alignment over that of the whole item with
-itself. A document that holds an item unchanged scores 1.
+Words are lower-cased and lose the punctuation around them. Every n-gram of an item is a seed, so a copy is aligned
+wherever `n` words in a row are left of it, however many of its other words were changed and however frequent the
+n-gram is. A seed in a document joins it with the item; the words around it are aligned with the item, and the score
+is the best local alignment over that of the whole item with itself. A document that holds an item unchanged scores 1.
+Windows that hold too few of the item's words to reach the least score are passed over, which loses no match.
 
 The benchmark is a stated set of queries and goes to all tasks in blocks of at most BLOCK_ITEMS items; documents
-are never shuffled. Items with fewer than `n` words have no seed and match nothing. Null and empty texts match
-nothing. Documents that repeat an id give rows of their own, equal rows included; null ids are kept. An empty table
+are never shuffled. Items with fewer than `n` words have no seed and match nothing, and a copy without `n` unchanged
+words in a row is not found, whatever it scores. Null and empty texts match nothing. Documents that repeat an id give rows of their own, equal rows included; null ids are kept. An empty table
 or benchmark gives no row.
 """
 
@@ -49,9 +49,6 @@ class Items:
     grams: np.ndarray
     owners: list[list[tuple[int, int]]]  # (item, place) of each gram
 
-    def chosen(self, seeds: np.ndarray) -> Items:
-        return Items(self.ids, self.tokens, self.vocabulary, self.grams[seeds], [self.owners[i] for i in seeds])
-
 
 def _codes(numbers: np.ndarray, size: int, n: int) -> np.ndarray:
     """One number for each n following words; negative where a word is none of the benchmark's."""
@@ -159,7 +156,9 @@ def matches(texts: pa.Array, items: Items, least: float, n: int = NGRAM) -> list
             window = text[a:b]
             key = item, window.tobytes()
             if key not in seen:
-                seen[key] = align(token, window)
+                # no alignment scores more than a match for each of the item's words that the window holds
+                most = MATCH * int(np.isin(token, window).sum()) / (MATCH * len(token))
+                seen[key] = align(token, window) if most >= least else (0, 0, 0)
             score, x, y = seen[key]
             if score > best[0]:
                 best = (score, a + x, a + y)
@@ -175,18 +174,6 @@ def word_spans(text: str) -> list[tuple[int, int]]:
     return [m.span() for m in re.finditer(r"[^ \t\n\r\x0b\x0c]+", text) if any(c.isalnum() for c in m[0])]
 
 
-def seeds_of(items: Items, frequency: np.ndarray) -> np.ndarray:
-    """The rarer half of each item's n-grams."""
-    kept = set()
-    own: list[list[int]] = [[] for _ in items.ids]
-    for g, owners in enumerate(items.owners):
-        for item in {i for i, _ in owners}:
-            own[item].append(g)
-    for grams in own:
-        kept.update(sorted(grams, key=lambda g: (frequency[g], int(items.grams[g])))[:(len(grams) + 1) // 2])
-    return np.array(sorted(kept), dtype=np.int64)
-
-
 def find_contamination(docs: DataFrame, benchmark: DataFrame, id_column="doc_id", text_column="text", item_column="item_id",
                        item_text_column="text", least=LEAST_SCORE, n=NGRAM, block_items=BLOCK_ITEMS) -> DataFrame:
     """doc_id, item_id, score, start, end of every document and item whose alignment scores `least` or more."""
@@ -201,19 +188,18 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_column="doc_id"
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text_column="text", item_column="item_id", item_text_column="text",
                     least=LEAST_SCORE, n=NGRAM, block_items=BLOCK_ITEMS) -> DataFrame:
     """The rows of `docs`, with all their columns, that match no item."""
-    texts = picked(docs, text=text_column)
     kept = docs
     for items in item_blocks(benchmark, item_column, item_text_column, n, block_items):
-        kept = _without(kept, text_column, items.chosen(seeds_of(items, gram_frequencies(texts, items, n))), least, n)
+        kept = _without(kept, text_column, items, least, n)
     return kept
 
 
-def _without(docs: DataFrame, text_column: str, seeds: Items, least: float, n: int) -> DataFrame:
+def _without(docs: DataFrame, text_column: str, items: Items, least: float, n: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for piece in parts(batch, text_column):
                 keep = np.ones(piece.num_rows, dtype=bool)
-                keep[np.array([d for d, *_ in matches(strings(piece.column(text_column)), seeds, least, n)], dtype=np.int64)] = False
+                keep[np.array([d for d, *_ in matches(strings(piece.column(text_column)), items, least, n)], dtype=np.int64)] = False
                 yield piece.filter(pa.array(keep))
 
     return docs.mapInArrow(run, docs.schema)
@@ -229,27 +215,7 @@ def item_blocks(benchmark: DataFrame, item_column: str, text_column: str, n: int
         yield numbered([(r.item, r.text) for r in rows], n)
 
 
-def gram_frequencies(docs: DataFrame, items: Items, n: int) -> np.ndarray:
-    """In how many documents each n-gram of the items stands; as many numbers as the items have n-grams."""
-
-    def count(batches):
-        total = np.zeros(len(items.grams), np.int64)
-        for batch in batches:
-            for piece in parts(batch, "text"):
-                _, _, doc, _, gram = hits(strings(piece.column("text")), items, n)
-                total += np.bincount(np.unique(doc * len(items.grams) + gram) % len(items.grams), minlength=len(items.grams))
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["gram", "n"])
-
-    frequency = np.zeros(len(items.grams), np.int64)
-    if len(frequency):
-        for row in docs.select("text").mapInArrow(count, "gram BIGINT, n BIGINT").groupBy("gram").agg(F.sum("n").alias("n")).collect():
-            frequency[row.gram] = row.n
-    return frequency
-
-
 def _block(docs: DataFrame, items: Items, least: float, n: int) -> DataFrame:
-    seeds = items.chosen(seeds_of(items, gram_frequencies(docs, items, n)))
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("start", pa.int64()), ("end", pa.int64())])
 
     def run(batches):
@@ -257,7 +223,7 @@ def _block(docs: DataFrame, items: Items, least: float, n: int) -> DataFrame:
             for piece in parts(batch, "text"):
                 texts = strings(piece.column("text"))
                 keys, spans, out = piece.column("key"), {}, []
-                for d, item, score, a, b in matches(texts, seeds, least, n):
+                for d, item, score, a, b in matches(texts, items, least, n):
                     if d not in spans:
                         spans = {d: word_spans(texts[d].as_py())}
                     out.append((keys[d].as_py(), items.ids[item], score, spans[d][a][0], spans[d][b - 1][1]))
