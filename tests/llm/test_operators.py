@@ -147,6 +147,19 @@ def test_obfuscated_words_are_restored():
     assert {"stupid", "loser"} <= found
 
 
+def test_doubled_and_spaced_words_are_restored():
+    words = ["stupid", "loser", "moron", "trash", "plain", "words", "trust", "stones", "lost", "paste", "idiot", "a", "i", "y", "a", "i", "you", "are"]
+    model = toxicity.log_probabilities(toxicity.trigram_counts(pa.array([" ".join(words)] * 20))).tolist()
+    for written, meant in (("stuupid", {"stupid"}), ("iddiot", {"idiot"}), ("sttuuppiidd!", {"stupid"}), ("so a m o r o n here", {"moron"}),
+                           ("So I i d i o t.", {"idiot"}), ("s t u p i d  l o s e r", {"stupid", "loser"}), ("a m 0 r 0 n", {"moron"}),
+                           ("you are a i d i 0 t, l 0 0 s e r", {"idiot", "loser"}), ("s t u p i d", {"stupid"})):
+        _, sign, names = toxicity.signs(pa.array([written]), model)
+        assert meant <= {names[i] for i in sign}, written
+    lexicon = toxicity.Lexicon(["stupid", "loser", "moron"], np.log1p(-np.array([0.9, 0.9, 0.9])), model)
+    weight = lexicon.weight(pa.array(["stupid", "stuupid", "s t u p i d", "a m o r o n", "s t u p i d l o s e r", "plain words", "a i y a i", ""]))
+    assert np.allclose(weight / weight[0], [1, 1, 1, 1, 2, 0, 0, 0])
+
+
 # --- 5: lines -------------------------------------------------------------------
 
 def test_lines_are_cut_with_their_places(spark, docs):

@@ -1,8 +1,9 @@
 """Toxicity of texts after undoing obfuscation by a noisy-channel model.
 
 A word that was written in leetspeak, with separators, with blanks between its letters or with repeated letters is
-a lattice of possible letters. Viterbi decoding finds the likeliest path under a character trigram model, which is
-counted over all documents. Restored words and their first letters are then looked up in a lexicon of strong signs,
+a lattice of possible letters. Every word with two equal letters in a row is one of these too. Viterbi decoding
+finds the likeliest path under a character trigram model, which is counted over all documents; between letters that
+were written with blanks any place may be the edge of a word. Restored words and their first letters are then looked up in a lexicon of strong signs,
 learned from labelled documents. Signs combine by noisy-or, and a logistic curve, fitted on the same documents,
 turns their weight into a probability.
 
@@ -108,8 +109,11 @@ def log_probabilities(count: np.ndarray) -> np.ndarray:
     return np.log((three + 5 * p2) / (three.sum(axis=2, keepdims=True) + 5))
 
 
-def lattice(word: str) -> list[list[tuple[str, float]]]:
-    """For each written character or run of it, the letters it may stand for and their costs."""
+def lattice(word: str, edges: bool = False) -> list[list[tuple[str, float]]]:
+    """For each written character or run of it, the letters it may stand for and their costs.
+
+    With `edges` a word may end after every character; such places are blanks among the letters.
+    """
     out = []
     for run in re.finditer(r"(.)\1*", word.lower(), re.S):
         char, size = run[1], len(run[0])
@@ -120,32 +124,52 @@ def lattice(word: str) -> list[list[tuple[str, float]]]:
             spellings.append(("", _KEEP_COST))
         else:
             spellings = [("", 0.0 if char in _SEPARATORS else _KEEP_COST)]
+        if edges:
+            for n in range(2, min(size, 3) + 1):
+                ones = [(letters, cost) for letters, cost in spellings if len(letters) == 1]
+                spellings += [(x * k + " " + x * (n - k), 0.0 if x == char else cost) for x, cost in ones for k in range(1, n)]
+            if out:
+                out.append([("", 0.0), (" ", 0.0)])
         out.append(spellings)
     return out
 
 
-def decode(word: str, model: list) -> str:
-    """The likeliest letters for a written word; `model[a][b][c]` is the log probability of c after a, b."""
-    states = {(0, 0): (0.0, "")}
-    for spellings in lattice(word):
-        after: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (score, text) in states.items():
+def decode(word: str, model: list, edges: bool = False) -> str:
+    """The likeliest letters for a written word; `model[a][b][c]` is the log probability of c after a, b.
+
+    With `edges` these may be several words, with blanks between them.
+    """
+    states: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}  # score, (letters before, last letters)
+    for spellings in lattice(word, edges):
+        after: dict[tuple[int, int], tuple[float, tuple]] = {}
+        for (a, b), (score, path) in states.items():
             for letters, cost in spellings:
                 x, y, now = a, b, score - cost
                 for letter in letters:
+                    if letter == " ":
+                        # no word is empty
+                        now += model[x][y][0] if y else -math.inf
+                        x = y = 0
+                        continue
                     code = ord(letter)
                     z = int(_NUMBER[code]) if code < 0x250 else 27
                     now += model[x][y][z]
                     x, y = y, z
                 old = after.get((x, y))
-                if old is None or now > old[0]:
-                    after[x, y] = (now, text + letters)
+                if now > -math.inf and (old is None or now > old[0]):
+                    after[x, y] = (now, (path, letters) if letters else path)
         states = after
-    return max((score + model[a][b][0], text) for (a, b), (score, text) in states.items())[1]
+    path = max(((score + (model[a][b][0] if b or not edges else 0.0), path) for (a, b), (score, path) in states.items()), key=lambda x: x[0])[1]
+    out = []
+    while path:
+        path, letters = path
+        out.append(letters)
+    return "".join(reversed(out))
 
 
 _TRAILING = re.compile(r"(?:([&%*$#!.,;:?~=])\1+|[.,;:?!\"')\]}&%*#»”…])+$")
 _LEADING = re.compile(r"^[\"'(\[{.,;:?&%*#«“¡¿]+")
+_DOUBLE = re.compile(r"(.)\1")
 _PIECE = re.compile(r"[^\W\d_]+")
 
 
@@ -158,13 +182,13 @@ def restored(values: pa.Array, model: list) -> tuple[pa.Array, dict[int, list[st
     changed = pc.not_equal(core, plain).to_numpy(zero_copy_only=False)
     text = values.to_pylist()
     flat = np.frombuffer("\0".join(["", *text, ""]).encode("utf-32-le"), dtype=np.uint32)
-    triple = np.flatnonzero((flat[2:] == flat[1:-1]) & (flat[1:-1] == flat[:-2]))
+    double = np.flatnonzero((flat[1:] == flat[:-1]) & (flat[1:] != 0))
     repeated = np.zeros(len(text), dtype=bool)
-    repeated[(np.cumsum(flat == 0) - 1)[triple]] = True
+    repeated[(np.cumsum(flat == 0) - 1)[double]] = True
     more = {}
     for i in np.flatnonzero(has_letter & (~letters_only | changed | repeated)):
         word = _LEADING.sub("", _TRAILING.sub("", text[i]))
-        if word and not (word.isalpha() and not re.search(r"(.)\1\1", word)):
+        if word and not (word.isalpha() and not _DOUBLE.search(word)):
             more[int(i)] = list(dict.fromkeys([decode(word, model), *(x for x in _PIECE.findall(word) if len(x) > 2)]))
     return plain, more
 
@@ -184,6 +208,12 @@ def spaced(offsets: np.ndarray, codes: np.ndarray, values: pa.Array) -> list[tup
     return out
 
 
+def apart(letters: str, model: list) -> list[str]:
+    """The readings of a run of spaced letters: as one word, then as several words, if these differ."""
+    one, several = decode(letters, model), decode(letters, model, edges=True).split()
+    return [one, *several] if several != [one] else [one]
+
+
 def signs(texts: pa.Array, model: list) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """(docs, signs, names): distinct pairs of a text and a word or word start in it."""
     offsets, codes, values = words(pc.utf8_lower(texts))
@@ -194,8 +224,8 @@ def signs(texts: pa.Array, model: list) -> tuple[np.ndarray, np.ndarray, list[st
     owner.append(np.array([i for i, _ in extra], dtype=np.int64))
     names.append(pa.array([w for _, w in extra], pa.string()))
     word, owner = pa.concat_arrays([x.cast(pa.string()) for x in names]), np.concatenate(owner)
-    joined = spaced(offsets, codes, values)
-    apart = pa.array([decode(letters, model) for _, letters in joined], pa.string())
+    joined = [(d, w) for d, letters in spaced(offsets, codes, values) for w in apart(letters, model)]
+    loose_words = pa.array([w for _, w in joined], pa.string())
 
     def starts(array):
         size = pc.utf8_length(array).to_numpy(zero_copy_only=False)
@@ -206,7 +236,7 @@ def signs(texts: pa.Array, model: list) -> tuple[np.ndarray, np.ndarray, list[st
     # numbers for all names of words
     pieces = [(owner, word)] + [(owner[at], names) for at, names in starts(word)]
     loose_doc = np.array([d for d, _ in joined], dtype=np.int64)
-    loose = [(loose_doc, apart)] + [(loose_doc[at], names) for at, names in starts(apart)]
+    loose = [(loose_doc, loose_words)] + [(loose_doc[at], names) for at, names in starts(loose_words)]
     coded = pa.concat_arrays([x.cast(pa.string()) for _, x in pieces + loose]).dictionary_encode()
     number = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     total = sum(len(x) for x, _ in pieces)
@@ -257,7 +287,12 @@ class Lexicon:
         total = np.bincount(doc, weights=of_value[codes], minlength=len(texts))
         joined = spaced(offsets, codes, values)
         if joined:
-            np.add.at(total, [d for d, _ in joined], doubt(pa.array([decode(w, self.model) for _, w in joined], pa.string())))
+            read = [apart(letters, self.model) for _, letters in joined]
+            each = doubt(pa.array([w for found in read for w in found], pa.string()))
+            first = np.cumsum([0, *map(len, read)])
+            # one word or several are two readings of the same letters: the stronger counts
+            best = [min(each[a], each[a + 1:b].sum()) for a, b in zip(first, first[1:])]
+            np.add.at(total, [d for d, _ in joined], best)
         return np.minimum(-total, MOST_WEIGHT)
 
 
