@@ -303,6 +303,35 @@ def test_neighbours_against_brute_force(spark):
     assert neighbour_graph.nearest(table.filter("vec_id < 0"), lambda i: i % 50 == 0).count() == 0
 
 
+def scores(vectors, q):
+    return [float(np.dot(vectors[q], x) / (np.sqrt(np.dot(vectors[q], vectors[q])) * np.sqrt(np.dot(x, x)))) for x in vectors]
+
+
+def by_force(vectors, q, k=5):
+    score = scores(vectors, q)
+    return sorted((i for i in range(len(vectors)) if i != q), key=lambda i: (-score[i], i))[:k]
+
+
+def test_small_tables_at_many_partitions(spark):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        for size in (3, 12):
+            vectors = np.random.default_rng(size).normal(size=(size, 8))
+            table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id BIGINT, embedding ARRAY<DOUBLE>")
+            got = defaultdict(list)
+            for r in neighbour_graph.nearest(table, lambda i: i % 4 == 0).orderBy("query_id", "rank").collect():
+                got[r.query_id].append(r.vec_id)
+            assert got == {q: by_force(vectors, q) for q in range(0, size, 4)}
+        # queries without edges
+        nodes, _ = neighbour_graph.nodes_of(neighbour_graph.valid_vectors(table, "vec_id", "embedding"), 6)
+        graph = neighbour_graph.neighbour_graph(nodes).filter("node != 0")
+        found = neighbour_graph.greedy_search(nodes.select("node").filter("node < 2"), graph, nodes).collect()
+        assert {r.found for r in found if r.node == 0} == set(range(1, 12))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 # --- 10: near copies ------------------------------------------------------------
 
 def brute_components(rows):

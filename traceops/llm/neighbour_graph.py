@@ -130,7 +130,9 @@ def start_edges(nodes: DataFrame, count: int, degree: int) -> DataFrame:
             yield emit(ids, rows)
 
     coded = checkpointed(nodes.mapInArrow(signs, "code BIGINT, node BIGINT, q BINARY"))
+    # a part holds several runs, however many parts the session asks for
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, min(parts, STARTS * count // (8 * RUN)))
     ordered = coded.repartitionByRange(parts, "code", F.xxhash64("node")).sortWithinPartitions("code", F.xxhash64("node"))
     # a run may hold one node twice where two orders meet
     return ordered.mapInArrow(inside, "node BIGINT, s BIGINT, to BIGINT").filter("node != to")
@@ -191,9 +193,6 @@ def neighbour_graph(nodes: DataFrame, degree=DEGREE, hear=HEAR, rounds=ROUNDS) -
 
 def greedy_search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, beam=BEAM, opened=OPEN, rounds=SEARCH_ROUNDS) -> DataFrame:
     """node, found: for the nodes of `queries`, the nodes of the beam after the walk (the node itself is not among them)."""
-    state = queries.join(graph, "node").select(
-        "node", F.transform(F.arrays_zip("s", "to"), lambda e: F.struct(e["s"].alias("s"), e["to"].alias("to"), F.lit(False).alias("done"))).alias("beam"))
-    state = checkpointed(state)
     own = checkpointed(queries.join(nodes, "node").select(F.col("node").alias("query"), F.col("q").alias("qq")))
     schema = pa.schema([("query", pa.int64()), ("to", pa.int64()), ("s", pa.int64())])
 
@@ -203,6 +202,14 @@ def greedy_search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, beam=B
             s = np.einsum("ij,ij->i", a, b).astype(np.int64) if len(batch.column("q")) else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("query"), batch.column("to"), pa.array(s)], schema=schema)
 
+    # a query without neighbours starts from fixed nodes
+    entries = [r.node for r in nodes.select("node").orderBy(F.xxhash64("node"), "node").limit(DEGREE).collect()]
+    lost = queries.join(graph, "node", "left_anti").select("node", F.explode(F.array(*map(F.lit, entries)).cast("array<bigint>")).alias("to"))
+    lost = lost.filter("node != to").join(nodes.select(F.col("node").alias("to"), "q"), "to").join(own.withColumnRenamed("query", "node"), "node")
+    lost = lost.select(F.col("node").alias("query"), "to", "q", "qq").mapInArrow(score, "query BIGINT, to BIGINT, s BIGINT")
+    lost = _best(lost.withColumnRenamed("query", "node"), DEGREE)
+    state = checkpointed(queries.join(graph, "node").select("node", "s", "to").union(lost).select(
+        "node", F.transform(F.arrays_zip("s", "to"), lambda e: F.struct(e["s"].alias("s"), e["to"].alias("to"), F.lit(False).alias("done"))).alias("beam")))
     links = graph.select("node", "to")
     for _ in range(rounds):
         open_now = state.select("node", F.slice(F.filter("beam", lambda e: ~e["done"]), 1, opened).alias("now"))
