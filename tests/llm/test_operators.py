@@ -332,6 +332,19 @@ def test_small_tables_at_many_partitions(spark):
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
+def test_neighbours_among_vectors_alike_in_16_bits(spark):
+    rng = np.random.default_rng(9)
+    one, other = np.array([1, 0, 0, 0, 0, 0, 0, 0.0]), rng.normal(size=8)
+    vectors = np.array([one * rng.integers(1, 9) + rng.normal(size=8) * 1e-6 for _ in range(700)]  # one 16-bit form
+                       + [other * 2.0 ** (i % 5) for i in range(100)] + list(rng.normal(size=(100, 8))))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id BIGINT, embedding ARRAY<DOUBLE>")
+    got = defaultdict(list)
+    for r in neighbour_graph.nearest(table, lambda i: i % 50 == 0).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    assert set(got) == set(range(0, 900, 50))
+    assert {q: got[q] for q in range(0, 800, 50)} == {q: by_force(vectors, q) for q in range(0, 800, 50)}
+
+
 # --- 10: near copies ------------------------------------------------------------
 
 def brute_components(rows):

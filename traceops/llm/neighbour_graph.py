@@ -1,6 +1,7 @@
 """Approximate nearest neighbours by NN-descent: a neighbour graph from joins of neighbours of neighbours.
 
-Equal vectors are one node, so copies neither crowd the graph nor hide each other. Nodes start with neighbours from
+Vectors with the same 16-bit form are one node, so copies, rescaled ones and those that differ by noise neither crowd
+the graph nor hide each other; all of a node's vectors are scored for the queries that reach it. Nodes start with neighbours from
 short runs in the order of random hyperplane signs. In each round a node gathers its neighbours and some of the
 nodes it is a neighbour of, with their vectors, and tells each of them about the closest others; every node keeps
 its best. Queries walk the graph greedily: the best nodes not yet opened give their neighbours, until the beam has
@@ -58,32 +59,31 @@ def valid_vectors(vectors: DataFrame, id_column: str, vector_column: str) -> Dat
 
 
 def nodes_of(rows: DataFrame, copies: int) -> tuple[DataFrame, DataFrame]:
-    """(nodes, members): node, q of each distinct vector; node and its `copies` smallest ids each."""
+    """(nodes, members): node, q of each distinct 16-bit form; node, id, v, h of its vectors, of equal ones the `copies` smallest ids."""
     rows = rows.withColumn("h", F.md5(F.to_json("v").cast("binary")))
     # copies may be a third of all rows: their smallest ids are found in salted parts first
     parts = Window.partitionBy("h", F.pmod(F.xxhash64("id"), F.lit(64))).orderBy("id")
     few = rows.withColumn("_n", F.row_number().over(parts)).filter(F.col("_n") <= copies)
     few = few.withColumn("_n", F.row_number().over(Window.partitionBy("h").orderBy("id"))).filter(F.col("_n") <= copies)
-    few = few.withColumn("node", F.min("id").over(Window.partitionBy("h")))
-    members = checkpointed(few.select("node", "id", "v", "h"))
-    schema = pa.schema([("node", pa.int64()), ("q", pa.binary())])
 
     def quantise(batches):
         for batch in batches:
             v = _matrix(batch.column("v"), np.float64)
             v = v / np.abs(v).max(axis=1, keepdims=True)
             q = np.rint(v / np.linalg.norm(v, axis=1, keepdims=True) * SCALE).astype("<i2")
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([x.tobytes() for x in q], pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([x.tobytes() for x in q], pa.binary())], names=["id", "v", "h", "q"])
 
-    nodes = members.filter("node = id").select("node", "v").mapInArrow(quantise, "node BIGINT, q BINARY")
-    return checkpointed(nodes), members
+    coded = checkpointed(few.select("id", "v", "h").mapInArrow(quantise, "id BIGINT, v ARRAY<DOUBLE>, h STRING, q BINARY"))
+    nodes = checkpointed(coded.groupBy("q").agg(F.min("id").alias("node")).select("node", "q"))
+    return nodes, checkpointed(coded.join(nodes, "q").select("node", "id", "v", "h"))
 
 
 def _best(edges: DataFrame, degree: int) -> DataFrame:
     """node, s, to: each node's best neighbours, as parallel lists."""
-    best = F.slice(F.sort_array(F.collect_set(F.struct("s", "to")), asc=False), 1, degree)
+    # the complement turns the order of ids round, so ties go to the smaller one
+    best = F.slice(F.sort_array(F.collect_set(F.struct("s", F.bitwise_not("to").alias("r"))), asc=False), 1, degree)
     lists = edges.groupBy("node").agg(best.alias("best"))
-    return lists.select("node", F.transform("best", lambda x: x["s"]).alias("s"), F.transform("best", lambda x: x["to"]).alias("to"))
+    return lists.select("node", F.transform("best", lambda x: x["s"]).alias("s"), F.transform("best", lambda x: F.bitwise_not(x["r"])).alias("to"))
 
 
 def _edges(graph: DataFrame) -> DataFrame:
@@ -139,7 +139,7 @@ def start_edges(nodes: DataFrame, count: int, degree: int) -> DataFrame:
 
 
 def descend(graph: DataFrame, nodes: DataFrame, degree: int, hear: int, turn: int) -> DataFrame:
-    """One round: the candidates that nodes hear of from a common neighbour, as edges better than their worst."""
+    """One round: the candidates that nodes hear of from a common neighbour, as edges no worse than their worst."""
     edges = _edges(graph).select("node", "to")
     known = edges.groupBy("to").agg(F.count("*").alias("n"))
     # a node that is a neighbour of many hears a sample of them
@@ -169,7 +169,7 @@ def descend(graph: DataFrame, nodes: DataFrame, degree: int, hear: int, turn: in
                 k = min(TELL, b - a - 1)
                 at = np.argpartition(-dot, k - 1, axis=1)[:, :k]
                 s = np.take_along_axis(dot, at, 1)
-                row, column = np.nonzero(s > worst[a:b, None])
+                row, column = np.nonzero((s >= worst[a:b, None]) & (s > np.iinfo(np.int64).min))  # not the node itself
                 out.append(np.stack([to[a:b][row], s[row, column], to[a:b][at[row, column]]]))
             found = np.concatenate(out, axis=1) if out else np.zeros((3, 0), np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], schema=schema)
@@ -209,24 +209,24 @@ def greedy_search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, beam=B
     lost = lost.select(F.col("node").alias("query"), "to", "q", "qq").mapInArrow(score, "query BIGINT, to BIGINT, s BIGINT")
     lost = _best(lost.withColumnRenamed("query", "node"), DEGREE)
     state = checkpointed(queries.join(graph, "node").select("node", "s", "to").union(lost).select(
-        "node", F.transform(F.arrays_zip("s", "to"), lambda e: F.struct(e["s"].alias("s"), e["to"].alias("to"), F.lit(False).alias("done"))).alias("beam")))
+        "node", F.transform(F.arrays_zip("s", "to"), lambda e: F.struct(e["s"].alias("s"), F.bitwise_not(e["to"]).alias("r"), F.lit(False).alias("done"))).alias("beam")))
     links = graph.select("node", "to")
     for _ in range(rounds):
         open_now = state.select("node", F.slice(F.filter("beam", lambda e: ~e["done"]), 1, opened).alias("now"))
-        asked = checkpointed(open_now.filter(F.size("now") > 0).select(F.col("node").alias("query"), F.explode("now.to").alias("node")))
+        asked = checkpointed(open_now.filter(F.size("now") > 0).select(F.col("node").alias("query"), F.explode("now.r").alias("r")).select("query", F.bitwise_not("r").alias("node")))
         if not asked.limit(1).count():
             break
         near = asked.join(links, "node").select("query", F.explode("to").alias("to")).distinct().filter("query != to")
-        held = state.select(F.col("node").alias("query"), F.transform("beam", lambda e: e["to"]).alias("held"))
-        near = near.join(held, "query").filter(~F.array_contains("held", F.col("to"))).drop("held")
+        held = state.select(F.col("node").alias("query"), F.transform("beam", lambda e: e["r"]).alias("held"))
+        near = near.join(held, "query").filter(~F.array_contains("held", F.bitwise_not("to"))).drop("held")
         near = near.join(nodes.select(F.col("node").alias("to"), "q"), "to").join(own, "query")
         fresh = near.mapInArrow(score, "query BIGINT, to BIGINT, s BIGINT").groupBy(F.col("query").alias("node")).agg(
-            F.collect_list(F.struct("s", "to", F.lit(False).alias("done"))).alias("fresh"))
-        marks = open_now.select("node", F.transform("now", lambda e: e["to"]).alias("now"))
-        marked = F.transform("beam", lambda e: F.struct(e["s"].alias("s"), e["to"].alias("to"), (e["done"] | F.array_contains("now", e["to"])).alias("done")))
-        merged = F.slice(F.sort_array(F.concat(marked, F.coalesce("fresh", F.array().cast("array<struct<s: bigint, to: bigint, done: boolean>>"))), asc=False), 1, beam)
+            F.collect_list(F.struct("s", F.bitwise_not("to").alias("r"), F.lit(False).alias("done"))).alias("fresh"))
+        marks = open_now.select("node", F.transform("now", lambda e: e["r"]).alias("now"))
+        marked = F.transform("beam", lambda e: F.struct(e["s"].alias("s"), e["r"].alias("r"), (e["done"] | F.array_contains("now", e["r"])).alias("done")))
+        merged = F.slice(F.sort_array(F.concat(marked, F.coalesce("fresh", F.array().cast("array<struct<s: bigint, r: bigint, done: boolean>>"))), asc=False), 1, beam)
         state = checkpointed(state.join(marks, "node").join(fresh, "node", "left").select("node", merged.alias("beam")))
-    return state.select("node", F.explode("beam.to").alias("found"))
+    return state.select("node", F.explode("beam.r").alias("r")).select("node", F.bitwise_not("r").alias("found"))
 
 
 def nearest(vectors: DataFrame, queries_of, id_column="vec_id", vector_column="embedding", k=5, degree=DEGREE, hear=HEAR, rounds=ROUNDS,
@@ -237,10 +237,10 @@ def nearest(vectors: DataFrame, queries_of, id_column="vec_id", vector_column="e
     nodes, members = nodes_of(rows, k + 1)
     graph = neighbour_graph(nodes, degree, hear, rounds)
     asking = rows.filter(queries_of(F.col("id"))).withColumn("h", F.md5(F.to_json("v").cast("binary")))
-    firsts = members.filter("node = id").select("h", "node")
+    firsts = members.select("h", "node").distinct()
     asking = checkpointed(asking.join(firsts, "h").select(F.col("id").alias("query_id"), F.col("v").alias("qv"), "node"))
     found = greedy_search(asking.select("node").distinct(), graph, nodes, beam)
-    # copies of the query's own vector are candidates too
+    # the vectors of the query's own node are candidates too
     found = found.union(asking.select("node", F.col("node").alias("found")).distinct())
     pairs = asking.join(found, "node").select("query_id", "qv", F.col("found").alias("node"))
     pairs = pairs.join(members.select("node", "id", "v"), "node").filter("id != query_id")
@@ -253,6 +253,9 @@ def nearest(vectors: DataFrame, queries_of, id_column="vec_id", vector_column="e
             yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("id"), pa.array(s, pa.float64())], schema=schema)
 
     scored = pairs.mapInArrow(exact, "query_id BIGINT, vec_id BIGINT, score DOUBLE")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")  # at most the beam's rows for each query
+    # a node may have any number of vectors: the best of salted parts first
+    few = Window.partitionBy("query_id", F.pmod(F.xxhash64("vec_id"), F.lit(64))).orderBy(F.desc("score"), "vec_id")
+    scored = scored.withColumn("rank", F.row_number().over(few)).filter(F.col("rank") <= k)
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
