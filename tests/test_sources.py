@@ -64,6 +64,14 @@ def test_a_broken_file_can_be_passed_over(spark, task_files, tmp_path):
         trace.read_trace(spark, task_files, "task_events").collect()
 
 
+def test_a_broken_file_fails_the_replay(spark, task_files, tmp_path):
+    from traceops.plans.streams import replay_files
+
+    (tmp_path / "task_events" / "part-00003.csv.gz").write_bytes(gzip.compress(b"x" * 4000)[:20])
+    with pytest.raises(Exception, match="CORRUPT|EOF|FAILED_READ_FILE"):
+        replay_files(spark, str(tmp_path), "task", str(tmp_path / "sent"), num_files=9)
+
+
 def test_operators_take_views(spark, task_files):
     from traceops.operators.classes import event_rate_by_class
 

@@ -55,11 +55,14 @@ def current_gauges(spark: SparkSession, queries: dict[str, StreamingQuery], outp
 
 def replay_files(spark: SparkSession, source: str, kind: str, target: str, start_file=0, num_files=1,
                  speed=60, unit="s", waves=1, **options) -> dict[str, DataFrame]:
-    """Sends a slice of the files of `<source>/<kind>_events`; gives the rows sent and rejected."""
+    """Sends a slice of the files of `<source>/<kind>_events`; gives the rows sent and rejected.
+
+    A broken file fails the replay, as the rest of it would be neither sent nor rejected.
+    """
     table = f"{kind}_events"
     files = file_slice(spark, f"{source.rstrip('/')}/{table}", start_file, num_files)
     if not files:
         raise ValueError(f"no files of {table} from number {start_file} on")
-    good, bad = split_rejects(read_text_rows(spark, files, table))
+    good, bad = split_rejects(read_text_rows(spark, files, table, skip_broken_files=False))
     replay.write_replay(good, kind, target, speed, unit=unit, waves=waves, **options)
     return {"sent": good, "rejected": bad}

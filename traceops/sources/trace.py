@@ -43,8 +43,8 @@ def read_trace(spark: SparkSession, path: str, table: str, start_file=0, num_fil
 def read_text_rows(spark: SparkSession, path, table: str, skip_broken_files=True) -> DataFrame:
     """The same files with every field as text, for replay: `""` for an empty field.
 
-    In rows with too few fields the absent ones stay null. A broken file is passed over, as a
-    replay goes on with the next one.
+    In rows with too few fields the absent ones stay null. The rest of a broken file is passed over
+    without a count unless `skip_broken_files` is False, as in a replay, which fails then.
     """
     fields = table_schema(table, text=True)
     # the raw line is there when the number of fields is not the expected one
