@@ -113,6 +113,23 @@ def test_pages(spark):
     assert html_text.extract_pages(pages.filter("page_id < 0")).count() == 0
 
 
+def test_no_running_text_is_left_beside_a_container(spark):
+    body = "body text " * 30
+    first = f"<body><article><h1>Title</h1><p>lead</p><div class='body'><p>{body}</p></div></article></body>"
+    other = f"<body><article><p>{body * 2}</p><div class='body'><p>boxed</p></div></article></body>"
+    plain = f"<body><p>intro</p><div class='body'><p>{body}</p></div></body>"
+    links = f"<body><div><a href='/'>Home page</a> <a href='/x'>Other pages</a></div><div class='body'><p>{body}</p></div></body>"
+    text = body.strip()
+    assert html_text.main_text(first, None)[0] == f"Title\nlead\n{text}"
+    assert html_text.main_text(first, ">body>article>div.body")[0] == f"Title\nlead\n{text}"
+    assert html_text.main_text(other, ">body>article>div.body")[0] == f"{(body * 2).strip()}\nboxed"
+    assert html_text.main_text(plain, None)[0] == f"intro\n{text}"
+    assert html_text.main_text(links, None) == (text, ">body>div.body")
+    pages = spark.createDataFrame([(i, "http://a.org/x", p) for i, p in enumerate([first, first, other])], "page_id BIGINT, url STRING, html STRING")
+    got = {r.page_id: r.text for r in html_text.extract_pages(pages).collect()}
+    assert got == {0: f"Title\nlead\n{text}", 1: f"Title\nlead\n{text}", 2: f"{(body * 2).strip()}\nboxed"}
+
+
 # --- 4, 6: classifiers ----------------------------------------------------------
 
 def labelled(spark, d="/root/testdata/sf0.1"):

@@ -1,9 +1,10 @@
 """Main text of web pages by host paths that the pages of a host agree on.
 
 Each page is read once to find its best container, the deepest element that holds most of the page's running
-text, and votes for its generalised path (tags and classes with digits folded). Spark counts the votes of each
-host. Pages are then read again with the winning path of their host; a page without that path uses its own best
-container.
+text and leaves out only text that is mostly links, never inside an article or main element. It votes for its
+generalised path (tags and classes with digits folded). Spark counts the votes of each host. Pages are then read
+again with the winning path of their host; a page without that path, or where it would leave out more than text of
+links, uses its own best container.
 
 Blocks are joined by line ends; a block's white space is single blanks, character references are decoded. Menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left out by their
@@ -30,6 +31,8 @@ BROADCAST_HOSTS = 50_000
 SALTS = 32
 #: A container is chosen where it holds this share of a page's running text.
 SHARE = 0.7
+#: Text is mostly links with no more than this share of it outside them.
+PLAIN_SHARE = 0.5
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
@@ -84,9 +87,10 @@ def _step(tag: str, attributes: str) -> str:
 
 
 def blocks(page: str):
-    """(path, container, text, size outside links) of each block of running text, in page order.
+    """(containers, found): found has (container, text, size outside links, size in links) of each block of running
+    text, in page order.
 
-    `container` numbers the innermost container, `path` maps container numbers to (path, outer container).
+    `container` numbers the innermost container, `containers` has (path, outer container) of each.
     """
     containers = [("", -1)]
     stack = [("", 0, False)]  # tag, container, left out
@@ -98,7 +102,7 @@ def blocks(page: str):
         if texts:
             text = " ".join(html.unescape("".join(texts)).split())
             if text and not stack[-1][2]:
-                out.append((stack[-1][1], text, plain))
+                out.append((stack[-1][1], text, plain, linked))
             texts.clear()
         linked = plain = 0
 
@@ -107,8 +111,10 @@ def blocks(page: str):
         if token.start() > at and not stack[-1][2]:
             text = page[at:token.start()]
             texts.append(text)
-            if not link:
-                plain += len(text)
+            if link:
+                linked += len(text.strip())
+            else:
+                plain += len(text.strip())
         at = token.end()
         tag = token[3]
         if tag is None:
@@ -148,34 +154,52 @@ def blocks(page: str):
     if at < len(page) and not stack[-1][2]:
         rest = page[at:]
         texts.append(rest.partition("<")[0] if rest.rstrip()[-1:] != ">" and "<" in rest else rest)
-        plain += len(rest)
+        plain += len(rest.strip())
     flush()
     return containers, out
 
 
+def _only_links(plain: int, linked: int) -> bool:
+    return plain <= PLAIN_SHARE * (plain + linked)
+
+
 def best_container(containers, found) -> int:
-    """The deepest container with most of the text outside links."""
-    total = [0] * len(containers)
-    for container, _, plain in found:
+    """The deepest container with most of the text outside links, where what it leaves out is mostly links."""
+    total, links = [0] * len(containers), [0] * len(containers)
+    for container, _, plain, linked in found:
         while container >= 0:
             total[container] += plain
+            links[container] += linked
             container = containers[container][1]
     best = 0
     for i in range(1, len(containers)):
-        if containers[i][1] == best and total[i] >= SHARE * max(total[0], 1):
+        path, outer = containers[i]
+        if outer == best and total[i] >= SHARE * max(total[0], 1) and _only_links(total[best] - total[i], links[best] - links[i]):
             best = i
+            if path.rpartition(">")[2].partition(".")[0] in ("article", "main"):
+                break
     return best
 
 
-def main_text(page: str, winner: str | None) -> tuple[str, str]:
-    """(text, path used) of a page, by the path `winner` where the page has it."""
-    containers, found = blocks(page)
-    chosen = {i for i, (path, _) in enumerate(containers) if path == winner} if winner else set()
-    chosen = chosen or {best_container(containers, found)}
+def _inside(containers, chosen) -> list[bool]:
     inside = [False] * len(containers)
     for i, (_, outer) in enumerate(containers):
         inside[i] = i in chosen or outer >= 0 and inside[outer]
-    text = "\n".join(text for container, text, _ in found if inside[container])
+    return inside
+
+
+def main_text(page: str, winner: str | None) -> tuple[str, str]:
+    """(text, path used) of a page, by the path `winner` where the page has it and no running text lies beside it."""
+    containers, found = blocks(page)
+    chosen = {best_container(containers, found)}
+    inside = _inside(containers, chosen)
+    by_host = {i for i, (path, _) in enumerate(containers) if path == winner} if winner else set()
+    if by_host and by_host != chosen:
+        held = _inside(containers, by_host)
+        lost = [(plain, linked) for container, _, plain, linked in found if inside[container] and not held[container]]
+        if _only_links(sum(x for x, _ in lost), sum(x for _, x in lost)):
+            chosen, inside = by_host, held
+    text = "\n".join(text for container, text, *_ in found if inside[container])
     return text, containers[min(chosen)][0]
 
 
