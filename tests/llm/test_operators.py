@@ -130,6 +130,18 @@ def test_no_running_text_is_left_beside_a_container(spark):
     assert got == {0: f"Title\nlead\n{text}", 1: f"Title\nlead\n{text}", 2: f"{(body * 2).strip()}\nboxed"}
 
 
+def test_no_text_is_dropped_by_tag_or_by_a_literal_sign():
+    for page, want in (("if a < b then c", "if a < b then c"), ("<p>x</p>1 < 2 and 3 <", "x\n1 < 2 and 3 <"), ('cut <a href="x', "cut"),
+                       ("<article><p>one<figure><pre>code</pre><figcaption>caption</figcaption></figure><p>two</article>", "one\ncode\ncaption\ntwo"),
+                       ("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p>", "so x=1 holds"),
+                       ("<p>a</p><object data='x'><p>instead</p></object><p>b</p>", "a\ninstead\nb"),
+                       ("<p>a</p><fieldset><p>boxed</p></fieldset>", "a\nboxed"),
+                       ("<p>a <svg><text>drawn</p><p>b</p>", "a\nb"), ("<p>a <svg>one</svg> b</p>", "a b"),
+                       ("<p>a <select><option>x</p><p>b <select><option>y</select> c</p>", "a\nb c"),
+                       ("<noscript><p>off</p></noscript><p>b</p>", "b"), ("<p>a</p><script>if (a < b) '</p>'", "a")):
+        assert html_text.main_text(page, None)[0] == want, page
+
+
 # --- 4, 6: classifiers ----------------------------------------------------------
 
 def labelled(spark, d="/root/testdata/sf0.1"):

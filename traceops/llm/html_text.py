@@ -7,8 +7,9 @@ again with the winning path of their host; a page without that path, or where it
 links, uses its own best container.
 
 Blocks are joined by line ends; a block's white space is single blanks, character references are decoded. Menus,
-headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left out by their
-tags, roles and class words.
+headers, footers, sidebars, notices, adverts, forms and their controls, scripts, styles, drawings, frames and reader
+comments are left out by their tags, roles and class words. Such an element that is never closed ends at the next end
+of a block.
 
 Null html and pages without text give an empty text. A url without a host votes among the pages without one;
 null ids and repeated rows are kept. An empty table gives no row.
@@ -34,21 +35,26 @@ SHARE = 0.7
 #: Text is mostly links with no more than this share of it outside them.
 PLAIN_SHARE = 0.5
 
+_BLOCK_END = r"</(?:p|div|article|section|main|body|html|td|th|tr|table|li|ul|ol|dd|dl|figure|blockquote|pre|h[1-6])\b"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
-    r"|<(script|style|noscript|template|textarea|svg|title|iframe|select|object|math)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:/>|>.*?(?:</\1\s*>|$))"
+    r"|<(script|style|textarea|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:/>|>.*?(?:</\1\s*>|$))"
+    r"|<(noscript|template|svg|iframe|select)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:/>|>(?:(?:(?!<\2\b).)*?</\2\s*>|.*?(?:(?=" + _BLOCK_END + r")|$)))"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S | re.I)
+_UNFINISHED = re.compile(r"</?[a-zA-Z][^<>]*$")
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _DIGITS = re.compile(r"\d+")
 # fixed values of the HTML format
 _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark q "
-                    "ruby rt rp s samp small span strike strong sub sup time tt u var wbr meta link base source".split())
+                    "ruby rt rp s samp small span strike strong sub sup time tt u var wbr meta link base source "
+                    "math semantics annotation mrow mi mn mo ms mtext mspace mfrac msqrt mroot msub msup msubsup munder mover munderover "
+                    "mfenced menclose mstyle mpadded mphantom merror mtable mtr mtd".split())
 _CONTAINERS = frozenset("body article main section div td".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _CLOSED_BY_BLOCK = frozenset("p h1 h2 h3 h4 h5 h6".split())
 _SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
          "option": {"option"}}
-_LEFT_OUT_TAGS = frozenset("nav footer aside form head button dialog menu figure fieldset".split())
+_LEFT_OUT_TAGS = frozenset("nav footer aside form head button dialog menu".split())
 _LEFT_OUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 _LEFT_OUT_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu "
@@ -116,7 +122,7 @@ def blocks(page: str):
             else:
                 plain += len(text.strip())
         at = token.end()
-        tag = token[3]
+        tag = token[4]
         if tag is None:
             continue
         tag = tag.lower()
@@ -124,11 +130,11 @@ def blocks(page: str):
             if tag == "br":
                 texts.append(" ")
             elif tag == "a":
-                link = 0 if token[2] else 1
+                link = 0 if token[3] else 1
             continue
         flush()
         link = 0
-        if token[2]:
+        if token[3]:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] == tag:
                     inside -= sum(x[0] in ("article", "main") for x in stack[i:])
@@ -137,7 +143,7 @@ def blocks(page: str):
                 if stack[i][0] in ("td", "th", "table") and tag not in ("tr", "tbody", "table", "thead", "body", "html", "article", "main"):
                     break
             continue
-        if tag in _VOID or token[4].endswith("/") and tag not in _CONTAINERS and tag not in _CLOSED_BY_BLOCK:
+        if tag in _VOID or token[5].endswith("/") and tag not in _CONTAINERS and tag not in _CLOSED_BY_BLOCK:
             continue
         if stack[-1][0] in _CLOSED_BY_BLOCK:
             stack.pop()
@@ -145,15 +151,15 @@ def blocks(page: str):
             while stack[-1][0] in closed:
                 stack.pop()
         _, container, left_out = stack[-1]
-        left_out = left_out or _left_out(tag, token[4], inside > 0)
+        left_out = left_out or _left_out(tag, token[5], inside > 0)
         if tag in _CONTAINERS and not left_out:
-            containers.append((f"{containers[container][0]}>{_step(tag, token[4])}", container))
+            containers.append((f"{containers[container][0]}>{_step(tag, token[5])}", container))
             container = len(containers) - 1
         inside += tag in ("article", "main")
         stack.append((tag, container, left_out))
     if at < len(page) and not stack[-1][2]:
         rest = page[at:]
-        texts.append(rest.partition("<")[0] if rest.rstrip()[-1:] != ">" and "<" in rest else rest)
+        texts.append(_UNFINISHED.sub("", rest))
         plain += len(rest.strip())
     flush()
     return containers, out
