@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from traceops.llm import decontam, html_text, jaccard, line_dedup, neighbour_graph, packing, quality, token_files, toxicity, url_filter
+from traceops.llm import decontam, html_text, jaccard, line_dedup, neighbour_graph, packing, quality, secret_scan, token_files, toxicity, url_filter
 from traceops.llm.storage import shared_folder
 
 ALLOW = [("org", "/"), ("com", "/fr/")]
@@ -60,11 +60,24 @@ def op10_jaccard(spark, d):
     return jaccard.jaccard_components(_table(spark, d, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op11_secrets(spark, d):
+    return secret_scan.secret_digests(secret_scan.find_secrets(_table(spark, d, "documents")))
+
+
 QUERIES = {f.__name__: f for f in (op1_token_files, op2_page_text, op3_packing, op4_quality, op5_line_dedup, op6_toxicity,
-                                   op7_url_rules, op8_decontamination, op9_nearest, op10_jaccard)}
+                                   op7_url_rules, op8_decontamination, op9_nearest, op10_jaccard, op11_secrets)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+def _secret_rules(rules):
+    """Matches of each rule and what lies between them, which says where they are."""
+    return "\n    UNION ALL ".join(
+        f"""SELECT nr, {place} AS place, '{r.kind}' AS kind, '{r.kind}' IN ({", ".join(f"'{b.kind}'" for b in secret_scan.BASE)}) AS base,
+           regexp_extract_all(text, '{p}') AS found, regexp_extract_all(text, '{p}', {1 + r.head.count("(")}) AS tails,
+           string_split_regex(text, '{p}') AS between, {r.least} AS least FROM texts"""
+        for place, r in enumerate(rules) for p in [f"{r.head}({r.tail})".replace("'", "''")])
+
+
 ORACLES = {
     "op5_line_dedup": rf"""
 WITH lines AS (
@@ -110,4 +123,21 @@ links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y
 reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce((SELECT min(b) FROM reach WHERE a = doc_id), doc_id)) AS component_id
 FROM documents LEFT JOIN sizes USING (doc_id)""",
+    "op11_secrets": f"""
+WITH texts AS (SELECT row_number() OVER () AS nr, doc_id, coalesce(text, '') AS text FROM documents),
+matches AS (
+    {_secret_rules(secret_scan.BASE + secret_scan.MORE)}),
+places AS (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM matches),
+spans AS (
+    SELECT nr, place, kind, base, length(found[i]) AS size,
+           cast(list_sum(list_transform(between[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS start
+    FROM places WHERE length(tails[i]) >= least),
+texted AS (SELECT *, kind || ':' || cast(start AS VARCHAR) || ':' || cast(start + size AS VARCHAR) AS span FROM spans),
+digests AS (
+    SELECT nr, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+           string_agg(span, ',' ORDER BY start, place) FILTER (base) AS base, string_agg(span, ',' ORDER BY start, place) AS spans
+    FROM texted GROUP BY nr)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN digests USING (nr)""",
 }
