@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from traceops.llm import decontam, html_text, jaccard, line_dedup, neighbour_graph, packing, quality, secret_scan, token_files, toxicity, url_filter
+from traceops.llm import conversation_repair, decontam, html_text, jaccard, line_dedup, neighbour_graph, packing, quality, secret_scan, token_files, toxicity, url_filter
 from traceops.llm.storage import shared_folder
 
 ALLOW = [("org", "/"), ("com", "/fr/")]
@@ -64,8 +64,26 @@ def op11_secrets(spark, d):
     return secret_scan.secret_digests(secret_scan.find_secrets(_table(spark, d, "documents")))
 
 
+def damaged(rows):
+    """Conversations with faults made by the hash of `conv_id:turn`: rows dropped, emptied, cut, repeated or given to the user."""
+    text = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat(text("conv_id"), F.lit(":"), text("turn")).cast("binary")) % 20
+    return (rows.select("conv_id", "turn", text("role").alias("role"), text("text").alias("text"), fault.alias("fault")).filter("fault != 0")
+            .withColumns({"role": F.when(F.col("fault") == 4, "user").otherwise(F.col("role")),
+                          "text": F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.regexp_replace("text", "[.!?]", ""))
+                          .otherwise(F.col("text")),
+                          "copy": F.explode(F.when(F.col("fault") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))})
+            .select("conv_id", "turn", "role", "text"))
+
+
+def op12_conversations(spark, d):
+    rows = _table(spark, d, "conversations")
+    return conversation_repair.repair_report(rows.select("conv_id"), damaged(rows))
+
+
 QUERIES = {f.__name__: f for f in (op1_token_files, op2_page_text, op3_packing, op4_quality, op5_line_dedup, op6_toxicity,
-                                   op7_url_rules, op8_decontamination, op9_nearest, op10_jaccard, op11_secrets)}
+                                   op7_url_rules, op8_decontamination, op9_nearest, op10_jaccard, op11_secrets,
+                                   op12_conversations)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -78,6 +96,16 @@ def _secret_rules(rules):
         for place, r in enumerate(rules) for p in [f"{r.head}({r.tail})".replace("'", "''")])
 
 
+def _inserts(steps):
+    """The step of inserting a user, then an assistant, before the next row."""
+    for states, target, message in (("(0, 1, 3)", 2, "user:"), ("(2)", 3, "assistant:")):
+        steps = f"""(SELECT c, n, x.state, min(x.best) AS best FROM (
+                SELECT c, n, unnest(CASE WHEN state IN {states} THEN [{{'state': state, 'best': best}}, {{'state': {target}, 'best':
+                       {{'cost': best.cost + 3, 'audit': best.audit || 'I', 'kept': list_append(best.kept, '{message}')}}}}]
+                       ELSE [{{'state': state, 'best': best}}] END) AS x FROM {steps}) GROUP BY ALL)"""
+    return steps
+
+
 ORACLES = {
     "op5_line_dedup": rf"""
 WITH lines AS (
@@ -140,4 +168,53 @@ digests AS (
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM texts LEFT JOIN digests USING (nr)""",
+    "op12_conversations": rf"""
+WITH RECURSIVE convs AS (SELECT conv_id, row_number() OVER () AS c FROM (SELECT DISTINCT conv_id FROM conversations)),
+given AS (
+    SELECT c, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(
+               coalesce(cast(conversations.conv_id AS VARCHAR), ' ') || ':' || coalesce(cast(turn AS VARCHAR), ' '), ''), lambda x: ord(x)::BIGINT)),
+               lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), list_transform(range(8), lambda i: i::BIGINT)),
+                   lambda rest, i: CASE WHEN rest & 1 = 1 THEN xor(rest >> 1, 3988292384::BIGINT) ELSE rest >> 1 END)) AS crc
+    FROM conversations JOIN convs ON conversations.conv_id IS NOT DISTINCT FROM convs.conv_id),
+faulty AS (SELECT *, xor(crc, 4294967295::BIGINT) % 20 AS fault FROM given),
+damaged AS (
+    SELECT c, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+           CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(CASE WHEN fault = 3 THEN [0, 1] ELSE [0] END) AS copy
+    FROM faulty WHERE fault <> 0),
+ordered AS (
+    SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, sha256(text)) AS n, substr(role, 1, 1) AS initial,
+           regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last
+    FROM damaged),
+judged AS (
+    SELECT *, CASE WHEN last = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY n) > 1 THEN 'duplicate'
+                   WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+           lag(initial) OVER (PARTITION BY c ORDER BY n) || initial AS pair
+    FROM ordered),
+steps AS (
+    SELECT c, 0::BIGINT AS n, 0 AS state, {{'cost': 0::BIGINT, 'audit': '', 'kept': []::VARCHAR[]}} AS best FROM convs
+    UNION ALL
+    SELECT c, n, move.state, min(move.best) AS best FROM (
+        SELECT o.c, j.n, unnest(list_filter([
+                   {{'state': state, 'best': {{'cost': best.cost + 4, 'audit': best.audit || 'D', 'kept': best.kept}}}},
+                   {{'state': CASE WHEN state = 0 AND initial = 's' THEN 1 WHEN state <> 2 AND initial = 'u' THEN 2 WHEN state = 2 AND initial = 'a' THEN 3 ELSE -1 END,
+                     'best': {{'cost': best.cost + CASE fault WHEN 'truncated' THEN 3 ELSE 0 END, 'audit': best.audit || 'K',
+                              'kept': list_append(best.kept, role || ':' || text)}}}},
+                   {{'state': CASE WHEN state = 2 THEN 3 ELSE 2 END,
+                     'best': {{'cost': best.cost + 3 + CASE fault WHEN 'truncated' THEN 3 ELSE 0 END, 'audit': best.audit || 'R',
+                              'kept': list_append(best.kept, CASE WHEN state = 2 THEN 'assistant:' ELSE 'user:' END || text)}}}}],
+                   lambda x: x.state >= 0 AND (x.best.audit[-1:] = 'D' OR fault NOT IN ('blank', 'duplicate')))) AS move
+        FROM {_inserts("steps")} o JOIN judged j ON j.c = o.c AND j.n = o.n + 1) GROUP BY ALL),
+counted AS (
+    SELECT c, count(*) AS rows, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+           count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM judged GROUP BY c),
+ends AS (
+    SELECT c, min(best) AS best FROM {_inserts("(SELECT steps.* FROM steps LEFT JOIN counted USING (c) WHERE n = coalesce(rows, 0))")}
+    WHERE state IN (0, 3) GROUP BY c)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, best.cost AS cost, best.audit AS audit, sha256(array_to_string(best.kept, chr(10))) AS repaired_sha256
+FROM convs JOIN ends USING (c) LEFT JOIN counted USING (c)""",
 }
