@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from traceops.llm import conversation_repair, decontam, html_text, jaccard, line_dedup, neighbour_graph, packing, quality, secret_scan, token_files, toxicity, url_filter
+from traceops.llm import conversation_repair, decontam, html_text, jaccard, line_dedup, neighbour_graph, packing, phrases, quality, secret_scan, token_files, toxicity, url_filter
 from traceops.llm.storage import shared_folder
 
 ALLOW = [("org", "/"), ("com", "/fr/")]
@@ -81,9 +81,13 @@ def op12_conversations(spark, d):
     return conversation_repair.repair_report(rows.select("conv_id"), damaged(rows))
 
 
+def op13_phrases(spark, d):
+    return phrases.collocations(_table(spark, d, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_token_files, op2_page_text, op3_packing, op4_quality, op5_line_dedup, op6_toxicity,
                                    op7_url_rules, op8_decontamination, op9_nearest, op10_jaccard, op11_secrets,
-                                   op12_conversations)}
+                                   op12_conversations, op13_phrases)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -217,4 +221,26 @@ ends AS (
 SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
        coalesce(illegal, 0) AS illegal, best.cost AS cost, best.audit AS audit, sha256(array_to_string(best.kept, chr(10))) AS repaired_sha256
 FROM convs JOIN ends USING (c) LEFT JOIN counted USING (c)""",
+    "op13_phrases": rf"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents),
+texts AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces),
+grams AS (
+    {" UNION ALL ".join(f"SELECT lang, {k} AS size, unnest(list_transform(range(1, len(w) - {k - 2}), lambda i: array_to_string(w[i:i + {k - 1}], ' '))) AS phrase FROM texts" for k in (1, 2, 3))}),
+f AS MATERIALIZED (SELECT lang, size, phrase, count(*) AS a FROM grams GROUP BY ALL),
+totals AS (SELECT lang, cast(sum(a) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+candidates AS MATERIALIZED (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND a >= 10),
+parted AS (SELECT *, unnest(range(1, size)) AS k FROM candidates),
+cuts AS MATERIALIZED (SELECT *, array_to_string(w[1:k], ' ') AS first, array_to_string(w[k + 1:], ' ') AS rest FROM parted),
+scored AS (
+    SELECT c.lang, c.phrase, c.size, c.a, c.w, k, x.a AS l, y.a AS r, cast((1000000::HUGEINT * c.a * c.a) // (x.a::HUGEINT * y.a) AS BIGINT) AS score
+    FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.first JOIN f y ON y.lang = c.lang AND y.phrase = c.rest),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_ones AS (
+    SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a FROM candidates WHERE size = 3),
+around AS (SELECT lang, phrase, max(a) AS most FROM inner_ones GROUP BY ALL),
+kept AS (SELECT lowest.* FROM lowest LEFT JOIN around USING (lang, phrase) WHERE 100 * coalesce(most, 0) < 50 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000""",
 }
