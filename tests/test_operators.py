@@ -106,15 +106,46 @@ def test_slices_of_large_times(spark, base):
     assert pairs(slice_rows=10) == pairs(slice_rows=None)
 
 
-def test_only_some_keys_are_cut_when_the_list_is_full(spark):
-    data = [(m, t, t % 2, 1.0, 0) for m in range(5) for t in range(40)]
+def test_rows_alike_in_everything_and_rows_that_open_and_close(spark):
+    """A third of the table is one row; each copy but the first follows another."""
+    data = [(1, 5, 2, 1.0, 0)] * 300 + [(1, t, 2, 1.0, 0) for t in range(20)] + [(2, t, t % 3, 0.5, 0) for t in range(580)]
     df = spark.createDataFrame(data, SCHEMA)
 
     def pairs(**kw):
-        return rows(neighbours.followed_by(df, "m", ["t", "tie"], F.expr("e = 1"), F.expr("e = 0"), ["c"], **kw)
-                    .select("m", "t", "before.t"))
+        return rows(neighbours.followed_by(df, "m", ["t", "tie"], F.expr("e > 0"), F.expr("e = 2"), ["c", "e"], **kw)
+                    .select("m", "t", "e", "c", "before.t", "before.e"))
+
+    want = pairs(slice_rows=None)
+    assert len([r for r in want if r[0] == 1]) == 319
+    for width in (1, 10, 250):
+        assert pairs(slice_rows=width) == want
+
 
-    assert pairs(slice_rows=8, max_sliced_keys=2) == pairs(slice_rows=None)
+@pytest.mark.parametrize("order", [["t"], ["t", "e"], ["t", "n"], ["at"], ["day", "e"]])
+def test_newest_rows_by_one_number_are_those_by_all_columns(spark, order):
+    """Extreme, negative and null times and tie-breakers; the fixed-width key orders them as the columns do."""
+    rnd = random.Random(len(order))
+    extremes = [2**63 - 1, -(2**63), 0, -1, 1, None]
+    data = []
+    for i in range(400):
+        t = rnd.choice([*extremes, rnd.randrange(-5, 5)])
+        data.append((rnd.randrange(40), t, rnd.choice([None, 0, 1, -(2**31), 2**31 - 1]), rnd.choice([None, 0, 127, -128]), i * 0.5,
+                     rnd.choice([None, rnd.random()])))
+    df = (spark.createDataFrame(data, "m INT, t BIGINT, e INT, n TINYINT, c DOUBLE, v DOUBLE")
+          .withColumns({"at": F.expr("timestamp_micros(e * 1000L)"), "day": F.expr("date_add(DATE'1970-01-01', n)")}))
+    assert keyed._packed(df, order, ["c", "v"]) is not None
+    newest = {r.m: (r.c, r.v) for r in keyed.latest_per_key(df, "m", order, ["c", "v"], fill_zero=False).collect()}
+    assert set(newest) == {r[0] for r in data}
+    groups = {}
+    for r in df.collect():
+        place = tuple((True, r[c]) if r[c] is not None else (False,) for c in order)
+        groups.setdefault(r.m, []).append((place, (r.c, r.v)))
+    for m, own in groups.items():
+        assert newest[m] in [values for place, values in own if place == max(p for p, _ in own)]
+    again = keyed.latest_per_key(df.orderBy(F.desc("c")).repartition(7), "m", order, ["c", "v"], fill_zero=False)
+    assert {r.m: (r.c, r.v) for r in again.collect()} == newest
+    # what does not fit goes by the columns themselves
+    assert keyed._packed(df, ["t", "at"], ["c"]) is None and keyed._packed(df.withColumn("c", F.lit("x")), ["t"], ["c"]) is None
 
 
 def test_trailing_rate_over_slices(spark):

@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from traceops.operators import keyed, neighbours, placement
+from traceops.plans.jobs import JOBS
 from traceops.plans.oracles import ORACLES
 from traceops.plans.tables import QUERIES
+from traceops.sources.trace import table_schema
 
 SF = "/root/testdata/sf0.001"
 STREAMS = ("a10_", "a11_", "a12_", "a13_", "st7_")
@@ -31,9 +33,7 @@ def test_no_cross_joins_and_no_python(spark, no_small_tables, name):
     text = plan(QUERIES[name](spark, SF))
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas", "Arrow"):
         assert word not in text
-    # the list of cut keys is the only broadcast, and it is limited
-    if "BroadcastExchange" in text:
-        assert name.startswith("a2_") and f"TakeOrderedAndProject(limit={neighbours.MAX_SLICED_KEYS}" in text
+    assert "BroadcastExchange" not in text
 
 
 def test_newest_rows_are_found_before_the_shuffle(spark):
@@ -67,21 +67,62 @@ def test_filters_reach_the_scan(spark):
     assert "PushedFilters: [IsNotNull(l_linestatus)]" in plan(QUERIES["a4_event_rate"](spark, SF))
 
 
-def test_slices_of_a_hot_key_are_small(spark):
-    """A third of all rows in one key: no group of the window gets more than its slice."""
-    log = spark.range(90_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("m"), F.col("id").alias("t"))
-    keys = neighbours._cut_keys(log, "m", ["t"], 1000, 100)
-    assert [r["_key"] for r in keys.collect()] == [0]
-    sizes = neighbours._sliced(log, "m", ["t"], keys, "left").groupBy("m", "_slice").count()
-    assert sizes.agg(F.max("count")).first()[0] <= 1100
+@pytest.mark.parametrize("table, key", [("machine_events", "machine_id"), ("task_events", "machine_id"), ("task_usage", "machine_id")])
+def test_newest_rows_of_trace_tables_are_hashed(spark, table, key):
+    """Time and tie-breaker in one number of fixed width: no sort before the aggregate."""
+    schema = table_schema(table)
+    order = [c for c in ("timestamp", "start_time", "event_type") if c in schema.names]
+    values = [f.name for f in schema if f.dataType.typeName() == "double"]
+    text = plan(keyed.latest_per_key(spark.createDataFrame([], schema), key, order, values))
+    assert "HashAggregate" in text and "SortAggregate" not in text and "ObjectHashAggregate" not in text
 
 
-def test_a_hot_key_at_one_time_is_cut_by_its_tie_breaker(spark):
-    log = spark.range(30_000).selectExpr("0 AS m", "5L AS t", "id AS tie")
-    order = ["t", "tie"]
-    keys = neighbours._cut_keys(log, "m", order, 1000, 100)
-    sizes = neighbours._sliced(log, "m", order, keys, "left").groupBy("m", "_slice").count()
-    assert sizes.agg(F.max("count")).first()[0] <= 1100 and sizes.count() == 30
+def test_evictions_job_has_no_sort_aggregate(spark, no_small_tables):
+    tables = {t: spark.createDataFrame([], table_schema(t)) for t in JOBS["a5"].tables}
+    for result, _ in JOBS["a5"].run(tables, lambda df: df).values():
+        assert "SortAggregate" not in plan(result)
+
+
+def _slices(spark, log, slice_rows):
+    """The rows of each slice of the large keys, after checking that slices follow each other."""
+    keys, total = neighbours._large_keys(log, "m", slice_rows)
+    sliced = neighbours._sliced(log.join(keys, log.m.eqNullSafe(keys["_key"]), "left_semi"), "m", slice_rows, total)
+    ends = sliced.groupBy("m", "_slice").agg(F.count("*").alias("n"), F.min(F.struct(*log.columns)).alias("a"),
+                                             F.max(F.struct(*log.columns)).alias("b")).orderBy("m", "_slice").collect()
+    assert all(x.b < y.a for x, y in zip(ends, ends[1:]) if x.m == y.m)
+    return [r.n for r in ends], total
+
+
+SLICED = {
+    "a third in one key": "SELECT IF(id % 3 = 0, 0, id) AS m, id AS t, 0 AS tie",
+    "a time at the end of the range": f"SELECT 0 AS m, IF(id = 7, {2**63 - 1}, id) AS t, 0 AS tie",
+    "a burst in a long history": f"SELECT 0 AS m, IF(id % 10 < 9, {10**15} + id % 3, id * {10**12}) AS t, id AS tie",
+    "one time": "SELECT 0 AS m, 5L AS t, id AS tie",
+    "large keys side by side": "SELECT id % 20 AS m, id div 7 AS t, id % 3 AS tie",
+    "no key": "SELECT CAST(NULL AS BIGINT) AS m, id % 1000 AS t, id AS tie",
+}
+
+
+@pytest.mark.parametrize("case", SLICED)
+def test_slices_are_of_equal_row_counts(spark, case):
+    """Whatever the times are like, no task of the window gets more than twice the rows it should."""
+    log = spark.sql(f"{SLICED[case]} FROM range(60000)")
+    sizes, total = _slices(spark, log, 1000)
+    assert max(sizes) <= 2000 and sum(sizes) == total > 0
+    assert len(sizes) <= 2 * total / 1000 + 40
+
+
+def test_slices_of_one_row_that_fills_a_key(spark):
+    log = spark.sql("SELECT 0 AS m, 5L AS t, 1 AS tie FROM range(50000) UNION ALL SELECT 0, id, 2 FROM range(5000)")
+    sizes, total = _slices(spark, log, 1000)
+    assert total == 55_000 and sum(sizes) == 5001 and max(sizes) <= 2000
+
+
+def test_no_list_of_keys_is_cut_off(spark, no_small_tables):
+    log = spark.range(9000).selectExpr("id % 3000 AS m", "id AS t", "id % 2 AS e")
+    pairs = neighbours.followed_by(log, "m", ["t"], F.expr("e = 1"), F.expr("e = 0"), [], slice_rows=2)
+    assert "Limit" not in plan(pairs) and "Broadcast" not in plan(pairs)
+    assert pairs.count() == neighbours.followed_by(log, "m", ["t"], F.expr("e = 1"), F.expr("e = 0"), [], slice_rows=None).count()
 
 
 def test_each_query_has_sql_but_the_random_ones():

@@ -7,16 +7,46 @@ from traceops.functions.casts import flag
 from traceops.functions.stats import pearson
 
 
+# bits of whole numbers and times, one more being for nulls, which come first; a decimal holds 126
+_BITS = {"tinyint": 9, "smallint": 17, "int": 33, "bigint": 65, "date": 33, "timestamp": 65, "timestamp_ntz": 65}
+_FIXED = ("boolean", "float", "double", *_BITS)
+_LEAST_HASH = 16
+
+
+def _packed(df: DataFrame, order: list[str], cols: list[str]) -> Column | None:
+    """One number that orders rows as `order` does, then by a hash of `cols`; none where it would not fit."""
+    types = dict(df.dtypes)
+    free = 126 - sum(_BITS.get(types[c], 126) for c in order)
+    if free < _LEAST_HASH or any(types[c] not in _FIXED for c in cols):
+        return None
+    total = "CAST(0 AS DECIMAL(38, 0))"
+    for c in order:
+        whole = {"date": f"unix_date(`{c}`)", "timestamp": f"unix_micros(`{c}`)", "timestamp_ntz": f"unix_micros(CAST(`{c}` AS TIMESTAMP))"}.get(types[c], f"`{c}`")
+        lift = 2 ** (_BITS[types[c]] - 2) + 1
+        step = f"coalesce(CAST({whole} AS DECIMAL(20, 0)) + CAST('{lift}' AS DECIMAL(20, 0)), CAST(0 AS DECIMAL(20, 0)))"
+        total = f"CAST({total} * CAST('{2 ** _BITS[types[c]]}' AS DECIMAL(20, 0)) + {step} AS DECIMAL(38, 0))"
+    bits = min(free, 60)
+    values = ", ".join(f"`{c}`" for c in cols)
+    return F.expr(f"CAST({total} * CAST('{2 ** bits}' AS DECIMAL(19, 0)) + (xxhash64({values}) & {2 ** bits - 1}L) AS DECIMAL(38, 0))")
+
+
 def latest_per_key(df: DataFrame, key: str, order: list[str], cols: list[str],
                    fill_zero=True) -> DataFrame:
     """The row of each key that is last in `order` (time first, then tie-breakers).
 
     As an aggregate it leaves one row per key and task before the shuffle, so a key with very
     many records sends only a few. Rows alike in `order` are told apart by their values, so
-    the result never depends on where rows lie. `fill_zero` sets null numbers to 0.
+    the result does not depend on where rows lie: by a hash of them where time, tie-breakers and hash fit into
+    one number of fixed width, which a hash aggregate can hold, else (text, or two long numbers in `order`) by the values themselves
+    in a sort aggregate. `fill_zero` sets null numbers to 0.
     """
-    newest = F.max(F.struct(*order, *(c for c in cols if c not in order)))
-    rows = df.groupBy(key).agg(newest.alias("_newest")).select(key, *(f"_newest.{c}" for c in cols))
+    packed = _packed(df, order, cols)
+    if packed is not None:
+        rows = (df.select(key, *cols, packed.alias("_packed")).groupBy(key)
+                .agg(*(F.max_by(c, "_packed").alias(c) for c in cols)))
+    else:
+        newest = F.max(F.struct(*order, *(c for c in cols if c not in order)))
+        rows = df.groupBy(key).agg(newest.alias("_newest")).select(key, *(f"_newest.{c}" for c in cols))
     return rows.na.fill(0.0, cols) if fill_zero else rows
 
 

@@ -1,66 +1,59 @@
 """The row before each row of a key, without one task per key.
 
-A window partitioned by key puts a whole key into one task. Keys that hold very many rows
-are therefore cut into time slices: the window looks back inside each slice, and the end rows
-of the slices of a cut key, found by an aggregate, are compared with those of the next slice.
-The result is the same for every slice width.
+A window partitioned by key puts a whole key into one task. Keys that hold very many rows are therefore cut into slices of
+about equal row counts: their rows are dealt by range of (key, order), the rows of each key in each range are
+counted, and the counts show whether a slice is too large, in which case the ranges are made narrower. The window looks back inside each
+slice, and the end rows of the slices of a key, found by an aggregate, are compared with those of the next slice. Cuts go by rows and not by
+time, so bursts, far-off times and a key with a single time are cut like any other. Rows alike in everything stand once, with their number.
 """
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from traceops.session import scratch_table
 
 # rows of a key that one task sorts without trouble
 SLICE_ROWS = 1_000_000
-# the only broadcast: at most so many keys with a few numbers each (some MB)
-MAX_SLICED_KEYS = 100_000
-
-
-_WHOLE = ("tinyint", "smallint", "int", "bigint")
-
+# rows made at once from one that stands for many
+_COPIES = 100_000
 
-def _tie_breaker(rows: DataFrame, order: list[str]) -> str | None:
-    """The second column of `order` if time and it are whole numbers."""
-    types = dict(rows.dtypes)
-    return order[1] if len(order) > 1 and all(types[c] in _WHOLE for c in order[:2]) else None
 
+def _large_keys(rows: DataFrame, key: str, slice_rows: int) -> tuple[DataFrame, int]:
+    """Keys with more than `slice_rows` rows as `_key`, and the rows of all of them.
 
-def _cut_keys(rows: DataFrame, key: str, order: list[str], slice_rows: int, max_keys: int) -> DataFrame:
-    """Keys with more than `slice_rows` rows: number of slices, bounds of time and tie-breaker."""
-    bounds = [F.expr(f"{f}(`{c}`) AS _{f}_{n}") for f in ("min", "max")
-              for n, c in (("t", order[0]), ("tie", _tie_breaker(rows, order))) if c]
-    return (rows.groupBy(F.col(key).alias("_key")).agg(F.expr("count(*) AS _n"), *bounds)
-            .filter(f"_n > {slice_rows} AND try_subtract(_max_t, _min_t) IS NOT NULL")
-            .orderBy(F.desc("_n")).limit(max_keys)
-            .withColumn("_cuts", F.expr(f"ceil(_n / {slice_rows})")).drop("_n"))
+    There is one for each `slice_rows` rows of the table at most, whatever the table is like.
+    """
+    counts = rows.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n")).filter(F.col("_n") > slice_rows)
+    keys = scratch_table(counts, "large-keys")
+    return keys.drop("_n"), keys.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
 
 
-def _sliced(rows: DataFrame, key: str, order: list[str], cut_keys: DataFrame, how: str) -> DataFrame:
-    """Adds `_slice`: 0 for a key in one piece (left out by an inner join), else rising with `order`.
+def _sliced(rows: DataFrame, key: str, slice_rows: int, total: int) -> DataFrame:
+    """The different rows with `_copies`, their number, and `_slice`, rising with the columns after `key`.
 
-    Slices are equal parts of the key's time. The tie-breaker adds at most one step of time, so
-    it cuts where there are few different times and never changes the order. It is left away
-    where a double cannot hold such steps.
+    No slice has more than twice `slice_rows` rows.
     """
-    tie, second = "0D", _tie_breaker(rows, order)
-    if second:
-        part = f"(double(`{second}`) - _min_tie) / (double(_max_tie) - _min_tie + 1)"
-        tie = f"IF(_max_t - _min_t < {2 ** 52}, coalesce({part}, 0D), 0D)"
-    cut = f"coalesce(floor((`{order[0]}` - _min_t + {tie}) / (double(_max_t - _min_t) + 1) * _cuts), 0) AS _slice"
-    return (rows.join(F.broadcast(cut_keys), rows[key].eqNullSafe(cut_keys["_key"]), how)
-            .selectExpr(*(f"`{c}`" for c in rows.columns), cut))
-
-
-def followed_by(df: DataFrame, key: str, order: list[str], opens: Column, closes: Column,
-                carry: list[str], slice_rows=SLICE_ROWS, max_sliced_keys=MAX_SLICED_KEYS) -> DataFrame:
+    once = rows.groupBy(*rows.columns).agg(F.count("*").alias("_copies"))
+    ranges = max(-(-total // slice_rows), 1)
+    while True:
+        dealt = once.repartitionByRange(ranges, *rows.columns).withColumn("_slice", F.spark_partition_id())
+        sliced = scratch_table(dealt, "slices")
+        most = sliced.groupBy(key, "_slice").count().agg(F.max("count")).first()[0] or 0
+        if most <= 2 * slice_rows:
+            return sliced
+        ranges *= 2
+
+
+def followed_by(df: DataFrame, key: str, order: list[str], opens, closes, carry: list[str], slice_rows=SLICE_ROWS) -> DataFrame:
     """Rows where `closes` holds and `opens` holds on the row directly before in the key.
 
-    `order` starts with a numeric time; the rest breaks ties. The columns in `order` and
-    `carry` come out for the closing row, and as struct `before` for the opening one.
-    `slice_rows=None` trusts all keys to be small and saves the pass that counts them.
+    `order` is the time and what breaks ties; rows alike in it are ordered by `carry`. The columns in `order` and
+    `carry` come out for the closing row, and as struct `before` for the opening one. `slice_rows=None` trusts all keys to be
+    small and saves the pass that counts them. Where a key is larger, its rows are written below the scratch folder on the way.
     """
     names = list(dict.fromkeys([*order, *carry]))
     quoted = [f"`{c}`" for c in names]
-    by = ", ".join(f"`{c}`" for c in order)
     rows = df.select(key, *names, opens.alias("_opens"), closes.alias("_closes"))
+    by = ", ".join([*quoted, "_opens", "_closes"])
 
     def inside(frame, group):
         # the row before as plain columns: cheaper in a window than a struct
@@ -72,19 +65,28 @@ def followed_by(df: DataFrame, key: str, order: list[str], opens: Column, closes
 
     if slice_rows is None:
         return inside(rows, f"`{key}`")
+    keys, total = _large_keys(rows, key, slice_rows)
+    if not total:
+        return inside(rows, f"`{key}`")
 
-    cut_keys = _cut_keys(rows, key, order, slice_rows, max_sliced_keys)
-    whole = inside(_sliced(rows, key, order, cut_keys, "left"), f"`{key}`, _slice")
-    # across the cuts: the first row of a slice against the last one of the slice before;
-    # one row per slice and task is shuffled, and without cut keys nothing is read
-    end = f"struct({', '.join([*quoted, '_opens', '_closes'])})"
-    ends = (_sliced(rows, key, order, cut_keys, "inner").groupBy(key, "_slice")
-            .agg(F.expr(f"min({end}) AS first"), F.expr(f"max({end}) AS last")))
+    # the list of keys is as long as the table is large: the join is Spark's choice by its real size
+    large = rows[key].eqNullSafe(keys["_key"])
+    small = inside(rows.join(keys, large, "left_anti"), f"`{key}`")
+    sliced = _sliced(rows.join(keys, large, "left_semi"), key, slice_rows, total)
+    found = inside(sliced, f"`{key}`, _slice")
+    # across the cuts: the first row of a slice against the last one of the slice before
+    end = f"struct({by})"
+    ends = sliced.groupBy(key, "_slice").agg(F.expr(f"min({end}) AS first"), F.expr(f"max({end}) AS last"))
     before = ", ".join(f"last.{c}" for c in quoted)
     across = (ends.selectExpr(f"`{key}`", "first", f"lag(last) OVER (PARTITION BY `{key}` ORDER BY _slice) AS last")
               .filter("first._closes AND last._opens")
               .selectExpr(f"`{key}`", *(f"first.{c}" for c in quoted), f"struct({before}) AS before"))
-    return whole.unionByName(across)
+    # a row that stands for several alike is before itself, all but once
+    among = (sliced.filter("_opens AND _closes AND _copies > 1")
+             .selectExpr("*", f"explode(sequence(0L, (_copies - 2) div {_COPIES})) AS _block")
+             .selectExpr("*", f"explode(sequence(1L, least({_COPIES}, _copies - 1 - _block * {_COPIES}))) AS _copy")
+             .selectExpr(f"`{key}`", *quoted, f"struct({', '.join(quoted)}) AS before"))
+    return small.unionByName(found).unionByName(across).unionByName(among)
 
 
 def trailing_rate(df: DataFrame, metric: str, ts: str, value: str, span: int,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(app="traceops", master=None, shuffle_partitions=None, **conf) -> SparkSession:
@@ -41,6 +41,19 @@ def session(app="traceops", master=None, shuffle_partitions=None, **conf) -> Spa
     return builder.getOrCreate()
 
 
+def scratch_table(df: DataFrame, name: str) -> DataFrame:
+    """The rows of `df`, written below the shared folder and read from there; the files go when the session ends.
+
+    For rows that a plan uses several times and must not find different, and for tables whose real size should decide a join.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder name below the shared folder in `spark.checkpoint.dir`.
 
