@@ -48,13 +48,15 @@ def arguments(argv=None):
     replay.add_argument("--start-file", type=int, default=0)
     replay.add_argument("--num-files", type=int, default=1)
     replay.add_argument("--speed-factor", type=int, default=60)
-    replay.add_argument("--waves", type=int, default=1, help="steps along the time")
+    replay.add_argument("--waves", type=int, default=1, help="steps along the time; with more than one, files follow each other in time")
 
     stream = commands.add_parser("stream", help="the four running counts")
     stream.add_argument("--source", required=True, help="folder with job-events and task-events, or kafka")
     stream.add_argument("--output-dir", required=True)
-    stream.add_argument("--mode", choices=["complete", "update"], default="update")
-    stream.add_argument("--watermark", help='how late events may be, say "1 hour"; bounds the state in update mode')
+    stream.add_argument("--mode", choices=["complete", "update", "append"], default="update")
+    stream.add_argument("--watermark", help='how late events may be, say "1 hour"; bounds the state, and append mode needs it')
+    stream.add_argument("--window", help='count by windows of this length, say "10 minutes", and not by single times')
+    stream.add_argument("--dead-letters", action="store_true", help="keep events and broken messages as tables too")
     stream.add_argument("--available-now", action="store_true", help="stop when all events are counted")
 
     for command in (replay, stream):
@@ -86,12 +88,18 @@ def run(spark, args):
     elif args.command == "stream":
         sources = {kind: place(args.source, kind) for kind in ("job", "task")}
         trigger = {"availableNow": True} if args.available_now else None
-        queries = start_all(spark, sources, args.output_dir, args.unit, args.mode, trigger, args.watermark, **options)
-        if not args.available_now:
-            await_any(spark)
-        for query in queries.values():
-            if args.available_now:
-                query.awaitTermination()
+        queries = start_all(spark, sources, args.output_dir, args.unit, args.mode, trigger, args.watermark,
+                            args.window, args.dead_letters, **options)
+        try:
+            if not args.available_now:
+                await_any(spark)
+            for query in queries.values():
+                if args.available_now:
+                    query.awaitTermination()
+        finally:
+            for query in queries.values():
+                query.stop()
+            queries.finish(spark)
         show_all(to_exposition(current_gauges(spark, queries, args.output_dir, args.mode)))
     else:
         for result, path in run_job(spark, args.command, args.input, args.output_dir, args.format).items():

@@ -1,4 +1,6 @@
+import math
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -308,14 +310,44 @@ def test_sample_join_takes_the_stated_share_of_pairs(spark):
     total = pairs.count()
     got = correlation.sample_join(left, right, ["k"], fraction=0.01, n=10**9)
     assert got.columns == ["k", "a", "b"]
-    assert got.count() == pytest.approx(total * 0.01, rel=0.25)
+    assert got.count() == math.ceil(total * 0.01) == got.distinct().count()
     assert got.join(pairs, ["k", "a", "b"], "left_anti").count() == 0
     few = correlation.sample_join(left, right, ["k"], fraction=0.01, n=200)
-    assert 100 < few.count() <= 200
+    assert few.count() == 200 == few.distinct().count()
     assert few.join(pairs, ["k", "a", "b"], "left_anti").count() == 0
+    again = correlation.sample_join(left.orderBy(F.desc("a")), right.repartition(5), ["k"], fraction=0.01, n=200)
+    assert sorted(again.collect()) == sorted(few.collect())
+    assert sorted(correlation.sample_join(left, right, ["k"], n=200, seed=7).collect()) != sorted(few.collect())
+    # every key by its share of the pairs, both ends of both sides
+    assert {r.k: r["count"] for r in got.groupBy("k").count().collect()} == pytest.approx({k: total / 700 for k in range(7)}, rel=0.05)
+    assert got.filter("a < 400").count() == pytest.approx(total / 1000, rel=0.3) == got.filter("b >= 1800").count()
     assert correlation.sample_join(left.limit(0), right, ["k"]).count() == 0
 
 
+def test_sample_join_of_all_pairs_is_the_join(spark):
+    """Ranks and numbers meet every pair once: repeated rows, null keys, keys of one side, nulls, a hot key."""
+    rnd = random.Random(9)
+    left = spark.createDataFrame([(rnd.choice([1, 1, 1, 2, 3, None]), rnd.choice(["x", "y", None]), rnd.choice([0.5, None])) for _ in range(60)]
+                                 + [(4, "left", 1.0)], "k INT, s STRING, v DOUBLE")
+    right = spark.createDataFrame([(rnd.choice([1, 1, 2, 3, None]), rnd.randrange(5)) for _ in range(50)] + [(5, 0)], "k INT, w INT")
+    want = sorted(map(repr, left.join(right, "k").collect()))
+    assert sorted(map(repr, correlation.sample_join(left, right, ["k"], fraction=1, n=10**6).collect())) == want
+    assert sorted(map(repr, correlation.sample_join(left, right, ["k"], fraction=1, n=10**6, left_order=["v"], right_order=["k"]).collect())) == want
+    for n in (1, 7, len(want) - 1):
+        some = correlation.sample_join(left, right, ["k"], fraction=1, n=n).collect()
+        assert len(some) == n and not Counter(map(repr, some)) - Counter(want)
+
+
+def test_pair_numbers_beyond_a_long(spark):
+    sizes = spark.createDataFrame([("a", 10**12, 10**12), ("b", 1, 1), ("c", 3 * 10**12, 10**12)], "k STRING, _l BIGINT, _r BIGINT")
+    chosen = correlation._chosen_pairs(sizes, ["k"], 0.01, 1000, 42).collect()
+    assert len(chosen) == 1000 == len({r._number for r in chosen})
+    of = Counter(r.k for r in chosen)
+    assert of["a"] == pytest.approx(250, abs=2) and of["c"] == pytest.approx(750, abs=2)
+    size = {"a": (10**12, 10**12), "c": (3 * 10**12, 10**12)}
+    assert all(0 <= r._left < size[r.k][0] and 0 <= r._right < size[r.k][1] for r in chosen if r.k in size)
+
+
 def test_plot_sample_spreads_over_the_table(spark):
     df = spark.range(100_000).repartition(4)
     got = [r.id for r in correlation.plot_sample(df, ["id"], fraction=0.1, n=1000).collect()]

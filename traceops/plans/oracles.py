@@ -135,6 +135,23 @@ ORACLES = {
              round(corr(a.l_extendedprice, b.l_extendedprice), 5) AS memory
       FROM lineitem a JOIN lineitem b USING (l_orderkey, l_linenumber)
       WHERE a.l_returnflag = 'N' AND b.l_returnflag <> 'N'""",
+    "a7_sample": """
+      WITH l AS (SELECT o_custkey AS k, o_orderkey, o_totalprice, md5('=' || CAST(o_orderkey AS VARCHAR)) AS digest FROM orders),
+      r AS (SELECT user_id AS k, event_id, value, md5('=' || CAST(event_id AS VARCHAR)) AS digest FROM events),
+      ranked_l AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY digest) - 1 AS rank FROM l),
+      ranked_r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY digest) - 1 AS rank FROM r),
+      sizes AS (
+        SELECT k, nl, nr, CAST(nl AS HUGEINT) * nr AS pairs, substr(md5('=' || CAST(k AS VARCHAR)), 1, 3) AS part
+        FROM (SELECT k, count(*) AS nl FROM l GROUP BY k) JOIN (SELECT k, count(*) AS nr FROM r GROUP BY k) USING (k)),
+      placed AS (SELECT *, sum(pairs) OVER (ORDER BY part, k) - pairs AS start FROM sizes),
+      total AS (SELECT sum(pairs) AS p, least(10000, CAST(ceil(CAST(sum(pairs) AS DOUBLE) * 0.01) AS BIGINT)) AS m FROM sizes),
+      stretches AS (SELECT p, m, unnest(range(m)) AS j FROM total),
+      numbers AS (
+        SELECT j * p // m + CAST('0x' || substr(md5('42:' || CAST(j AS VARCHAR)), 1, 8) AS BIGINT) * ((j + 1) * p // m - j * p // m) // 4294967296 AS number
+        FROM stretches),
+      chosen AS (SELECT k, (number - start) // nr AS lr, (number - start) % nr AS rr FROM numbers JOIN placed ON number >= start AND number < start + pairs)
+      SELECT k, o_orderkey, o_totalprice, event_id, value
+      FROM chosen JOIN ranked_l USING (k) JOIN ranked_r USING (k) WHERE ranked_l.rank = lr AND ranked_r.rank = rr""",
     "p15_plot_sample": """
       WITH hashed AS (
         SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice,
@@ -156,6 +173,13 @@ ORACLES = {
     "a11_stream_task_event_type": _stream("event_type", False),
     "a12_stream_job_class": _stream("scheduling_class", True),
     "a13_stream_task_class": _stream("scheduling_class", False),
+    "st1_dead_letters": """
+      SELECT CASE WHEN event_id % 10 = 3 THEN 'not JSON' WHEN event_id % 25 = 0 THEN 'no time' WHEN event_id % 40 = 7 THEN 'time out of range'
+                  ELSE 'none' END AS reason, count(*) AS messages FROM events GROUP BY 1""",
+    "st3_closed_hours": """
+      WITH hours AS (SELECT date_trunc('hour', ts) AS h, event_type, count(*) AS n FROM events GROUP BY 1, 2),
+      mark AS (SELECT to_timestamp(epoch_us(max(ts)) // 1000000)::TIMESTAMP - INTERVAL 2 HOUR AS closed FROM events)
+      SELECT epoch_us(h) // 1000000 AS event_second, event_type, n AS "count" FROM hours, mark WHERE h + INTERVAL 1 HOUR <= closed""",
     "st7_latest_count": """
       WITH hourly AS (SELECT event_type, date_trunc('hour', ts) AS h, count(*) AS n FROM events GROUP BY 1, 2)
       SELECT event_type, arg_max(n, h) AS "count" FROM hourly GROUP BY 1""",

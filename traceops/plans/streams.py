@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from traceops.sources.events import read_events
+from traceops.sources.events import read_events, read_messages
 from traceops.sources.trace import file_slice, read_text_rows, split_rejects
-from traceops.streaming import counts, gauges, replay
+from traceops.streaming import counts, gauges, letters, replay
 
 COUNTS = [(kind, dim) for kind in ("job", "task") for dim in ("event_type", "scheduling_class")]
 
@@ -16,25 +16,46 @@ def _name(kind: str, dim: str) -> str:
     return f"{kind}_by_{dim}"
 
 
+class Running(dict):
+    """The started queries by name; `finish` writes what is left to write when they have ended."""
+
+    def __init__(self, progress: gauges.ProgressBuffer):
+        super().__init__()
+        self.progress = progress
+
+    def finish(self, spark: SparkSession) -> None:
+        self.progress.finish(spark)
+
+
 def start_all(spark: SparkSession, sources: dict[str, str], output: str, unit="s", mode="update",
-              trigger=None, watermark=None, **options) -> dict[str, StreamingQuery]:
+              trigger=None, watermark=None, window=None, dead_letters=False, **options) -> Running:
     """Starts jobs and tasks by event type and class; `sources` maps job and task to a source.
 
     Each query has its own name, checkpoint, count table and gauge files below `output`, so a
     restart with the same `output` goes on where it stopped. The progress of the first query
-    of jobs and of tasks is written as gauges too. With a `watermark`, say "1 hour", update mode
-    forgets older event times and events that come later than that are left out; without one, and
-    in complete mode, the state holds every event time.
+    of jobs and of tasks is written as gauges too, with the next batch; call `finish` on the result when the queries have ended. With a
+    `watermark`, say "1 hour", update mode forgets older event times and events that come later than that are left out; without one, and
+    in complete mode, which gives its counts in order of time, the state holds every event time. `mode="append"` needs a watermark and writes each
+    time (or `window`) once, when it is closed. `dead_letters` starts a query more for jobs and tasks that sorts messages into
+    events and broken ones below `<output>/letters`.
     """
-    spark.streams.addListener(gauges.ProgressFiles(
-        spark, f"{output}/gauges/progress", {_name(kind, "event_type"): f"{kind}_events" for kind in sources}))
-    queries = {}
+    if mode == "append" and not watermark:
+        raise ValueError("append mode needs a watermark that closes times")
+    progress = gauges.ProgressBuffer(f"{output}/gauges/progress", {_name(kind, "event_type"): f"{kind}_events" for kind in sources})
+    spark.streams.addListener(progress)
+    queries = Running(progress)
     for kind, dim in COUNTS:
         name = _name(kind, dim)
-        grouped = counts.stream_counts(read_events(spark, sources[kind], kind, unit, **options), dim, watermark=watermark)
+        grouped = counts.stream_counts(read_events(spark, sources[kind], kind, unit, **options), dim, watermark=watermark, window=window)
+        if mode == "complete":
+            grouped = counts.in_time_order(grouped)
         queries[name] = counts.start_counts(
             grouped, f"{output}/counts/{name}", f"{output}/state/{name}", name, mode, trigger,
-            also=gauges.GaugeFiles(f"{output}/gauges/{name}", kind, dim))
+            also=gauges.GaugeFiles(f"{output}/gauges/{name}", kind, dim, more=progress.drain))
+    for kind in sources if dead_letters else ():
+        name = f"{kind}_letters"
+        queries[name] = letters.start_letters(read_messages(spark, sources[kind], kind, **options), f"{output}/letters/{kind}",
+                                              f"{output}/state/{name}", name, kind, unit, trigger)
     return queries
 
 
@@ -50,6 +71,8 @@ def current_gauges(spark: SparkSession, queries: dict[str, StreamingQuery], outp
         parts.append(gauges.count_gauges(table, kind, dim))
         if dim == "event_type":
             parts.append(gauges.progress_gauges(spark, query.lastProgress, f"{kind}_events"))
+            if f"{kind}_letters" in queries:
+                parts.append(letters.LetterTables(f"{output}/letters/{kind}", kind).gauge(spark))
     return gauges.all_gauges(*parts)
 
 

@@ -18,7 +18,7 @@ from traceops.operators import placement, timing
 from traceops.session import scratch_dir
 from traceops.sources.events import encode_events, message_schema, parse_events
 from traceops.sources.trace import row_count
-from traceops.streaming import counts, gauges, replay
+from traceops.streaming import counts, gauges, letters, replay
 
 JOB_TYPES = ("purchase", "signup")
 # files, and so batches, that the events are streamed in
@@ -193,8 +193,10 @@ def a7_composite(spark, d):
 
 
 def a7_sample(spark, d):
-    left, right = _orders_and_events(spark, d)
-    return correlation.sample_join(left, right, ["k"])
+    """A sample of the joined rows, each with the ids of its two rows."""
+    left = _table(spark, d, "orders").select(F.col("o_custkey").alias("k"), "o_orderkey", "o_totalprice")
+    right = _table(spark, d, "events").select(F.col("user_id").alias("k"), "event_id", "value")
+    return correlation.sample_join(left, right, ["k"], left_order=["o_orderkey"], right_order=["event_id"])
 
 
 def p15_plot_sample(spark, d):
@@ -288,6 +290,39 @@ def a13_stream_task_class(spark, d):
     return _by_second(_streamed_counts(spark, d, "task", "scheduling_class"), "scheduling_class")
 
 
+def st3_closed_hours(spark, d):
+    """Hours that the watermark has closed, each given out once; the events come in order of time, in several batches."""
+    work = scratch_dir(spark, "closed-hours")
+    events = _table(spark, d, "events")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    step = (last - first) / STREAM_PARTS
+    for part in range(STREAM_PARTS):  # files of rising age, as a file stream takes them
+        rows = events.filter((F.col("ts") >= first + part * step) & (
+            (F.col("ts") < first + (part + 1) * step) if part < STREAM_PARTS - 1 else F.lit(True)))
+        rows.coalesce(1).write.mode("append").parquet(f"{work}/events")
+    files = spark.readStream.schema(SCHEMAS["events"]).option("maxFilesPerTrigger", 1)
+    parsed = parse_events(_as_messages(files.parquet(f"{work}/events"), "task"))
+    closed = counts.stream_counts(parsed, "event_type", watermark="2 hours", window="1 hour")
+    counts.start_counts(closed, f"{work}/counts", f"{work}/state", name=work.rsplit("/", 1)[1], mode="append",
+                        trigger={"availableNow": True}).awaitTermination()
+    return _by_second(counts.read_counts(spark, f"{work}/counts", mode="append"), "event_type")
+
+
+def st1_dead_letters(spark, d):
+    """Events sent as messages, some cut short, without a time or with one that no clock shows, sorted by a stream."""
+    work = scratch_dir(spark, "letters")
+    sent = _as_messages(_table(spark, d, "events"), "task")
+    number = F.get_json_object("value", "$.job_id").cast("bigint")
+    broken = (F.when(number % 10 == 3, F.substring("value", 1, 20)).when(number % 25 == 0, F.lit('{"job_id": "1"}'))
+              .when(number % 40 == 7, F.regexp_replace("value", r'"timestamp":\d+', '"timestamp":9223372036854775807')).otherwise(F.col("value")))
+    sent.select(broken.alias("value")).repartition(STREAM_PARTS, "value").write.text(f"{work}/messages")
+    messages = spark.readStream.schema("value STRING").option("maxFilesPerTrigger", 1).text(f"{work}/messages")
+    letters.start_letters(messages, f"{work}/tables", f"{work}/state", work.rsplit("/", 1)[1], "task", trigger={"availableNow": True}).awaitTermination()
+    tables = letters.LetterTables(f"{work}/tables", "task")
+    return (tables.broken.read(spark).select("reason").unionByName(tables.events.read(spark).select(F.lit("none").alias("reason")))
+            .groupBy("reason").agg(F.count("*").alias("messages")))
+
+
 def st7_latest_count(spark, d):
     return counts.latest_counts(_streamed_counts(spark, d, "task", "event_type", True), "event_type")
 
@@ -451,5 +486,5 @@ QUERIES = {f.__name__: f for f in (
     p2_safe_cast, p13_regex_filter, p14_membership, p15_plot_sample, p16_label_filter,
     j4_hit_only_join, f2_quarter_bucket, f15_hms, f16_hms_seconds, f17_human, f18_name_number, f21_mss,
     g17_pivot, w3_last_per_key, w4_trailing_rate, o4_topk, u1_metric_union, io11_exposition,
-    st7_latest_count,
+    st1_dead_letters, st3_closed_hours, st7_latest_count,
 )}
