@@ -30,10 +30,12 @@ def arguments(argv=None):
         job.add_argument("--input", required=True, help="folder with one folder per trace table")
         job.add_argument("--output-dir", required=True)
         job.add_argument("--format", choices=["csv", "parquet"], default="csv")
+        job.add_argument("--variant", choices=sorted(JOBS[name].variants), help="another form of the analysis")
 
     report = commands.add_parser("report", help="timing files as a table")
     report.add_argument("--input", required=True)
     report.add_argument("--by-workers", action="store_true")
+    report.add_argument("--quickest", type=int, metavar="N", help="the N runs with the least processing time, by workers")
 
     convert = commands.add_parser("convert", help="a trace table as parquet")
     convert.add_argument("--input", required=True)
@@ -48,6 +50,7 @@ def arguments(argv=None):
     replay.add_argument("--start-file", type=int, default=0)
     replay.add_argument("--num-files", type=int, default=1)
     replay.add_argument("--speed-factor", type=int, default=60)
+    replay.add_argument("--rejects", help="folder for broken files and rejected rows; without it a broken file fails the replay")
     replay.add_argument("--waves", type=int, default=1, help="steps along the time; with more than one, files follow each other in time")
 
     stream = commands.add_parser("stream", help="the four running counts")
@@ -77,13 +80,14 @@ def run(spark, args):
     options = dict(o.split("=", 1) for o in getattr(args, "option", []))
     if args.command == "report":
         timings = read_timings(spark, args.input)
-        show_all((worker_report if args.by_workers else timing_report)(timings))
+        show_all(worker_report(timings, by_time=True, n=args.quickest) if args.quickest
+                 else (worker_report if args.by_workers else timing_report)(timings))
     elif args.command == "convert":
         convert_trace(spark, args.input, args.table, args.target, args.files)
     elif args.command == "replay":
         for kind in args.kinds:
             rows = replay_files(spark, args.input, kind, place(args.target, kind), args.start_file, args.num_files,
-                                args.speed_factor, args.unit, args.waves, **options)
+                                args.speed_factor, args.unit, args.waves, args.rejects and f"{args.rejects}/{kind}", **options)
             print(f"{kind}: rejected rows {rows['rejected'].count()}")
     elif args.command == "stream":
         sources = {kind: place(args.source, kind) for kind in ("job", "task")}
@@ -102,7 +106,8 @@ def run(spark, args):
             queries.finish(spark)
         show_all(to_exposition(current_gauges(spark, queries, args.output_dir, args.mode)))
     else:
-        for result, path in run_job(spark, args.command, args.input, args.output_dir, args.format).items():
+        for result, path in run_job(spark, args.command, args.input, args.output_dir, args.format,
+                                    variant=args.variant).items():
             print(f"{result}: {path}")
 
 

@@ -7,6 +7,7 @@ import time
 from pathlib import Path
 
 import pytest
+from pyspark.sql import DataFrame, functions as F
 
 from traceops.operators.timing import timing_report, worker_report
 from traceops.plans.jobs import JOBS, run_job
@@ -215,3 +216,50 @@ def test_worker_numbers_and_seconds_are_whole(spark):
     timings = spark.createDataFrame(rows, "file STRING, filename STRING, metric STRING, value STRING")
     row = worker_report(timings).first()
     assert (row.cores, row.processing_seconds, row.label) == (1234, 90061, "1501:01")
+
+
+def test_variants_from_the_command_line(spark, source, tmp_path, capsys):
+    from run import arguments, run
+
+    for name, variant, result in (("a1", "total", "machine_distribution_total"), ("a6", "with-blanks", "job_machine_distribution_with_blanks"),
+                                  ("a8", "hit-only", "peaks_evictions_hit_only")):
+        run(spark, arguments([name, "--input", source, "--output-dir", str(tmp_path), "--variant", variant]))
+        assert f"{result}: " in capsys.readouterr().out
+        assert list((tmp_path / "data").glob(f"q*_{result}_*.csv/part-*.csv"))
+    with pytest.raises(SystemExit):
+        arguments(["a2", "--input", source, "--output-dir", str(tmp_path), "--variant", "total"])
+
+
+def test_blank_machines_are_none(spark):
+    from traceops.operators import keyed, placement
+
+    rows = spark.createDataFrame([("j1", "m1"), ("j1", " "), ("j2", ""), ("j2", "m1"), ("j2", "m2"), ("j3", None), ("j3", "  ")], "job STRING, machine STRING")
+    assert [tuple(r) for r in placement.machines_per_job(rows, "job", "machine").orderBy("job").collect()] == [("j1", 1), ("j2", 2)]
+    assert [tuple(r) for r in placement.machines_per_job(rows, "job", "machine", drop_unplaced=False).orderBy("job").collect()] == [
+        ("j1", 2), ("j2", 3), ("j3", 1)]
+    assert {r.machine for r in keyed.hits_per_key(rows, "machine", rows.job == "j1").collect()} == {"m1", "m2"}
+
+
+@pytest.mark.parametrize("name", list(JOBS))
+def test_records_are_counted_by_the_scan_of_the_results(spark, source, tmp_path, name, monkeypatch):
+    """No job of its own counts a table, and the counts are those of the tables."""
+    from traceops.plans import jobs
+    from traceops.sources.trace import read_trace
+
+    want = sum(read_trace(spark, f"{source}/{t}", t).count() for t in JOBS[name].tables)
+    saved = {}
+    monkeypatch.setattr(jobs.ResultSink, "save_metrics", lambda self, prefix, metrics: saved.update(metrics) or "path")
+    monkeypatch.setattr(jobs, "read_trace", lambda *a, **kw: read_trace(*a, **kw).withColumn("_counted", F.lit(1)))
+    monkeypatch.setattr(DataFrame, "count", lambda self: pytest.fail("a table is counted"))
+    run_job(spark, name, source, str(tmp_path))
+    assert saved["total_records"] == want
+
+
+def test_both_readings_of_the_hour_come_from_one_scan(spark):
+    from traceops.operators import hourly
+
+    usage = spark.createDataFrame([(0, 1.0), (3_600_000_000, 3.0), (7_300_000_000, None), (None, 1.0), (-5, 2.0)], "t BIGINT, v DOUBLE")
+    both = hourly.hourly_profiles(usage, "t", {"mean": "v"}, keep=lambda sums: sums.persist())
+    for unit, df in both.items():
+        assert df.collect() == hourly.hourly_profile(usage, "t", {"mean": "v"}, unit).collect()
+        assert "InMemoryTableScan" in df._jdf.queryExecution().executedPlan().toString()

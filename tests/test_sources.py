@@ -59,7 +59,9 @@ def test_a_broken_file_can_be_passed_over(spark, task_files, tmp_path):
     (tmp_path / "task_events" / "part-00003.csv.gz").write_bytes(gzip.compress(b"x" * 4000)[:20])
     passed = trace.read_trace(spark, task_files, "task_events", skip_broken_files=True)
     assert passed.filter("job_id = 'j4'").count() == 1
-    assert trace.read_text_rows(spark, task_files, "task_events").filter("job_id = 'j4'").count() == 1
+    assert trace.read_text_rows(spark, task_files, "task_events", skip_broken_files=True).filter("job_id = 'j4'").count() == 1
+    with pytest.raises(Exception, match="CORRUPT|EOF|FAILED_READ_FILE"):
+        trace.read_text_rows(spark, task_files, "task_events").collect()
     with pytest.raises(Exception, match="CORRUPT|EOF|FAILED_READ_FILE"):
         trace.read_trace(spark, task_files, "task_events").collect()
 
@@ -72,6 +74,41 @@ def test_a_broken_file_fails_the_replay(spark, task_files, tmp_path):
         replay_files(spark, str(tmp_path), "task", str(tmp_path / "sent"), num_files=9)
 
 
+def test_states_of_files(spark, tmp_path):
+    """Each file against its own end; several parts in a file, no line end, no rows, no gzip at all."""
+    whole = b"".join(b"%d,a,b\n" % i for i in range(300_000))
+    packed = gzip.compress(whole)
+    files = {"a.csv.gz": packed, "b.csv.gz": gzip.compress(b"1\n2") + gzip.compress(b"3\n4"), "c.csv.gz": packed[:-5], "d.csv.gz": packed[:len(packed) // 2],
+             "e.csv.gz": packed[:2000] + b"\x00" * 500 + packed[2500:], "f.csv.gz": b"", "g.csv.gz": b"plain text", "h.csv.gz": gzip.compress(b""),
+             "i.csv": b"1\n2\n3", "j.csv": b"", "k.csv.gz": packed + b"junk"}
+    for name, content in files.items():
+        (tmp_path / name).write_bytes(content)
+    names = [f"file:{tmp_path}/{name}" for name in files]
+    assert set(trace.file_slice(spark, str(tmp_path))) <= set(names)
+    got = {r.file.rsplit("/", 1)[1]: (r.bytes, r.rows, r.reason) for r in trace.file_states(spark, names).collect()}
+    assert {n: b for n, (b, _, _) in got.items()} == {n: len(c) for n, c in files.items()}
+    assert [got[n][1:] for n in ("a.csv.gz", "b.csv.gz", "h.csv.gz", "i.csv", "j.csv")] == [(300_000, None), (3, None), (0, None), (3, None), (0, None)]
+    assert {n: r for n, (_, _, r) in got.items() if r} == {
+        "c.csv.gz": "ends early", "d.csv.gz": "ends early", "e.csv.gz": "damaged", "f.csv.gz": "ends early", "g.csv.gz": "no gzip data", "k.csv.gz": "damaged"}
+    assert 100_000 < got["d.csv.gz"][1] < 300_000
+    assert trace.file_states(spark, []).count() == 0
+
+
+def test_a_replay_can_leave_out_broken_files(spark, task_files, tmp_path):
+    from run import arguments, run
+
+    broken = tmp_path / "task_events" / "part-00003.csv.gz"
+    broken.write_bytes((tmp_path / "task_events" / "part-00000.csv.gz").read_bytes()[:-4])
+    for waves in (1, 2):
+        run(spark, arguments(["replay", "--input", str(tmp_path), "--target", str(tmp_path / f"sent{waves}"), "--num-files", "9", "--kinds", "task",
+                              "--rejects", str(tmp_path / "rejects"), "--waves", str(waves)]))
+        assert sorted(json.loads(r.value)["job_id"] for r in spark.read.text(f"{tmp_path}/sent{waves}/task-events").collect()) == ["j1", "j1", "j4", "j5"]
+    files = spark.read.option("header", "true").csv(f"{tmp_path}/rejects/task/files")
+    assert [(r.file.rsplit("/", 1)[1], r.reason) for r in files.filter("reason IS NOT NULL").collect()] == [("part-00003.csv.gz", "ends early")]
+    assert files.count() == 4
+    assert sorted(r.job_id for r in spark.read.option("header", "true").csv(f"{tmp_path}/rejects/task/rows").collect()) == ["j2", "j3"]
+
+
 def test_operators_take_views(spark, task_files):
     from traceops.operators.classes import event_rate_by_class
 

@@ -19,8 +19,7 @@ def _one_decimal(n: Column, unit: int) -> Column:
     at_half = F.pmod(n * 20, F.lit(2 * unit)) == unit
     down = (error < 0) | (F.pmod(n * 4, F.lit(4 * unit)) == unit)
     tenths = floor_div(n * 20 + unit, 2 * unit) - F.when(at_half & down, 1).otherwise(0)
-    # a dot before the last digit
-    return F.regexp_replace(tenths.cast("string"), "(.)$", ".$1")
+    return F.concat(floor_div(tenths, 10).cast("string"), F.lit("."), F.pmod(tenths, F.lit(10)).cast("string"))
 
 
 def human_count(c) -> Column:

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from traceops.functions.buckets import quarter
-from traceops.functions.casts import flag
+from traceops.functions.casts import filled, flag
 from traceops.functions.stats import pearson
 
 
@@ -60,9 +60,7 @@ def hits_per_key(df: DataFrame, key: str, is_hit: Column, hit_only=False) -> Dat
 
     `hit_only` leaves out keys without a hit.
     """
-    present = F.col(key).isNotNull()
-    if dict(df.dtypes)[key] == "string":
-        present = present & (F.col(key) != "")
+    present = filled(key) if dict(df.dtypes)[key] == "string" else F.col(key).isNotNull()
     rows = df.filter(present & is_hit) if hit_only else df.filter(present)
     return rows.groupBy(key).agg(F.count("*").alias("event_count"),
                                  F.sum(flag(is_hit)).alias("hit_count"))

@@ -6,15 +6,15 @@ from operator import and_
 from pyspark.sql import DataFrame, functions as F
 
 from traceops.fixed_values import PLACEMENT_LABELS
-from traceops.functions.casts import share
+from traceops.functions.casts import filled, share
 
 
 def _placed(df: DataFrame, job: str, machine: str, drop_unplaced: bool) -> DataFrame:
     rows = df.select(F.col(job), F.col(machine))
     text = dict(rows.dtypes)[machine] == "string"
     if drop_unplaced:
-        return rows.filter((F.col(machine) != "") if text else F.col(machine).isNotNull())
-    return rows.withColumn(machine, F.coalesce(machine, F.lit(""))) if text else rows
+        return rows.filter(filled(machine) if text else F.col(machine).isNotNull())
+    return rows.withColumn(machine, F.when(filled(machine), F.col(machine)).otherwise("")) if text else rows
 
 
 def machines_per_job(df: DataFrame, job: str, machine: str, drop_unplaced=True) -> DataFrame:

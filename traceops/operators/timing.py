@@ -39,10 +39,14 @@ def _report(timings, id_regex, id_name, metrics):
             .orderBy(F.asc_nulls_last(id_name), "filename", "_file").drop("_file"))
 
 
-def worker_report(timings: DataFrame, id_regex=WORKER_NUMBER) -> DataFrame:
+def worker_report(timings: DataFrame, id_regex=WORKER_NUMBER, by_time=False, n=None) -> DataFrame:
     """Timing report per number of workers, with the points and labels of its curve.
 
-    Seconds are those of the file, also beyond a day, where the shown time starts anew.
+    Seconds are those of the file, also beyond a day, where the shown time starts anew. `by_time` puts the quickest first (runs of one time by
+    number of workers and name, those without a time last), `n` keeps the first so many.
     """
-    return (_report(timings, id_regex, "cores", REPORT_METRICS).withColumnRenamed("_seconds", "processing_seconds")
-            .withColumn("label", minutes_label("processing_seconds")))
+    report = (_report(timings, id_regex, "cores", REPORT_METRICS).withColumnRenamed("_seconds", "processing_seconds")
+              .withColumn("label", minutes_label("processing_seconds")))
+    if by_time:
+        report = report.orderBy(F.asc_nulls_last("processing_seconds"), F.asc_nulls_last("cores"), "filename")
+    return report if n is None else report.limit(n)

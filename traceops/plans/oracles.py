@@ -169,6 +169,11 @@ ORACLES = {
         + " SELECT l_partkey, peak_cpu, hit_count FROM detail",
     "a9_hourly_profile": _hourly("s"),
     "a9_hourly_profile_us": _hourly("us"),
+    "a9_hourly_profile_us_as_s": """
+      SELECT CAST(epoch_us(ts) % 86400 // 3600 AS INTEGER) AS hour, round(avg(value), 6) AS avg_value FROM events GROUP BY 1""",
+    "a9_hourly_profiles": """
+      SELECT 's' AS unit, CAST(epoch_us(ts) % 86400 // 3600 AS INTEGER) AS hour, round(avg(value), 6) AS avg_value FROM events GROUP BY ALL
+      UNION ALL SELECT 'us', CAST(epoch_us(ts) // 1000000 % 86400 // 3600 AS INTEGER), round(avg(value), 6) FROM events GROUP BY ALL""",
     "a10_stream_job_event_type": _stream("event_type", True),
     "a11_stream_task_event_type": _stream("event_type", False),
     "a12_stream_job_class": _stream("scheduling_class", True),
@@ -197,6 +202,9 @@ ORACLES = {
     "a16_timing_report": _timings("q%d_perf"),
     "a17_worker_report": _timings("rdd_q5_%d", ", s AS processing_seconds, printf('%d:%02d', s // 60, s % 60) AS label",
                                   r"q5_(\d+)", "cores"),
+    "o6_quickest_workers": "SELECT * FROM (" + _timings(
+        "rdd_q5_%d", ", s AS processing_seconds, printf('%d:%02d', s // 60, s % 60) AS label", r"q5_(\d+)", "cores")
+        + ") ORDER BY processing_seconds, cores LIMIT 10",
     "a18_row_count": "SELECT count(*) AS row_count FROM lineitem",
     "p2_safe_cast": """
       SELECT p_partkey, coalesce(TRY_CAST(split_part(p_brand, '#', 2) AS DOUBLE), 0.0) AS brand,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from traceops.sources.events import read_events, read_messages
-from traceops.sources.trace import file_slice, read_text_rows, split_rejects
+from traceops.sources.trace import file_slice, file_states, read_text_rows, split_rejects, table_schema
 from traceops.streaming import counts, gauges, letters, replay
 
 COUNTS = [(kind, dim) for kind in ("job", "task") for dim in ("event_type", "scheduling_class")]
@@ -77,15 +77,26 @@ def current_gauges(spark: SparkSession, queries: dict[str, StreamingQuery], outp
 
 
 def replay_files(spark: SparkSession, source: str, kind: str, target: str, start_file=0, num_files=1,
-                 speed=60, unit="s", waves=1, **options) -> dict[str, DataFrame]:
+                 speed=60, unit="s", waves=1, rejects: str | None = None, **options) -> dict[str, DataFrame]:
     """Sends a slice of the files of `<source>/<kind>_events`; gives the rows sent and rejected.
 
-    A broken file fails the replay, as the rest of it would be neither sent nor rejected.
+    A broken file fails the replay, as the rest of it would be neither sent nor rejected. With `rejects`, a folder, files
+    that can't be read to their end are left out as a whole and written to `<rejects>/files` with their reason, and rejected rows
+    to `<rejects>/rows`.
     """
     table = f"{kind}_events"
     files = file_slice(spark, f"{source.rstrip('/')}/{table}", start_file, num_files)
     if not files:
         raise ValueError(f"no files of {table} from number {start_file} on")
-    good, bad = split_rejects(read_text_rows(spark, files, table, skip_broken_files=False))
+    if rejects:
+        states = file_states(spark, files)
+        states.write.mode("overwrite").option("header", "true").csv(f"{rejects}/files")
+        broken = {r.file for r in spark.read.option("header", "true").csv(f"{rejects}/files", schema=states.schema)
+                  .filter("reason IS NOT NULL").select("file").collect()}
+        files = [f for f in files if f not in broken]
+    rows = read_text_rows(spark, files, table) if files else spark.createDataFrame([], table_schema(table, text=True))
+    good, bad = split_rejects(rows)
     replay.write_replay(good, kind, target, speed, unit=unit, waves=waves, **options)
+    if rejects:
+        bad.write.mode("overwrite").option("header", "true").csv(f"{rejects}/rows")
     return {"sent": good, "rejected": bad}

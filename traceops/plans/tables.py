@@ -243,6 +243,20 @@ def a9_hourly_profile_us(spark, d):
         "avg_value", F.round("avg_value", 6))
 
 
+def a9_hourly_profile_us_as_s(spark, d):
+    """Microseconds taken for seconds, as they stand."""
+    rows = _table(spark, d, "events").select(_micros().alias("t"), "value")
+    return hourly.hourly_profile(rows, "t", {"avg_value": "value"}, "s").withColumn("avg_value", F.round("avg_value", 6))
+
+
+def a9_hourly_profiles(spark, d):
+    """Both readings of the time from one pass."""
+    rows = _table(spark, d, "events").select(_micros().alias("t"), "value")
+    both = hourly.hourly_profiles(rows, "t", {"avg_value": "value"})
+    parts = [df.select(F.lit(unit).alias("unit"), "hour", F.round("avg_value", 6).alias("avg_value")) for unit, df in both.items()]
+    return parts[0].unionByName(parts[1])
+
+
 # --- A10-A13, ST7: streams ---------------------------------------------------------
 
 def _as_messages(events: DataFrame, kind: str) -> DataFrame:
@@ -375,6 +389,11 @@ def a17_worker_report(spark, d):
     return timing.worker_report(_timings(spark, d, F.format_string("rdd_q5_%d", "l_partkey")))
 
 
+def o6_quickest_workers(spark, d):
+    """The ten runs with the least processing time."""
+    return timing.worker_report(_timings(spark, d, F.format_string("rdd_q5_%d", "l_partkey")), by_time=True, n=10)
+
+
 def a18_row_count(spark, d):
     return row_count(_table(spark, d, "lineitem"))
 
@@ -479,12 +498,12 @@ QUERIES = {f.__name__: f for f in (
     a6_placement, a6_machines_per_job,
     a7_join_correlation, a7_join_correlation_stats, a7_composite, a7_sample,
     a8_peaks_vs_counts, a8_peaks_detail,
-    a9_hourly_profile, a9_hourly_profile_us,
+    a9_hourly_profile, a9_hourly_profile_us, a9_hourly_profile_us_as_s, a9_hourly_profiles,
     a10_stream_job_event_type, a11_stream_task_event_type, a12_stream_job_class, a13_stream_task_class,
     a14_encode, a14_json_text, a14_event_text, a15_replay_schedule,
     a16_timing_report, a17_worker_report, a18_row_count,
     p2_safe_cast, p13_regex_filter, p14_membership, p15_plot_sample, p16_label_filter,
     j4_hit_only_join, f2_quarter_bucket, f15_hms, f16_hms_seconds, f17_human, f18_name_number, f21_mss,
-    g17_pivot, w3_last_per_key, w4_trailing_rate, o4_topk, u1_metric_union, io11_exposition,
+    g17_pivot, w3_last_per_key, w4_trailing_rate, o4_topk, o6_quickest_workers, u1_metric_union, io11_exposition,
     st1_dead_letters, st3_closed_hours, st7_latest_count,
 )}

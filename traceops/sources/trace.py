@@ -1,5 +1,8 @@
 """Trace tables: headerless gzip CSV, or the same table as parquet."""
 
+import zlib
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from traceops.fixed_values import TABLES
@@ -40,11 +43,58 @@ def read_trace(spark: SparkSession, path: str, table: str, start_file=0, num_fil
     return reader.parquet(*paths) if fmt == "parquet" else reader.csv(paths, mode="PERMISSIVE")
 
 
-def read_text_rows(spark: SparkSession, path, table: str, skip_broken_files=True) -> DataFrame:
+_BEGUN, _NO_GZIP = "ends early", "no gzip data"
+
+
+def _read_state(content: bytes, packed: bool) -> tuple[int, str | None]:
+    """Lines of a file that can be read, and why its end can't be, if so. A file may hold several gzip parts."""
+    if not packed:
+        return content.count(b"\n") + (content[-1:] not in (b"", b"\n")), None
+    lines, last, rest, reason = 0, b"", content, None if content else _BEGUN
+    while rest and reason is None:
+        part = zlib.decompressobj(31)
+        while rest and not part.eof:
+            try:
+                text = part.decompress(rest, 1 << 20)
+            except zlib.error:
+                reason = "damaged" if content[:2] == b"\x1f\x8b" else _NO_GZIP
+                break
+            rest = part.unconsumed_tail or part.unused_data
+            lines += text.count(b"\n")
+            last = text[-1:] or last
+        if reason is None and not part.eof:
+            reason = _BEGUN
+    return lines + (last not in (b"", b"\n")), reason
+
+
+def file_states(spark: SparkSession, files: list[str]) -> DataFrame:
+    """`(file, bytes, rows, reason)`: each file against its own end, `reason` null where all of it can be read.
+
+    A row for each of `files` (as `file_slice` names them), so one without any row is there too. A task holds one file at a time; gzip files are unpacked in pieces.
+    """
+    def states(batches):
+        for batch in batches:
+            for name, size, content in zip(*(batch.column(c).to_pylist() for c in ("path", "length", "content"))):
+                rows, reason = _read_state(content, name.endswith(".gz"))
+                yield pa.RecordBatch.from_pylist([{"file": name, "bytes": size, "rows": rows, "reason": reason}], schema=schema)
+
+    schema = pa.schema([("file", pa.string()), ("bytes", pa.int64()), ("rows", pa.int64()), ("reason", pa.string())])
+    if not files:
+        return spark.createDataFrame([], "file STRING, bytes BIGINT, rows BIGINT, reason STRING")
+    found = (spark.read.format("binaryFile").load(files).select("path", "length", "content")
+             .mapInArrow(states, "file STRING, bytes BIGINT, rows BIGINT, reason STRING"))
+    # files without a byte are not read at all
+    listed = spark.createDataFrame([(f,) for f in files], "file STRING")
+    return listed.join(found, "file", "left").select(
+        "file", F.coalesce("bytes", F.lit(0)).alias("bytes"), F.coalesce("rows", F.lit(0)).alias("rows"),
+        F.when(F.col("bytes").isNull() & F.endswith("file", F.lit(".gz")), _BEGUN).otherwise(F.col("reason")).alias("reason"))
+
+
+def read_text_rows(spark: SparkSession, path, table: str, skip_broken_files=False) -> DataFrame:
     """The same files with every field as text, for replay: `""` for an empty field.
 
-    In rows with too few fields the absent ones stay null. The rest of a broken file is passed over
-    without a count unless `skip_broken_files` is False, as in a replay, which fails then.
+    In rows with too few fields the absent ones stay null. A broken file fails the job; `file_states` tells which are. With
+    `skip_broken_files` the rest of one is passed over without a count.
     """
     fields = table_schema(table, text=True)
     # the raw line is there when the number of fields is not the expected one
