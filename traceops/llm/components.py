@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from traceops.llm.storage import checkpointed
+from traceops.llm.storage import checkpointed, freed
 
 
 def components(pairs: DataFrame) -> DataFrame:
     """node, component (its smallest node) for the nodes of `pairs` (a, b).
 
     Each round takes the smallest label among neighbours and then the label of that label, so that long chains
-    halve. Labels are checkpointed each round; nothing but the number of changes comes to the driver. Repeated
+    halve. Labels are checkpointed each round, and those of the round before are deleted; nothing but the number of changes comes to the driver. Repeated
     pairs, pairs in both directions and loops are fine; no pairs give no rows.
     """
     edges = checkpointed(pairs.select("a", "b").union(pairs.select("b", "a")).distinct())
@@ -26,6 +26,8 @@ def components(pairs: DataFrame) -> DataFrame:
         step = checkpointed(step.join(roots, "component", "left").select(
             "node", F.least("component", "root").alias("component"), "was"))
         changed = step.filter("component != was").limit(1).count()
+        freed(labels)
         labels = step.select("node", "component")
         if not changed:
+            freed(edges)
             return labels

@@ -25,12 +25,13 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from traceops.llm.components import components
-from traceops.llm.storage import checkpointed, small
-from traceops.llm.text import parts, picked, strings, words
+from traceops.llm.storage import checkpointed, freed, small
+from traceops.llm.text import parts, picked, spare, strings, words
 
 WORDS = 5
 #: Rounds of pivots that may follow the first; they save comparisons and change no result.
@@ -99,7 +100,7 @@ def first_filter(docs: DataFrame, ranges: int) -> DataFrame:
 
     def spread_out(batches):
         schema = pa.schema([("range", pa.int32()), ("keys", pa.binary()), ("sizes", pa.binary()), ("hashes", pa.binary())])
-        turn = 0
+        turn = TaskContext.get().partitionId()  # else the first pieces of all tasks come together in one group
         for batch in batches:
             for piece in parts(batch, "text"):
                 sets = shingle_sets(strings(piece.column("text")))
@@ -126,15 +127,15 @@ def first_filter(docs: DataFrame, ranges: int) -> DataFrame:
                 at = (hashes % np.uint64(ranges)).astype(np.int64)
                 order = np.lexsort((owner, at))
                 hashes, owner, at = hashes[order], owner[order], at[order]
-                cut = np.searchsorted(at, np.arange(ranges + 1))
                 of = (several % np.uint64(ranges)).astype(np.int64)
-                for r in range(ranges):
-                    a, b = cut[r], cut[r + 1]
-                    known = several[of == r]
-                    if b > a or len(known):
-                        who, sizes = np.unique(owner[a:b], return_counts=True)
-                        # the hashes known to be shared stand first, under no document
-                        rows.append((r, uid[kept][who], np.append(len(known), sizes).astype(np.int32), np.concatenate([known, hashes[a:b]])))
+                order = np.argsort(of, kind="stable")
+                several, of = several[order], of[order]
+                # only the ranges that the piece has: their number does not grow with the input
+                present = np.union1d(at, of)
+                for r, a, b, c, d in zip(present, *(np.searchsorted(x, present, side) for x in (at, of) for side in ("left", "right"))):
+                    who, sizes = np.unique(owner[a:b], return_counts=True)
+                    # the hashes known to be shared stand first, under no document
+                    rows.append((r, uid[kept][who], np.append(d - c, sizes).astype(np.int32), np.concatenate([several[c:d], hashes[a:b]])))
                 raw = [[x if x is None or isinstance(x, bytes) else x.tobytes() for x in column] for column in list(zip(*rows))[1:]]
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *[pa.array(c, pa.binary()) for c in raw]], schema=schema)
 
@@ -206,8 +207,8 @@ def near(one: str = "bits", two: str = "bits_b", n_one: str = "n", n_two: str =
     return (9 * differ <= F.col(n_one) + F.col(n_two)) & F.expr(f"5 * least({n_one}, {n_two}) >= 4 * greatest({n_one}, {n_two})")
 
 
-def postings(sets: DataFrame) -> DataFrame:
-    """hash, uid, n, bits, early: the shared shingles in each set's prefix, rarest first.
+def prefixes(sets: DataFrame) -> DataFrame:
+    """uid, n, shared: of each set the shared shingles in its prefix as (hash, early), rarest first.
 
     `early` ones are in the shorter prefix that is enough for the smaller set of a pair.
     """
@@ -217,10 +218,15 @@ def postings(sets: DataFrame) -> DataFrame:
         F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("often", "hash"))).alias("shared"))  # one set's own
     # shingles of one set alone come first in the order and take places of the prefix
     left = F.expr("n - ((4 * n + 4) DIV 5) + 1 - (n - size(shared))")
-    prefix = shared.filter(left > 0).select("uid", "n", F.expr("n - size(shared)").alias("alone"),
-                                             F.slice("shared", F.lit(1), left.cast("int")).alias("shared"))
-    each = prefix.join(sets.select("uid", "bits"), "uid").select("uid", "n", "bits", "alone", F.posexplode("shared").alias("at", "s"))
-    return each.select(F.col("s.hash").alias("hash"), "uid", "n", "bits", F.expr("alone + at < n - ((8 * n + 8) DIV 9) + 1").alias("early"))
+    early = F.expr("transform(slice(shared, 1, cast(left AS INT)), (s, i) -> struct(s.hash, n - size(shared) + i < n - ((8 * n + 8) DIV 9) + 1 AS early))")
+    return shared.withColumn("left", left).filter("left > 0").select("uid", "n", early.alias("shared"))
+
+
+def with_bits(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The distinct pairs (a, b) whose sizes and bitmaps allow a link; bitmaps are fetched for pairs and not carried by shingles."""
+    one = sets.select(F.col("uid").alias("a"), "n", "bits")
+    two = sets.select(F.col("uid").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b"))
+    return pairs.select("a", "b").distinct().join(one, "a").join(two, "b").filter(near()).select("a", "b")
 
 
 def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -240,17 +246,25 @@ def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def linked_sets(sets: DataFrame) -> DataFrame:
     """uid, component of the sets that are linked with another."""
-    posted = checkpointed(postings(sets))
-    known = sets.select(F.col("uid").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b"))
+    rarest = checkpointed(prefixes(sets))
+    posted = rarest.select("uid", "n", F.inline("shared"))  # hash, early
     ends = posted.groupBy("hash").agg(F.min("uid").alias("low"), F.max("uid").alias("high")).filter("low != high")
-    ends = ends.select("hash", "low", "high", F.col("low").alias("least"), F.col("high").alias("most"))
-    found = _pivoted(posted.withColumn("c", F.col("uid")), ends, known, sets)
+    found = _pivoted(posted.withColumn("c", F.col("uid")), ends.withColumns({"least": F.col("low"), "most": F.col("high")}), sets)
     labels = components(found)
-    n_posted = posted.count()
+    n_posted = rarest.agg(F.coalesce(F.sum(F.size("shared")), F.lit(0))).first()[0]
+    owned = None
     for turn in range(PIVOT_ROUNDS + 1):
-        owned = posted.join(labels.withColumnRenamed("node", "uid"), "uid", "left").withColumn("c", F.coalesce("component", "uid")).drop("component")
-        mixed = owned.groupBy("hash").agg(F.min("c").alias("least"), F.max("c").alias("most")).filter("least != most")
-        owned = checkpointed(owned.join(mixed, "hash"))
+        named = labels.withColumnRenamed("node", "uid")
+        # labels come to the sets, and with them to their shingles; those within one component stay so
+        if owned is None:
+            held = rarest
+        else:
+            held = owned.groupBy("uid").agg(F.first("n").alias("n"), F.collect_list(F.struct("hash", "early")).alias("shared"))
+        now = held.join(named, "uid", "left").select("uid", "n", F.coalesce("component", "uid").alias("c"), F.inline("shared"))
+        mixed = now.groupBy("hash").agg(F.min("c").alias("least"), F.max("c").alias("most")).filter("least != most")
+        now = checkpointed(now.join(mixed, "hash"))
+        freed(rarest if owned is None else owned)
+        owned = now
         # pairs across components, counted without making them
         counts = owned.groupBy("hash", "c").agg(F.count("*").alias("k")).groupBy("hash").agg(
             F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"))
@@ -261,26 +275,30 @@ def linked_sets(sets: DataFrame) -> DataFrame:
         ends = owned.groupBy("hash").agg(F.max(F.when(F.col("c") == F.col("least"), F.col("uid"))).alias("low"),
                                          F.min(F.when(F.col("c") == F.col("most"), F.col("uid"))).alias("high"),
                                          F.min("c").alias("least"), F.max("c").alias("most"))
-        more = _pivoted(owned, ends, known, sets)
+        more = _pivoted(owned, ends, sets)
         if not more.limit(1).count():
             break
-        found = found.union(more)
+        found = checkpointed(found.union(more))
+        freed(labels)
         labels = components(found)
-    one = owned.select("hash", F.col("uid").alias("a"), "n", "bits", F.col("c").alias("ca"))
-    two = owned.filter("early").select("hash", F.col("uid").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b"), F.col("c").alias("cb"))
+    bits = sets.select("uid", "bits")
+    held = owned.select("hash", "uid", "n", "early", "c").join(bits, "uid")
+    one = held.select("hash", F.col("uid").alias("a"), "n", "bits", F.col("c").alias("ca"))
+    two = held.filter("early").select("hash", F.col("uid").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b"), F.col("c").alias("cb"))
     pairs = one.join(two, (one.hash == two.hash) & F.expr("ca != cb AND (nb < n OR nb = n AND b < a)") & near())
     last = checkpointed(links(pairs, sets))
+    freed(owned)
     if last.limit(1).count():
         labels = components(found.union(last))
     return labels.select(F.col("node").alias("uid"), "component")
 
 
-def _pivoted(posted: DataFrame, ends: DataFrame, known: DataFrame, sets: DataFrame) -> DataFrame:
+def _pivoted(posted: DataFrame, ends: DataFrame, sets: DataFrame) -> DataFrame:
     """Links of sets with the pivots `low` and `high` of their shingles, of components `least` and `most`, if in another."""
     both = F.array(F.struct(F.col("low").alias("b"), F.col("least").alias("cb")), F.struct(F.col("high").alias("b"), F.col("most").alias("cb")))
-    pivots = ends.select(F.col("hash").alias("pivot_hash"), F.explode(both).alias("p")).select("pivot_hash", "p.b", "p.cb").join(known, "b")
-    pairs = posted.join(pivots, (posted.hash == F.col("pivot_hash")) & (F.col("c") != F.col("cb")) & near())
-    return checkpointed(links(pairs.select(F.col("uid").alias("a"), "b"), sets))
+    pivots = ends.select(F.col("hash").alias("pivot_hash"), F.explode(both).alias("p")).select("pivot_hash", "p.b", "p.cb")
+    pairs = posted.join(pivots, (posted.hash == F.col("pivot_hash")) & (F.col("c") != F.col("cb")))
+    return checkpointed(links(with_bits(pairs.select(F.col("uid").alias("a"), "b"), sets), sets))
 
 
 def jaccard_components(docs: DataFrame, id_column="doc_id", text_column="text") -> DataFrame:
@@ -302,6 +320,8 @@ def jaccard_components(docs: DataFrame, id_column="doc_id", text_column="text")
     sets = hashed_sets(docs.join(wanted, "key", "left_semi")).join(small(kept.select("uid")), "uid", "left_semi")
     sets = checkpointed(sets.dropDuplicates(["uid"]))
     labels = linked_sets(sets)
+    freed(sets)
+    freed(kept)
     # the smallest id of each component, then of each set in one
     groups = own.join(labels, "uid")
     tops = groups.groupBy("component").agg(F.min("first_key").alias("component_id"))
@@ -318,34 +338,36 @@ def jaccard_components(docs: DataFrame, id_column="doc_id", text_column="text")
 def one_of_each(docs: DataFrame, id_column="doc_id", text_column="text") -> DataFrame:
     """The rows of `docs` with one of each component: the smallest id; of rows with that id, the smallest text hash.
 
-    Rows with a null id and rows without words stay.
+    Rows with a null id and rows without words stay. All columns stay as they are, whatever their names.
     """
-    own = docs.withColumns({"_version": F.xxhash64(F.col(f"`{text_column}`")), "_key": F.col(f"`{id_column}`").cast("bigint")})
+    key, version, uid, component_id, component, words_in, place = spare(docs, "_key", "_version", "_uid", "_component_id", "_component", "_words", "_place")
+    own = docs.withColumns({version: F.xxhash64(F.col(f"`{text_column}`")), key: F.col(f"`{id_column}`").cast("bigint")})
     found = checkpointed(jaccard_components(docs, id_column, text_column))
-    gone = checkpointed(found.filter("doc_id != component_id").select(F.col("doc_id").alias("_key")).distinct())
+    gone = checkpointed(found.filter("doc_id != component_id").select(F.col("doc_id").alias(key)).distinct())
     # an id that stands in several rows is settled row by row
-    twice = checkpointed(found.groupBy("doc_id").agg(F.count("*").alias("n"), F.max("n_shingles").alias("words"))
-                         .filter("doc_id IS NOT NULL AND n > 1").select(F.col("doc_id").alias("_key")))
+    twice = checkpointed(found.groupBy("doc_id").agg(F.count("*").alias("n")).filter("doc_id IS NOT NULL AND n > 1").select(F.col("doc_id").alias(key)))
+    columns = [f"`{c}`" for c in docs.columns]
     if not twice.limit(1).count():
-        return own.join(small(gone), "_key", "left_anti").select(*docs.columns)
-    once = own.join(small(gone.union(twice).distinct()), "_key", "left_anti")
-    several = checkpointed(own.join(small(twice), "_key", "left_semi"))
-    sets = hashed_keys(several, text_column)
-    named = found.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("_key"), F.col("uid").alias("_uid"), "component_id", "component", "n_shingles").distinct()
-    rows = sets.join(named, ["_key", "_uid"]).filter("_key = component_id")
-    wordless = F.when(F.col("n_shingles") == 0, F.struct("_key", "_version"))  # components of their own
-    best = Window.partitionBy("component", wordless).orderBy("_version", "_uid")
-    rows = rows.withColumn("_place", F.row_number().over(best)).filter("_place = 1")
-    return once.select(*docs.columns).union(rows.select(*docs.columns))
-
-
-def hashed_keys(docs: DataFrame, text_column: str) -> DataFrame:
-    """All columns and `_uid`."""
+        return own.join(small(gone), key, "left_anti").select(*columns)
+    once = own.join(small(gone.union(twice).distinct()), key, "left_anti")
+    several = checkpointed(own.join(small(twice), key, "left_semi"))
+    sets = hashed_keys(several, text_column, uid)
+    named = found.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias(key), F.col("uid").alias(uid), F.col("component_id").alias(component_id),
+                                                      F.col("component").alias(component), F.col("n_shingles").alias(words_in)).distinct()
+    rows = sets.join(named, [key, uid]).filter(F.col(key) == F.col(component_id))
+    wordless = F.when(F.col(words_in) == 0, F.struct(key, version))  # components of their own
+    best = Window.partitionBy(component, wordless).orderBy(version, uid)
+    rows = rows.withColumn(place, F.row_number().over(best)).filter(F.col(place) == 1)
+    return once.select(*columns).union(rows.select(*columns))
+
+
+def hashed_keys(docs: DataFrame, text_column: str, uid: str) -> DataFrame:
+    """All columns and the key of the set of shingles as `uid`."""
 
     def run(batches):
         for batch in batches:
             for piece in parts(batch, text_column):
-                uid = pa.array([set_key(s) for s in shingle_sets(strings(piece.column(text_column)))], pa.int64())
-                yield pa.RecordBatch.from_arrays([*piece.columns, uid], names=[*piece.schema.names, "_uid"])
+                keys = pa.array([set_key(s) for s in shingle_sets(strings(piece.column(text_column)))], pa.int64())
+                yield pa.RecordBatch.from_arrays([*piece.columns, keys], names=[*piece.schema.names, uid])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("_uid", LongType())]))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(uid, LongType())]))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import gc
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from traceops.session import scratch_dir
@@ -15,22 +18,25 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
-def checkpointed(df: DataFrame, *by: str) -> DataFrame:
+def checkpointed(df: DataFrame, *by: str, codec: str = "snappy") -> DataFrame:
     """The rows from a table in the shared folder: lineage is cut, and plans see the table's real size.
 
     `by` names columns that it is divided by, so a filter on them reads only its part.
     """
     path = shared_folder(df.sparkSession, "table")
-    (df.write.partitionBy(*by) if by else df.write).parquet(path)
+    (df.write.partitionBy(*by) if by else df.write).parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def freed(table: DataFrame) -> None:
     """Deletes a checkpointed table. Only for one that nothing still to be run reads, its copies in lost executors' place included."""
     spark = table.sparkSession
-    for folder in {name.rsplit("/", 1)[0].split("/table-")[0] + "/table-" + name.split("/table-")[1].split("/")[0] for name in table.inputFiles()}:
+    for folder in {found[0] for found in (re.match(r".*/table-[0-9a-f]{32}(?=/)", name) for name in table.inputFiles()) if found}:
         place = spark._jvm.org.apache.hadoop.fs.Path(folder)
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    # shuffle files go once nothing in the driver refers to their plan: look for such plans now
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 #: Tables of so many rows of a few numbers are broadcast, some ten megabytes; longer ones are shuffled.

@@ -69,6 +69,17 @@ def picked(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{name}`").alias(own) for own, name in columns.items()])
 
 
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as no column of `df` has (in any case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+        taken.add(name.lower())
+    return out
+
+
 def folds(key: Column) -> Column:
     """The remainder of the crc32 of the key's text, 0 to 2."""
     return F.crc32(key.cast("string").cast("binary")) % 3
