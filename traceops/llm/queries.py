@@ -34,7 +34,7 @@ def op4_quality(spark, d):
 
 
 def op5_line_dedup(spark, d):
-    """doc_id, text that is left, n_removed, removed: start:length of each line cut, in order."""
+    """doc_id, text that is left, n_removed, removed: start:length of each passage cut, in order."""
     rows = line_dedup.dedup_lines(_table(spark, d, "documents"))
     return rows.select("doc_id", "text", F.size("removed").cast("bigint").alias("n_removed"), F.array_join(F.transform(
         "removed", lambda p: F.concat_ws(":", p["start"].cast("string"), p["length"].cast("string"))), " ").alias("removed"))
@@ -112,22 +112,29 @@ def _inserts(steps):
 
 ORACLES = {
     "op5_line_dedup": rf"""
-WITH lines AS (
-    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS n
-    FROM documents),
-units AS (
-    SELECT *, trim(regexp_replace(lower(line), '\s+', ' ', 'g')) AS unit,
-           sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY n) - length(line) - 1 AS start
-    FROM lines),
-ranked AS (
-    SELECT *, len(string_split(unit, ' ')) >= {line_dedup.LEAST_WORDS} AS counts,
-           min(doc_id) OVER (PARTITION BY unit) AS first, row_number() OVER (PARTITION BY doc_id, unit ORDER BY n) AS copy
+WITH texts AS (SELECT row_number() OVER () AS nr, doc_id, text AS given, coalesce(text, '') AS text FROM documents),
+split AS (SELECT *, string_split_regex(text, '{line_dedup.UNIT_END}') AS pieces, regexp_extract_all(text, '{line_dedup.UNIT_END}') AS ends FROM texts),
+numbered AS (SELECT *, unnest(range(1, len(pieces) + 1)) AS i FROM split),
+units AS (SELECT nr, doc_id, i, pieces[i] || coalesce(ends[i], '') AS unit FROM numbered),
+placed AS (
+    SELECT nr, doc_id, i, length(unit) AS length, cast(sum(length(unit)) OVER (PARTITION BY nr ORDER BY i) AS BIGINT) - length(unit) AS start,
+           trim(regexp_replace(translate(unit, '{_UPPER}', '{_LOWER}'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS words
     FROM units),
-marked AS (SELECT *, counts AND (first < doc_id OR copy > 1) AS gone FROM ranked)
-SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT gone), '') AS text,
-       count(*) FILTER (gone) AS n_removed,
-       coalesce(string_agg(cast(cast(start AS BIGINT) AS VARCHAR) || ':' || cast(length(line) AS VARCHAR), ' ' ORDER BY n) FILTER (gone), '') AS removed
-FROM marked GROUP BY doc_id""",
+worded AS (SELECT *, len(string_split(words, ' ')) AS n, row_number() OVER (PARTITION BY nr ORDER BY i) AS number FROM placed WHERE words <> ''),
+ranked AS (
+    SELECT *, coalesce(doc_id, 9223372036854775807) AS rank, min(coalesce(doc_id, 9223372036854775807)) OVER (PARTITION BY words) AS first,
+           row_number() OVER (PARTITION BY nr, words ORDER BY i) AS copy
+    FROM worded),
+repeats AS (SELECT *, number - row_number() OVER (PARTITION BY nr ORDER BY i) AS run FROM ranked WHERE first < rank OR copy > 1),
+runs AS (SELECT nr, min(start) AS start, max(start + length) AS stop FROM repeats GROUP BY nr, run HAVING sum(n) >= {line_dedup.RUN_WORDS}),
+gaps AS (SELECT *, coalesce(lag(stop) OVER (PARTITION BY nr ORDER BY start), 0) AS before FROM runs),
+cuts AS (
+    SELECT nr, count(*) AS n_removed, string_agg(cast(start AS VARCHAR) || ':' || cast(stop - start AS VARCHAR), ' ' ORDER BY start) AS removed,
+           string_agg(substr(text, before + 1, start - before), '' ORDER BY start) AS kept, max(stop) AS last
+    FROM gaps JOIN texts USING (nr) GROUP BY nr)
+SELECT doc_id, CASE WHEN cuts.nr IS NULL THEN given ELSE kept || substr(text, last + 1) END AS text, coalesce(n_removed, 0) AS n_removed,
+       coalesce(removed, '') AS removed
+FROM texts LEFT JOIN cuts USING (nr)""",
     "op7_url_rules": f"""
 WITH parts AS (
     SELECT page_id, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), '{_UPPER}', '{_LOWER}'), '') AS host,
