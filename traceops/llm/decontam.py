@@ -1,32 +1,38 @@
-"""Passages of a benchmark in training documents, also edited ones: n-gram seeds, then Smith-Waterman.
+"""Passages of a benchmark in training documents, also edited ones: rare n-gram seeds, then Smith-Waterman.
 
-Words are lower-cased and lose the punctuation around them. Every n-gram of an item is a seed, so a copy is aligned
-wherever `n` words in a row are left of it, however many of its other words were changed and however frequent the
-n-gram is. A seed in a document joins it with the item; the words around it are aligned with the item, and the score
+Words are lower-cased and lose the punctuation around them. The n-grams of the items are counted over all documents; those in none
+are left out. Of what is left the rarest in every stretch of `stretch` following n-grams is a seed, and with it every one that occurs `rare` times at most,
+so edited copies keep many seeds while frequent n-grams do not bring every document to every item. Seeds are joined
+with their places in the documents in Spark; the words around such a place are aligned with the item, and the score
 is the best local alignment over that of the whole item with itself. A document that holds an item unchanged scores 1.
 Windows that hold too few of the item's words to reach the least score are passed over, which loses no match.
 
-The benchmark is a stated set of queries and goes to all tasks in blocks of at most BLOCK_ITEMS items; documents
-are never shuffled. Items with fewer than `n` words have no seed and match nothing, and a copy without `n` unchanged
-words in a row is not found, whatever it scores. Null and empty texts match nothing. Documents that repeat an id give rows of their own, equal rows included; null ids are kept. An empty table
-or benchmark gives no row.
+Documents are read once for the places of the items' n-grams, which a bitmap of fixed size tells from others, and again where
+there is something to align. A copy without `n` unchanged words in a row is not found, nor is one of which nothing is
+left but n-grams that occur more than `rare` times beside rarer ones of the item. An item of fewer than `n` words is found in documents that consist of just
+these words, as it says too little inside another text. Null and empty texts match nothing. Documents that repeat an id
+give rows of their own, equal rows included; null ids are kept. An empty table or benchmark gives no row.
 """
 
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+import xxhash
+from pyspark.sql import DataFrame, Window, functions as F
 
-from traceops.llm.text import parts, picked, strings, words
+from traceops.llm.storage import checkpointed, freed, small
+from traceops.llm.text import parts, picked, spare, strings, words
 
 NGRAM = 3
 LEAST_SCORE = 0.5
-BLOCK_ITEMS = 20_000
+#: n-grams in a row of which the rarest is a seed, and occurrences up to which all are
+STRETCH, RARE = 4, 1000
+#: places in the bitmap of the items' n-grams
+PLACES = 1 << 24
 _EDGES = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Words around a seed's place that the alignment may reach beyond the item's own length.
@@ -39,68 +45,62 @@ def plain_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return offsets, codes, pc.replace_substring_regex(values, _EDGES, "")
 
 
-@dataclass(frozen=True)
-class Items:
-    """A block of the benchmark with numbered words; `grams` are sorted codes of n-grams."""
-
-    ids: list[int]
-    tokens: list[np.ndarray]
-    vocabulary: pa.Array
-    grams: np.ndarray
-    owners: list[list[tuple[int, int]]]  # (item, place) of each gram
-
-
-def _codes(numbers: np.ndarray, size: int, n: int) -> np.ndarray:
-    """One number for each n following words; negative where a word is none of the benchmark's."""
-    total = max(len(numbers) - n + 1, 0)
-    code, known = np.zeros(total, np.int64), np.ones(total, bool)
-    for k in range(n):
-        part = numbers[k:k + total]
-        code = code * size + part
-        known &= part >= 0
-    return np.where(known, code, -1)
-
-
-def numbered(rows: list[tuple[int, str]], n: int = NGRAM) -> Items:
-    rows = sorted(rows)
-    offsets, codes, values = plain_words(pa.array([t for _, t in rows], pa.string()))
-    each = values.take(pa.array(codes))
-    vocabulary = each.filter(pc.not_equal(each, "")).unique()
-    if len(vocabulary) ** n >= 1 << 63:
-        raise ValueError("too many different words in a block of the benchmark")
-    number = pc.fill_null(pc.index_in(each, vocabulary), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-    tokens = [x[x >= 0] for x in np.split(number, offsets[1:-1])] if rows else []
-    owners: dict[int, list[tuple[int, int]]] = {}
-    for i, token in enumerate(tokens):
-        for place, code in enumerate(_codes(token, len(vocabulary), n).tolist()):
-            owners.setdefault(code, []).append((i, place))
-    grams = np.array(sorted(owners), dtype=np.int64)
-    return Items([i for i, _ in rows], tokens, vocabulary, grams, [owners[g] for g in grams.tolist()])
-
-
-def hits(texts: pa.Array, items: Items, n: int = NGRAM):
-    """(offsets, numbers, docs, places, grams): where n-grams of the items stand in the texts.
-
-    `numbers` are the texts' words by the items' vocabulary, -1 for others; empty words are left out of them.
-    """
+def grams(texts: pa.Array, n: int = NGRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, place, hash) of the n-grams of the texts; a text of fewer words is one n-gram of its own kind."""
     offsets, codes, values = plain_words(texts)
-    of_value = pc.fill_null(pc.index_in(values, items.vocabulary), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-    of_value[pc.equal(values, "").to_numpy(zero_copy_only=False)] = -2
-    number = of_value[codes]
-    kept = number != -2
-    doc = np.repeat(np.arange(len(texts)), np.diff(offsets))[kept]
-    number = number[kept]
-    offsets = np.searchsorted(doc, np.arange(len(texts) + 1))
-    code = _codes(number, len(items.vocabulary), n)
-    at = np.flatnonzero(code >= 0)
-    at = at[doc[at] == doc[at + n - 1]]
-    if not len(items.grams) or not len(at):
-        return offsets, number, at[:0], at[:0], at[:0]
-    gram = np.searchsorted(items.grams, code[at])
-    gram[gram == len(items.grams)] = 0
-    found = items.grams[gram] == code[at]
-    at, gram = at[found], gram[found]
-    return offsets, number, doc[at], at - offsets[doc[at]], gram
+    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in values.to_pylist()], dtype=np.uint64)
+    empty = pc.equal(values, "").to_numpy(zero_copy_only=False)
+    kept = ~empty[codes]
+    text = np.repeat(np.arange(len(texts)), np.diff(offsets))[kept]
+    of_word = hashes[codes][kept]
+    offsets = np.searchsorted(text, np.arange(len(texts) + 1))
+    total = max(len(of_word) - n + 1, 0)
+    code = np.full(total, n, np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(n):
+            code = (code ^ of_word[k:k + total]) * np.uint64(0x9E3779B97F4A7C15)
+            code ^= code >> np.uint64(29)
+        at = np.flatnonzero(text[:total] == text[n - 1:n - 1 + total])
+        short = np.flatnonzero((np.diff(offsets) > 0) & (np.diff(offsets) < n))
+        own = np.array([xxhash.xxh3_64_intdigest(of_word[offsets[i]:offsets[i + 1]].tobytes()) for i in short], dtype=np.uint64)
+    return (np.concatenate([text[at], short]), np.concatenate([at - offsets[text[at]], np.zeros(len(short), np.int64)]),
+            np.concatenate([code[at], own]).view(np.int64))
+
+
+def _places(rows: DataFrame, n: int, known=None) -> DataFrame:
+    """key, version, place, gram of the texts, with `known` only the n-grams whose bit is set in it."""
+    schema = pa.schema([(c, pa.int64()) for c in ("key", "version", "place", "gram")])
+
+    def run(batches):
+        bits = None if known is None else known.value
+        for batch in batches:
+            for piece in parts(batch, "text"):
+                text, place, gram = grams(strings(piece.column("text")), n)
+                if bits is not None:
+                    bit = gram & (PLACES - 1)
+                    held = (bits[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
+                    text, place, gram = text[held], place[held], gram[held]
+                at = pa.array(text)
+                yield pa.RecordBatch.from_arrays([piece.column("key").take(at), piece.column("version").take(at), pa.array(place), pa.array(gram)], schema=schema)
+
+    return rows.select("key", "version", "text").mapInArrow(run, "key BIGINT, version BIGINT, place BIGINT, gram BIGINT")
+
+
+def _bitmap(owned: DataFrame) -> np.ndarray:
+    places = owned.select((F.col("gram").bitwiseAND(F.lit(PLACES - 1)) + 1).alias("place"))
+    rows = places.groupBy(F.bitmap_bucket_number("place").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")).collect()
+    bits = np.zeros(PLACES // 8, np.uint8)
+    for part, held in rows:
+        bits[(part - 1) * 4096:part * 4096] = np.frombuffer(bytes(held), np.uint8)
+    return bits
+
+
+def chosen_seeds(owned: DataFrame, found: DataFrame, stretch: int = STRETCH, rare: int = RARE) -> DataFrame:
+    """item, at, gram: which n-grams of the items are seeds, by their occurrences `found` in the documents."""
+    often = found.groupBy("gram").agg(F.count("*").alias("often"))
+    rows = owned.join(often, "gram")  # what no document has is gone
+    order = Window.partitionBy("item", F.floor(F.col("at") / stretch)).orderBy("often", "at")
+    return rows.withColumn("nth", F.row_number().over(order)).filter((F.col("nth") == 1) | (F.col("often") <= rare)).select("item", "at", "gram")
 
 
 def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int, int]:
@@ -134,39 +134,25 @@ def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
-def matches(texts: pa.Array, items: Items, least: float, n: int = NGRAM) -> list[tuple[int, int, float, int, int]]:
-    """(text, item, score, first word, end word) of the best alignment of each pair that shares a seed."""
-    offsets, number, doc, place, gram = hits(texts, items, n)
-    joined: dict[tuple[int, int], list[int]] = {}
-    for d, p, g in zip(doc.tolist(), place.tolist(), gram.tolist()):
-        for item, k in items.owners[g]:
-            joined.setdefault((d, item), []).append(p - k)
-    out, seen = [], {}
-    for (d, item), starts in joined.items():
-        token, text = items.tokens[item], number[offsets[d]:offsets[d + 1]]
-        reach = len(token) // 2 + SLACK
-        starts = sorted(set(starts))
-        best = (0, 0, 0)
-        i = 0
-        while i < len(starts):
-            j = i  # seeds whose windows overlap are aligned together
-            while j + 1 < len(starts) and starts[j + 1] - starts[j] <= len(token) + 2 * reach:
-                j += 1
-            a, b = max(starts[i] - reach, 0), min(starts[j] + len(token) + reach, len(text))
-            window = text[a:b]
-            key = item, window.tobytes()
-            if key not in seen:
-                # no alignment scores more than a match for each of the item's words that the window holds
-                most = MATCH * int(np.isin(token, window).sum()) / (MATCH * len(token))
-                seen[key] = align(token, window) if most >= least else (0, 0, 0)
-            score, x, y = seen[key]
+def aligned(text: list[int], item: list[int], starts: list[int], least: float) -> tuple[float, int, int] | None:
+    """(score, first word, end word) of the best alignment near one of the places where the item may begin; words are numbers."""
+    size = len(item)
+    reach = size // 2 + SLACK
+    starts, best, i = sorted(set(starts)), (0, 0, 0), 0
+    while i < len(starts):
+        j = i  # seeds whose windows overlap are aligned together
+        while j + 1 < len(starts) and starts[j + 1] - starts[j] <= size + 2 * reach:
+            j += 1
+        a, b = max(starts[i] - reach, 0), min(starts[j] + size + reach, len(text))
+        window = text[a:b]
+        # no alignment scores more than a match for each of the item's words that the window holds
+        if sum(map(set(window).__contains__, item)) >= least * size:
+            score, x, y = align(np.array(item), np.array(window))
             if score > best[0]:
                 best = (score, a + x, a + y)
-            i = j + 1
-        score = best[0] / (MATCH * len(token))
-        if score >= least:
-            out.append((d, item, score, best[1], best[2]))
-    return out
+        i = j + 1
+    score = best[0] / (MATCH * size)
+    return (score, best[1], best[2]) if score >= least else None
 
 
 def word_spans(text: str) -> list[tuple[int, int]]:
@@ -174,59 +160,85 @@ def word_spans(text: str) -> list[tuple[int, int]]:
     return [m.span() for m in re.finditer(r"[^ \t\n\r\x0b\x0c]+", text) if any(c.isalnum() for c in m[0])]
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, id_column="doc_id", text_column="text", item_column="item_id",
-                       item_text_column="text", least=LEAST_SCORE, n=NGRAM, block_items=BLOCK_ITEMS) -> DataFrame:
-    """doc_id, item_id, score, start, end of every document and item whose alignment scores `least` or more."""
-    docs = picked(docs, key=id_column, text=text_column).withColumn("key", F.col("key").cast("bigint"))
-    found = None
-    for items in item_blocks(benchmark, item_column, item_text_column, n, block_items):
-        part = _block(docs, items, least, n)
-        found = part if found is None else found.union(part)
-    return found
-
+def word_numbers(texts: pa.Array) -> list[list[int]]:
+    """The words of each text as `plain_words` has them, without empty ones, as numbers that are equal for equal words."""
+    offsets, codes, values = plain_words(texts)
+    numbers = np.array([xxhash.xxh3_64_intdigest(w) >> 1 if w else -1 for w in values.to_pylist()], dtype=np.int64)[codes]
+    return [[w for w in part.tolist() if w >= 0] for part in np.split(numbers, offsets[1:-1])] if len(texts) else []
+
+
+#: bytes of the benchmark's texts up to which tasks get them all at once; a larger one is joined to the documents it may be in
+BROADCAST_TEXT = 16 << 20
+
+def _matched(docs: DataFrame, benchmark: DataFrame, item_column: str, item_text_column: str, least: float, n: int, stretch: int, rare: int) -> DataFrame:
+    """key, version, item, score, start, end for each row of `docs` (key, version, text); see `find_contamination`."""
+    items = picked(benchmark, item=item_column, text=item_text_column).filter("item IS NOT NULL AND text IS NOT NULL")
+    # rows that repeat an item id are items of their own
+    items = checkpointed(items.select(F.col("item").cast("bigint").alias("item"), F.xxhash64("text").alias("version"), "text").distinct())
+    owned = checkpointed(_places(items.withColumnRenamed("item", "key"), n).select(
+        F.struct(F.col("key").alias("id"), "version").alias("item"), F.col("place").alias("at"), "gram"))
+    sent = docs.sparkSession.sparkContext.broadcast(_bitmap(owned))
+    found = checkpointed(_places(docs, n, sent).distinct())
+    seeds = small(checkpointed(chosen_seeds(owned, found, stretch, rare)))
+    pairs = found.join(seeds, "gram").groupBy("key", "version", "item").agg(F.collect_set(F.col("place") - F.col("at")).alias("starts"))
+    texts = items.select(F.struct(F.col("item").alias("id"), "version").alias("item"), F.col("text").alias("item_text"))
+    few = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0] <= BROADCAST_TEXT
+    known = {(r.item["id"], r.item["version"]): r.item_text for r in texts.collect()} if few else {}
+    known = docs.sparkSession.sparkContext.broadcast(known)
+    pairs = pairs.withColumn("item_text", F.lit(None).cast("string")) if few else pairs.join(texts.hint("merge"), "item")
+    pairs = checkpointed(pairs.groupBy("key", "version").agg(F.collect_list(
+        F.struct(F.col("item.id").alias("id"), F.col("item.version").alias("item_version"), "item_text", "starts")).alias("items")))
+    freed(found)
+    schema = pa.schema([("key", pa.int64()), ("version", pa.int64()), ("item", pa.int64()), ("score", pa.float64()), ("start", pa.int64()), ("end", pa.int64())])
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, text_column="text", item_column="item_id", item_text_column="text",
-                    least=LEAST_SCORE, n=NGRAM, block_items=BLOCK_ITEMS) -> DataFrame:
-    """The rows of `docs`, with all their columns, that match no item."""
-    kept = docs
-    for items in item_blocks(benchmark, item_column, item_text_column, n, block_items):
-        kept = _without(kept, text_column, items, least, n)
-    return kept
+    def run(batches):
+        wanted: dict = {}
 
+        def numbers(item):
+            name = item["id"], item["item_version"]
+            if name not in wanted:
+                if len(wanted) > 100_000:
+                    wanted.clear()
+                text = item["item_text"]
+                wanted[name] = word_numbers(pa.array([known.value[name] if text is None else text], pa.string()))[0]
+            return wanted[name]
 
-def _without(docs: DataFrame, text_column: str, items: Items, least: float, n: int) -> DataFrame:
-    def run(batches):
         for batch in batches:
-            for piece in parts(batch, text_column):
-                keep = np.ones(piece.num_rows, dtype=bool)
-                keep[np.array([d for d, *_ in matches(strings(piece.column(text_column)), items, least, n)], dtype=np.int64)] = False
-                yield piece.filter(pa.array(keep))
+            for piece in parts(batch, "text"):
+                out = []
+                texts = strings(piece.column("text"))
+                for i, (own, key, version, asked) in enumerate(zip(word_numbers(texts), *(piece.column(c).to_pylist() for c in ("key", "version", "items")))):
+                    spans = None
+                    for item in asked:
+                        best = aligned(own, numbers(item), item["starts"], least)
+                        if best:
+                            spans = spans or word_spans(texts[i].as_py())
+                            out.append((key, version, item["id"], best[0], spans[best[1]][0], spans[best[2] - 1][1]))
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 6, schema)], schema=schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    right = pairs.withColumnsRenamed({"key": "pair_key", "version": "pair_version"})
+    # by a shuffle at every size: about every document may have a place to align
+    both = docs.join(right.hint("merge"), F.col("key").eqNullSafe(F.col("pair_key")) & (F.col("version") == F.col("pair_version")))
+    return both.select("key", "version", "text", "items").mapInArrow(run, "key BIGINT, version BIGINT, item BIGINT, score DOUBLE, start BIGINT, end BIGINT")
 
 
-def item_blocks(benchmark: DataFrame, item_column: str, text_column: str, n: int, block_items: int):
-    """The benchmark in blocks of about `block_items` items each."""
-    asked = picked(benchmark, item=item_column, text=text_column).filter("item IS NOT NULL AND text IS NOT NULL")
-    blocks = max(1, -(-asked.count() // block_items))
-    number = F.pmod(F.xxhash64("item"), F.lit(blocks))
-    for block in range(blocks):
-        rows = asked.filter(number == block).select(F.col("item").cast("bigint").alias("item"), "text").collect()
-        yield numbered([(r.item, r.text) for r in rows], n)
+def _rows(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    rows = picked(docs, key=id_column, text=text_column)
+    return rows.select(F.col("key").cast("bigint").alias("key"), F.xxhash64("text").alias("version"), "text")
 
 
-def _block(docs: DataFrame, items: Items, least: float, n: int) -> DataFrame:
-    schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("start", pa.int64()), ("end", pa.int64())])
+def find_contamination(docs: DataFrame, benchmark: DataFrame, id_column="doc_id", text_column="text", item_column="item_id",
+                       item_text_column="text", least=LEAST_SCORE, n=NGRAM, stretch=STRETCH, rare=RARE) -> DataFrame:
+    """doc_id, item_id, score, start, end of every document and item whose alignment scores `least` or more."""
+    rows = _matched(_rows(docs, id_column, text_column), benchmark, item_column, item_text_column, least, n, stretch, rare)
+    return rows.select(F.col("key").alias("doc_id"), F.col("item").alias("item_id"), "score", "start", "end")
 
-    def run(batches):
-        for batch in batches:
-            for piece in parts(batch, "text"):
-                texts = strings(piece.column("text"))
-                keys, spans, out = piece.column("key"), {}, []
-                for d, item, score, a, b in matches(texts, items, least, n):
-                    if d not in spans:
-                        spans = {d: word_spans(texts[d].as_py())}
-                    out.append((keys[d].as_py(), items.ids[item], score, spans[d][a][0], spans[d][b - 1][1]))
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 5, schema)], schema=schema)
-
-    return docs.mapInArrow(run, "doc_id BIGINT, item_id BIGINT, score DOUBLE, start BIGINT, end BIGINT")
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, id_column="doc_id", text_column="text", item_column="item_id", item_text_column="text",
+                    least=LEAST_SCORE, n=NGRAM, stretch=STRETCH, rare=RARE) -> DataFrame:
+    """The rows of `docs`, with all their columns, that match no item."""
+    found = _matched(_rows(docs, id_column, text_column), benchmark, item_column, item_text_column, least, n, stretch, rare)
+    key, version = spare(docs, "_key", "_version")
+    gone = checkpointed(found.select(F.col("key").alias(key), F.col("version").alias(version)).distinct())
+    same = F.col(f"`{id_column}`").cast("bigint").eqNullSafe(F.col(key)) & (F.xxhash64(F.col(f"`{text_column}`")) == F.col(version))
+    return docs.join(small(gone), same, "left_anti")
