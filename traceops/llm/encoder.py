@@ -35,7 +35,7 @@ def encoder(name: str) -> Encoder:
 
 
 class Encoder:
-    """Ids as `Tokenizer.encode(text, add_special_tokens=False)` gives them.
+    """Ids as `Tokenizer.encode(text, add_special_tokens=False)` gives them, the id of a special token where its name stands in a text.
 
     A byte-level vocabulary splits a text before each blank that stands between other characters and around
     each such line end, so the ids of a text are those of its chunks. Chunks are encoded once for a batch;
@@ -52,10 +52,9 @@ class Encoder:
 
             name = public_tokenizers.path(name)
         self.tokenizer = Tokenizer.from_file(name)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.chunked = self.tokenizer.normalizer is None and isinstance(self.tokenizer.pre_tokenizer, ByteLevel) \
-            and not self.tokenizer.pre_tokenizer.add_prefix_space
+            and self.tokenizer.pre_tokenizer.use_regex and not self.tokenizer.pre_tokenizer.add_prefix_space
         self.letters = byte_characters()
         self.cache: dict[str, bytes] = {}
 

@@ -29,9 +29,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from traceops.llm.encoder import ENCODE_BYTES, encoder
+from traceops.llm.encoder import encoder
 from traceops.llm.text import few, parts, picked, strings
 
+#: bytes of text that are encoded at once; a chunk that occurs often in them is looked up once
+ENCODE_BYTES = 12 << 20
 BLOCK_BYTES = 1 << 20
 BLOCK_DOCS = 4096
 #: The dictionary is fitted on so many documents, of at most so many characters.
