@@ -62,6 +62,11 @@ _LEFT_OUT_WORDS = frozenset(
     "alert popup modal overlay newsletter subscribe subscription signup login form search share sharing social related "
     "recommended recommendations more-links comment comments respond replies disqus discussion widget toolbar pagination pager "
     "copyright legal disclaimer skip".split())
+# names that are left out inside the article too, where a part of a name says little: "related-work" may be a heading of the text
+_LEFT_OUT_NAMES = frozenset(
+    "ad-slot ad-container ad-unit ad-banner ad-block ad-box social-share social-links share-buttons share-bar share-links related-posts "
+    "related-articles related-links related-stories newsletter-signup newsletter-form cookie-banner cookie-notice comment-list comments-area "
+    "comment-form login-form search-form nav-links skip-link skip-to-content promo-box sponsored-content back-to-top".split())
 
 
 def _left_out(tag: str, attributes: str, inside: bool) -> bool:
@@ -73,8 +78,10 @@ def _left_out(tag: str, attributes: str, inside: bool) -> bool:
         name, value = name.lower(), value.strip("\"'").lower()
         if name in ("class", "id"):
             for word in value.split():
-                if word in _LEFT_OUT_WORDS or not _LEFT_OUT_WORDS.isdisjoint(re.split(r"[-_\d]+", word)):
-                    # words such as "article-header" name parts of the text where they stand in the article
+                word = word.replace("_", "-")
+                if (word in _LEFT_OUT_WORDS or word in _LEFT_OUT_NAMES
+                        or not inside and not _LEFT_OUT_WORDS.isdisjoint(re.split(r"[-\d]+", word))):
+                    # words such as "header" name parts of the text where they stand in the article
                     if tag not in ("body", "main", "article", "html") and not (inside and tag in _CLOSED_BY_BLOCK):
                         return True
         elif name == "role" and value in _LEFT_OUT_ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
@@ -101,6 +108,7 @@ def blocks(page: str):
     containers = [("", -1)]
     stack = [("", 0, False)]  # tag, container, left out
     texts, linked, plain, link = [], 0, 0, 0
+    silent, depth = None, 0  # an inline element that is left out, and how deep its own tag is open
     out = []
 
     def flush():
@@ -114,7 +122,7 @@ def blocks(page: str):
 
     at, inside = 0, 0
     for token in _TOKEN.finditer(page):
-        if token.start() > at and not stack[-1][2]:
+        if token.start() > at and not stack[-1][2] and not silent:
             text = page[at:token.start()]
             texts.append(text)
             if link:
@@ -127,13 +135,20 @@ def blocks(page: str):
             continue
         tag = tag.lower()
         if tag in _INLINE:
+            if silent:
+                depth += 0 if tag != silent or tag in _VOID else -1 if token[3] else 1
+                silent = silent if depth else None
+                continue
+            if not token[3] and tag not in _VOID and token[5] and _left_out(tag, token[5], inside > 0):
+                silent, depth = tag, 1
+                continue
             if tag == "br":
                 texts.append(" ")
             elif tag == "a":
                 link = 0 if token[3] else 1
             continue
         flush()
-        link = 0
+        link, silent = 0, None
         if token[3]:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] == tag:
@@ -157,7 +172,7 @@ def blocks(page: str):
             container = len(containers) - 1
         inside += tag in ("article", "main")
         stack.append((tag, container, left_out))
-    if at < len(page) and not stack[-1][2]:
+    if at < len(page) and not stack[-1][2] and not silent:
         rest = page[at:]
         texts.append(_UNFINISHED.sub("", rest))
         plain += len(rest.strip())
