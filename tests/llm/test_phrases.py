@@ -7,7 +7,7 @@ import pytest
 
 from traceops.llm import phrases
 
-SCHEMA = "doc_id BIGINT, text STRING, lang STRING, phrase STRING, `count` INT, start STRING, place INT, shard STRING"
+SCHEMA = "doc_id BIGINT, text STRING, lang STRING, phrase STRING, `count` INT, known STRING, size INT, shard STRING"
 
 
 def by_hand(rows, least, longest, top=2000, covered=50):
@@ -67,7 +67,7 @@ def test_phrases_that_share_a_place_are_still_exact():
     for step, expected in ((0, {("a", 0)}), (1, {("a", 0), ("a b", 1), ("b", 0), ("b a", 1)}), (3, {("a b", 1), ("b a", 1)}), (4, set())):
         counter = phrases._Counter(step, 3, 3, since)
         counter.add("en", b"a b a" if step else b"a")
-        rows = {(p, s) for batch in counter.flush() for p, s in zip(batch.column("phrase").to_pylist(), batch.column("start").to_pylist())}
+        rows = {(p, s) for batch in counter.flush() for p, s in zip(batch.column("phrase").to_pylist(), (k >> 32 for k in batch.column("known").to_pylist()))}
         assert rows == expected, step
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from traceops.llm.storage import checkpointed, freed
 from traceops.llm.text import give_back, picked
 
-SHARDS = 3
+SHARDS = 2
 #: places in the array of phrases of one length, a byte each
 PLACES = 1 << 24
 #: words of a task that are counted together, and bytes of a text that are split at once
@@ -125,11 +125,12 @@ class _Counter:
             n = len(part)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang]).take(pa.array(np.zeros(n, np.int64))), pa.array(np.full(n, size, np.int32)), phrase.cast(pa.string()),
-                 pa.array(count[a:a + _ROWS].astype(np.int64)), pa.array(start[part].astype(np.int32)), pa.array(self._places(run[part]).astype(np.int32))],
-                names=["lang", "size", "phrase", "count", "start", "place"])
+                 pa.array((start[part] << 32) + self._places(run[part])), pa.array(count[a:a + _ROWS].astype(np.int64))],
+                names=["lang", "size", "phrase", "known", "count"])
 
 
-_COUNTED = "lang string, size int, phrase string, count bigint, start int, place int"
+#: `known` is the step from which a phrase counts, above 32 bits of its place
+_COUNTED = "lang string, size int, phrase string, known bigint, count bigint"
 
 
 def _scanned(shard: DataFrame, step: int, shards: int, longest: int, since, task_words: int) -> DataFrame:
@@ -149,7 +150,7 @@ def _scanned(shard: DataFrame, step: int, shards: int, longest: int, since, task
 
 def _reached(totals: DataFrame, size: int, least: int, known: np.ndarray, step: int) -> bool:
     """Notes the step in the places of phrases that have come to `least`; whether there is a new one."""
-    bits = (totals.filter((F.col("size") == size) & (F.col("count") >= least)).select((F.col("place").cast("bigint") + 1).alias("place"))
+    bits = (totals.filter((F.col("size") == size) & (F.col("count") >= least)).select((F.col("known").bitwiseAND(F.lit((1 << 32) - 1)) + 1).alias("place"))
             .groupBy(F.bitmap_bucket_number("place").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")))
     new = False
     for part, held in bits.collect():  # a part, numbered from 1, stands for 32768 places: PLACES / 32768 rows of 4 KB at most
@@ -168,7 +169,7 @@ def count_phrases(docs: DataFrame, least: int = 10, longest: int = 3, text: str
     spark = docs.sparkSession
     rows = picked(docs, text=text, lang=lang).select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
                                                      F.coalesce("text", F.lit("")).alias("text"))
-    parts = checkpointed(rows.withColumn("shard", (F.monotonically_increasing_id() % shards).cast("int")), "shard")
+    parts = checkpointed(rows.withColumn("shard", (F.monotonically_increasing_id() % shards).cast("int")), "shard", codec="zstd")
     since = [np.full(places, NEVER, np.uint8) for _ in range(longest - 1)]
     totals, words, step, last = None, None, 0, shards - 1
     while step <= last:
@@ -176,27 +177,24 @@ def count_phrases(docs: DataFrame, least: int = 10, longest: int = 3, text: str
         seen = _scanned(parts.filter(F.col("shard") == step % shards), step, shards, longest, sent, task_words)
         if totals is not None:
             seen = seen.unionByName(totals)
-        # start and place are the same in all rows of a phrase
-        merged = checkpointed(seen.groupBy("lang", "size", "phrase", "start", "place").agg(F.sum("count").alias("count")).select(*_names()))
+        # what is known is the same in all rows of a phrase
+        merged = checkpointed(seen.groupBy("lang", "size", "phrase", "known").agg(F.sum("count").alias("count")), codec="zstd")
         sent.destroy()
-        if totals is not None:
-            freed(totals)
+        before, totals, seen = totals, None, None
+        if before is not None:
+            freed(before)
         if step == shards - 1:
             words = checkpointed(merged.filter("size = 1").groupBy("lang").agg(F.sum("count").alias("n")))
         for size in range(1, longest):
             if _reached(merged, size, least, since[size - 1], step):
                 last = max(last, step + shards)
         # what has had its cycle is final, and goes if it is rare
-        totals = merged.filter((F.col("count") >= least) | (F.col("start") + shards > step + 1))
+        totals = merged.filter((F.col("count") >= least) | (F.shiftright("known", 32) + shards > step + 1))
         step += 1
     freed(parts)
     return totals.filter(F.col("count") >= least).select("lang", "size", "phrase", "count"), words
 
 
-def _names():
-    return [c.split()[0] for c in _COUNTED.split(", ")]
-
-
 def collocations(docs: DataFrame, least: int = 10, longest: int = 3, top: int = 2000, covered: int = 50, text: str = "text",
                  lang: str = "lang", **counting) -> DataFrame:
     """`(lang, rank, phrase, a, l, r, n, score)`: the `top` phrases of two to `longest` words of each language.
