@@ -4,11 +4,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from traceops.llm import decontam, html_text, jaccard, line_dedup, neighbour_graph, packing, quality, token_files, toxicity, url_filter
+from traceops.llm import decontam, html_text, jaccard, line_dedup, neighbour_graph, packing, phrases, quality, secret_scan, token_files, toxicity, url_filter
 from traceops.llm.components import components
 from traceops.llm.encoder import encoder
 from traceops.llm.storage import shared_folder
@@ -16,8 +18,11 @@ from traceops.llm.storage import shared_folder
 VOCABULARY = "byte_bpe_50k.json"
 
 
+PLAIN = Tokenizer.from_file(public_tokenizers.path(VOCABULARY))
+
+
 def plain_ids(text):
-    return encoder(VOCABULARY).tokenizer.encode(text or "", add_special_tokens=False).ids
+    return PLAIN.encode(text or "", add_special_tokens=False).ids
 
 
 def crc(ids):
@@ -130,6 +135,20 @@ def test_no_running_text_is_left_beside_a_container(spark):
     assert got == {0: f"Title\nlead\n{text}", 1: f"Title\nlead\n{text}", 2: f"{(body * 2).strip()}\nboxed"}
 
 
+def test_names_inside_the_article_and_inline_elements():
+    inside = lambda part: html_text.main_text(f"<body><nav>m</nav><article><p>one</p>{part}<p>two</p></article></body>", None)[0]
+    for kept in ('<div class="side-by-side">x</div>', '<div class="legal-analysis">x</div>', '<section id="related-work">x</section>',
+                 '<div id="social-history">x</div>', '<div class="footnotes">x</div>', "<p><span class=lead>x</span></p>"):
+        assert inside(kept) == "one\nx\ntwo", kept
+    for gone in ('<div class="ad">x</div>', '<div class="share">x</div>', '<div class="share-buttons">x</div>', '<div class="related_posts">x</div>',
+                 '<div id="comments">x</div>', "<div hidden>x</div>", '<p><span class="advert">x <b>y</b></span></p>', "<p><span hidden>x</span></p>",
+                 '<a class="skip-link" href="#">x</a>', '<p><span class="ad">x<span>y</span>z</span></p>', '<p><span class="ad">never closed</p>'):
+        assert inside(gone) == "one\ntwo", gone
+    assert inside('<p>a <span class="ad">x</span> b</p>') == "one\na b\ntwo"
+    outside = '<div class="legal-notes">x</div><div class="my-sidebar-2">y</div><div><p>text</p></div>'
+    assert html_text.main_text(f"<body>{outside}</body>", None)[0] == "text"
+
+
 def test_no_text_is_dropped_by_tag_or_by_a_literal_sign():
     for page, want in (("if a < b then c", "if a < b then c"), ("<p>x</p>1 < 2 and 3 <", "x\n1 < 2 and 3 <"), ('cut <a href="x', "cut"),
                        ("<article><p>one<figure><pre>code</pre><figcaption>caption</figcaption></figure><p>two</article>", "one\ncode\ncaption\ntwo"),
@@ -191,33 +210,66 @@ def test_doubled_and_spaced_words_are_restored():
 
 # --- 5: lines -------------------------------------------------------------------
 
-def test_lines_are_cut_with_their_places(spark, docs):
-    rows = line_dedup.dedup_lines(docs).collect()
-    source = defaultdict(list)
-    for r in docs.collect():
-        source[r.doc_id].append(r.text)
+def runs_by_hand(rows, least):
+    """Places to cut in each (key, text), from lists of all units."""
+    def units(text):
+        found, start = [], 0
+        for end in [m.end() for m in re.finditer(r"[.!?] +|\n", text or "")] + [len(text or "")]:
+            words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), (text or "")[start:end]))
+            if words:
+                found.append((start, end, tuple(words)))
+            start = end
+        return found
+
+    rank = lambda key: float("inf") if key is None else key
     first = {}
-    for key, texts in source.items():
-        for text in texts:
-            for line in (text or "").split("\n"):
-                unit = " ".join(line.lower().split())
-                if len(unit.split()) >= 5 and key is not None:
-                    first[unit] = min(first.get(unit, key), key)
-
-    def kept(key, text):
-        out, seen = [], set()
-        for line in text.split("\n"):
-            unit = " ".join(line.lower().split())
-            if len(unit.split()) < 5 or (unit not in seen and first.get(unit) in (None, key)):
-                out.append(line)
-            seen.add(unit)
-        return "\n".join(out)
-
-    assert Counter((r.doc_id, r.text) for r in rows) == Counter(
-        (r.doc_id, None if r.text is None else kept(r.doc_id, r.text)) for r in docs.collect())
-    for r in rows:
-        for p in r.removed:
-            assert any(t and len(t) >= p.start + p.length for t in source[r.doc_id])
+    for key, text in rows:
+        for _, _, words in units(text):
+            first[words] = min(first.get(words, rank(key)), rank(key))
+    out = []
+    for key, text in rows:
+        seen, run, cut = set(), [], []
+        for unit in [*units(text), None]:
+            if unit and (first[unit[2]] < rank(key) or unit[2] in seen):
+                run.append(unit)
+            else:
+                if sum(len(u[2]) for u in run) >= least:
+                    cut.append((run[0][0], run[-1][1] - run[0][0]))
+                run = []
+            if unit:
+                seen.add(unit[2])
+        out.append(cut)
+    return out
+
+
+SHARED = "Alpha beta gamma delta. Epsilon zeta eta theta iota! " + " ".join(f"kappa{i}" for i in range(25)) + ". Lambda mu? "
+
+
+def test_passages_are_cut_with_their_places(spark, docs):
+    columns = "doc_id BIGINT, text STRING, removed_ STRING, _key STRING, _version INT, units STRING, `key` INT, high INT"
+    rng = random.Random(4)
+    own = lambda: " ".join(rng.choice(["own", "words", "of", "this.", "Text", "here!", "now\n"]) + str(rng.random())[2:6] for _ in range(30))
+    texts = [(1, "Host one. " + SHARED + "Ends here."), (2, "other words " + SHARED.upper() + own()), (3, own() + "\n" + SHARED.replace(" ", "\n")),
+             (None, own() + ". " + SHARED), (4, "Alpha beta gamma delta. Only one sentence of it."), (5, SHARED * 3), (5, "x. " + SHARED), (6, SHARED.strip()),
+             (0, "a. b. c. " * 40), (7, None), (8, ""), (8, "\n \n"), (9, "a. b.\u00a0c\u2003d. e\x1cf " + SHARED)]
+    texts += [(i, own()) for i in range(10, 30)] + texts[:4]
+    frame = spark.createDataFrame([(*t, "s", "k", 1, "u", 2, 3) for t in texts], columns).repartition(3)
+    got = line_dedup.dedup_lines(frame).collect()
+    want = Counter()
+    for (key, text), cut in zip(texts, runs_by_hand(texts, line_dedup.RUN_WORDS)):
+        left = text
+        for start, length in reversed(cut):
+            left = left[:start] + left[start + length:]
+        want[key, left, tuple(cut)] += 1
+    assert Counter((r.doc_id, r.text, tuple(map(tuple, r.removed))) for r in got) == want
+    assert sum(bool(c) for _, _, c in want) >= 6
+    assert line_dedup.dedup_lines(frame).columns == [*frame.columns, "removed"]
+    assert {tuple(r)[2:8] for r in got} == {("s", "k", 1, "u", 2, 3)}
+    named = line_dedup.dedup_lines(frame.withColumnRenamed("high", "removed"), removed="places").collect()
+    assert Counter(tuple(map(tuple, r.places)) for r in named) == Counter(tuple(map(tuple, r.removed)) for r in got)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    assert Counter((r.doc_id, len(r.removed)) for r in line_dedup.dedup_lines(docs, run_words=5).collect()) == Counter(
+        (key, len(cut)) for (key, _), cut in zip(rows, runs_by_hand(rows, 5)))
     assert line_dedup.dedup_lines(empty(docs)).count() == 0
 
 
@@ -276,8 +328,8 @@ def test_edited_passages_are_found(spark, docs):
     own = "something else. " + ", ".join(edited).upper() + " and then the end"
     more = spark.createDataFrame([(50, own, "s", 0, "k"), (51, "word1 word2 word3 alone", "s", 0, "k")], docs.schema)
     bench = spark.createDataFrame([(1, " ".join(words)), (2, "two words"), (3, None), (4, "")], "item_id BIGINT, text STRING")
-    for block in (20_000, 1):
-        rows = decontam.find_contamination(docs.union(more), bench, block_items=block).collect()
+    for rare in (0, 1000):
+        rows = decontam.find_contamination(docs.union(more), bench, rare=rare).collect()
         assert [(r.doc_id, r.item_id) for r in rows] == [(50, 1)]
         assert rows[0].score == pytest.approx((2 * 28 - 3) / 60, abs=0.04)
         assert own[rows[0].start:rows[0].end].startswith("WORD0") and own[rows[0].start:rows[0].end].endswith("WORD29")
@@ -287,7 +339,9 @@ def test_edited_passages_are_found(spark, docs):
     assert decontam.find_contamination(empty(docs), bench).count() == 0
 
 
-def test_much_edited_passages_are_found_like_by_alignment_of_all_pairs(spark):
+@pytest.mark.parametrize("text", [16 << 20, 0])
+def test_much_edited_passages_are_found_like_by_alignment_of_all_pairs(spark, monkeypatch, text):
+    monkeypatch.setattr(decontam, "BROADCAST_TEXT", text)
     items = {i: [f"i{i}w{k}" for k in range(size)] for i, size in enumerate((14, 16, 24, 36, 59))}
     docs = {}
     for item in items.values():
@@ -425,3 +479,60 @@ def test_components(spark):
     pairs = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)]
     got = {r.node: r.component for r in components(spark.createDataFrame(pairs, "a BIGINT, b BIGINT")).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+# --- columns of any name ------------------------------------------------------------
+
+CLASHING = ["_key", "_version", "_uid", "_component_id", "_component", "_words", "_place", "_places", "component", "component_id", "uid", "key", "version",
+            "n", "units", "number", "start", "length", "words", "high", "low", "copy", "first", "hash", "shared", "bits", "hashes", "item", "items", "gram", "place",
+            "pair_key", "pair_version", "score", "predicted", "held_out", "features", "kept", "twice", "n_shingles", "removed"]
+
+
+@pytest.fixture(scope="module")
+def clashing(spark):
+    """Documents that repeat ids, with nulls and very long texts, and a column of every name that the operators use themselves."""
+    line = " ".join(f"w{i}" for i in range(60))
+    texts = [(1, line), (1, line), (1, "another text of this id " + line), (2, line + " more"), (None, line), (3, None), (4, ""), (5, " "), (6, line + " " + line),
+             (7, " ".join(f"v{i}" for i in range(30_000))), (8, "short")]
+    rows = [(i, t, "en", "s", len(t or ""), *(f"{c}{n}" for c in CLASHING)) for n, (i, t) in enumerate(texts)]
+    return spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT, " + ", ".join(f"`{c}` STRING" for c in CLASHING))
+
+
+def test_stages_keep_columns_of_any_name(spark, clashing):
+    source = {tuple(r) for r in clashing.collect()}
+    bench = spark.createDataFrame([(1, " ".join(f"v{i}" for i in range(100, 140))), (1, "x y z"), (2, "short"), (3, None)], "item_id BIGINT, text STRING")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (6, 1, 1), (7, 0, 0)], "doc_id BIGINT, quality INT, toxic INT")
+    one = jaccard.one_of_each(clashing)
+    assert one.columns == clashing.columns and {tuple(r) for r in one.collect()} <= source
+    assert sorted(str(r.doc_id) for r in one.collect()) == ["1", "3", "4", "5", "7", "8", "None"]  # 6 is a near copy of 1
+    clean = decontam.clean_documents(clashing, bench)
+    assert clean.columns == clashing.columns and {tuple(r) for r in clean.collect()} == {r for r in source if r[0] not in (7, 8)}
+    cut = line_dedup.dedup_lines(clashing, removed="cut")
+    assert cut.columns == [*clashing.columns, "cut"]
+    assert {tuple(r)[2:-1] for r in cut.collect()} == {r[2:] for r in source}
+    good = quality.good_documents(clashing, labels)
+    assert good.columns == clashing.columns and {tuple(r) for r in good.collect()} <= source
+    for rows in (secret_scan.find_secrets(clashing), packing.pack_documents(clashing), toxicity.score_toxicity(clashing, labels),
+                 phrases.collocations(clashing)):
+        rows.collect()
+
+
+def test_pieces_of_many_tasks_are_spread_over_the_groups(spark):
+    """Each task counts its pieces from its own number on, so the first ones do not come together."""
+    docs = spark.range(640).selectExpr("id AS key", "concat('text number ', id, ' of some words') AS text").repartition(64)
+    groups = []
+    count = type(docs).groupBy
+
+    def note(self, *by):
+        if by == ("range",):
+            groups.append(self.groupBy_("range").count().collect())
+        return count(self, *by)
+
+    type(docs).groupBy_, type(docs).groupBy = count, note
+    try:
+        jaccard.first_filter(docs, 57).count()
+    finally:
+        type(docs).groupBy = count
+        del type(docs).groupBy_
+    held = [r["count"] for r in groups[0] if r.range >= 57]
+    assert len(held) > 40 and max(held) <= 6
