@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from traceops.llm import decontam, jaccard, line_dedup, packing, quality
 from traceops.llm.storage import checkpointed
+from traceops.llm.text import spare
 
 
 def keep_good(spark, docs, sf_dir):
@@ -23,8 +24,9 @@ def keep_one_of_each(spark, docs, sf_dir):
 
 
 def cut_repeats(spark, docs, sf_dir):
-    """Repeated lines go but for the first; the number of characters follows the text."""
-    rows = line_dedup.dedup_lines(docs).drop("removed")
+    """Repeated passages go but for the first; the number of characters follows the text."""
+    places, = spare(docs, "_places")
+    rows = line_dedup.dedup_lines(docs, removed=places).drop(places)
     return rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else rows
 
 
