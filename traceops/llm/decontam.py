@@ -170,6 +170,7 @@ def word_numbers(texts: pa.Array) -> list[list[int]]:
 #: bytes of the benchmark's texts up to which tasks get them all at once; a larger one is joined to the documents it may be in
 BROADCAST_TEXT = 16 << 20
 
+
 def _matched(docs: DataFrame, benchmark: DataFrame, item_column: str, item_text_column: str, least: float, n: int, stretch: int, rare: int) -> DataFrame:
     """key, version, item, score, start, end for each row of `docs` (key, version, text); see `find_contamination`."""
     items = picked(benchmark, item=item_column, text=item_text_column).filter("item IS NOT NULL AND text IS NOT NULL")
