@@ -108,6 +108,24 @@ def test_slices_of_large_times(spark, base):
     assert pairs(slice_rows=10) == pairs(slice_rows=None)
 
 
+@pytest.mark.parametrize("range_rows, files", [(200_000, 1), (1_000, 20)])
+def test_short_slices_make_no_more_tasks(spark, monkeypatch, range_rows, files):
+    """Ranges go by the rows of a task and not by those of a slice; slices rise over ranges and stay short."""
+    monkeypatch.setattr(neighbours, "RANGE_ROWS", range_rows)
+    df = spark.range(20_000).selectExpr("IF(id % 4 = 3, NULL, id % 4 % 2) AS m", "id * 7919 % 20011 AS t", "CAST(id % 3 AS INT) AS e",
+                                        "CAST(id % 5 AS DOUBLE) AS c", "CAST(0 AS INT) AS tie")
+    sliced = neighbours._sliced(df, "m", 20, 20_000)
+    assert files <= len(sliced.inputFiles()) <= 2 * files
+    assert sliced.count() == 20_000
+    assert sliced.groupBy("m", "_slice").count().agg(F.max("count")).first()[0] <= 20
+    assert sliced.selectExpr("_slice < lag(_slice) OVER (PARTITION BY m ORDER BY t) AS falls").filter("falls").isEmpty()
+
+    def pairs(**kw):
+        return rows(downtime.downtime_periods(df, "m", "t", "e", "c", tiebreak=["tie"], **kw))
+
+    assert pairs(slice_rows=20) == pairs(slice_rows=None)
+
+
 def test_rows_alike_in_everything_and_rows_that_open_and_close(spark):
     """A third of the table is one row; each copy but the first follows another."""
     data = [(1, 5, 2, 1.0, 0)] * 300 + [(1, t, 2, 1.0, 0) for t in range(20)] + [(2, t, t % 3, 0.5, 0) for t in range(580)]

@@ -1,8 +1,9 @@
 """The row before each row of a key, without one task per key.
 
 A window partitioned by key puts a whole key into one task. Keys that hold very many rows are therefore cut into slices of
-about equal row counts: their rows are dealt by range of (key, order), the rows of each key in each range are
-counted, and the counts show whether a slice is too large, in which case the ranges are made narrower. The window looks back inside each
+equal row counts: their rows are dealt by range of (key, order), sorted inside each range and cut by their place there. Ranges are
+as wide as a task sorts without trouble, whatever the width of a slice, so short slices make no more tasks or files; a range that came out
+too large has all ranges made narrower. The window looks back inside each
 slice, and the end rows of the slices of a key, found by an aggregate, are compared with those of the next slice. Cuts go by rows and not by
 time, so bursts, far-off times and a key with a single time are cut like any other. Rows alike in everything stand once, with their number.
 """
@@ -13,6 +14,10 @@ from traceops.session import scratch_table
 
 # rows of a key that one task sorts without trouble
 SLICE_ROWS = 1_000_000
+# rows of a range where slices are shorter
+RANGE_ROWS = 200_000
+# rows of a task that monotonically_increasing_id numbers
+_PLACES = 1 << 33
 # rows made at once from one that stands for many
 _COPIES = 100_000
 
@@ -30,16 +35,20 @@ def _large_keys(rows: DataFrame, key: str, slice_rows: int) -> tuple[DataFrame,
 def _sliced(rows: DataFrame, key: str, slice_rows: int, total: int) -> DataFrame:
     """The different rows with `_copies`, their number, and `_slice`, rising with the columns after `key`.
 
-    No slice has more than twice `slice_rows` rows.
+    No slice has more than `slice_rows` rows, and no range more than twice its due.
     """
     once = rows.groupBy(*rows.columns).agg(F.count("*").alias("_copies"))
-    ranges = max(-(-total // slice_rows), 1)
+    width = max(slice_rows, RANGE_ROWS)
+    ranges = max(-(-total // width), 1)
     while True:
-        dealt = once.repartitionByRange(ranges, *rows.columns).withColumn("_slice", F.spark_partition_id())
-        sliced = scratch_table(dealt, "slices")
-        most = sliced.groupBy(key, "_slice").count().agg(F.max("count")).first()[0] or 0
-        if most <= 2 * slice_rows:
-            return sliced
+        # the number of a row is its place in the range plus _PLACES for each range before
+        dealt = (once.repartitionByRange(ranges, *rows.columns).sortWithinPartitions(*rows.columns)
+                 .withColumn("_place", F.monotonically_increasing_id()))
+        cut = f"_place - _place % {_PLACES} + _place % {_PLACES} div {slice_rows}"
+        sliced = scratch_table(dealt.withColumn("_slice", F.expr(cut)), "slices")
+        most = sliced.agg(F.max(F.expr(f"_place % {_PLACES} + 1"))).first()[0] or 0
+        if most <= 2 * width:
+            return sliced.drop("_place")
         ranges *= 2
 
 
