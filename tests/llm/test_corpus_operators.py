@@ -2,6 +2,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -13,7 +14,7 @@ from tokenizers import Tokenizer
 from traceops.llm import decontam, html_text, jaccard, line_dedup, neighbour_graph, packing, phrases, quality, secret_scan, token_files, toxicity, url_filter
 from traceops.llm.components import components
 from traceops.llm.encoder import encoder
-from traceops.llm.storage import shared_folder
+from traceops.llm.storage import checkpointed, shared_folder
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -475,6 +476,25 @@ def test_near_copies_of_odd_rows(spark, docs):
     assert jaccard.jaccard_components(empty(docs)).count() == 0
 
 
+def shuffle_files(spark):
+    places = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f: f.stat().st_size for place in places for f in Path(place).rglob("shuffle_*.data")}
+
+
+def test_only_sets_in_a_pair_are_shuffled(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(i, 500, sorted(rng.integers(0, 2**62, 500).tolist())) for i in range(1500)]
+    rows.append((1500, 500, rows[7][2]))
+    sets = checkpointed(spark.createDataFrame(rows, "uid BIGINT, n BIGINT, hashes ARRAY<BIGINT>"))
+    before = set(shuffle_files(spark))
+    monkeypatch.setattr(jaccard, "freed", lambda table: None)
+    pairs = spark.createDataFrame([(1500, 7), (7, 8), (1500, 7)], "a BIGINT, b BIGINT").hint("merge")  # as made by joins: of unknown size
+    found = jaccard.links(pairs, sets).collect()
+    assert [tuple(r) for r in found] == [(1500, 7)]
+    # all sets have 6 MB
+    assert sum(size for f, size in shuffle_files(spark).items() if f not in before) < 500_000
+
+
 def test_components(spark):
     pairs = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)]
     got = {r.node: r.component for r in components(spark.createDataFrame(pairs, "a BIGINT, b BIGINT")).collect()}

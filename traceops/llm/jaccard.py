@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from traceops.llm.components import components
-from traceops.llm.storage import checkpointed, freed, small
+from traceops.llm.storage import checkpointed, freed, released, small
 from traceops.llm.text import parts, picked, spare, strings, words
 
 WORDS = 5
@@ -230,10 +230,17 @@ def with_bits(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that pass the prefixes of both hash orders and whose similarity is 0.8 or more."""
+    """The pairs (a, b) that pass the prefixes of both hash orders and whose similarity is 0.8 or more, as a checkpointed table.
+
+    The pairs come first, so that only sets that stand in one are shuffled.
+    """
+    pairs = checkpointed(pairs.select("a", "b").distinct())
+    released(pairs.sparkSession)
+    paired = pairs.select(F.col("a").alias("uid")).union(pairs.select("b")).distinct()
+    sets = sets.select("uid", "n", "hashes").join(small(paired), "uid", "left_semi")
     one = sets.select(F.col("uid").alias("a"), F.col("n").alias("na"), F.col("hashes").alias("ha"))
     two = sets.select(F.col("uid").alias("b"), F.col("n").alias("nb"), F.col("hashes").alias("hb"))
-    both = pairs.select("a", "b").distinct().join(one, "a").join(two, "b")
+    both = pairs.hint("merge").join(one, "a").hint("merge").join(two, "b")
 
     def size(n):
         return F.expr(f"cast({n} - ((4 * {n} + 4) DIV 5) + 1 as int)")
@@ -241,12 +248,15 @@ def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     rising = F.arrays_overlap(F.slice("ha", F.lit(1), size("na")), F.slice("hb", F.lit(1), size("nb")))
     falling = F.arrays_overlap(F.slice("ha", -size("na"), size("na")), F.slice("hb", -size("nb"), size("nb")))
     same = F.size(F.array_intersect("ha", "hb"))
-    return both.filter(rising & falling).filter(100 * same >= 80 * (F.col("na") + F.col("nb") - same)).select("a", "b")
+    found = checkpointed(both.filter(rising & falling).filter(100 * same >= 80 * (F.col("na") + F.col("nb") - same)).select("a", "b"))
+    freed(pairs)
+    return found
 
 
 def linked_sets(sets: DataFrame) -> DataFrame:
     """uid, component of the sets that are linked with another."""
     rarest = checkpointed(prefixes(sets))
+    released(sets.sparkSession)
     posted = rarest.select("uid", "n", F.inline("shared"))  # hash, early
     ends = posted.groupBy("hash").agg(F.min("uid").alias("low"), F.max("uid").alias("high")).filter("low != high")
     found = _pivoted(posted.withColumn("c", F.col("uid")), ends.withColumns({"least": F.col("low"), "most": F.col("high")}), sets)
@@ -286,7 +296,7 @@ def linked_sets(sets: DataFrame) -> DataFrame:
     one = held.select("hash", F.col("uid").alias("a"), "n", "bits", F.col("c").alias("ca"))
     two = held.filter("early").select("hash", F.col("uid").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b"), F.col("c").alias("cb"))
     pairs = one.join(two, (one.hash == two.hash) & F.expr("ca != cb AND (nb < n OR nb = n AND b < a)") & near())
-    last = checkpointed(links(pairs, sets))
+    last = links(pairs, sets)
     freed(owned)
     if last.limit(1).count():
         labels = components(found.union(last))
@@ -298,7 +308,7 @@ def _pivoted(posted: DataFrame, ends: DataFrame, sets: DataFrame) -> DataFrame:
     both = F.array(F.struct(F.col("low").alias("b"), F.col("least").alias("cb")), F.struct(F.col("high").alias("b"), F.col("most").alias("cb")))
     pivots = ends.select(F.col("hash").alias("pivot_hash"), F.explode(both).alias("p")).select("pivot_hash", "p.b", "p.cb")
     pairs = posted.join(pivots, (posted.hash == F.col("pivot_hash")) & (F.col("c") != F.col("cb")))
-    return checkpointed(links(with_bits(pairs.select(F.col("uid").alias("a"), "b"), sets), sets))
+    return links(with_bits(pairs.select(F.col("uid").alias("a"), "b"), sets), sets)
 
 
 def jaccard_components(docs: DataFrame, id_column="doc_id", text_column="text") -> DataFrame:
@@ -311,6 +321,7 @@ def jaccard_components(docs: DataFrame, id_column="doc_id", text_column="text")
     chars = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     ranges = int(chars // 10 // TASK_SHINGLES) + 32
     rows = checkpointed(first_filter(docs, ranges))
+    released(docs.sparkSession)
     every = rows.filter("shared = -1").select("key", "uid", "n")
     own = every.filter("key IS NOT NULL AND n > 0").groupBy("uid").agg(F.min("key").alias("first_key"))
     need = F.expr("greatest(least(((4 * n + 4) DIV 5) DIV 5, greatest(n DIV 5, 1)), 1)")
@@ -319,6 +330,7 @@ def jaccard_components(docs: DataFrame, id_column="doc_id", text_column="text")
     wanted = small(kept.select(F.col("first_key").alias("key")).distinct())
     sets = hashed_sets(docs.join(wanted, "key", "left_semi")).join(small(kept.select("uid")), "uid", "left_semi")
     sets = checkpointed(sets.dropDuplicates(["uid"]))
+    released(docs.sparkSession)
     labels = linked_sets(sets)
     freed(sets)
     freed(kept)

@@ -34,7 +34,11 @@ def freed(table: DataFrame) -> None:
     for folder in {found[0] for found in (re.match(r".*/table-[0-9a-f]{32}(?=/)", name) for name in table.inputFiles()) if found}:
         place = spark._jvm.org.apache.hadoop.fs.Path(folder)
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-    # shuffle files go once nothing in the driver refers to their plan: look for such plans now
+    released(spark)
+
+
+def released(spark: SparkSession) -> None:
+    """Deletes the shuffle files of queries that are done: they go once nothing in the driver refers to their plan, so look for such plans now."""
     gc.collect()
     spark._jvm.System.gc()
 
