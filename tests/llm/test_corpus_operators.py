@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 
 from traceops.llm import decontam, html_text, jaccard, line_dedup, neighbour_graph, packing, phrases, quality, secret_scan, token_files, toxicity, url_filter
 from traceops.llm.components import components
-from traceops.llm.encoder import encoder
+from traceops.llm.encoder import Encoder, encoder
 from traceops.llm.storage import checkpointed, shared_folder
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -45,6 +45,34 @@ def test_chunks_encode_like_whole_texts():
         assert ids[offsets[i]:offsets[i + 1]].tolist() == plain_ids(text), text
 
 
+def test_words_are_encoded_once_whatever_signs_follow():
+    texts = [f"word{sign * k} {k} été{sign}{k}\nline{sign * 2}" for k in range(1, 9) for sign in "#%$&*.,!?;:)-="]
+    own, seen = Encoder(VOCABULARY), []
+
+    class Model:
+        def tokenize(self, word):
+            seen.append(word)
+            return PLAIN.model.tokenize(word)
+
+    whole, own.model = own.whole, Model()
+    own.whole = lambda some: seen.extend(some) or whole(some)
+    offsets, ids = own.encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [plain_ids(t) for t in texts]
+    assert not [x for x in seen if x[:1] in " \n" and x[1:2].isalpha()]
+    assert sum(x.endswith("word") for x in seen) == 1
+
+
+def test_encoder_remembers_short_chunks_only(monkeypatch):
+    monkeypatch.setattr("traceops.llm.encoder.CACHE_WORDS", 40)
+    own = Encoder(VOCABULARY)
+    for k in range(4):  # the cache fills in the second round
+        texts = [f"word{'abcdefghij'[i]}{'xyzw'[k]} a'b{i} c\nnew{'abcdefghij'[i]} {'long' * 40}{k}'z" for i in range(10)]
+        for _ in range(2):
+            offsets, ids = own.encode(pa.array(texts))
+            assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [plain_ids(t) for t in texts]
+        assert len(own.cache[0]) <= 40 and max(map(len, own.cache[0].to_pylist())) <= 64
+
+
 def test_token_files_round_trip(spark, docs):
     path = shared_folder(spark, "test-tokens")
     token_files.write_tokens(docs, path)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import functools
 import os
-from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -12,12 +11,15 @@ import pyarrow.compute as pc
 
 from traceops.llm.text import coded, spread
 
-CACHE_WORDS = 100_000
+#: Chunks that a worker remembers, and the most bytes of one.
+CACHE_WORDS, CACHE_BYTES = 300_000, 64
 #: Bytes of text that are encoded at once.
 ENCODE_BYTES = 3 << 20
 # white space other than single blanks and line ends inside a text: such texts are encoded whole
 _UNUSUAL = (r"^[ \n]|[ \n]$|[ \n][ \n]|[\x00-\x09\x0b-\x1f\x7f\x{80}-\x{a0}\x{1680}\x{180e}\x{2000}-\x{200f}"
             r"\x{2028}-\x{202f}\x{205f}\x{2060}\x{3000}\x{feff}]|<\|")
+_WORDS = 100  # of which the library's tokens are held at once
+_SIGNS = "".join(chr(b) for b in range(33, 127) if not chr(b).isalpha())
 _LETTERS = r"^\n?[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}]+$"
 
 
@@ -28,6 +30,21 @@ def byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in kept} | {b: chr(256 + i) for i, b in enumerate(other)}
 
 
+def stems_and_tails(chunks: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """(stems, tails) of chunks: signs and digits after a word, else only stops after a letter or digit, are a tail.
+
+    The vocabulary's pattern ends a piece between the two, whatever they are.
+    """
+    word, other = pc.utf8_rtrim(chunks, _SIGNS), pc.utf8_rtrim(chunks, ".,!")
+    other = pc.if_else(pc.match_substring_regex(other, r"[\p{L}\p{N}]$"), other, chunks)
+    stems = pc.if_else(pc.match_substring_regex(word, _LETTERS), word, other)
+    offsets = np.frombuffer(chunks.buffers()[1], np.int32)[chunks.offset:chunks.offset + len(chunks) + 1]
+    start = offsets[:-1] + pc.binary_length(stems).to_numpy()
+    size = offsets[1:] - start
+    data = np.frombuffer(chunks.buffers()[2], np.uint8)[spread(start, size)]
+    return stems, pa.StringArray.from_buffers(len(chunks), pa.py_buffer(np.append(0, np.cumsum(size)).astype(np.int32)), pa.py_buffer(data))
+
+
 @functools.lru_cache(maxsize=2)
 def encoder(name: str) -> Encoder:
     """One encoder for each worker process; `name` is a vocabulary file, or the name of a public one."""
@@ -56,7 +73,8 @@ class Encoder:
         self.chunked = self.tokenizer.normalizer is None and isinstance(self.tokenizer.pre_tokenizer, ByteLevel) \
             and self.tokenizer.pre_tokenizer.use_regex and not self.tokenizer.pre_tokenizer.add_prefix_space
         self.letters = byte_characters()
-        self.cache: dict[str, bytes] = {}
+        # chunks, all their ids, and where those of each chunk start and how many they are
+        self.cache = pa.array([], pa.string()), np.zeros(0, np.uint32), np.zeros(0, np.int32), np.zeros(0, np.int32)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -81,19 +99,14 @@ class Encoder:
         # each line starts a chunk "\nword", any other chunk stands for " word"
         marked = pc.binary_join_element_wise("\n", pc.replace_substring(texts, "\n", " \n"), "")
         offsets, codes, values = coded(pc.split_pattern(marked, " "))
-        stems = pc.utf8_rtrim(values, ".,!")
-        ended = pc.and_(pc.not_equal(stems, values), pc.match_substring_regex(stems, r"[\p{L}\p{N}]$"))
-        stems = pc.if_else(ended, stems, values).dictionary_encode()
-        tails = np.full(len(values), "", dtype=object)
-        cut = ended.to_numpy(zero_copy_only=False)
-        tails[cut] = [v[len(v.rstrip(".,!")):] for v in values.filter(ended).to_pylist()]
-        tails = pa.array(tails, pa.string()).dictionary_encode()
-        ids = self._ids(stems.dictionary)
-        ends = [x.tobytes() for x in self.whole(tails.dictionary.to_pylist())]
-        flat = np.frombuffer(b"".join(ids) + b"".join(ends), dtype=np.uint32)
-        size = np.array([len(x) // 4 for x in ids + ends], dtype=np.int32)
-        start = (np.cumsum(size) - size).astype(np.int32)
-        pair = np.stack([stems.indices.to_numpy(), tails.indices.to_numpy() + len(ids)], axis=1)[codes].ravel()
+        stems, tails = stems_and_tails(values)
+        stems, tails = stems.dictionary_encode(), tails.dictionary_encode()
+        flat, start, size = self._ids(stems.dictionary)
+        ends = self.whole(tails.dictionary.to_pylist())
+        more = np.array([len(x) for x in ends], dtype=np.int32)
+        start = np.append(start, len(flat) + np.cumsum(more, dtype=np.int32) - more)
+        flat, size = np.concatenate([flat, *ends]), np.append(size, more)
+        pair = np.stack([stems.indices.to_numpy(), tails.indices.to_numpy() + len(stems.dictionary)], axis=1)[codes].ravel()
         length = size[pair]
         out = flat[spread(start[pair], length)]
         ends_at = np.append(0, np.cumsum(length, dtype=np.int64))[offsets * 2]
@@ -102,26 +115,42 @@ class Encoder:
         keep[ends_at[:-1]] = False
         return ends_at - np.arange(len(ends_at)), out[keep]
 
-    def _ids(self, stems: pa.Array) -> list[bytes]:
-        """Ids of distinct chunks as bytes."""
-        simple = pc.match_substring_regex(stems, _LETTERS).to_numpy(zero_copy_only=False)
-        names, cache, letters, word = stems.to_pylist(), self.cache, self.letters, self.model.tokenize
-        found = [cache.get(x) for x in names]
-        apart = [i for i, x in enumerate(found) if x is None and not simple[i]]
-        texts = [names[i] if names[i][:1] == "\n" else " " + names[i] for i in apart]
-        for i, ids in zip(apart, self.whole(texts) if texts else ()):
-            found[i] = ids.tobytes()
-        blank, line = letters[32], array("I", [t.id for t in word(letters[10])]).tobytes()
-        for i, x in enumerate(found):
-            if x is None:
-                name, first = names[i], b""
-                if name[0] == "\n":
-                    name, first, lead = name[1:], line, ""
-                else:
-                    lead = blank
-                if not name.isascii():
-                    name = name.encode().decode("latin-1").translate(letters)
-                found[i] = first + array("I", [t.id for t in word(lead + name)]).tobytes()
-        if len(cache) < CACHE_WORDS:
-            cache.update(zip(names[:CACHE_WORDS - len(cache)], found))
-        return found
+    def _ids(self, stems: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, starts, sizes): where in `ids` those of each distinct chunk lie."""
+        known, ids, start, size = self.cache
+        place = pc.index_in(stems, known)
+        new = stems.filter(pc.is_null(place))
+        order, new_ids, new_size = self._new(new)
+        at = np.cumsum(new_size, dtype=np.int32) - new_size
+        kept = np.flatnonzero(pc.binary_length(new).to_numpy()[order] <= CACHE_BYTES)[:CACHE_WORDS - len(known)]
+        if len(kept):
+            n = new_size[kept]
+            self.cache = (pa.concat_arrays([known, new.take(pa.array(order[kept]))]), np.append(ids, new_ids[spread(at[kept], n)]),
+                          np.append(start, len(ids) + np.cumsum(n, dtype=np.int32) - n), np.append(size, n))
+        own = np.empty(len(new), np.int32)
+        own[order] = np.arange(len(known), len(known) + len(new), dtype=np.int32)
+        row = pc.fill_null(place, 0).to_numpy(zero_copy_only=False).copy()
+        row[pc.is_null(place).to_numpy(zero_copy_only=False)] = own
+        return np.append(ids, new_ids), np.append(start, len(ids) + at)[row], np.append(size, new_size)[row]
+
+    def _new(self, stems: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(order, ids, sizes) of chunks, in another order: the slow ones first, as they gain most from the cache."""
+        word, letters = self.model.tokenize, self.letters
+        simple = pc.match_substring_regex(stems, _LETTERS)
+        line = pc.starts_with(stems, "\n")
+        groups = [pc.invert(simple), pc.and_(simple, line), pc.and_not(simple, line)]
+        names = stems.filter(groups[0]).to_pylist()
+        ids = self.whole([n if n[0] == "\n" else " " + n for n in names]) if names else []
+        size = [len(x) for x in ids]
+        for group, first, lead in ((groups[1], [t.id for t in word(letters[10])], ""), (groups[2], [], letters[32])):
+            names = pc.utf8_ltrim(stems.filter(group), "\n")
+            other = np.flatnonzero(pc.invert(pc.string_is_ascii(names)).to_numpy(zero_copy_only=False)).tolist()
+            names = names.to_pylist()
+            for i in other:
+                names[i] = names[i].encode().decode("latin-1").translate(letters)
+            for a in range(0, len(names), _WORDS):
+                found = [word(lead + n) for n in names[a:a + _WORDS]]
+                ids.append(np.array([i for w in found for i in first + [t.id for t in w]], dtype=np.uint32))
+                size += [len(first) + len(w) for w in found]
+        order = np.concatenate([np.flatnonzero(g.to_numpy(zero_copy_only=False)) for g in groups])
+        return order, np.concatenate([np.zeros(0, np.uint32), *ids]), np.array(size, dtype=np.int32)
