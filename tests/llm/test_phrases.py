@@ -71,6 +71,28 @@ def test_phrases_that_share_a_place_are_still_exact():
         assert rows == expected, step
 
 
+@pytest.mark.parametrize("block", [1, 40, 1 << 20])
+def test_words_are_numbered_by_blocks(monkeypatch, block):
+    monkeypatch.setattr(phrases, "BLOCK", block)
+    rows = [(t, lang or "und") for t, lang in some_texts(block, 200)]
+    counter = phrases._Counter(1, 2, 3, [np.zeros(1 << 15, np.uint8), np.zeros(1 << 15, np.uint8)])
+    for text, lang in rows:
+        counter.add(lang, (text or "").encode())
+    counter._number()
+    arrays = [x for texts in counter.texts.values() for x in texts]
+    assert all(len(x.dictionary) == len(set(x.dictionary.to_pylist())) for x in arrays) and len(arrays) > (8 if block < 100 else 3)
+    got = Counter()
+    for batch in counter.flush():
+        for lang, phrase, count in zip(*(batch.column(n).to_pylist() for n in ("lang", "phrase", "count"))):
+            got[lang, phrase] += count
+    want = Counter()
+    for text, lang in rows:
+        for piece in re.split("[.,;:!?\n-\r]", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")):
+            words = re.findall("[^ \t]+", piece)
+            want.update((lang, " ".join(words[i:i + k])) for k in (1, 2, 3) for i in range(len(words) - k + 1))
+    assert got == want
+
+
 def test_long_texts_in_chunks(spark):
     text = "alpha beta gamma, delta " * 100_000 + "x" * 3_000_000 + " alpha beta"
     got = phrases.collocations(frame(spark, [(text, "en")], 1)).collect()

@@ -32,9 +32,11 @@ SHARDS = 2
 PLACES = 1 << 24
 #: words of a task that are counted together, and bytes of a text that are split at once
 TASK_WORDS, CHUNK = 3_000_000, 1 << 20
+#: bytes of texts whose words are numbered at once
+BLOCK = 8 << 20
 NEVER = 255
 
-_BREAK = b"\xff"  # in no UTF-8 text
+_BREAK = b"\n"  # itself one of the signs
 _SIGNS = bytes(ord(_BREAK) if chr(b) in ".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 _ROWS = 50_000
 
@@ -64,39 +66,55 @@ class _Counter:
         self._new()
 
     def _new(self):
-        self.number = defaultdict()
-        self.number.default_factory = self.number.__len__
-        self.number[_BREAK]  # number 0
         self.texts, self.size = defaultdict(list), 0
+        self.raw, self.bytes = defaultdict(list), 0
 
     def add(self, lang: str, text: bytes):
-        number = self.number
         for chunk in _chunks(text.translate(_SIGNS)):
-            words = chunk.replace(_BREAK, b" \xff ").split()
-            self.texts[lang].append(np.fromiter(map(number.__getitem__, words), np.int64, len(words)))
-            self.size += len(words)
-        self.texts[lang].append(np.zeros(1, np.int64))
+            self.size += chunk.count(b" ") + chunk.count(_BREAK) + 1  # words and breaks, nearly
+            chunk = chunk.replace(_BREAK, b" \n ")
+            self.raw[lang].append(chunk)
+            self.bytes += len(chunk)
+            if self.bytes >= BLOCK:
+                self._number()
+        self.raw[lang].append(_BREAK)
         self.size += 1
 
+    def _number(self):
+        """Numbers the words of the texts that came since the last time, as dictionary arrays."""
+        for lang, raw in self.raw.items():
+            data = np.frombuffer(b" ".join([*raw, b""]), np.uint8)
+            blank = data == 32
+            length = np.diff(np.flatnonzero(blank), prepend=-1) - 1
+            ends = np.cumsum(length[length > 0])
+            words = pa.BinaryArray.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(np.append(0, ends).astype(np.int32)), pa.py_buffer(data[~blank])])
+            self.texts[lang].append(words.dictionary_encode())
+        self.raw, self.bytes = defaultdict(list), 0
+
     def due(self, start: np.ndarray) -> np.ndarray:
         return (start <= self.step) & (self.step < start + self.shards)
 
     def flush(self):
         """(lang, size, phrase, count, start, place) of the phrases since the last flush."""
-        words = pa.array(list(self.number), pa.binary())
-        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.number), np.uint64, len(self.number))
-        for lang, texts in self.texts.items():
-            ids = np.concatenate(texts)
+        self._number()
+        for lang in list(self.texts):
+            texts = pa.chunked_array(self.texts.pop(lang)).unify_dictionaries()
+            words = texts.chunk(0).dictionary
+            ids = np.concatenate([x.indices.to_numpy() for x in texts.chunks]).astype(np.int64)
+            stop = pc.index(words, _BREAK).as_py()
+            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words.to_pylist()), np.uint64, len(words))
             salt = np.array([xxhash.xxh3_64_intdigest(lang.encode())], np.uint64)
-            ids = ids[np.append(True, (ids[1:] != 0) | (ids[:-1] != 0))] if len(ids) > 1 else ids
+            ids = ids[np.append(True, (ids[1:] != stop) | (ids[:-1] != stop))] if len(ids) > 1 else ids
             own = _mixed(hashes, salt)[ids]
             run, start = own, np.zeros(len(ids), np.int64)  # of the phrase that begins at each place
-            inside = ids != 0
+            inside = ids != stop
             for size in range(1, self.longest + 1):
                 if size > 1:
                     known = self.since[size - 2][self._places(run)]
                     late = np.maximum(known[:-1], known[1:])
-                    inside = inside[:-1] & (ids[size - 1:] != 0) & (late != NEVER)
+                    inside = inside[:-1] & (ids[size - 1:] != stop) & (late != NEVER)
+                    if not inside.any():
+                        break
                     start = late.astype(np.int64) + 1
                     run = _mixed(run[:-1], own[size - 1:])
                 at = np.flatnonzero(inside & self.due(start))
@@ -115,8 +133,14 @@ class _Counter:
             code = code * len(words) + ids[at + more]
             if more < size - 1:
                 code = np.unique(code, return_inverse=True)[1].reshape(-1)
-        _, first, count = np.unique(code, return_index=True, return_counts=True)
-        at = at[first]
+        if size == 1:
+            every = np.bincount(code)
+            place = np.empty(len(every), np.int64)
+            place[code] = at
+            at, count = place[every > 0], every[every > 0]
+        else:
+            _, first, count = np.unique(code, return_index=True, return_counts=True)
+            at = at[first]
         for a in range(0, len(at), _ROWS):
             part = at[a:a + _ROWS]
             phrase = words.take(pa.array(ids[part]))
