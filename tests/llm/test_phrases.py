@@ -93,6 +93,24 @@ def test_words_are_numbered_by_blocks(monkeypatch, block):
     assert got == want
 
 
+def test_rare_phrases_are_not_written_after_their_cycle(spark, monkeypatch):
+    tables, whole = [], phrases.checkpointed
+
+    def written(df, *by, **more):
+        table = whole(df, *by, **more)
+        if "known" in df.columns:
+            tables.append([tuple(r) for r in table.select("size", "count", "known").collect()])
+        return table
+
+    monkeypatch.setattr(phrases, "checkpointed", written)
+    rows = some_texts(5)
+    counts, words = phrases.count_phrases(frame(spark, rows), least=10, longest=3, shards=2)
+    assert {r.lang: r.n for r in words.collect()} == {r[0]: r[6] for r in by_hand(rows, 1, 3, 1)} | {"fr": 1}
+    assert len(tables) >= 4 and any(c < 10 for size, c, _ in tables[1] if size == 1) and any(c < 10 for size, c, _ in tables[1] if size == 2)
+    for step, table in enumerate(tables[2:], 2):
+        assert table and not [r for r in table if r[1] < 10 and (r[2] >> 32) + 2 <= step + 1]
+
+
 def test_long_texts_in_chunks(spark):
     text = "alpha beta gamma, delta " * 100_000 + "x" * 3_000_000 + " alpha beta"
     got = phrases.collocations(frame(spark, [(text, "en")], 1)).collect()

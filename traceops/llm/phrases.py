@@ -201,8 +201,11 @@ def count_phrases(docs: DataFrame, least: int = 10, longest: int = 3, text: str
         seen = _scanned(parts.filter(F.col("shard") == step % shards), step, shards, longest, sent, task_words)
         if totals is not None:
             seen = seen.unionByName(totals)
+        # what has had its cycle is final, and goes if it is rare; rare words go after all words have been summed
+        needed = (F.col("count") >= least) | (F.shiftright("known", 32) + shards > step + 1)
+        written = needed | (F.col("size") == 1) if step == shards - 1 else needed
         # what is known is the same in all rows of a phrase
-        merged = checkpointed(seen.groupBy("lang", "size", "phrase", "known").agg(F.sum("count").alias("count")), codec="zstd")
+        merged = checkpointed(seen.groupBy("lang", "size", "phrase", "known").agg(F.sum("count").alias("count")).filter(written), codec="zstd")
         sent.destroy()
         before, totals, seen = totals, None, None
         if before is not None:
@@ -212,8 +215,7 @@ def count_phrases(docs: DataFrame, least: int = 10, longest: int = 3, text: str
         for size in range(1, longest):
             if _reached(merged, size, least, since[size - 1], step):
                 last = max(last, step + shards)
-        # what has had its cycle is final, and goes if it is rare
-        totals = merged.filter((F.col("count") >= least) | (F.shiftright("known", 32) + shards > step + 1))
+        totals = merged.filter(needed)
         step += 1
     freed(parts)
     return totals.filter(F.col("count") >= least).select("lang", "size", "phrase", "count"), words
