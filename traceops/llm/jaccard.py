@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from traceops.llm.components import components
-from traceops.llm.storage import checkpointed, freed, released, small
+from traceops.llm.storage import BROADCAST_ROWS, checkpointed, freed, released, sized, small
 from traceops.llm.text import parts, picked, spare, strings, words
 
 WORDS = 5
@@ -201,7 +201,7 @@ def parity(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def near(one: str = "bits", two: str = "bits_b", n_one: str = "n", n_two: str = "nb"):
+def near(one: str = "bits", two: str = "bits_b", n_one: str = "n", n_two: str = "n_b"):
     """Whether sizes and bitmaps allow a link: at 0.8, sets differ in a ninth of the sum of their sizes at most."""
     differ = sum((F.bit_count(F.get(one, F.lit(i)).bitwiseXOR(F.get(two, F.lit(i)))) for i in range(BITMAP)), F.lit(0))
     return (9 * differ <= F.col(n_one) + F.col(n_two)) & F.expr(f"5 * least({n_one}, {n_two}) >= 4 * greatest({n_one}, {n_two})")
@@ -222,33 +222,41 @@ def prefixes(sets: DataFrame) -> DataFrame:
     return shared.withColumn("left", left).filter("left > 0").select("uid", "n", early.alias("shared"))
 
 
-def with_bits(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The distinct pairs (a, b) whose sizes and bitmaps allow a link; bitmaps are fetched for pairs and not carried by shingles."""
-    one = sets.select(F.col("uid").alias("a"), "n", "bits")
-    two = sets.select(F.col("uid").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b"))
-    return pairs.select("a", "b").distinct().join(one, "a").join(two, "b").filter(near()).select("a", "b")
+def ended(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
+    """The pairs (a, b) with columns of both sets, those of b under the name and `_b`. Pairs are counted, so give a checkpointed table.
 
+    Few pairs go to the sets of a, which are not shuffled then, and of the sets of b only those in a pair are. Many are joined by shuffles.
+    """
+    one = sets.select(F.col("uid").alias("a"), *columns)
+    two = sets.select(F.col("uid").alias("b"), *[F.col(c).alias(f"{c}_b") for c in columns])
+    if pairs.count() <= BROADCAST_ROWS:
+        both = one.join(F.broadcast(pairs), "a")
+        two = two.join(F.broadcast(pairs.select("b")), "b", "left_semi")
+    else:
+        paired = small(pairs.select("a").union(pairs.select("b")).distinct())
+        both = pairs.hint("merge").join(one.join(paired, "a", "left_semi"), "a")
+        two = two.join(paired.withColumnRenamed("a", "b"), "b", "left_semi")
+    return both.hint("merge").join(two, "b")
 
-def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that pass the prefixes of both hash orders and whose similarity is 0.8 or more, as a checkpointed table.
 
-    The pairs come first, so that only sets that stand in one are shuffled.
-    """
+def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) that pass the prefixes of both hash orders and whose similarity is 0.8 or more, as a checkpointed table."""
     pairs = checkpointed(pairs.select("a", "b").distinct())
     released(pairs.sparkSession)
-    paired = pairs.select(F.col("a").alias("uid")).union(pairs.select("b")).distinct()
-    sets = sets.select("uid", "n", "hashes").join(small(paired), "uid", "left_semi")
-    one = sets.select(F.col("uid").alias("a"), F.col("n").alias("na"), F.col("hashes").alias("ha"))
-    two = sets.select(F.col("uid").alias("b"), F.col("n").alias("nb"), F.col("hashes").alias("hb"))
-    both = pairs.hint("merge").join(one, "a").hint("merge").join(two, "b")
+    return _compared(pairs, sets)
+
+
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """`links` of distinct pairs in a checkpointed table, which goes."""
+    both = ended(pairs, sets, "n", "hashes")
 
     def size(n):
         return F.expr(f"cast({n} - ((4 * {n} + 4) DIV 5) + 1 as int)")
 
-    rising = F.arrays_overlap(F.slice("ha", F.lit(1), size("na")), F.slice("hb", F.lit(1), size("nb")))
-    falling = F.arrays_overlap(F.slice("ha", -size("na"), size("na")), F.slice("hb", -size("nb"), size("nb")))
-    same = F.size(F.array_intersect("ha", "hb"))
-    found = checkpointed(both.filter(rising & falling).filter(100 * same >= 80 * (F.col("na") + F.col("nb") - same)).select("a", "b"))
+    rising = F.arrays_overlap(F.slice("hashes", F.lit(1), size("n")), F.slice("hashes_b", F.lit(1), size("n_b")))
+    falling = F.arrays_overlap(F.slice("hashes", -size("n"), size("n")), F.slice("hashes_b", -size("n_b"), size("n_b")))
+    same = F.size(F.array_intersect("hashes", "hashes_b"))
+    found = checkpointed(both.filter(rising & falling).filter(100 * same >= 80 * (F.col("n") + F.col("n_b") - same)).select("a", "b"))
     freed(pairs)
     return found
 
@@ -257,45 +265,41 @@ def linked_sets(sets: DataFrame) -> DataFrame:
     """uid, component of the sets that are linked with another."""
     rarest = checkpointed(prefixes(sets))
     released(sets.sparkSession)
-    posted = rarest.select("uid", "n", F.inline("shared"))  # hash, early
+    posted = rarest.select("uid", F.inline("shared")).select("hash", "uid", F.col("uid").alias("c"))
     ends = posted.groupBy("hash").agg(F.min("uid").alias("low"), F.max("uid").alias("high")).filter("low != high")
-    found = _pivoted(posted.withColumn("c", F.col("uid")), ends.withColumns({"least": F.col("low"), "most": F.col("high")}), sets)
+    found = _pivoted(posted.join(ends.withColumns({"least": F.col("low"), "most": F.col("high")}), "hash"), sets)
     labels = components(found)
     n_posted = rarest.agg(F.coalesce(F.sum(F.size("shared")), F.lit(0))).first()[0]
     owned = None
     for turn in range(PIVOT_ROUNDS + 1):
-        named = labels.withColumnRenamed("node", "uid")
+        named = small(labels.withColumnRenamed("node", "uid"))
         # labels come to the sets, and with them to their shingles; those within one component stay so
-        if owned is None:
-            held = rarest
-        else:
-            held = owned.groupBy("uid").agg(F.first("n").alias("n"), F.collect_list(F.struct("hash", "early")).alias("shared"))
+        held = rarest if owned is None else owned.groupBy("uid").agg(F.first("n").alias("n"), F.collect_list(F.struct("hash", "early")).alias("shared"))
         now = held.join(named, "uid", "left").select("uid", "n", F.coalesce("component", "uid").alias("c"), F.inline("shared"))
-        mixed = now.groupBy("hash").agg(F.min("c").alias("least"), F.max("c").alias("most")).filter("least != most")
+        # with one set of the first and of the last component, any, as pivots of another round
+        mixed = now.groupBy("hash").agg(F.min("c").alias("least"), F.max("c").alias("most"), F.min_by("uid", "c").alias("low"),
+                                        F.max_by("uid", "c").alias("high"), F.count("*").alias("k")).filter("least != most")
         now = checkpointed(now.join(mixed, "hash"))
         freed(rarest if owned is None else owned)
         owned = now
+        if turn == PIVOT_ROUNDS:
+            break
         # pairs across components, counted without making them
-        counts = owned.groupBy("hash", "c").agg(F.count("*").alias("k")).groupBy("hash").agg(
-            F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"))
-        across = counts.agg(F.coalesce(F.sum((F.col("k") * F.col("k") - F.col("kk")) / 2), F.lit(0))).first()[0]
-        if across <= n_posted or turn == PIVOT_ROUNDS:
+        counts = owned.groupBy("hash", "c").agg(F.count("*").alias("own"), F.first("k").alias("k"))
+        across = counts.agg(F.coalesce(F.sum(F.col("own") * (F.col("k") - F.col("own")) / 2), F.lit(0))).first()[0]
+        if across <= n_posted:
             break
-        # else another round of pivots, from two different components of each shingle
-        ends = owned.groupBy("hash").agg(F.max(F.when(F.col("c") == F.col("least"), F.col("uid"))).alias("low"),
-                                         F.min(F.when(F.col("c") == F.col("most"), F.col("uid"))).alias("high"),
-                                         F.min("c").alias("least"), F.max("c").alias("most"))
-        more = _pivoted(owned, ends, sets)
+        more = _pivoted(owned, sets)
         if not more.limit(1).count():
             break
-        found = checkpointed(found.union(more))
+        found = found.union(more)
         freed(labels)
         labels = components(found)
     bits = sets.select("uid", "bits")
     held = owned.select("hash", "uid", "n", "early", "c").join(bits, "uid")
     one = held.select("hash", F.col("uid").alias("a"), "n", "bits", F.col("c").alias("ca"))
-    two = held.filter("early").select("hash", F.col("uid").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b"), F.col("c").alias("cb"))
-    pairs = one.join(two, (one.hash == two.hash) & F.expr("ca != cb AND (nb < n OR nb = n AND b < a)") & near())
+    two = held.filter("early").select("hash", F.col("uid").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"), F.col("c").alias("cb"))
+    pairs = one.join(two, (one.hash == two.hash) & F.expr("ca != cb AND (n_b < n OR n_b = n AND b < a)") & near())
     last = links(pairs, sets)
     freed(owned)
     if last.limit(1).count():
@@ -303,12 +307,15 @@ def linked_sets(sets: DataFrame) -> DataFrame:
     return labels.select(F.col("node").alias("uid"), "component")
 
 
-def _pivoted(posted: DataFrame, ends: DataFrame, sets: DataFrame) -> DataFrame:
+def _pivoted(posted: DataFrame, sets: DataFrame) -> DataFrame:
     """Links of sets with the pivots `low` and `high` of their shingles, of components `least` and `most`, if in another."""
     both = F.array(F.struct(F.col("low").alias("b"), F.col("least").alias("cb")), F.struct(F.col("high").alias("b"), F.col("most").alias("cb")))
-    pivots = ends.select(F.col("hash").alias("pivot_hash"), F.explode(both).alias("p")).select("pivot_hash", "p.b", "p.cb")
-    pairs = posted.join(pivots, (posted.hash == F.col("pivot_hash")) & (F.col("c") != F.col("cb")))
-    return links(with_bits(pairs.select(F.col("uid").alias("a"), "b"), sets), sets)
+    pairs = posted.select(F.col("uid").alias("a"), "c", F.inline(both)).filter("c != cb")
+    pairs = checkpointed(pairs.select("a", "b").distinct())
+    # bitmaps are fetched for pairs and not carried by shingles
+    allowed = checkpointed(ended(pairs, sets, "n", "bits").filter(near()).select("a", "b"))
+    freed(pairs)
+    return _compared(allowed, sets)
 
 
 def jaccard_components(docs: DataFrame, id_column="doc_id", text_column="text") -> DataFrame:
@@ -323,23 +330,26 @@ def jaccard_components(docs: DataFrame, id_column="doc_id", text_column="text")
     rows = checkpointed(first_filter(docs, ranges))
     released(docs.sparkSession)
     every = rows.filter("shared = -1").select("key", "uid", "n")
-    own = every.filter("key IS NOT NULL AND n > 0").groupBy("uid").agg(F.min("key").alias("first_key"))
+    of_set = rows.groupBy("uid").agg(F.min(F.expr("if(shared = -1 AND n > 0, key, null)")).alias("first_key"),
+                                     F.max(F.expr("if(shared >= 0, n, null)")).alias("n"), F.sum(F.expr("if(shared >= 0, shared, null)")).alias("shared"))
     need = F.expr("greatest(least(((4 * n + 4) DIV 5) DIV 5, greatest(n DIV 5, 1)), 1)")
-    kept = rows.filter("shared >= 0").groupBy("uid").agg(F.max("n").alias("n"), F.sum("shared").alias("shared")).filter(F.col("shared") >= need)
-    kept = checkpointed(kept.join(own, "uid").select("uid", "first_key"))
-    wanted = small(kept.select(F.col("first_key").alias("key")).distinct())
-    sets = hashed_sets(docs.join(wanted, "key", "left_semi")).join(small(kept.select("uid")), "uid", "left_semi")
+    kept = checkpointed(of_set.filter((F.col("shared") >= need) & F.col("first_key").isNotNull()).select("uid", "first_key"))
+    n_kept = kept.count()
+    wanted = sized(kept.select(F.col("first_key").alias("key")), n_kept)
+    sets = hashed_sets(docs.join(wanted, "key", "left_semi")).join(sized(kept.select("uid"), n_kept), "uid", "left_semi")
     sets = checkpointed(sets.dropDuplicates(["uid"]))
     released(docs.sparkSession)
     labels = linked_sets(sets)
     freed(sets)
-    freed(kept)
     # the smallest id of each component, then of each set in one
-    groups = own.join(labels, "uid")
+    own = every.filter("key IS NOT NULL AND n > 0").groupBy("uid").agg(F.min("key").alias("first_key"))
+    n_labels = labels.count()
+    groups = kept.join(sized(labels, n_labels), "uid")
     tops = groups.groupBy("component").agg(F.min("first_key").alias("component_id"))
-    named = groups.join(tops, "component").select("uid", "component_id", "component")
-    named = checkpointed(own.join(named, "uid", "left").select(
+    named = labels.join(sized(tops, n_labels), "component").select("uid", "component_id", "component")
+    named = checkpointed(own.join(sized(named, n_labels), "uid", "left").select(
         "uid", F.coalesce("component_id", "first_key").alias("component_id"), F.coalesce("component", "uid").alias("component")))
+    freed(kept)
     # a set may belong to a third of the documents; such a join is split at run time
     out = every.join(named, "uid", "left").select(
         F.col("key").alias("doc_id"), F.col("n").alias("n_shingles"),

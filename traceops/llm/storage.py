@@ -28,10 +28,10 @@ def checkpointed(df: DataFrame, *by: str, codec: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def freed(table: DataFrame) -> None:
-    """Deletes a checkpointed table. Only for one that nothing still to be run reads, its copies in lost executors' place included."""
-    spark = table.sparkSession
-    for folder in {found[0] for found in (re.match(r".*/table-[0-9a-f]{32}(?=/)", name) for name in table.inputFiles()) if found}:
+def freed(*tables: DataFrame) -> None:
+    """Deletes checkpointed tables. Only for those that nothing still to be run reads, their copies in lost executors' place included."""
+    spark = tables[0].sparkSession
+    for folder in {found[0] for table in tables for found in (re.match(r".*/table-[0-9a-f]{32}(?=/)", name) for name in table.inputFiles()) if found}:
         place = spark._jvm.org.apache.hadoop.fs.Path(folder)
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
     released(spark)
@@ -49,4 +49,9 @@ BROADCAST_ROWS = 300_000
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """The table with a broadcast hint if it has few rows. It is counted, so give a checkpointed one."""
-    return F.broadcast(df) if df.count() <= rows else df.hint("merge")
+    return sized(df, df.count(), rows)
+
+
+def sized(df: DataFrame, count: int, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """`small` of a table with a known number of rows, or with that many at most."""
+    return F.broadcast(df) if count <= rows else df.hint("merge")
